@@ -1,12 +1,13 @@
 """Toxicity: FTRL-proximal logistic regression over hashed word n-grams and skip-grams.
 
-Training reads a bounded, balanced sample of labelled rows. Shards of it are trained in parallel, each with
-per-coordinate learning rates and L1, and their weights averaged; L1 leaves few weights, which are broadcast for
+Training reads a bounded, balanced sample of labelled rows. Shards of it are trained apart, each with per-coordinate
+learning rates and L1, and their weights averaged; L1 leaves few weights, which are broadcast for
 scoring. Scoring is one pass without a shuffle.
 """
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -17,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chainframe.llm.bpe import small
-from chainframe.llm.common import chunks, text_of
+from chainframe.llm.common import chunks, materialize, text_of
 
 #: ASCII punctuation and control characters part words; A-Z are lower-cased.
 _WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if b > 127 or chr(b).isalnum() else 32 for b in range(256))
@@ -25,37 +26,61 @@ _WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if b > 127 or chr(b).isalnum(
 
 @dataclass(frozen=True)
 class Ftrl:
-    """Parameters. The sample has at most ``most_rows`` rows, half of them toxic as far as there are so many."""
+    """Parameters. The sample has at most ``most_rows`` rows, half of them toxic as far as there are so many. Features
+    of fewer than ``least_texts`` texts of a shard are left out; the rarer label weighs up to ``most_weight`` times.
+    Words count also by their first bytes (``stems``), so that inflected words share what is learnt."""
 
     bits: int = 20
-    alpha: float = 0.3
+    alpha: float = 1.0
     beta: float = 1.0
-    l1: float = 1.0
+    l1: float = 16.0
     l2: float = 0.1
-    epochs: int = 3
-    shards: int = 4
+    epochs: int = 12
     most_rows: int = 12_000
+    shard_rows: int = 6_000
+    least_texts: int = 5
+    most_weight: float = 10.0
     skips: tuple[int, ...] = (1, 2)
+    stems: tuple[int, ...] = (4, 6)
     threshold: float = 0.7
 
 
 class WordHashes(dict):
-    """Word -> 32-bit hash."""
+    """Word -> number of its row in ``table``: hashes of the word and of its stems (0 where it is no longer than one)."""
+
+    def __init__(self, stems: tuple[int, ...], most: int = 400_000):
+        super().__init__()
+        self.stems, self.most, self.fresh, self.table = stems, most, [], np.empty((0, 1 + len(stems)), np.uint64)
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        self[word] = n = len(self)
+        self.fresh.append((zlib.crc32(word), *(zlib.crc32(word[:k], k) if len(word) > k else 0 for k in self.stems)))
+        return n
+
+    def of(self, words: Iterable[bytes], n: int) -> np.ndarray:
+        if len(self) > self.most:
             self.clear()
-        self[word] = h = zlib.crc32(word)
-        return h
+            self.table = self.table[:0]
+        numbers = np.fromiter(map(self.__getitem__, words), np.int64, n)
+        if self.fresh:
+            self.table = np.concatenate([self.table, np.array(self.fresh, np.uint64)])
+            self.fresh = []
+        return self.table[numbers]
 
 
 def features(texts: list[str], p: Ftrl, hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
-    """(text numbers, coordinates) of all words, neighbouring pairs (skip 0) and pairs with words skipped; with repeats."""
+    """(text numbers, coordinates) of all words, their stems, neighbouring pairs (skip 0) and pairs with words skipped;
+    with repeats."""
     words = [t.encode().translate(_WORD_BYTES).split() for t in texts]
-    counts = np.array([len(w) for w in words])
-    h = np.fromiter((hashes[w] for own in words for w in own), np.uint64, int(counts.sum()))
+    counts = np.array([len(w) for w in words], np.int64)
+    table = hashes.of(itertools.chain.from_iterable(words), int(counts.sum()))
+    h = table[:, 0]
     doc = np.repeat(np.arange(len(texts)), counts)
     rows, codes = [doc], [h * np.uint64(0x9E3779B97F4A7C15)]
+    for k in range(len(p.stems)):
+        there = table[:, k + 1] != 0
+        rows.append(doc[there])
+        codes.append((table[:, k + 1][there] + np.uint64(1 << (33 + k))) * np.uint64(0xD6E8FEB86659FD93))
     for skip in (0, *p.skips):
         step = skip + 1
         if len(h) > step:
@@ -72,14 +97,18 @@ def sigmoid(x):
 
 def train_shard(texts: list[str], labels: np.ndarray, p: Ftrl) -> tuple[np.ndarray, np.ndarray]:
     """(coordinates, weights) that aren't zero. Coordinate 2^bits is the bias; features count once a text."""
-    z, n = np.zeros((1 << p.bits) + 1), np.zeros((1 << p.bits) + 1)
-    hashes, rows = WordHashes(), []
+    bias = 1 << p.bits
+    z, n = np.zeros(bias + 1), np.zeros(bias + 1)
+    hashes, found = WordHashes(p.stems), []
     for a, b in chunks(texts):
         doc, code = features(texts[a:b], p, hashes)
         pairs = np.unique(doc << p.bits | code)
         cuts = np.searchsorted(pairs, np.arange(b - a + 1) << p.bits)
-        own = pairs & ((1 << p.bits) - 1)
-        rows += [np.append(own[x:y], 1 << p.bits) for x, y in zip(cuts, cuts[1:])]
+        own = (pairs & (bias - 1)).astype(np.int32)
+        found += [own[x:y] for x, y in zip(cuts, cuts[1:])]
+    common = np.bincount(np.concatenate(found), minlength=bias) >= p.least_texts
+    rows = [np.append(r[common[r]], bias) for r in found]
+    share = [max(1.0, min(p.most_weight, len(labels) / max(1, (labels == y).sum()) - 1)) for y in (0, 1)]
 
     def weights(i):
         zi = z[i]
@@ -90,7 +119,7 @@ def train_shard(texts: list[str], labels: np.ndarray, p: Ftrl) -> tuple[np.ndarr
         for k in np.random.default_rng(epoch).permutation(len(rows)).tolist():
             i = rows[k]
             w = weights(i)
-            g = float(sigmoid(w.sum()) - labels[k])
+            g = float(sigmoid(w.sum()) - labels[k]) * share[labels[k]]
             root = np.sqrt(n[i] + g * g)
             z[i] += g - (root - np.sqrt(n[i])) / p.alpha * w
             n[i] += g * g
@@ -120,16 +149,21 @@ def training_rows(documents: DataFrame, labels: DataFrame, p: Ftrl) -> DataFrame
 
 
 def train(documents: DataFrame, labels: DataFrame, p: Ftrl = Ftrl()) -> DataFrame:
-    """(coordinate, weight), 2^bits + 1 rows at most; no rows if nothing is labelled."""
-    rows = training_rows(documents, labels, p).withColumn("shard", F.pmod(F.xxhash64(F.lit("shard"), "doc_id"), F.lit(p.shards)))
+    """(coordinate, weight), 2^bits + 1 rows at most; no rows if nothing is labelled.
+
+    The sample is small and bounded; it is written once, then dealt to as many shards as its size asks for.
+    """
+    sample = materialize(training_rows(documents, labels, p))
+    shards = max(1, -(-sample.count() // p.shard_rows))
+    rows = sample.withColumn("shard", F.pmod(F.xxhash64(F.lit("shard"), "doc_id"), F.lit(shards)))
 
     def run(shard: pa.Table) -> pa.Table:
         shard = shard.sort_by([("doc_id", "ascending"), ("text", "ascending")])
         i, w = train_shard(shard.column("text").to_pylist(), shard.column("toxic").to_numpy(), p)
-        return pa.table({"coordinate": i, "weight": w, "shards": np.full(len(i), p.shards)})
+        return pa.table({"coordinate": i, "weight": w / shards})
 
-    trained = rows.groupBy("shard").applyInArrow(run, "coordinate long, weight double, shards long")
-    return trained.groupBy("coordinate").agg((F.sum("weight") / F.max("shards")).alias("weight"))
+    trained = rows.groupBy("shard").applyInArrow(run, "coordinate long, weight double")
+    return trained.groupBy("coordinate").agg(F.sum("weight").alias("weight"))
 
 
 def score(df: DataFrame, weights: DataFrame, p: Ftrl = Ftrl(), to: str = "score") -> DataFrame:
@@ -149,7 +183,7 @@ def score(df: DataFrame, weights: DataFrame, p: Ftrl = Ftrl(), to: str = "score"
         w = np.zeros((1 << p.bits) + 1, np.float32)
         i, v = sent.value
         w[i] = v
-        hashes = WordHashes()
+        hashes = WordHashes(p.stems)
         for batch in batches:
             for one in small(batch, "__text"):
                 texts = one.column("__text").to_pylist()
