@@ -66,7 +66,7 @@ class DigestIndex:
         new = materialize(self.unseen(found))
         (
             new.select("digest", F.col("keep_id").cast("long"))
-            .repartition(self.buckets, "digest")
+            .repartition(F.pmod(F.hash("digest"), F.lit(self.buckets)))  # a bucket's rows in one task: one file each
             .write.mode("append").format("parquet")
             .bucketBy(self.buckets, "digest").sortBy("digest")
             .option("path", self.path).saveAsTable(self.table)
