@@ -1,0 +1,13 @@
+"""Where queries that need files put them."""
+
+from __future__ import annotations
+
+import tempfile
+
+from pyspark.sql import SparkSession
+
+
+def scratch(spark: SparkSession) -> str:
+    """The folder that driver and executors share, or a new local one where it is unset."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="spark-chainframe-")
+    return f"{folder.rstrip('/')}/chainframe-scratch"
