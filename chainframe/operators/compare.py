@@ -87,7 +87,7 @@ def _verdict(a: DataFrame, b: DataFrame, keys: list[str], exclude: tuple[str, ..
     names_ = ["shared", *classes, "mismatch", "only_a", "only_b"]
     s = j.agg(*(F.count_if(F.col("kind") == n).alias(n) for n in names_))
     fails = F.col("mismatch") + F.col("only_a") + (F.lit(0) if only_b_fine else F.col("only_b"))
-    return s.withColumn("verdict", F.when(F.col("shared") + sum(F.col(c) for c in classes) == 0, "EMPTY").when(fails == 0, "PASS").otherwise("FAIL"))
+    return s.withColumn("verdict", F.when(fails > 0, "FAIL").when(F.col("shared") + sum(F.col(c) for c in classes) == 0, "EMPTY").otherwise("PASS"))
 
 
 def blocks_verdict(a: DataFrame, b: DataFrame, base_fee_chains: list[int]) -> DataFrame:

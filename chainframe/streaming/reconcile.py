@@ -152,4 +152,4 @@ def stream_progress_watchdog(events: DataFrame) -> DataFrame:
 def fail_on_gap(events: DataFrame) -> DataFrame:
     """The events; a gap or a conflict stops the query."""
     bad = F.col("event").isin("gap", "conflict")
-    return events.where(F.when(bad, F.raise_error(F.concat_ws(" ", F.lit("chain"), "chain_id", "event", "at", "number")).cast("boolean")).otherwise(True))
+    return events.where(F.when(bad, F.raise_error(F.concat_ws(" ", F.lit("chain"), F.col("chain_id").cast("string"), "event", F.lit("at"), F.col("number").cast("string"))).cast("boolean")).otherwise(True))
