@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chainframe.operators.aggregates import bucket_digest, row_md5
@@ -39,11 +39,9 @@ def diff_by_key(a: DataFrame, b: DataFrame, keys: list[str], exclude: tuple[str,
     )
     key = F.concat_ws("-", *(F.lpad(F.col(k).cast("string"), 12, "0") for k in keys))
     n = j.groupBy("status").agg(F.count("*").alias("n"))
-    # the least keys per status: a bounded top-k, not a list of all
-    few = reduce(
-        DataFrame.unionByName,
-        (j.where(F.col("status") == s).select("status", key.alias("k")).orderBy("k").limit(samples) for s in ("mismatch", "only_a", "only_b")),
-    )
+    # the least keys per status: Spark keeps the first few of each task before it shuffles them
+    w = Window.partitionBy("status").orderBy("k")
+    few = j.where("status <> 'shared'").select("status", key.alias("k")).withColumn("r", F.row_number().over(w)).where(F.col("r") <= samples)
     few = few.groupBy("status").agg(F.array_join(F.array_sort(F.collect_list("k")), ",").alias("sample"))
     fine = (F.col("status") == "shared") | ((F.col("status") == "only_b") & F.lit(mode == "blocks"))
     return n.join(few, "status", "left").select("status", "n", F.coalesce("sample", F.lit("")).alias("sample"), fine.alias("tolerated"))

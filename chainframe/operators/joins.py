@@ -117,17 +117,22 @@ def children_in_range(children: DataFrame, lo: int, hi: int) -> DataFrame:
     return children.where(F.col("created_block").between(lo, hi))
 
 
-def asof_block(checkpoints: DataFrame, blocks: DataFrame) -> DataFrame:
+def asof_block(checkpoints: DataFrame, blocks: DataFrame, seconds: int = 86400) -> DataFrame:
     """Checkpoints (chain_id, checkpoint_ts) with the chain's highest block strictly earlier; null if there is none.
 
-    One sort of both sides together by time, no range join.
+    No range join: both sides are sorted together within spans of ``seconds``, so that a long chain is many tasks, and
+    what earlier spans reach is carried over from one row a span.
     """
-    columns = checkpoints.columns
-    a = checkpoints.select("chain_id", F.col("checkpoint_ts").alias("ts"), F.lit(0).alias("kind"), F.struct(*columns).alias("row"), F.lit(None).cast("long").alias("b"))
+    span = F.floor(F.col("ts") / seconds)
+    a = checkpoints.select("chain_id", F.col("checkpoint_ts").alias("ts"), F.lit(0).alias("kind"), F.struct(*checkpoints.columns).alias("row"), F.lit(None).cast("long").alias("b"))
     b = blocks.select("chain_id", F.col("block_ts").alias("ts"), F.lit(1).alias("kind"), F.lit(None).cast(a.schema["row"].dataType).alias("row"), F.col("block_number").cast("long").alias("b"))
     # at equal times the checkpoint comes first, so that block isn't below it
-    w = Window.partitionBy("chain_id").orderBy("ts", "kind").rowsBetween(Window.unboundedPreceding, -1)
-    return a.unionByName(b).withColumn("asof_block", F.max("b").over(w)).where("kind = 0").select("row.*", "asof_block")
+    inside = Window.partitionBy("chain_id", "span").orderBy("ts", "kind").rowsBetween(Window.unboundedPreceding, -1)
+    both = a.unionByName(b).withColumn("span", span)
+    earlier = Window.partitionBy("chain_id").orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
+    carried = both.groupBy("chain_id", "span").agg(F.max("b").alias("top")).withColumn("carried", F.max("top").over(earlier)).select("chain_id", "span", "carried")
+    own = both.withColumn("own", F.max("b").over(inside)).where("kind = 0")
+    return own.join(carried, ["chain_id", "span"]).select("row.*", F.greatest("own", "carried").alias("asof_block"))
 
 
 def relation_join(one: DataFrame, many: DataFrame, key: list[str], item: list[str], to: str = "items", most: int | None = None) -> DataFrame:

@@ -138,12 +138,21 @@ def progress_stagnation(series: DataFrame, by: list[str], order: str, a: str, b:
 # --- reorganisations -----------------------------------------------------------------------------------------------
 
 
-def reorg_resolve(deliveries: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+def reorg_resolve(deliveries: DataFrame, by: tuple[str, ...] = (), span: int = 1_000_000) -> DataFrame:
     """Delivered headers (seq, number, hash, parent_hash) with ``orphaned``: a later delivery, repeats of a hash aside, is
-    at its height or below."""
+    at its height or below.
+
+    Deliveries are looked at in spans of ``span`` sequence numbers, so that a long chain is many tasks; of later spans the
+    least height is enough.
+    """
     first = deliveries.groupBy(*by, "hash").agg(F.min_by(F.struct("seq", "number", "parent_hash"), "seq").alias("x")).select(*by, "hash", "x.*")
-    later = Window.partitionBy(*by).orderBy("seq").rowsBetween(1, Window.unboundedFollowing)
-    return first.withColumn("orphaned", F.coalesce(F.min("number").over(later) <= F.col("number"), F.lit(False))).select(*by, "seq", "number", "hash", "parent_hash", "orphaned")
+    first = first.withColumn("span", F.floor(F.col("seq") / span))
+    later = Window.partitionBy(*by, "span").orderBy("seq").rowsBetween(1, Window.unboundedFollowing)
+    spans = Window.partitionBy(*by).orderBy("span").rowsBetween(1, Window.unboundedFollowing)
+    least = first.groupBy(*by, "span").agg(F.min("number").alias("least")).withColumn("after", F.min("least").over(spans)).select(*by, "span", "after")
+    own = first.withColumn("own", F.min("number").over(later)).join(least, [*by, "span"])
+    orphaned = F.coalesce(F.least("own", "after") <= F.col("number"), F.lit(False))
+    return own.select(*by, "seq", "number", "hash", "parent_hash", orphaned.alias("orphaned"))
 
 
 def chain_linkage(headers: DataFrame, by: list[str], number: str, own: str, parent: str) -> DataFrame:

@@ -163,8 +163,9 @@ def test_reorg_resolve_equals_a_model(spark):
             made.append((1, seq, n, h, "again"))
             seq += 1
     d = spark.createDataFrame(made, "chain_id long, seq long, number long, hash string, parent_hash string")
-    got = win.reorg_resolve(d, ("chain_id",)).where("NOT orphaned").orderBy("number").collect()
-    assert [(r.number, r.hash) for r in got] == chain[1:]
+    for span in (1_000_000, 7):
+        got = win.reorg_resolve(d, ("chain_id",), span).where("NOT orphaned").orderBy("number").collect()
+        assert [(r.number, r.hash) for r in got] == chain[1:]
 
 
 def test_percentiles_take_the_nearest_rank(spark):
@@ -211,7 +212,8 @@ def test_append_store_twice_writes_once(spark, tmp_path):
 def test_asof_is_strictly_before(spark):
     blocks = spark.createDataFrame([(1, 1, 10), (1, 2, 20)], "chain_id long, block_number long, block_ts long")
     points = spark.createDataFrame([(1, 10), (1, 20), (1, 21)], "chain_id long, checkpoint_ts long")
-    assert rows(joins.asof_block(points, blocks)) == [(1, 10, None), (1, 20, 1), (1, 21, 2)]
+    for seconds in (86400, 10, 3):
+        assert rows(joins.asof_block(points, blocks, seconds)) == [(1, 10, None), (1, 20, 1), (1, 21, 2)]
 
 
 def test_scan_range_reaches_the_files(spark, tmp_path):
