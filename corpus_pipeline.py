@@ -34,10 +34,11 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component stays: that with the smallest doc_id."""
+    """One document of each component stays: that with the smallest doc_id. Rows without a doc_id can't be told apart by
+    it and stay."""
     found = simhash.near_duplicates(docs)
-    stays = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(stays, "doc_id", "left_semi").select(*COLUMNS)
+    goes = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id")
+    return docs.select(*COLUMNS).join(goes, "doc_id", "left_anti").select(*COLUMNS)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
