@@ -7,6 +7,7 @@ alone rule out most templates for a passage. Templates are a fixed, short list,
 
 from __future__ import annotations
 
+import math
 import re
 
 from pyspark.sql import Column, DataFrame
@@ -50,8 +51,7 @@ def bigrams(own: Column) -> Column:
 
 def bounds(size: int, least: float) -> tuple[int, int]:
     """Sizes that sets may have which reach ``least`` against one of ``size``."""
-    low = -(-size * least // (2 - least))
-    return int(low), int(size * (2 - least) / least + 1e-9)
+    return math.ceil(size * least / (2 - least) - 1e-9), math.floor(size * (2 - least) / least + 1e-9)
 
 
 def passages(df: DataFrame) -> DataFrame:
