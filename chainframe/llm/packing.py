@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chainframe.llm import bpe
+from chainframe.llm.common import materialize
 
 
 class FirstFit:
@@ -93,10 +94,10 @@ def pack(docs: DataFrame, path: str, end_id: int = 1, capacity: int = 2048, grou
     gives no rows. ``group_docs`` is the mean number of documents in a group: groups are formed at random by a hash of
     the row, so that neither a hot key nor a group of copies makes one larger, and their number grows with the table.
     """
-    groups = max(1, -(-docs.count() // group_docs))
-    pieces = tokenized_pieces(docs, path, end_id, capacity).withColumn(
-        "grp", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "ids_crc32", F.monotonically_increasing_id()), F.lit(groups))
-    )
+    # written once: a task that runs again after a loss must find the same rows in the same groups
+    pieces = materialize(tokenized_pieces(docs, path, end_id, capacity).withColumn("row", F.monotonically_increasing_id()))
+    groups = max(1, -(-pieces.count() // group_docs))
+    pieces = pieces.withColumn("grp", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "row"), F.lit(groups))).drop("row")
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, padding long"
 
     def run(group: pa.Table) -> pa.Table:
