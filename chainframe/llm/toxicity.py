@@ -135,7 +135,8 @@ def held_out(doc_id: Column) -> Column:
 def training_rows(documents: DataFrame, labels: DataFrame, p: Ftrl) -> DataFrame:
     """(text, toxic) of the sample: labelled, not held out, the first rows of each label by a hash of doc_id.
 
-    Rows with a null label or doc_id are left out; of repeated doc_ids in ``labels`` the highest label counts.
+    Rows with a null label or doc_id are left out; of repeated doc_ids in ``labels`` the highest label counts, and in
+    ``documents`` the least text, so repeats don't widen the bound.
     """
     usable = (
         labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
@@ -145,7 +146,8 @@ def training_rows(documents: DataFrame, labels: DataFrame, p: Ftrl) -> DataFrame
     half = p.most_rows // 2
     chosen = [usable.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(half) for y in (0, 1)]
     ids = chosen[0].unionByName(chosen[1])  # at most most_rows rows of two numbers: may be broadcast
-    return documents.select("doc_id", text_of("text").alias("text")).join(F.broadcast(ids), "doc_id").select("doc_id", "text", "toxic")
+    found = documents.select("doc_id", text_of("text").alias("text")).join(F.broadcast(ids), "doc_id")
+    return found.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).select("doc_id", "text", "toxic")
 
 
 def train(documents: DataFrame, labels: DataFrame, p: Ftrl = Ftrl()) -> DataFrame:
