@@ -226,15 +226,22 @@ class MergedSlices:
     Pair merging, in the order of the ranks, is the public library's; it gets whole slices, many in one call.
     """
 
-    def __init__(self, ranks: dict[bytes, int], most: int = 500_000, longest: int = 64):
+    def __init__(self, ranks: dict[bytes, int], most: int = 250_000, longest: int = 64):
         import tiktoken
 
         pattern = f"[^{BETWEEN}]+|{BETWEEN}"
         self.merge = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        self.merge_one = tiktoken.Encoding("ranks", pat_str="(?s:.+)", mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        self.ranks, self.merge_one = ranks, None
         self.known: dict[str, bytes] = {}
         self.most, self.longest, self.between = most, longest, ranks[BETWEEN.encode()]
 
+    def _merge_one(self, piece: str) -> list[int]:
+        if self.merge_one is None:  # few texts need it
+            import tiktoken
+
+            self.merge_one = tiktoken.Encoding("whole", pat_str="(?s:.+)", mergeable_ranks=self.ranks, special_tokens={}).encode_ordinary
+        return self.merge_one(piece)
+
     def of(self, by_text: list[list[str]]) -> list[bytes]:
         """The ids of texts that are given as slices."""
         if len(self.known) > self.most:
@@ -251,7 +258,7 @@ class MergedSlices:
             known[piece] = raw[4 * a + 4 : 4 * b]
         for piece in new:
             if BETWEEN in piece:  # the pattern would take such a slice apart
-                known[piece] = np.array(self.merge_one(piece), "<u4").tobytes()
+                known[piece] = np.array(self._merge_one(piece), "<u4").tobytes()
         out = [b"".join(map(known.__getitem__, pieces)) for pieces in by_text]
         for piece in new:
             if len(piece) > self.longest:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 ASCII_SPACE = " \t\n\x0b\x0c\r"
 
 #: Characters that a task holds decoded at a time; a longer text is a chunk of its own.
-CHUNK_CHARS = 2_000_000
+CHUNK_CHARS = 1_000_000
 
 
 def shared_folder(spark: SparkSession) -> str:

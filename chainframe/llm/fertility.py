@@ -51,7 +51,7 @@ SCRIPT_BANDS = {"latin": Band(1.1, 1.2), "other": Band(0.3, 0.3, most_fallback=1
 class WordPieces:
     """Word -> its ids in a vocabulary with byte fallback, as bytes; at most ``most`` words, then it begins anew."""
 
-    def __init__(self, model: bytes, most: int = 500_000):
+    def __init__(self, model: bytes, most: int = 250_000):
         import sentencepiece
 
         self.processor = sentencepiece.SentencePieceProcessor(model_proto=model)

@@ -37,7 +37,7 @@ class Ftrl:
     l2: float = 0.1
     epochs: int = 12
     most_rows: int = 12_000
-    shard_rows: int = 6_000
+    shard_rows: int = 4_000
     least_texts: int = 5
     most_weight: float = 10.0
     skips: tuple[int, ...] = (1, 2)
@@ -48,7 +48,7 @@ class Ftrl:
 class WordHashes(dict):
     """Word -> number of its row in ``table``: hashes of the word and of its stems (0 where it is no longer than one)."""
 
-    def __init__(self, stems: tuple[int, ...], most: int = 400_000):
+    def __init__(self, stems: tuple[int, ...], most: int = 150_000):
         super().__init__()
         self.stems, self.most, self.fresh, self.table = stems, most, [], np.empty((0, 1 + len(stems)), np.uint64)
 
@@ -99,15 +99,18 @@ def train_shard(texts: list[str], labels: np.ndarray, p: Ftrl) -> tuple[np.ndarr
     """(coordinates, weights) that aren't zero. Coordinate 2^bits is the bias; features count once a text."""
     bias = 1 << p.bits
     z, n = np.zeros(bias + 1), np.zeros(bias + 1)
-    hashes, found = WordHashes(p.stems), []
+    hashes, found, texts_with = WordHashes(p.stems), [], np.zeros(bias, np.int32)
     for a, b in chunks(texts):
         doc, code = features(texts[a:b], p, hashes)
         pairs = np.unique(doc << p.bits | code)
         cuts = np.searchsorted(pairs, np.arange(b - a + 1) << p.bits)
         own = (pairs & (bias - 1)).astype(np.int32)
+        texts_with += np.bincount(own, minlength=bias).astype(np.int32)
         found += [own[x:y] for x, y in zip(cuts, cuts[1:])]
-    common = np.bincount(np.concatenate(found), minlength=bias) >= p.least_texts
-    rows = [np.append(r[common[r]], bias) for r in found]
+    common = texts_with >= p.least_texts
+    for k, r in enumerate(found):
+        found[k] = np.append(r[common[r]], np.int32(bias))
+    rows = found
     share = [max(1.0, min(p.most_weight, len(labels) / max(1, (labels == y).sum()) - 1)) for y in (0, 1)]
 
     def weights(i):
