@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chainframe.llm import bpe
-from chainframe.llm.common import materialize
+from chainframe.llm.common import materialize, text_of
 
 
 class FirstFit:
@@ -62,27 +62,27 @@ def pieces_of(doc_tokens: int, capacity: int) -> list[tuple[int, int]]:
 
 
 def tokenized_pieces(docs: DataFrame, path: str, end_id: int, capacity: int) -> DataFrame:
-    """One row per document with its pieces: doc_id, doc_tokens, and start, length, ids_crc32 as lists."""
-    encoded = bpe.encode(docs.select("doc_id", "text"), path, special=True).drop("text")
+    """One row per document with its pieces: doc_id, doc_tokens, and start, length, ids_crc32 as lists. Ids are made and
+    summed up in one pass; they never leave the worker."""
+    content = bpe.vocabulary(docs, path)
     schema = "doc_id long, doc_tokens long, start array<long>, length array<long>, ids_crc32 array<long>"
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = np.array([end_id], "<u4")
+        last = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            ids = batch.column("ids")
-            values, at = ids.values.to_numpy(zero_copy_only=False).astype("<u4"), ids.offsets.to_numpy()
-            tokens, starts, lengths, sums = [], [], [], []
-            for a, b in zip(at, at[1:]):
-                own = np.concatenate([values[a:b], last])
-                cut = pieces_of(len(own), capacity)
-                tokens.append(len(own))
-                starts.append([s for s, _ in cut])
-                lengths.append([n for _, n in cut])
-                sums.append([zlib.crc32(own[s : s + n].tobytes()) for s, n in cut])
-            lists = [pa.array(x, pa.list_(pa.int64())) for x in (starts, lengths, sums)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(tokens, pa.int64()), *lists], ["doc_id", "doc_tokens", "start", "length", "ids_crc32"])
-
-    return encoded.select(F.col("doc_id").cast("long"), "ids").mapInArrow(run, schema)
+            for one in bpe.small(batch, "text"):
+                tokens, starts, lengths, sums = [], [], [], []
+                for ids, _ in bpe.encode_texts(one.column("text").to_pylist(), content.value, special=True):
+                    own = ids + last
+                    cut = pieces_of(len(own) // 4, capacity)
+                    tokens.append(len(own) // 4)
+                    starts.append([s for s, _ in cut])
+                    lengths.append([n for _, n in cut])
+                    sums.append([zlib.crc32(own[4 * s : 4 * (s + n)]) for s, n in cut])
+                lists = [pa.array(x, pa.list_(pa.int64())) for x in (starts, lengths, sums)]
+                yield pa.RecordBatch.from_arrays([one.column("doc_id"), pa.array(tokens, pa.int64()), *lists], ["doc_id", "doc_tokens", "start", "length", "ids_crc32"])
+
+    return docs.select(F.col("doc_id").cast("long"), text_of("text").alias("text")).mapInArrow(run, schema)
 
 
 def pack(docs: DataFrame, path: str, end_id: int = 1, capacity: int = 2048, group_docs: int = 4096, seed: int = 7) -> DataFrame:
