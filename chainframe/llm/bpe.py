@@ -226,7 +226,7 @@ class MergedSlices:
     Pair merging, in the order of the ranks, is the public library's; it gets whole slices, many in one call.
     """
 
-    def __init__(self, ranks: dict[bytes, int], most: int = 250_000, longest: int = 64):
+    def __init__(self, ranks: dict[bytes, int], most: int = 150_000, longest: int = 64):
         import tiktoken
 
         pattern = f"[^{BETWEEN}]+|{BETWEEN}"

@@ -171,7 +171,7 @@ def compiled(rules: tuple[Rule, ...]) -> tuple[list[tuple[Rule, re.Pattern, obje
     needed = sorted(set().union(*(trigrams_in(q) for _, _, q in own)))
     if not all(t.isascii() for t in needed) or len(needed) > 65_000:
         raise ValueError("rules need ASCII trigrams, 65,000 at most")
-    table = np.zeros(1 << 24, np.uint16)
+    table = np.zeros(1 << 24, np.uint8 if len(needed) < 255 else np.uint16)
     for k, t in enumerate(needed):
         table[int.from_bytes(t.encode(), "big")] = k + 1
     return own, needed, table

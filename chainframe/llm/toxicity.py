@@ -100,7 +100,7 @@ def train_shard(texts: list[str], labels: np.ndarray, p: Ftrl) -> tuple[np.ndarr
     bias = 1 << p.bits
     z, n = np.zeros(bias + 1), np.zeros(bias + 1)
     hashes, found, texts_with = WordHashes(p.stems), [], np.zeros(bias, np.int32)
-    for a, b in chunks(texts):
+    for a, b in chunks(texts, 250_000):
         doc, code = features(texts[a:b], p, hashes)
         pairs = np.unique(doc << p.bits | code)
         cuts = np.searchsorted(pairs, np.arange(b - a + 1) << p.bits)
@@ -113,6 +113,8 @@ def train_shard(texts: list[str], labels: np.ndarray, p: Ftrl) -> tuple[np.ndarr
     rows = found
     share = [max(1.0, min(p.most_weight, len(labels) / max(1, (labels == y).sum()) - 1)) for y in (0, 1)]
 
+    del texts, hashes
+
     def weights(i):
         zi = z[i]
         w = -(zi - np.sign(zi) * p.l1) / ((p.beta + np.sqrt(n[i])) / p.alpha + p.l2)
@@ -164,7 +166,9 @@ def train(documents: DataFrame, labels: DataFrame, p: Ftrl = Ftrl()) -> DataFram
 
     def run(shard: pa.Table) -> pa.Table:
         shard = shard.sort_by([("doc_id", "ascending"), ("text", "ascending")])
-        i, w = train_shard(shard.column("text").to_pylist(), shard.column("toxic").to_numpy(), p)
+        labels, texts = shard.column("toxic").to_numpy(), shard.column("text").to_pylist()
+        del shard
+        i, w = train_shard(texts, labels, p)
         return pa.table({"coordinate": i, "weight": w / shards})
 
     trained = rows.groupBy("shard").applyInArrow(run, "coordinate long, weight double")
