@@ -122,6 +122,30 @@ def test_fertility_measures(spark, docs, empty):
     assert fertility.quality(empty, *paths).collect() == []
 
 
+def test_fertility_bands_catch_most_junk(spark):
+    folder = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "quality")
+    rated = queries.op2_fertility(spark, folder).where("NOT base_failed").join(labels, "doc_id")
+    n = {(r.quality, r.kept): r["count"] for r in rated.groupBy("quality", "kept").count().collect()}
+    assert n[0, False] >= 0.8 * (n[0, False] + n.get((0, True), 0))
+    assert n[1, False] <= 0.02 * (n[1, False] + n[1, True])
+
+
+def test_fertility_calibration_is_a_bounded_sample_of_clean_rows(spark):
+    rows = [(i, "en" if i % 2 else None, "latin", i < 5, 60 - 50 * (i < 10), float(i), 2.0 * i) for i in range(400)]
+    rated = spark.createDataFrame(rows, "doc_id long, lang string, script string, base_failed boolean, n_tokens long, chars_per_token double, bpe_chars_per_token double")
+    labels = spark.range(400).select(F.col("id").alias("doc_id"), (F.col("id") < 300).cast("long").alias("quality"))
+    half = [r[0] for r in spark.range(10, 300).where("pmod(xxhash64(id), 2) = 0").collect()]
+    error = (1 / 60 + 1 / fertility.LONG) ** 0.5
+    got = {r["name"]: r for r in fertility.calibrate(rated, labels, 0.0).collect()}
+    assert sorted(got) == ["LATIN", "en"]
+    for name, own in (("LATIN", half), ("en", [i for i in half if i % 2])):
+        r = got[name]
+        assert (r.chars, r.bpe_chars, r.n) == (np.median(own), 2 * np.median(own), len(own))
+        assert [r.chars - r.chars_spread * error, r.bpe_chars - r.bpe_spread * error] == pytest.approx([min(own), 2 * min(own)])
+    assert {r.n for r in fertility.calibrate(rated, labels, 0.0, most=20).collect()} == {20}
+
+
 # --- 3 ------------------------------------------------------------------------------------------------------------
 
 
