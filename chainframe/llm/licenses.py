@@ -31,6 +31,10 @@ TEMPLATES = {
     "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
 }
 LEAST_DICE = 0.8
+#: Templates of ``notices``: the same, with the whole permission paragraph.
+NOTICES = TEMPLATES | {
+    "mit-header": TEMPLATES["mit-header"] + ", including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
+}
 
 
 def template_bigrams(text: str) -> list[str]:
@@ -97,6 +101,59 @@ def license_lines(documents: DataFrame) -> DataFrame:
     return found.select("doc_id", F.col("pos").cast("long").alias("pos"), "license", F.round("dice", 9).alias("dice"))
 
 
+def anchors(size: int, least: float) -> int:
+    """Distinct bigrams of a template of ``size`` that a set must have to reach ``least``: it has itself no fewer."""
+    return math.ceil(size * least / (2 - least) - 1e-9)
+
+
+def notices(df: DataFrame, templates: dict[str, str] = NOTICES, least: float = LEAST_DICE) -> DataFrame:
+    """(doc_id, word, n_words, license, dice): runs of words anywhere in a text, across lines, that reach ``least``.
+
+    A run begins and ends at bigrams of the template (others at its ends only lower the coefficient) and has at most as
+    many bigrams, repeats counted, as the template's bounds allow. Of runs of a template that overlap, the best stays,
+    then the first, then the shortest. ``word`` is the number of the run's first word. No shuffle and no join.
+    """
+    own = {name: template_bigrams(t) for name, t in templates.items()}
+    every = sorted(set().union(*own.values()))
+    text = df.select("doc_id", words(text_of("text")).alias("w"))
+    n = F.greatest(F.size("w") - 1, F.lit(0))
+    text = text.select("doc_id", F.zip_with(F.slice("w", 1, n), F.slice("w", 2, n), lambda a, b: F.concat_ws(" ", a, b)).alias("all"))
+    hits = F.filter(F.transform("all", lambda g, i: F.struct(i.alias("at"), g.alias("g"))), lambda x: x["g"].isin(every))
+    # exploding an array of one keeps the hits from being computed again for each of their uses
+    text = text.select("doc_id", "all", F.explode(F.array(hits)).alias("hits")).where(F.size("hits") >= min(anchors(len(g), least) for g in own.values()))
+    kinds = F.array(
+        *(
+            F.struct(F.lit(name).alias("license"), F.lit(len(g)).alias("size"), F.lit(anchors(len(g), least)).alias("need"), F.lit(bounds(len(g), least)[1]).alias("most"), F.array(*map(F.lit, g)).alias("grams"))
+            for name, g in sorted(own.items())
+        )
+    )
+    one = text.select("doc_id", "all", "hits", F.explode(kinds).alias("t"))
+    one = one.select("doc_id", "all", "t", F.explode(F.array(F.filter("hits", lambda x: F.array_contains("t.grams", x["g"])))).alias("hits")).where(F.size("hits") >= F.col("t.need"))
+
+    def runs(x: Column, i: Column) -> Column:
+        """Runs from hit ``i`` on: the later hits within reach, as ends."""
+        later = F.slice(F.col("hits"), i + 1, F.col("t.most"))
+        ends = F.filter(later, lambda y, k: (k + 1 >= F.col("t.need")) & (y["at"] - x["at"] < F.col("t.most")))
+        return F.transform(ends, lambda y: scored(x["at"], y["at"]))
+
+    def scored(first: Column, last: Column) -> Column:
+        grams = F.array_distinct(F.slice(F.col("all"), first + 1, last - first + 1))
+        dice = F.lit(2.0) * F.size(F.array_intersect(grams, F.col("t.grams"))) / (F.size(grams) + F.col("t.size"))
+        return F.struct((-dice).alias("worse"), first.alias("first"), last.alias("last"))
+
+    found = F.array_sort(F.filter(F.flatten(F.transform("hits", runs)), lambda r: -r["worse"] >= least))
+    one = one.select("doc_id", "t.license", F.explode(F.array(found)).alias("found")).where(F.size("found") > 0)
+    apart = lambda r: lambda c: (c["first"] > r["last"]) | (c["last"] < r["first"])
+    best = F.aggregate("found", F.slice("found", 1, 0), lambda acc, r: F.when(F.forall(acc, apart(r)), F.concat(acc, F.array(r))).otherwise(acc))
+    one = one.select("doc_id", "license", F.explode(best).alias("r"))
+    return one.select("doc_id", F.col("r.first").cast("long").alias("word"), (F.col("r.last") - F.col("r.first") + 2).cast("long").alias("n_words"), "license", (-F.col("r.worse")).alias("dice"))
+
+
+def license_notices(documents: DataFrame) -> DataFrame:
+    """``notices`` of documents, dice to 9 places."""
+    return notices(documents.select("doc_id", "text")).withColumn("dice", F.round("dice", 9))
+
+
 def _oracle() -> str:
     rows = ", ".join("('{}', [{}])".format(n, ", ".join(f"'{g}'" for g in template_bigrams(t))) for n, t in TEMPLATES.items())
     return rf"""

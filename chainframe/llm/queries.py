@@ -44,6 +44,10 @@ def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_lines(documents(spark, sf_dir))
 
 
+def op8_license_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_notices(documents(spark, sf_dir))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_classes(documents(spark, sf_dir))
 
@@ -53,7 +57,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_chat_parts, op2_fertility, op3_line_dedup, op4_packing, op5_secrets, op6_toxicity, op7_byte_bpe, op8_licenses, op9_simhash, op10_exact_dedup)
+    own = (op1_chat_parts, op2_fertility, op3_line_dedup, op4_packing, op5_secrets, op6_toxicity, op7_byte_bpe, op8_licenses, op8_license_notices, op9_simhash, op10_exact_dedup)
     return {f.__name__: f for f in own}
 
 

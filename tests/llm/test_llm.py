@@ -368,6 +368,50 @@ def test_licenses(spark, docs, empty):
     assert licenses.license_lines(empty).collect() == []
 
 
+def brute_notices(text):
+    """All runs of words within the templates' bounds, then the best of those that overlap."""
+    w, out = re.findall("[a-z0-9]+", (text or "").lower()), []
+    grams = [f"{a} {b}" for a, b in zip(w, w[1:])]
+    for name, template in licenses.NOTICES.items():
+        t = set(licenses.template_bigrams(template))
+        most, found = licenses.bounds(len(t), 0.8)[1], []
+        for a in range(len(grams)):
+            for b in range(a, min(len(grams), a + most)):
+                own = set(grams[a : b + 1])
+                if grams[a] in t and grams[b] in t and (dice := 2.0 * len(own & t) / (len(own) + len(t))) >= 0.8:
+                    found.append((-dice, a, b))
+        kept = []
+        for r in sorted(found):
+            if all(r[1] > k[2] or r[2] < k[1] for k in kept):
+                kept.append(r)
+        out += [(a, b - a + 2, name, round(-d, 9)) for d, a, b in kept]
+    return out
+
+
+def test_license_notices_across_lines_and_within_them(spark, docs, empty):
+    t = licenses.NOTICES
+    rows = [
+        (1, "gpl-3.0-header", re.sub(r"(.{50}\S*) ", r"\1\n * ", "Prose. " * 40 + t["gpl-3.0-header"] + " More prose." * 40)),
+        (2, "apache-2.0-header", re.sub(r"(.{50}\S*) ", r"\1\n# ", "Prose. " * 40 + t["apache-2.0-header"])),
+        (3, "mit", "Some prose before it. Released under the MIT License."),
+        (4, "mit-header", "x y z " * 30 + t["mit-header"] + " tail" * 30),
+        (5, "mit", "Released under the MIT License. Released under the MIT License.\nReleased under the\nMIT licence"),
+        (5, "mit", "Released under the MIT License. Released under the MIT License.\nReleased under the\nMIT licence"),
+        (None, "bsd", "a " + t["bsd"] + " b"), (7, "", None), (8, "", ""), (9, "", "of the license, the software"),
+    ]
+    got = licenses.license_notices(spark.createDataFrame([(a, c) for a, _, c in rows], "doc_id long, text string")).collect()
+    assert sorted((str(r.doc_id), r.word, r.n_words, r.license, r.dice) for r in got) == sorted((str(a), *x) for a, _, c in rows for x in brute_notices(c))
+    assert {(r.doc_id, r.license) for r in got} >= {(a, b) for a, b, _ in rows if b}
+    assert sum(r.doc_id == 5 for r in got) == 6
+    assert [(r.doc_id, r.license) for r in licenses.license_notices(docs).collect()] == [(7, "all-rights-reserved")]
+    assert licenses.license_notices(empty).collect() == []
+
+
+def test_license_notices_of_documents(spark, texts):
+    got = run(spark, "op8_license_notices")
+    assert got and sorted((r.doc_id, r.word, r.n_words, r.license, r.dice) for r in got) == sorted((d, *x) for d, t in texts.items() for x in brute_notices(t))
+
+
 @pytest.mark.parametrize("size", [1, 2, 5, 17, 60])
 def test_license_bounds_prune_nothing_that_matches(size):
     low, high = licenses.bounds(size, 0.8)
