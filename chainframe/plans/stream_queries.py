@@ -123,6 +123,21 @@ register("stream_progress_watchdog", lambda f: reconcile.stream_progress_watchdo
 SELECT event_id + 1 AS number FROM {events} WHERE event_id + 1 BETWEEN 450 AND 590 AND event_id % 10 = 0 AND event_id + 1 >= 516 AND (event_id + 1) * 12 - 500 * 12 > 300""")
 
 
+def withheld_items(f: Fixtures) -> DataFrame:
+    """All deliveries; of every 1,000 numbers blocks 501 to 599 come only after every tenth of them was a finalised head."""
+    n = F.col("event_id") + 1
+    blocks = items(f).where("kind = 'block'").withColumn("seq", F.col("seq") * 1000)
+    finals = f.events.where("(event_id + 1) % 1000 BETWEEN 501 AND 599 AND event_id % 10 = 0").select(
+        F.lit(1).cast("long").alias("chain_id"), ((n - n % 1000) * 10000 + 5009000 + n % 1000).cast("long").alias("seq"), F.lit("final").alias("kind"), n.cast("long").alias("number"), F.lit(None).cast("string").alias("hash"), F.lit(None).cast("string").alias("parent_hash"), (n * 12).cast("long").alias("at_s")
+    )
+    return blocks.unionByName(finals)
+
+
+# the last delivery before the heads of a span is its block 500
+register("stream_progress_watchdog_all", lambda f: reconcile.stream_progress_watchdog(reconciled(f, withheld_items(f))).select("number"), """
+SELECT event_id + 1 AS number FROM {events} WHERE (event_id + 1) % 1000 BETWEEN 516 AND 599 AND event_id % 10 = 0 AND ((event_id + 1) % 1000 - 500) * 12 > 300""")
+
+
 def stream_finalized_children(f: Fixtures) -> DataFrame:
     base = folder(f)
     c = f.creations.select(F.lit("vault").alias("factory"), F.col("chain_id").cast("long").alias("chain_id"), F.col("child").alias("address"), F.col("created_block").cast("long").alias("created_block"))

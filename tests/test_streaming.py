@@ -44,3 +44,12 @@ def test_stream_over_batches(spark, tmp_path):
         sinks.run_available(stream, sinks.stream_rollback(str(tmp_path / "log")), str(tmp_path / "checkpoint"))
     log = sinks.log_of(spark, str(tmp_path / "log"), "chain_id bigint, seq bigint, place int, event string, number bigint, hash string")
     assert sorted((r.number, r.hash) for r in sinks.live_blocks(log).collect()) == [(1, "a"), (2, "c"), (3, "d"), (4, "e")]
+
+
+def test_stalls_are_looked_for_all_over_the_table(spark):
+    from chainframe import plans
+
+    folder = "/root/testdata/sf0.01"
+    last = spark.read.parquet(f"{folder}/events.parquet").count()
+    got = sorted(r.number for r in plans.queries()["stream_progress_watchdog_all"](spark, folder).collect())
+    assert got == [n for n in range(1, last + 1) if n % 1000 in (531, 541, 551, 561, 571, 581, 591)] and got[-1] > 590
