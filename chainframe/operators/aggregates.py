@@ -129,13 +129,21 @@ def tip_lag(heads: DataFrame) -> DataFrame:
     return heads.withColumn("lag", F.max("head").over(Window.partitionBy("chain_id")) - F.col("head"))
 
 
-def throughput(counters: DataFrame, seconds: int = 10, error_threshold: float = 0.5) -> DataFrame:
+def throughput(counters: DataFrame, seconds: int = 10, error_threshold: float = 0.5, span: int = 100_000) -> DataFrame:
     """Cumulative counters (at_s, rows, bytes, errors) as rates per bucket of ``seconds``, flagged where the error rate
-    first passes the threshold and where the row rate peaks."""
-    b = counters.groupBy(F.floor(F.col("at_s") / seconds).cast("long").alias("bucket")).agg(*(F.max(c).alias(c) for c in ("rows", "bytes", "errors")))
-    w = Window.orderBy("bucket")  # one row a bucket
-    for c in ("rows", "bytes", "errors"):
-        b = b.withColumn(f"d_{c}", F.col(c) - F.coalesce(F.lag(c).over(w), F.lit(0)))
+    first passes the threshold and where the row rate peaks.
+
+    Buckets are looked at in spans of ``span``, so that a long series is many tasks; of the span before, the last is enough.
+    """
+    names = ("rows", "bytes", "errors")
+    b = counters.groupBy(F.floor(F.col("at_s") / seconds).cast("long").alias("bucket")).agg(*(F.max(c).alias(c) for c in names))
+    b = b.withColumn("span", F.floor(F.col("bucket") / span))
+    last = b.groupBy("span").agg(F.max_by(F.struct(*names), "bucket").alias("x")).withColumn("before", F.lag("x").over(Window.orderBy("span")))  # one row a span
+    w = Window.partitionBy("span").orderBy("bucket")
+    b = b.withColumn("own", F.lag(F.struct(*names)).over(w)).join(last.select("span", "before"), "span")
+    for c in names:
+        earlier = F.when(F.col("own").isNotNull(), F.col(f"own.{c}")).otherwise(F.col(f"before.{c}"))
+        b = b.withColumn(f"d_{c}", F.col(c) - F.coalesce(earlier, F.lit(0)))
     b = b.select(
         "bucket",
         F.round(F.col("d_rows") / seconds, 6).alias("rows_per_s"),

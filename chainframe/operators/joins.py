@@ -137,10 +137,16 @@ def asof_block(checkpoints: DataFrame, blocks: DataFrame, seconds: int = 86400)
 
 def relation_join(one: DataFrame, many: DataFrame, key: list[str], item: list[str], to: str = "items", most: int | None = None) -> DataFrame:
     """Rows of ``one`` with the array of their ``many``, sorted, and its size; empty where there is none."""
-    got = many.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct(*item))).alias(to))
-    size = F.coalesce(F.size(to), F.lit(0)).cast("long")
-    items = F.col(to) if most is None else F.slice(to, 1, most)
-    return one.join(got, key, "left").select(*one.columns, items.alias(to), size.alias(f"n_{to}"))
+    if most is None:
+        size = F.count("*")
+    else:  # no more than ``most`` items of a key are gathered
+        n = many.groupBy(*key).agg(F.count("*").alias("__size"))
+        rank = F.row_number().over(Window.partitionBy(*key).orderBy(*item))
+        many = many.withColumn("__n", rank).where(F.col("__n") <= most).join(n, key)
+        size = F.first("__size")
+    got = many.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct(*item))).alias(to), size.alias("__size"))
+    size = F.coalesce("__size", F.lit(0)).cast("long")
+    return one.join(got, key, "left").select(*one.columns, F.col(to), size.alias(f"n_{to}"))
 
 
 def ensure_parent(creations: DataFrame, actions: DataFrame, key: list[str], meta: list[str]) -> DataFrame:

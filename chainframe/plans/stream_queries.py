@@ -37,8 +37,8 @@ def reconciled(f: Fixtures, rows: DataFrame) -> DataFrame:
     """All events of ``rows`` through the stream."""
     reconcile.use_rocksdb(f.spark)
     base = folder(f)
-    rows.write.parquet(f"{base}/in")
-    stream = reconcile.stream_reconcile(sinks.stream_blocks(f.spark, f"{base}/in", reconcile.ITEM))
+    reconcile.ordered_items(rows, f"{base}/in")
+    stream = reconcile.stream_reconcile(sinks.stream_blocks(f.spark, f"{base}/in", reconcile.ITEM, files_per_batch=1))
     sinks.run_available(stream, lambda df, i: sinks.write_batch(df, i, f"{base}/log"), f"{base}/checkpoint")
     return sinks.log_of(f.spark, f"{base}/log", LOG_SCHEMA).drop("batch_id")
 
@@ -68,8 +68,8 @@ FROM (SELECT event_id + 1 AS number FROM {events} WHERE (event_id + 1) % 100 = 0
 def stream_rollback(f: Fixtures) -> DataFrame:
     base = folder(f)
     reconcile.use_rocksdb(f.spark)
-    items(f).write.parquet(f"{base}/in")
-    stream = reconcile.stream_reconcile(sinks.stream_blocks(f.spark, f"{base}/in", reconcile.ITEM))
+    reconcile.ordered_items(items(f), f"{base}/in")
+    stream = reconcile.stream_reconcile(sinks.stream_blocks(f.spark, f"{base}/in", reconcile.ITEM, files_per_batch=1))
     sinks.run_available(stream, sinks.stream_rollback(f"{base}/log"), f"{base}/checkpoint")
     payload = f.deliveries.select(F.lit(1).cast("long").alias("chain_id"), F.col("hash").alias("block_hash"), F.col("number")).distinct()
     return sinks.live_rows(payload, sinks.log_of(f.spark, f"{base}/log", LOG_SCHEMA)).select("block_hash", "number")

@@ -18,6 +18,9 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 ITEM = "chain_id bigint, seq bigint, kind string, number bigint, hash string, parent_hash string, at_s bigint"
 #: Events: append, remove, duplicate, reorg (number: the common ancestor), gap, finalize, defer, conflict, stalled.
 EVENT = "chain_id bigint, seq bigint, place int, event string, number bigint, hash string"
+OUT = ["chain_id", "seq", "place", "event", "number", "hash"]
+#: Events that are gathered before they are passed on, and items in a file, which is a micro-batch.
+OUT_ROWS, FILE_ROWS = 10_000, 100_000
 _HEADER = "number bigint, hash string, parent_hash string"
 _FACTS = "anchor_number bigint, anchor_hash string, deferred_number bigint, deferred_hash string, first_head bigint, highest bigint, delivered_at bigint"
 
@@ -110,19 +113,22 @@ class Reconciler(StatefulProcessor):
         self.facts = handle.getValueState("facts", _FACTS)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        items = pd.concat(list(rows)).sort_values("seq", kind="stable")
+        items = pd.concat(list(rows)).sort_values("seq", kind="stable")  # a micro-batch is bounded: see ordered_items
         state = ChainState([tuple(h) for h in self.headers.get()], self.facts.get() if self.facts.exists() else None, self.stall_blocks, self.stall_seconds)
         out = []
         for seq, kind, number, own, parent, at_s in items[["seq", "kind", "number", "hash", "parent_hash", "at_s"]].itertuples(index=False):
             own = own if isinstance(own, str) else None
             events = state.block(number, own, parent, at_s) if kind == "block" else state.final(number, own, at_s)
             out += [(key[0], seq, place, *e) for place, e in enumerate(events)]
+            if len(out) >= OUT_ROWS:
+                yield pd.DataFrame(out, columns=OUT)
+                out = []
         if state.window:
             self.headers.put(state.window)
         else:
             self.headers.clear()
         self.facts.update(state.facts())
-        yield pd.DataFrame(out, columns=["chain_id", "seq", "place", "event", "number", "hash"])
+        yield pd.DataFrame(out, columns=OUT)
 
     def close(self) -> None:
         pass
@@ -132,6 +138,12 @@ def use_rocksdb(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
+def ordered_items(items: DataFrame, path: str, most: int = FILE_ROWS) -> None:
+    """Write ``items`` by seq in files of ``most`` rows, one after another, as the source reads files by their time. Read
+    with one file a batch, a chain of any length needs the memory of one file. Sorting spills; one task writes."""
+    items.repartition(1).sortWithinPartitions("seq").write.option("maxRecordsPerFile", most).parquet(path)
+
+
 def stream_reconcile(items: DataFrame, stall_blocks: int = 16, stall_seconds: int = 300) -> DataFrame:
     """Events of a stream of ITEM rows. The session needs the RocksDB state store: see use_rocksdb."""
     return items.groupBy("chain_id").transformWithStateInPandas(

@@ -53,3 +53,60 @@ def test_stalls_are_looked_for_all_over_the_table(spark):
     last = spark.read.parquet(f"{folder}/events.parquet").count()
     got = sorted(r.number for r in plans.queries()["stream_progress_watchdog_all"](spark, folder).collect())
     assert got == [n for n in range(1, last + 1) if n % 1000 in (531, 541, 551, 561, 571, 581, 591)] and got[-1] > 590
+
+
+def test_a_long_chain_is_read_in_bounded_ordered_batches(spark, tmp_path):
+    from chainframe.streaming import reconcile, sinks
+
+    n = 1000
+    rows = [(1, k, "block", k, f"h{k}", f"h{k - 1}", k * 12) for k in range(1, n + 1)]
+    reconcile.ordered_items(spark.createDataFrame(rows[::-1], reconcile.ITEM).repartition(4), str(tmp_path / "in"), most=300)
+    reconcile.use_rocksdb(spark)
+    stream = reconcile.stream_reconcile(sinks.stream_blocks(spark, str(tmp_path / "in"), reconcile.ITEM, files_per_batch=1))
+    sinks.run_available(stream, lambda df, i: sinks.write_batch(df, i, str(tmp_path / "log")), str(tmp_path / "checkpoint"))
+    got = spark.read.parquet(str(tmp_path / "log")).select("event", "number", "batch_id").collect()
+    assert sorted((r.event, r.number) for r in got) == [("append", k) for k in range(1, n + 1)]
+    assert {r.number: r.batch_id for r in got} == {k: (k - 1) // 300 for k in range(1, n + 1)}
+
+
+def test_reconciler_passes_events_on_before_the_end(monkeypatch):
+    import pandas as pd
+
+    from chainframe.streaming import reconcile
+
+    class State:
+        def __init__(self):
+            self.value = None
+
+        def get(self):
+            return self.value or []
+
+        def exists(self):
+            return self.value is not None
+
+        def put(self, value):
+            self.value = value
+
+        update = put
+
+        def clear(self):
+            self.value = None
+
+    monkeypatch.setattr(reconcile, "OUT_ROWS", 10)
+    r = reconcile.Reconciler(16, 300)
+    r.headers, r.facts = State(), State()
+    items = pd.DataFrame([(k, "block", k, f"h{k}", f"h{k - 1}", k) for k in range(1, 36)], columns=["seq", "kind", "number", "hash", "parent_hash", "at_s"])
+    assert [len(x) for x in r.handleInputRows((1,), iter([items]), None)] == [10, 10, 10, 5]
+
+
+def test_throughput_in_spans_and_bounded_relation_join(spark):
+    from pyspark.sql import functions as F
+
+    from chainframe.operators import aggregates, joins
+
+    counters = spark.range(0, 500, 3).select(F.col("id").alias("at_s"), (F.col("id") * 3).alias("rows"), (F.col("id") * F.col("id")).alias("bytes"), F.floor(F.col("id") / 7).alias("errors"))
+    assert sorted(aggregates.throughput(counters, 10, 0.5, span=4).collect()) == sorted(aggregates.throughput(counters, 10, 0.5).collect())
+    many = spark.range(100).select((F.col("id") % 2).alias("k"), (-F.col("id")).alias("v"))
+    got = joins.relation_join(spark.range(3).withColumnRenamed("id", "k"), many, ["k"], ["v"], most=3)
+    assert "Window" in got._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.k: ([x.v for x in r["items"] or []], r.n_items) for r in got.collect()} == {0: ([-98, -96, -94], 50), 1: ([-99, -97, -95], 50), 2: ([], 0)}
