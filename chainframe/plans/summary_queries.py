@@ -18,6 +18,12 @@ SELECT chain_id, max(block_number) AS closest_block FROM (
   SELECT chain_id, block_number FROM {logs} WHERE block_number < 150 UNION ALL SELECT chain_id, block_number FROM {tx} WHERE block_number < 120
   UNION ALL SELECT chain_id, block_number FROM {frames} WHERE own_error IS NOT NULL AND block_number < 170) u GROUP BY chain_id""")
 
+# whole tables; families differ by columns
+register("closest_block_all", lambda f: agg.closest_block(f.logs.where("event_code <> 'NO'"), f.tx.where("status = 1"), f.frames.where("own_error IS NOT NULL")), """
+SELECT chain_id, max(block_number) AS closest_block FROM (
+  SELECT chain_id, block_number FROM {logs} WHERE event_code <> 'NO' UNION ALL SELECT chain_id, block_number FROM {tx} WHERE status = 1
+  UNION ALL SELECT chain_id, block_number FROM {frames} WHERE own_error IS NOT NULL) u GROUP BY chain_id""")
+
 SNAPSHOT = """
 WITH p AS (SELECT chain_id, count(*) AS logs, min(block_number) AS min_block, max(block_number) AS max_block, count(DISTINCT tx_hash) AS distinct_tx FROM {logs} GROUP BY chain_id)
 SELECT 'chain-' || CAST(chain_id AS STRING) AS scope, 'logs' AS field, logs AS value FROM p
@@ -157,6 +163,26 @@ SELECT chain_id, class, count(*) AS n FROM (
   UNION ALL SELECT chain_id, 'extra' FROM {creations} WHERE created_block % 4 <> 0 AND created_block % 5 = 0) u GROUP BY chain_id, class""",
 )
 
+# discovered children have a seventh-line AF log, the reference's a second RF log; heads are the chains' own
+register(
+    "child_coverage_vs_reference_all",
+    lambda f: agg.child_coverage_vs_reference(
+        f.creations.join(f.logs.where("event_code = 'AF' AND line_no = 7").select("chain_id", F.col("address").alias("child")), ["chain_id", "child"], "left_semi"),
+        f.creations.join(f.logs.where("event_code = 'RF' AND line_no = 2").select("chain_id", F.col("address").alias("child")), ["chain_id", "child"], "left_semi"),
+        f.heads,
+        f.logs.where("event_code = 'NF'"),
+    ),
+    """
+WITH r AS (SELECT c.chain_id, c.child, c.created_block, h.finalized,
+    EXISTS (SELECT 1 FROM {logs} l WHERE l.chain_id = c.chain_id AND l.address = c.child AND l.event_code = 'AF' AND l.line_no = 7) AS found,
+    EXISTS (SELECT 1 FROM {logs} l WHERE l.chain_id = c.chain_id AND l.address = c.child AND l.event_code = 'RF' AND l.line_no = 2) AS known,
+    EXISTS (SELECT 1 FROM {logs} l WHERE l.chain_id = c.chain_id AND l.address = c.child AND l.event_code = 'NF') AS active
+  FROM {creations} c LEFT JOIN {heads} h ON h.chain_id = c.chain_id)
+SELECT chain_id, class, count(*) AS n FROM (
+  SELECT chain_id, CASE WHEN found AND NOT known THEN 'extra' WHEN found THEN 'found' WHEN created_block > finalized THEN 'after-head' WHEN NOT active THEN 'event-less' ELSE 'missing' END AS class
+  FROM r WHERE found OR known) u GROUP BY chain_id, class""",
+)
+
 # --- windows ------------------------------------------------------------------------------------------------------
 
 register("rank_traces", lambda f: call_frames(f).select(*TX, "frame_key", "trace_index"), f"SELECT chain_id, block_number, transaction_index, frame_key, trace_index FROM ({RANKED}) r")
@@ -200,6 +226,10 @@ SELECT fragment_id, lo AS at, b AS before, p AS after FROM r WHERE n = 1""")
 register("checkpoint_progress", lambda f: win.checkpoint_progress(f.heads.select("chain_id"), f.blocks.where("chain_id <> 4 AND block_number < 77").select("chain_id", F.when(F.col("chain_id") == 2, 0).otherwise(F.col("block_number")).alias("block_number")), f.blocks), """
 SELECT h.chain_id, count(c.block_number) AS n_rows, CASE WHEN count(c.block_number) > 0 THEN max(CASE WHEN c.chain_id = 2 THEN 0 ELSE c.block_number END) ELSE (SELECT max(block_number) FROM {blocks} b WHERE b.chain_id = h.chain_id) END AS progress
 FROM {heads} h LEFT JOIN {blocks} c ON c.chain_id = h.chain_id AND c.chain_id <> 4 AND c.block_number < 77 GROUP BY h.chain_id""")
+# checkpoints up to each chain's finalised head; chain 4 has none, chain 2's are zero
+register("checkpoint_progress_all", lambda f: win.checkpoint_progress(f.heads.select("chain_id"), f.blocks.join(f.heads.select("chain_id", "finalized"), "chain_id").where("chain_id <> 4 AND block_number <= finalized").select("chain_id", F.when(F.col("chain_id") == 2, 0).otherwise(F.col("block_number")).alias("block_number")), f.blocks), """
+SELECT h.chain_id, count(c.block_number) AS n_rows, CASE WHEN count(c.block_number) > 0 THEN max(CASE WHEN c.chain_id = 2 THEN 0 ELSE c.block_number END) ELSE (SELECT max(block_number) FROM {blocks} b WHERE b.chain_id = h.chain_id) END AS progress
+FROM {heads} h LEFT JOIN {blocks} c ON c.chain_id = h.chain_id AND c.chain_id <> 4 AND c.block_number <= h.finalized GROUP BY h.chain_id""")
 register("newest_row", lambda f: win.newest_row(f.blocks), "SELECT chain_id, block_number, block_ts FROM {blocks} b WHERE block_number = (SELECT max(block_number) FROM {blocks} x WHERE x.chain_id = b.chain_id)")
 
 

@@ -221,3 +221,14 @@ def test_scan_range_reaches_the_files(spark, tmp_path):
     df = src.scan_range(spark.read.parquet(str(tmp_path / "b")), 10, 12)
     assert [r.block_number for r in df.orderBy("block_number").collect()] == [10, 11, 12]
     assert "PushedFilters: [IsNotNull(block_number), GreaterThanOrEqual(block_number,10), LessThanOrEqual(block_number,12)]" in df._jdf.queryExecution().toString()
+
+
+def test_queries_of_whole_tables_grow_with_them(spark):
+    from chainframe import plans
+
+    def progress(name, column, sf):
+        return {r.chain_id: r[column] for r in plans.queries()[name](spark, f"/root/testdata/{sf}").collect()}
+
+    for name, column in (("closest_block_all", "closest_block"), ("checkpoint_progress_all", "n_rows")):
+        small, large = progress(name, column, "sf0.001"), progress(name, column, "sf0.01")
+        assert max(large.values()) > 2 * max(small.values())
