@@ -368,6 +368,38 @@ def test_licenses(spark, docs, empty):
     assert licenses.license_lines(empty).collect() == []
 
 
+def brute_passages(text, templates, least=0.8):
+    """(pos, license, dice) of lines and the whole by plain sets."""
+    lines = (text or "").split("\n")
+    out = []
+    for pos, line in [*enumerate(lines), *([(-1, text)] if len(lines) > 1 else [])]:
+        w = re.findall("[a-z0-9]+", line.lower())
+        own = {f"{a} {b}" for a, b in zip(w, w[1:])}
+        for name, t in templates.items():
+            t = set(licenses.template_bigrams(t))
+            if own and t and (dice := 2.0 * len(own & t) / (len(own) + len(t))) >= least:
+                out.append((pos, name, round(dice, 9)))
+    return out
+
+
+def test_license_sizes_prune_nothing_that_matches(spark):
+    """Templates of very different lengths, one-letter words, repeats, and texts far longer than their distinct words."""
+    templates = {"letters": "a b c d e f g h i j", "long": " ".join(chr(97 + i % 26) * (1 + i // 26) for i in range(300)), "none": "one", "empty": ""}
+    rows = [(1, "a b c d e f g h i"), (2, "x\na  b,c d\te f g h i j\n\ny"), (3, "a b c d e f g h i j " * 5000), (4, templates["long"]), (5, None), (6, "\n\n \n"), (7, "a b c\nd e f g h i j"), (8, "a b\n" * 3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id, r.pos, r.license, round(r.dice, 9)) for r in licenses.matches(df, templates).collect())
+    assert got == sorted((d, *x) for d, t in rows for x in brute_passages(t, templates))
+    assert {r[0] for r in got} == {1, 2, 3, 4, 7} and (1, 0, "letters", round(16 / 17, 9)) in got
+
+
+def test_whole_licences(spark):
+    every = licenses.TEMPLATES | licenses.WHOLE_TEXTS
+    rows = [(k, re.sub(r"(.{60}\S*) ", r"\1\n", t)) for k, t in enumerate(licenses.WHOLE_TEXTS.values())]
+    got = licenses.license_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.pos, r.license, r.dice) for r in got) == sorted((d, *x) for d, t in rows for x in brute_passages(t, every))
+    assert {(r.doc_id, r.license) for r in got if r.pos == -1} >= set(enumerate(licenses.WHOLE_TEXTS))
+
+
 def brute_notices(text):
     """All runs of words within the templates' bounds, then the best of those that overlap."""
     w, out = re.findall("[a-z0-9]+", (text or "").lower()), []
