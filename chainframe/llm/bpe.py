@@ -242,6 +242,14 @@ class MergedSlices:
             self.merge_one = tiktoken.Encoding("whole", pat_str="(?s:.+)", mergeable_ranks=self.ranks, special_tokens={}).encode_ordinary
         return self.merge_one(piece)
 
+    def sizes(self, pieces: list[str]) -> np.ndarray:
+        """How many ids each piece has; nothing is kept."""
+        fresh = [p for p in pieces if BETWEEN not in p]
+        ids = np.array(self.merge(BETWEEN.join(fresh)), "<u4")
+        cuts = np.r_[-1, np.flatnonzero(ids == self.between), len(ids)]
+        sizes = iter((np.diff(cuts) - 1).tolist())
+        return np.array([next(sizes) if BETWEEN not in p else len(self._merge_one(p)) for p in pieces], np.int32)
+
     def of(self, by_text: list[list[str]]) -> list[bytes]:
         """The ids of texts that are given as slices."""
         if len(self.known) > self.most:

@@ -8,6 +8,7 @@ are encoded once per worker and cached; rows are independent, so there is no shu
 from __future__ import annotations
 
 import functools
+import itertools
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -17,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chainframe.llm.bpe import merged_slices, small, vocabulary
+from chainframe.llm.bpe import MergedSlices, merged_slices, small, vocabulary
 from chainframe.llm.common import ASCII_SPACE, chunks, text_of
 
 SYMBOLS = "#*$%&|<>"
@@ -27,10 +28,11 @@ WINDOW = 5
 @dataclass(frozen=True)
 class Band:
     """What a text may have: characters per token of the vocabulary with byte fallback and of the byte-level one, the
-    share of fallback tokens, and the entropy relative to the largest possible one. Texts under ``least_tokens`` tokens
-    vary too much to be judged and stay.
+    share of fallback tokens, and the entropy relative to the largest possible one.
 
-    The least characters per token are the usual ones less so many standard errors (see ``spread``)."""
+    Texts of any length are judged. The least characters per token are the usual ones less so many standard errors (see
+    ``spread``), which widen as texts get shorter; and ``spare_fallback`` fallback tokens, two characters of four bytes,
+    may be there beside the share."""
 
     chars: float
     chars_spread: float
@@ -39,7 +41,7 @@ class Band:
     most_chars: float = 12.0
     most_fallback: float = 0.05
     least_entropy: float = 0.4
-    least_tokens: int = 50
+    spare_fallback: int = 8
 
 
 #: Texts vary among themselves, however long they are, as much as parts of one text with so many tokens.
@@ -57,31 +59,84 @@ BANDS = {
 SCRIPT_BANDS = {"latin": Band(2.210, 9.385, 2.282, 7.497), "other": Band(0.3, 0.0, 0.3, 0.0, most_fallback=1.0, least_entropy=0.3)}
 
 
-class WordPieces:
-    """Word -> its ids in a vocabulary with byte fallback, as bytes; at most ``most`` words, then it begins anew."""
+class Words(dict):
+    """Word -> its number. Of each numbered word the arrays hold what both vocabularies make of it, so that texts are
+    measured by look-ups in arrays: its pieces' ids in the vocabulary with byte fallback, how many of them are fallback,
+    and how many tokens it has in the byte-level vocabulary.
 
-    def __init__(self, model: bytes, most: int = 250_000):
+    Words are encoded once, those of a chunk in one call a vocabulary. Beyond ``most`` words those go that were met once
+    only, or are long; if others are still too many, all go. ``most_bytes`` bounds long words in the same way.
+    """
+
+    def __init__(self, model: bytes, merge: MergedSlices, most: int = 300_000, most_bytes: int = 16_000_000):
+        super().__init__()
         import sentencepiece
 
-        self.processor = sentencepiece.SentencePieceProcessor(model_proto=model)
+        self.processor, self.merge, self.most, self.most_bytes, self.fresh = sentencepiece.SentencePieceProcessor(model_proto=model), merge, most, most_bytes, []
         n = self.processor.get_piece_size()
         self.is_byte = np.array([self.processor.is_byte(i) for i in range(n)])
-        self.known: dict[bytes, bytes] = {}
-        self.most = most
-
-    def of(self, by_text: list[list[bytes]]) -> list[np.ndarray]:
-        if len(self.known) > self.most:
-            self.known = {}
-        known = self.known
-        new = list(set().union(*by_text).difference(known))
-        for word, ids in zip(new, self.processor.encode([w.decode() for w in new], num_threads=1)):
-            known[word] = np.array(ids, np.int32).tobytes()
-        return [np.frombuffer(b"".join(map(known.__getitem__, words)), np.int32) for words in by_text]
+        self.forget()
+
+    def forget(self) -> None:
+        self.clear()
+        self.bytes = 0
+        self.pieces, self.ends = np.empty(0, np.int32), np.zeros(1, np.int64)
+        self.n_fallback, self.n_merged, self.met = (np.empty(0, np.int32) for _ in range(3))
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self)
+        self.bytes += len(word)
+        self.fresh.append(word)
+        return n
+
+    def evict(self) -> None:
+        words = list(self)
+        often = np.array([i for i in np.flatnonzero(self.met > 1).tolist() if len(words[i]) <= 64], np.int64)
+        if len(often) > self.most // 2:
+            self.forget()
+            return
+        kept = [words[i] for i in often.tolist()]
+        self.bytes = sum(map(len, kept))
+        self.pieces, lengths = self.pieces_of(often)
+        self.ends = np.concatenate([[0], np.cumsum(lengths)])
+        self.n_fallback, self.n_merged, self.met = self.n_fallback[often], self.n_merged[often], np.zeros(len(often), np.int32)
+        self.clear()
+        self.update((w, i) for i, w in enumerate(kept))
+
+    def numbers(self, words: list[bytes]) -> np.ndarray:
+        if len(self) > self.most or self.bytes > self.most_bytes:
+            self.evict()
+        found = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        if self.fresh:
+            self._learn(self.fresh)
+            self.fresh = []
+        self.met += np.bincount(found, minlength=len(self)).astype(np.int32)
+        return found
+
+    def _learn(self, fresh: list[bytes]) -> None:
+        texts = [w.decode() for w in fresh]
+        ids = self.processor.encode(texts, num_threads=1)
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat = np.fromiter(itertools.chain.from_iterable(ids), np.int32, int(lengths.sum()))
+        own = np.concatenate([[0], np.cumsum(lengths)])
+        byte = np.concatenate([[0], np.cumsum(self.is_byte[flat])])
+        self.n_fallback = np.append(self.n_fallback, (byte[own[1:]] - byte[own[:-1]]).astype(np.int32))
+        self.n_merged = np.append(self.n_merged, self.merge.sizes(texts))
+        self.met = np.append(self.met, np.zeros(len(fresh), np.int32))
+        self.pieces, self.ends = np.append(self.pieces, flat), np.append(self.ends, own[1:] + self.ends[-1])
+
+    def pieces_of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all these words' pieces, one after another; how many each has)."""
+        starts, lengths = self.ends[numbers], self.ends[numbers + 1] - self.ends[numbers]
+        ends = np.cumsum(lengths)
+        within = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - lengths, lengths)
+        return self.pieces[np.repeat(starts, lengths) + within], lengths
 
 
 @functools.lru_cache(maxsize=2)
-def word_pieces(model: bytes) -> WordPieces:
-    return WordPieces(model)
+def words_of(model: bytes, ranks: bytes) -> Words:
+    """One cache per pair of vocabularies and Python worker."""
+    return Words(model, merged_slices(ranks)[0])
 
 
 def entropy(ids: np.ndarray) -> float:
@@ -93,11 +148,18 @@ def entropy(ids: np.ndarray) -> float:
     return float(-(p * np.log2(p)).sum() / np.log2(len(ids)))
 
 
-def repeated_words(words: list[bytes], window: int = WINDOW) -> int:
-    """Words that lie in a window of ``window`` words which the text has twice or more."""
-    grams = list(zip(*(words[i:] for i in range(window))))
-    if len(set(grams)) == len(grams):
+def repeated_words(words: np.ndarray, window: int = WINDOW) -> int:
+    """Words, given as numbers, that lie in a window of ``window`` words which the text has twice or more."""
+    n = len(words) - window + 1
+    if n < 2:
         return 0
+    mixed = np.zeros(n, np.uint64)
+    for i in range(window):
+        mixed = mixed * np.uint64(0x9E3779B97F4A7C15) + words[i : i + n].astype(np.uint64)
+    if len(np.unique(mixed)) == n:  # equal windows are mixed to equal numbers
+        return 0
+    own = words.tolist()
+    grams = list(zip(*(own[i:] for i in range(window))))
     counts = Counter(grams)
     covered = reach = 0
     for i, gram in enumerate(grams):
@@ -113,13 +175,22 @@ def repeated_lines(text: str) -> int:
     return len(lines) - len(set(lines))
 
 
+@functools.cache
+def letters() -> np.ndarray:
+    """Of each code point: 1 for letters of the Latin blocks, 2 for other letters, 0 else."""
+    table = np.zeros(0x110000, np.uint8)
+    for code in range(0x110000):
+        if chr(code).isalpha():
+            table[code] = 1 if code < 0x250 else 2
+    return table
+
+
 def script_of(text: str) -> str:
     """latin, unless most letters lie beyond the Latin blocks."""
     if text.isascii():
         return "latin"
-    latin = sum(c.isalpha() and ord(c) < 0x250 for c in text)
-    other = sum(c.isalpha() and ord(c) >= 0x250 for c in text)
-    return "other" if other > latin else "latin"
+    n = np.bincount(letters()[np.frombuffer(text.encode("utf-32-le"), np.uint32)], minlength=3)
+    return "other" if n[2] > n[1] else "latin"
 
 
 SCHEMA = [
@@ -131,8 +202,10 @@ SCHEMA = [
 def measure(df: DataFrame, pieces_path: str, ranks_path: str, text: str = "text") -> DataFrame:
     """``df`` without its text, with the columns of SCHEMA.
 
-    Words are ``[^\\x20\\x09-\\x0D]+``; null and empty texts have none, and shares of nothing are 0. Clashing columns of
-    ``df`` are replaced.
+    Words are ``[^\\x20\\x09-\\x0D]+``; null and empty texts have none, and shares of nothing are 0. Repeated rows give
+    repeated results, an empty table none; nothing is compared between rows, so there are no ties. Texts of any length are
+    measured whole; a very long one is held in memory by itself. Columns of ``df`` that clash with new ones are replaced;
+    the name ``__text`` is reserved.
     """
     pieces, ranks = vocabulary(df, pieces_path), vocabulary(df, ranks_path)
     names = [n for n, _ in SCHEMA]
@@ -143,25 +216,29 @@ def measure(df: DataFrame, pieces_path: str, ranks_path: str, text: str = "text"
         schema = schema.add(n, "long" if t == pa.int64() else "double" if t == pa.float64() else "string")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, (second, _) = word_pieces(pieces.value), merged_slices(ranks.value)
+        words = words_of(pieces.value, ranks.value)
         for batch in batches:
             for one in small(batch, "__text"):
                 texts = one.column("__text").to_pylist()
-                rows = [r for a, b in chunks(texts) for r in measure_texts(texts[a:b], first, second)]
+                rows = [r for a, b in chunks(texts) for r in measure_texts(texts[a:b], words)]
                 new = [pa.array(c, t) for c, (_, t) in zip(zip(*rows), SCHEMA)]
                 yield pa.RecordBatch.from_arrays([*(one.column(c) for c in kept), *new], [*kept, *names])
 
     return plain.mapInArrow(run, schema)
 
 
-def measure_texts(texts: list[str], first: WordPieces, second) -> Iterator[tuple]:
-    words = [t.encode().split() for t in texts]  # bytes.split: exactly the ASCII white space of the word rule
-    decoded = [b" ".join(w).decode().split(" ") if w else [] for w in words]
-    for text, own, own_text, ids, merged in zip(texts, words, decoded, first.of(words), second.of(decoded)):
-        n, chars, bpe = len(ids), sum(map(len, own_text)), len(merged) // 4
+def measure_texts(texts: list[str], words: Words) -> Iterator[tuple]:
+    split = [t.encode().split() for t in texts]  # bytes.split: exactly the ASCII white space of the word rule
+    numbers = words.numbers([w for own in split for w in own])
+    ids, lengths = words.pieces_of(numbers)
+    sums = [np.concatenate([[0], np.cumsum(x)]) for x in (lengths, words.n_fallback[numbers], words.n_merged[numbers])]
+    ends = np.cumsum([len(own) for own in split]).tolist()
+    for text, a, b in zip(texts, [0, *ends], ends):
+        (n_from, n_to), fallback, bpe = sums[0][[a, b]].tolist(), int(sums[1][b] - sums[1][a]), int(sums[2][b] - sums[2][a])
+        n, chars = n_to - n_from, len(text) - sum(map(text.count, ASCII_SPACE))
         yield (
-            len(own), chars, sum(map(text.count, SYMBOLS)), repeated_lines(text), repeated_words(own),
-            n, chars / n if n else 0.0, float(first.is_byte[ids].mean()) if n else 0.0, entropy(ids), chars / bpe if bpe else 0.0, script_of(text),
+            b - a, chars, sum(map(text.count, SYMBOLS)), repeated_lines(text), repeated_words(numbers[a:b]),
+            n, chars / n if n else 0.0, fallback / n if n else 0.0, entropy(ids[n_from:n_to]), chars / bpe if bpe else 0.0, script_of(text),
         )
 
 
@@ -171,8 +248,8 @@ def within(bands: dict[str, Band], scripts: dict[str, Band]):
     def rule(b: Band):
         first = F.col("chars_per_token").between(b.chars - b.chars_spread * spread(), F.lit(b.most_chars))
         second = F.col("bpe_chars_per_token").between(b.bpe_chars - b.bpe_spread * spread(), F.lit(b.most_chars))
-        even = (F.col("fallback_share") <= b.most_fallback) & (F.col("token_entropy") >= b.least_entropy)
-        return (F.col("n_tokens") < b.least_tokens) | (first & second & even)
+        n = F.col("n_tokens")
+        return first & second & (F.col("fallback_share") * n <= b.most_fallback * n + b.spare_fallback) & (F.col("token_entropy") >= b.least_entropy)
 
     by_script = F.when(F.col("script") == "latin", rule(scripts["latin"])).otherwise(rule(scripts["other"]))
     verdict = by_script
@@ -191,10 +268,10 @@ def calibrate(rated: DataFrame, labels: DataFrame, low: float = 0.005, most: int
     that a share ``low`` of clean rows lies below each least value.
 
     The sample is the half of the doc_ids with an even hash, so that the other half can measure what the bands do; at
-    most ``most`` rows a name, those with the least hashes. Rows that bands don't judge are left out.
+    most ``most`` rows a name, those with the least hashes.
     """
     clean = labels.where("quality = 1").select("doc_id").distinct()
-    judged = rated.where((F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0) & ~F.col("base_failed") & (F.col("n_tokens") >= Band.least_tokens))
+    judged = rated.where((F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0) & ~F.col("base_failed"))
     one = judged.join(clean, "doc_id", "left_semi").select("doc_id", "n_tokens", "chars_per_token", "bpe_chars_per_token", F.explode(F.array("lang", F.upper("script"))).alias("name"))
     of = Window.partitionBy("name")
     sample = one.where("name IS NOT NULL").withColumn("__n", F.row_number().over(of.orderBy(F.xxhash64("doc_id")))).where(F.col("__n") <= most)
