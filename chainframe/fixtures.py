@@ -32,7 +32,8 @@ SELECT t.chain_id, t.block_number, t.transaction_index, t.tx_hash,
             ORDER BY t.transaction_index, l_linenumber, l_partkey, l_suppkey, l_extendedprice) - 1 AS BIGINT) AS log_index,
        '0x' || lpad(lower(hex(l_suppkey)), 40, '0') AS address,
        '0x' || md5(concat(l_returnflag, l_linestatus)) || md5(concat(l_linestatus, l_returnflag)) AS topic0,
-       '0x' || lpad(lower(hex(l_partkey)), 64, '0') AS topic1,
+       '0x' || lpad(lower(hex(l_partkey)), 64, '0') AS topic1, '0x' || lpad(lower(hex(l_suppkey)), 64, '0') AS topic2,
+       CASE WHEN l_linenumber < 5 THEN '0x' || lpad(lower(hex(l_linenumber)), 64, '0') END AS topic3,
        '0x' || lpad(lower(hex(CAST(l_quantity AS BIGINT))), 64, '0')
             || lpad(lower(hex(CAST(round(l_extendedprice * 100) AS BIGINT))), 64, '0') AS data,
        concat(l_returnflag, l_linestatus) AS event_code, l_suppkey AS supp_key, l_linenumber AS line_no
@@ -111,6 +112,50 @@ SELECT user_id % 5 + 1 AS chain_id, event_id AS at_s, value AS latency, CASE WHE
     "progress": """
 SELECT CAST(floor(event_id / 100.0) AS BIGINT) AS run, user_id % 2 AS leg, max(event_id) AS max_block
 FROM {events} GROUP BY CAST(floor(event_id / 100.0) AS BIGINT), user_id % 2""",
+    # filters with lists and factories: of logs, and of transactions and frames by their sides
+    "topic_filters": """
+SELECT filter_id, chain_id, split(address, ',') AS address, address_factory, split(topic0, ',') AS topic0, split(topic1, ',') AS topic1, split(topic2, ',') AS topic2, split(topic3, ',') AS topic3, from_block, to_block
+FROM (
+  SELECT 1 AS filter_id, 1 AS chain_id, CAST(NULL AS STRING) AS address, CAST(NULL AS STRING) AS address_factory, '0x' || md5('RF') || md5('FR') || ',' || '0x' || md5('NO') || md5('ON') AS topic0, CAST(NULL AS STRING) AS topic1, CAST(NULL AS STRING) AS topic2, CAST(NULL AS STRING) AS topic3, CAST(NULL AS BIGINT) AS from_block, CAST(NULL AS BIGINT) AS to_block
+  UNION ALL SELECT 2, 2, '0x' || lpad(lower(hex(7)), 40, '0') || ',' || '0x' || lpad(lower(hex(9)), 40, '0') || ',' || '0x' || lpad(lower(hex(12)), 40, '0'), NULL, NULL, NULL, NULL, '0x' || lpad(lower(hex(1)), 64, '0') || ',' || '0x' || lpad(lower(hex(3)), 64, '0'), 10, 200
+  UNION ALL SELECT 3, 3, '0x' || lpad(lower(hex(11)), 40, '0'), NULL, '0x' || md5('NO') || md5('ON'), NULL, NULL, NULL, NULL, 300
+  UNION ALL SELECT 4, 4, NULL, NULL, '0x' || md5('AF') || md5('FA'), '0x' || lpad(lower(hex(5)), 64, '0') || ',' || '0x' || lpad(lower(hex(6)), 64, '0') || ',' || '0x' || lpad(lower(hex(7)), 64, '0') || ',' || '0x' || lpad(lower(hex(8)), 64, '0') || ',' || '0x' || lpad(lower(hex(9)), 64, '0'), NULL, NULL, NULL, NULL
+  UNION ALL SELECT 5, 5, NULL, NULL, NULL, NULL, NULL, NULL, 50, 60
+  UNION ALL SELECT 6, 1, NULL, 'main-1', '0x' || md5('NF') || md5('FN') || ',' || '0x' || md5('AO') || md5('OA'), NULL, NULL, NULL, 20, NULL
+  UNION ALL SELECT 7, 2, NULL, 'side-2', NULL, NULL, NULL, '0x' || lpad(lower(hex(1)), 64, '0') || ',' || '0x' || lpad(lower(hex(2)), 64, '0') || ',' || '0x' || lpad(lower(hex(3)), 64, '0'), NULL, NULL
+  UNION ALL SELECT 8, 3, NULL, 'main-3', NULL, NULL, '0x' || lpad(lower(hex(3)), 64, '0') || ',' || '0x' || lpad(lower(hex(4)), 64, '0') || ',' || '0x' || lpad(lower(hex(5)), 64, '0') || ',' || '0x' || lpad(lower(hex(6)), 64, '0') || ',' || '0x' || lpad(lower(hex(7)), 64, '0') || ',' || '0x' || lpad(lower(hex(8)), 64, '0'), NULL, NULL, 900
+  UNION ALL SELECT 9, 4, NULL, 'side-4', NULL, NULL, NULL, NULL, NULL, NULL
+  UNION ALL SELECT 10, 2, NULL, NULL, NULL, '0x' || lpad(lower(hex(1)), 64, '0') || ',' || '0x' || lpad(lower(hex(2)), 64, '0') || ',' || '0x' || lpad(lower(hex(3)), 64, '0') || ',' || '0x' || lpad(lower(hex(4)), 64, '0'), NULL, NULL, 5, NULL) x""",
+    "side_filters": """
+SELECT filter_id, chain_id, split(from_address, ',') AS from_address, from_address_factory, split(to_address, ',') AS to_address, to_address_factory, split(selector, ',') AS selector, split(call_type, ',') AS call_type,
+       from_block, to_block, include_reverted
+FROM (
+  SELECT 1 AS filter_id, 1 AS chain_id, CAST(NULL AS STRING) AS from_address, CAST(NULL AS STRING) AS from_address_factory, '0x' || lpad(lower(hex(13)), 40, '0') || ',' || '0x' || lpad(lower(hex(14)), 40, '0') AS to_address, CAST(NULL AS STRING) AS to_address_factory, CAST(NULL AS STRING) AS selector, CAST(NULL AS STRING) AS call_type, CAST(NULL AS BIGINT) AS from_block, CAST(NULL AS BIGINT) AS to_block, FALSE AS include_reverted
+  UNION ALL SELECT 2, 2, '0x' || lpad(lower(hex(11)), 40, '0') || ',' || '0x' || lpad(lower(hex(12)), 40, '0'), NULL, NULL, NULL, '0x00000001,0x00000002', NULL, NULL, 500, TRUE
+  UNION ALL SELECT 3, 3, NULL, NULL, '0x' || lpad(lower(hex(20)), 40, '0'), NULL, NULL, 'call', 100, NULL, TRUE
+  UNION ALL SELECT 4, 4, NULL, NULL, NULL, NULL, NULL, 'CALL,staticcall', NULL, NULL, FALSE
+  UNION ALL SELECT 5, 5, NULL, NULL, NULL, 'main-5', NULL, NULL, NULL, NULL, TRUE
+  UNION ALL SELECT 6, 1, NULL, 'main-1', '0x' || lpad(lower(hex(20)), 40, '0') || ',' || '0x' || lpad(lower(hex(21)), 40, '0') || ',' || '0x' || lpad(lower(hex(22)), 40, '0') || ',' || '0x' || lpad(lower(hex(23)), 40, '0') || ',' || '0x' || lpad(lower(hex(24)), 40, '0') || ',' || '0x' || lpad(lower(hex(25)), 40, '0') || ',' || '0x' || lpad(lower(hex(26)), 40, '0') || ',' || '0x' || lpad(lower(hex(27)), 40, '0') || ',' || '0x' || lpad(lower(hex(28)), 40, '0') || ',' || '0x' || lpad(lower(hex(29)), 40, '0'), NULL, NULL, NULL, NULL, NULL, TRUE
+  UNION ALL SELECT 7, 2, '0x' || lpad(lower(hex(1)), 40, '0') || ',' || '0x' || lpad(lower(hex(2)), 40, '0') || ',' || '0x' || lpad(lower(hex(3)), 40, '0') || ',' || '0x' || lpad(lower(hex(4)), 40, '0') || ',' || '0x' || lpad(lower(hex(5)), 40, '0') || ',' || '0x' || lpad(lower(hex(6)), 40, '0') || ',' || '0x' || lpad(lower(hex(7)), 40, '0') || ',' || '0x' || lpad(lower(hex(8)), 40, '0'), NULL, NULL, 'main-2', NULL, NULL, 3, NULL, TRUE
+  UNION ALL SELECT 8, 3, '0x' || lpad(lower(hex(30)), 40, '0') || ',' || '0x' || lpad(lower(hex(31)), 40, '0') || ',' || '0x' || lpad(lower(hex(32)), 40, '0') || ',' || '0x' || lpad(lower(hex(33)), 40, '0') || ',' || '0x' || lpad(lower(hex(34)), 40, '0') || ',' || '0x' || lpad(lower(hex(35)), 40, '0') || ',' || '0x' || lpad(lower(hex(36)), 40, '0') || ',' || '0x' || lpad(lower(hex(37)), 40, '0') || ',' || '0x' || lpad(lower(hex(38)), 40, '0') || ',' || '0x' || lpad(lower(hex(39)), 40, '0'), NULL, '0x' || lpad(lower(hex(1)), 40, '0') || ',' || '0x' || lpad(lower(hex(2)), 40, '0') || ',' || '0x' || lpad(lower(hex(3)), 40, '0') || ',' || '0x' || lpad(lower(hex(4)), 40, '0') || ',' || '0x' || lpad(lower(hex(5)), 40, '0') || ',' || '0x' || lpad(lower(hex(6)), 40, '0') || ',' || '0x' || lpad(lower(hex(7)), 40, '0') || ',' || '0x' || lpad(lower(hex(8)), 40, '0') || ',' || '0x' || lpad(lower(hex(9)), 40, '0') || ',' || '0x' || lpad(lower(hex(10)), 40, '0') || ',' || '0x' || lpad(lower(hex(11)), 40, '0') || ',' || '0x' || lpad(lower(hex(12)), 40, '0') || ',' || '0x' || lpad(lower(hex(13)), 40, '0') || ',' || '0x' || lpad(lower(hex(14)), 40, '0') || ',' || '0x' || lpad(lower(hex(15)), 40, '0') || ',' || '0x' || lpad(lower(hex(16)), 40, '0') || ',' || '0x' || lpad(lower(hex(17)), 40, '0') || ',' || '0x' || lpad(lower(hex(18)), 40, '0') || ',' || '0x' || lpad(lower(hex(19)), 40, '0') || ',' || '0x' || lpad(lower(hex(20)), 40, '0') || ',' || '0x' || lpad(lower(hex(21)), 40, '0') || ',' || '0x' || lpad(lower(hex(22)), 40, '0') || ',' || '0x' || lpad(lower(hex(23)), 40, '0') || ',' || '0x' || lpad(lower(hex(24)), 40, '0') || ',' || '0x' || lpad(lower(hex(25)), 40, '0') || ',' || '0x' || lpad(lower(hex(26)), 40, '0') || ',' || '0x' || lpad(lower(hex(27)), 40, '0') || ',' || '0x' || lpad(lower(hex(28)), 40, '0') || ',' || '0x' || lpad(lower(hex(29)), 40, '0'), NULL, NULL, NULL, NULL, NULL, TRUE
+  UNION ALL SELECT 9, 3, NULL, 'main-3', NULL, 'main-3', NULL, NULL, NULL, NULL, FALSE) x""",
+    # two factories on a chain, whose children stand at different places of their logs
+    "factory_rows": """
+SELECT concat('main-', CAST(chain_id AS STRING)) AS factory_id, chain_id, CAST(NULL AS STRING) AS address, '0x' || md5('RF') || md5('FR') AS topic0, 5 AS from_block, finalized AS to_block, 'topic2' AS location FROM {heads}
+UNION ALL SELECT concat('side-', CAST(chain_id AS STRING)), chain_id, NULL, '0x' || md5('AF') || md5('FA'), NULL, NULL, 'offset0' FROM {heads} WHERE chain_id <= 3""",
+    "factory_children": """
+SELECT factory_id, chain_id, child, min(block_number) AS created_block FROM (
+  SELECT f.factory_id, l.chain_id, l.block_number, CASE f.location WHEN 'topic2' THEN '0x' || substring(l.topic2, 27, 40) ELSE '0x' || substring(l.data, 27, 40) END AS child
+  FROM {logs} l JOIN {factory_rows} f ON f.chain_id = l.chain_id AND f.topic0 = l.topic0 AND l.block_number >= coalesce(f.from_block, 0) AND (f.to_block IS NULL OR l.block_number <= f.to_block)) c
+GROUP BY factory_id, chain_id, child""",
+    # two legs' newest times by run, in four series that begin at different places of a cycle of 48 runs: near, one frozen,
+    # drawing apart, catching up, both frozen, one empty, both empty
+    "legs": """
+SELECT series, run, at_s, CASE WHEN k IN (0, 33, 34) OR k BETWEEN 36 AND 41 THEN NULL WHEN k BETWEEN 14 AND 17 THEN base + 1400 WHEN k BETWEEN 44 AND 46 THEN base + 4300 ELSE at_s + run % 7 END AS a,
+       CASE WHEN k BETWEEN 25 AND 28 OR k IN (0, 33, 34) THEN NULL WHEN k BETWEEN 6 AND 9 THEN base + 500 WHEN k BETWEEN 10 AND 11 THEN at_s - 300 WHEN k BETWEEN 14 AND 17 THEN base + 1000
+            WHEN k BETWEEN 18 AND 20 THEN at_s - 400 WHEN k BETWEEN 21 AND 23 THEN at_s - 400 - (k - 20) * 30 WHEN k = 24 THEN at_s - 330 WHEN k BETWEEN 43 AND 46 THEN at_s - 350 - (k - 43) * 100 ELSE at_s + run % 5 END AS b
+FROM (SELECT 's' || CAST(shift AS STRING) AS series, run, run * 100 AS at_s, (run + shift) % 48 AS k, (run - (run + shift) % 48) * 100 AS base
+      FROM (SELECT DISTINCT CAST(floor(event_id / 100.0) AS BIGINT) AS run FROM {events}) r CROSS JOIN (SELECT 0 AS shift UNION ALL SELECT 13 UNION ALL SELECT 24 UNION ALL SELECT 37) q) z""",
 }
 
 
@@ -147,4 +192,6 @@ def with_views(sql: str) -> str:
     ctes = ",\n".join(f"{n} AS ({q})" for n, q in needed.items())
     if not ctes:
         return body
+    if body[:15].upper() == "WITH RECURSIVE ":
+        return f"WITH RECURSIVE {ctes}, {body[15:]}"
     return f"WITH {ctes}, {body[5:]}" if body[:5].upper() == "WITH " else f"WITH {ctes}\n{body}"

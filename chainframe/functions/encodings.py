@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,17 +13,42 @@ ACCESS_LIST_TYPES = (1, 2, 3, 4)
 CALL_TYPES = {"call": "CALL", "delegatecall": "DELEGATECALL", "staticcall": "STATICCALL", "callcode": "CALLCODE"}
 
 
+#: Digits of a step in the conversion of long decimals, and how many a number may have (2^256 has 78).
+STEP_DIGITS, MOST_DIGITS = 9, 81
+
+
+def _long_decimal(s: Column) -> Column:
+    """A decimal string of up to 81 digits as hex digits: nine digits a step, into little-endian limbs of 32 bits."""
+    digits = F.lpad(s, MOST_DIGITS, "0")
+    zero = F.array_repeat(F.lit(0).cast("bigint"), 9)
+
+    def add(limbs: Column, k: Column) -> Column:
+        start = F.struct(F.substring(digits, k * STEP_DIGITS + 1, F.lit(STEP_DIGITS)).cast("bigint").alias("carry"), F.slice(limbs, 1, 0).alias("out"))
+
+        def carry(done: Column, limb: Column) -> Column:
+            t = limb * F.lit(10**STEP_DIGITS).cast("bigint") + done["carry"]
+            return F.struct(F.shiftright(t, 32).alias("carry"), F.concat(done["out"], F.array(t.bitwiseAND(F.lit(0xFFFFFFFF).cast("bigint")))).alias("out"))
+
+        return F.aggregate(limbs, start, carry, lambda done: done["out"])
+
+    limbs = F.aggregate(F.sequence(F.lit(0), F.lit(MOST_DIGITS // STEP_DIGITS - 1)), zero, add)
+    return F.array_join(F.transform(F.reverse(limbs), lambda x: F.lpad(F.lower(F.hex(x)), 8, "0")), "")
+
+
 def hex_quantity(value: Column, optional: bool = False) -> Column:
-    """Number, decimal string or hex string -> 0x-hex without leading zeros' meaning changed; empty, '0x' and null are
-    0x0, or null stays with ``optional``. Decimal strings of any length beyond 64 bits must come as hex."""
+    """Number, decimal string or hex string -> 0x-hex; hex stays as it is, in lower case; empty, '0x' and null are 0x0, or
+    null stays with ``optional``. Decimals are exact up to 81 digits; text that is no number is an error."""
     s = F.lower(value.cast("string"))
-    out = (
+    digits = F.regexp_replace(s, "^0+(?=.)", "")
+    long = F.concat(F.lit("0x"), F.regexp_replace(_long_decimal(digits), "^0+(?=.)", ""))
+    return (
         F.when(s.isNull(), F.lit(None).cast("string") if optional else F.lit("0x0"))
         .when((s == "") | (s == "0x"), F.lit("0x0"))
         .when(s.startswith("0x"), s)
-        .otherwise(F.concat(F.lit("0x"), F.lower(F.hex(s.try_cast("bigint")))))
+        .when(~s.rlike("^[0-9]+$") | (F.length(digits) > MOST_DIGITS), F.raise_error(F.concat(F.lit("not a quantity: "), s)).cast("string"))
+        .when(F.length(digits) <= 18, F.concat(F.lit("0x"), F.lower(F.hex(digits.try_cast("bigint")))))
+        .otherwise(long)
     )
-    return out
 
 
 def padded(hex_value: Column) -> Column:
@@ -55,20 +82,25 @@ def uint256_sum(df: DataFrame, by: list[str], value: str, to: str = "total") ->
     return sums.select(*by, F.concat(F.lit("0x"), digits).alias(to))
 
 
+def _raw(df: DataFrame, name: str, kind: str = "string") -> Column:
+    """A raw column, or null where the data set lacks it."""
+    return F.col(f"`{name}`") if name in df.columns else F.lit(None).cast(kind)
+
+
+#: Raw header field -> column of a block row; those in QUANTITIES become hex, and stay null where they are.
+HEADER = {
+    "number": "block_number", "hash": "block_hash", "parentHash": "parent_hash", "timestamp": "block_ts", "logsBloom": "logs_bloom", "miner": "miner",
+    "gasUsed": "gas_used", "gasLimit": "gas_limit", "baseFeePerGas": "base_fee", "nonce": "nonce", "mixHash": "mix_hash", "stateRoot": "state_root",
+    "receiptsRoot": "receipts_root", "transactionsRoot": "transactions_root", "sha3Uncles": "sha3_uncles", "size": "size", "difficulty": "difficulty",
+    "totalDifficulty": "total_difficulty", "extraData": "extra_data",
+}
+QUANTITIES = ("gasUsed", "gasLimit", "baseFeePerGas", "size", "difficulty", "totalDifficulty")
+
+
 def canon_block(headers: DataFrame) -> DataFrame:
-    """Header rows (number, hash, parent_hash, timestamp, size, gas_limit, base_fee, total_difficulty) as block rows:
-    hashes in lower case, quantities as hex, nullable ones kept null."""
-    return headers.select(
-        "chain_id",
-        F.col("number").alias("block_number"),
-        F.lower("hash").alias("block_hash"),
-        F.lower("parent_hash").alias("parent_hash"),
-        F.col("timestamp").alias("block_ts"),
-        hex_quantity(F.col("size")).alias("size"),
-        hex_quantity(F.col("gas_limit")).alias("gas_limit"),
-        hex_quantity(F.col("base_fee"), optional=True).alias("base_fee"),
-        hex_quantity(F.col("total_difficulty"), optional=True).alias("total_difficulty"),
-    )
+    """Raw headers (the fields of HEADER, beside chain_id) as block rows: quantities as hex, what is null stays null."""
+    columns = [(hex_quantity(_raw(headers, raw), optional=True) if raw in QUANTITIES else _raw(headers, raw)).alias(own) for raw, own in HEADER.items()]
+    return headers.select("chain_id", *columns)
 
 
 def canon_log(logs: DataFrame) -> DataFrame:
@@ -81,16 +113,23 @@ def canon_log(logs: DataFrame) -> DataFrame:
     )
 
 
+def _lower(c: Column) -> Column:
+    """An address in lower case; the empty one is null."""
+    return F.when(F.coalesce(c, F.lit("")) != "", F.lower(c))
+
+
 def canon_tx(txs: DataFrame) -> DataFrame:
-    """Addresses in lower case, null recipient on creation, defaults 0 for nonce, value and type, 0x for input."""
-    return (
-        txs.withColumn("from_address", F.lower("from_address"))
-        .withColumn("to_address", F.lower("to_address"))
-        .withColumn("nonce", F.coalesce("nonce", F.lit(0)))
-        .withColumn("tx_type", F.coalesce("tx_type", F.lit(0)))
-        .withColumn("value", hex_quantity(F.col("value")))
-        .withColumn("input", F.coalesce("input", F.lit("0x")))
-    )
+    """Raw transactions (with chain_id, block_number and block_hash) as rows: addresses in lower case, null recipient on
+    creation, quantities as hex, 0 for no nonce, value or type, 0x for no input; prices, v and yParity stay null where they
+    are, and so does a list that the type doesn't carry."""
+    zero = {c: hex_quantity(_raw(txs, raw)).alias(c) for c, raw in (("gas", "gas"), ("nonce", "nonce"), ("value", "value"), ("tx_type", "type"))}
+    kept = (("gas_price", "gasPrice"), ("max_fee_per_gas", "maxFeePerGas"), ("max_priority_fee_per_gas", "maxPriorityFeePerGas"), ("v", "v"), ("y_parity", "yParity"))
+    return txs.select(
+        "chain_id", "block_number", "block_hash", F.col("transactionIndex").alias("transaction_index"), F.col("hash").alias("tx_hash"),
+        _lower(_raw(txs, "from")).alias("from_address"), _lower(_raw(txs, "to")).alias("to_address"), F.coalesce(_raw(txs, "input"), F.lit("0x")).alias("input"),
+        *zero.values(), *(hex_quantity(_raw(txs, raw), optional=True).alias(c) for c, raw in kept), _raw(txs, "r").alias("r"), _raw(txs, "s").alias("s"),
+        gate_access_list(_raw(txs, "type", "int"), _raw(txs, "accessList", "array<struct<address:string,storageKeys:array<string>>>")).alias("access_list"),
+    )
 
 
 def gate_access_list(tx_type: Column, access_list: Column) -> Column:
@@ -103,36 +142,60 @@ def require_access_list(txs: DataFrame, opted_out: tuple[int, ...] = ()) -> Data
     return txs.where(F.col("tx_type").isin(*ACCESS_LIST_TYPES) & F.col("access_list").isNull() & ~F.col("chain_id").isin(*opted_out))
 
 
-def canon_receipt(receipts: DataFrame) -> DataFrame:
-    """Status as 0x1 or 0x0 (from 1, '0x1' or true), contract address in lower case or null, gas as hex."""
-    ok = F.coalesce(F.lower(F.col("status").cast("string")).isin("1", "0x1", "true"), F.lit(False))
-    return (
-        receipts.withColumn("status", F.when(ok, "0x1").otherwise("0x0"))
-        .withColumn("contract_address", F.lower("contract_address"))
-        .withColumn("gas_used", hex_quantity(F.col("gas_used")))
-    )
+def canon_receipt(txs: DataFrame) -> DataFrame:
+    """Receipts of raw transactions: status as 0x1 or 0x0 (from 1, '0x1' or true), addresses in lower case or null, gas and
+    type as hex, the bloom as it is."""
+    ok = F.coalesce(F.lower(_raw(txs, "status").cast("string")).isin("1", "0x1", "true"), F.lit(False))
+    zero = (("gas_used", "gasUsed"), ("cumulative_gas_used", "cumulativeGasUsed"), ("effective_gas_price", "effectiveGasPrice"), ("tx_type", "type"))
+    return txs.select(
+        "chain_id", "block_number", "block_hash", F.col("transactionIndex").alias("transaction_index"), F.col("hash").alias("tx_hash"),
+        _lower(_raw(txs, "from")).alias("from_address"), _lower(_raw(txs, "to")).alias("to_address"), _lower(_raw(txs, "contractAddress")).alias("contract_address"),
+        _raw(txs, "logsBloom").alias("logs_bloom"), *(hex_quantity(_raw(txs, raw)).alias(c) for c, raw in zero), F.when(ok, "0x1").otherwise("0x0").alias("status"),
+    )
+
+
+#: Frame column -> where each type of trace has it: nested, then flattened.
+TRACE = {
+    "from_address": {"call": ("action.from", "callFrom"), "create": ("action.from", "createFrom"), "suicide": ("action.address", "suicideAddress")},
+    "to_address": {"call": ("action.to", "callTo"), "create": ("result.address", "createResultAddress"), "suicide": ("action.refundAddress", "suicideRefundAddress")},
+    "value": {"call": ("action.value", "callValue"), "create": ("action.value", "createValue"), "suicide": ("action.balance", "suicideBalance")},
+    "gas": {"call": ("action.gas", "callGas"), "create": ("action.gas", "createGas")},
+    "gas_used": {"call": ("result.gasUsed", "callResultGasUsed"), "create": ("result.gasUsed", "createResultGasUsed")},
+    "input": {"call": ("action.input", "callInput"), "create": ("action.init", "createInit")},
+    "output": {"call": ("result.output", "callResultOutput"), "create": ("result.code", "createResultCode")},
+}
 
 
 def canon_trace(traces: DataFrame) -> DataFrame:
-    """Raw traces (type, action, result, or flattened call_type, from_address, to_address, value) as frames; rewards go."""
-    fields = set(traces.columns)
+    """Raw traces (type, action and result, or the flattened fields of TRACE) as call frames.
+
+    Calls of an unknown kind count as CALL. Traces of other types than call, create and suicide, such as rewards, have no
+    frame and go; rank before, as they count there. Gas is 0x0 and input 0x where there is none, value and output null.
+    ``traces``' other columns stay.
+    """
+    nested = {c: set(traces.schema[c].dataType.fieldNames()) for c in ("action", "result") if c in traces.columns}
+
+    def pick(*places: str) -> Column:
+        there = [F.col(p) for p in places if (p.split(".")[1] in nested.get(p.split(".")[0], ()) if "." in p else p in traces.columns)]
+        return F.coalesce(*there) if there else F.lit(None).cast("string")
 
-    def pick(nested: str, flat: str) -> Column:
-        found = ([F.col(nested)] if nested.split(".")[0] in fields else []) + ([F.col(flat)] if flat in fields else [])
-        return F.coalesce(*found) if found else F.lit(None).cast("string")
+    def of(name: str) -> Column:
+        out = F.lit(None).cast("string")
+        for kind, places in TRACE[name].items():
+            out = F.when(F.col("type") == kind, pick(*places)).otherwise(out)
+        return out
 
-    call = F.coalesce(F.lower(pick("action.callType", "call_type")), F.lit("call"))
+    call = pick("action.callType", "action.type", "callCallType", "callType")
     kind = F.when(F.col("type") == "create", "CREATE").when(F.col("type") == "suicide", "SELFDESTRUCT")
     for k, v in CALL_TYPES.items():
-        kind = kind.when((F.col("type") == "call") & (call == k), v)
-    keep = [c for c in traces.columns if c not in ("action", "result", "type", "call_type", "from_address", "to_address", "value")]
-    return traces.where("type <> 'reward'").select(
-        *keep,
-        kind.alias("frame_type"),
-        F.lower(pick("action.from", "from_address")).alias("from_address"),
-        F.lower(pick("action.to", "to_address")).alias("to_address"),
-        hex_quantity(pick("action.value", "value"), optional=True).alias("value"),
-    )
+        kind = kind.when(call == k, v)
+    used = {"action", "result", "type", "callType", "callCallType", *(p for places in TRACE.values() for own in places.values() for p in own)}
+    keep = [F.col(f"`{c}`") for c in traces.columns if c not in used]
+    return traces.where(F.col("type").isin("call", "create", "suicide")).select(
+        *keep, kind.otherwise("CALL").alias("frame_type"), F.lower(of("from_address")).alias("from_address"), _lower(of("to_address")).alias("to_address"),
+        hex_quantity(of("value"), optional=True).alias("value"), hex_quantity(of("gas")).alias("gas"), hex_quantity(of("gas_used")).alias("gas_used"),
+        F.coalesce(of("input"), F.lit("0x")).alias("input"), of("output").alias("output"),
+    )
 
 
 def data_word(data: Column, word: int) -> Column:
@@ -141,23 +204,100 @@ def data_word(data: Column, word: int) -> Column:
     return F.when(F.length(w) == 64, F.concat(F.lit("0x"), w))
 
 
-def decode_events(logs: DataFrame, signatures: DataFrame, words: int = 2) -> DataFrame:
-    """Logs with the event's name (by topic0) and its arguments: arg1 from topic1, then ``words`` words of the data."""
-    args = [data_word(F.col("data"), k).alias(f"arg{k + 2}") for k in range(words)]
-    return logs.join(signatures.select("topic0", F.col("name").alias("event_name")), "topic0").select(
-        *logs.columns, "event_name", F.col("topic1").alias("arg1"), *args
+#: The types of an event's arguments: name, Solidity type and whether it is indexed.
+ARGUMENTS = "array<struct<name:string,type:string,indexed:boolean>>"
+
+
+def _word(hex_digits: Column, at: Column) -> Column:
+    """The 64 digits from place ``at`` (from 0) on; null beyond the end."""
+    w = F.substring(hex_digits, at + 1, F.lit(64))
+    return F.when(F.length(w) == 64, w)
+
+
+def _number(word: Column) -> Column:
+    """A word as a place or a length; null if it can't be one."""
+    return F.when(F.substring(word, 1, 49) == "0" * 49, F.conv(F.substring(word, 50, 15), 16, 10).cast("bigint"))
+
+
+def _static(word: Column, kind: Column) -> Column:
+    """A word by its type: addresses and fixed bytes as 0x-hex, bool as true or false, numbers as 0x-hex without leading
+    zeros (signed ones in two's complement)."""
+    number = F.concat(F.lit("0x"), F.regexp_replace(word, "^0+(?=.)", ""))
+    return (
+        F.when(kind == "address", F.concat(F.lit("0x"), F.lower(F.right(word, F.lit(40)))))
+        .when(kind == "bool", F.when(number == "0x0", "false").when(number.isNotNull(), "true"))
+        .when(kind.rlike("^bytes[0-9]+$"), F.concat(F.lit("0x"), F.substring(word, F.lit(1), F.regexp_extract(kind, "([0-9]+)$", 1).try_cast("int") * 2)))
+        .otherwise(number)
+    )
+
+
+def decode_events(logs: DataFrame, signatures: DataFrame) -> DataFrame:
+    """Logs with ``event_name`` and ``args`` (map of name to value) by their signature (topic0, name, args: ARGUMENTS).
+
+    Indexed arguments come from topics 1 to 3 in order, the others from the words of the data in order. string, bytes and
+    T[] of a static type T are read where their word points to: text, 0x-hex, and values joined by commas. Indexed ones of
+    these are hashes and stay so. Arguments without a name are called topicN or wordN by their place. What the data doesn't hold is null. Logs without a signature go.
+    """
+    of = lambda x, indexed: F.filter(x, lambda a: F.coalesce(a["indexed"], F.lit(False)) == indexed)
+    args = F.col("args").cast(ARGUMENTS)
+    own = signatures.select(F.lower("topic0").alias("__topic0"), F.col("name").alias("event_name"), of(args, True).alias("__indexed"), of(args, False).alias("__plain"))
+    topics = F.array(*(_topic(logs, k) for k in (1, 2, 3)))
+    digits = F.lower(F.substring(F.coalesce("data", F.lit("0x")), 3, 1 << 30))
+    dynamic = lambda kind: kind.isin("string", "bytes") | kind.endswith("[]")
+
+    def named(a: Column, kind: str, k: Column) -> Column:
+        return F.when(F.coalesce(a["name"], F.lit("")) != "", a["name"]).otherwise(F.concat(F.lit(kind), k.cast("string"))).alias("name")
+
+    def indexed(a: Column, k: Column) -> Column:
+        topic = F.get("__topics", k)
+        return F.struct(named(a, "topic", k + 1), F.when(dynamic(a["type"]), topic).otherwise(_static(F.lower(F.substring(topic, 3, 64)), a["type"])).alias("value"))
+
+    def plain(a: Column, k: Column) -> Column:
+        word = _word(F.col("__digits"), k * 64)
+        at = _number(word) * 2
+        size = _number(_word(F.col("__digits"), at))
+        raw = F.substring(F.col("__digits"), (at + 65).cast("int"), (size * 2).cast("int"))
+        raw = F.when(F.length(raw) == size * 2, raw)
+        item = F.regexp_replace(a["type"], r"\[\]$", "")
+        items = F.transform(F.sequence(F.lit(1), F.when(size > 0, size).cast("int")), lambda i: _static(_word(F.col("__digits"), (at + i * 64).cast("int")), item))
+        many = F.when(size == 0, "").when(_word(F.col("__digits"), (at + size * 64).cast("int")).isNotNull(), F.array_join(items, ","))
+        value = (
+            F.when(a["type"] == "string", F.decode(F.unhex(raw), "UTF-8"))
+            .when(a["type"] == "bytes", F.concat(F.lit("0x"), raw))
+            .when(a["type"].endswith("[]"), many)
+            .otherwise(_static(word, a["type"]))
+        )
+        return F.struct(named(a, "word", k), value.alias("value"))
+
+    j = logs.withColumn("__topics", topics).withColumn("__digits", digits).withColumn("__topic0", F.lower(_topic(logs, 0))).join(own, "__topic0")
+    both = F.concat(F.transform("__indexed", indexed), F.transform("__plain", plain))
+    return j.select(*(F.col(f"`{c}`") for c in logs.columns), "event_name", F.map_from_entries(both).alias("args"))
+
+
+def _topic(logs: DataFrame, k: int) -> Column:
+    """A log's topic: from ``topicK`` or from the list ``topics``; null beyond its end."""
+    return F.col(f"topic{k}") if f"topic{k}" in logs.columns else F.get("topics", F.lit(k)) if "topics" in logs.columns else F.lit(None).cast("string")
+
+
+def child_at(df: DataFrame, location: Column) -> Column:
+    """The created contract's address at ``location``: ``topicN`` (its last 40 digits) or ``offsetN`` (byte offset of a
+    word in data). Other locations are an error; what is too short has none."""
+    n = F.regexp_extract(location, "([0-9]+)$", 1).try_cast("int")
+    topic = F.get(F.array(*(_topic(df, k) for k in range(4))), n)
+    data = F.col("data") if "data" in df.columns else F.lit(None).cast("string")
+    digits = (
+        F.when(location.rlike("^topic[1-3]$"), F.right(topic, F.lit(40)))
+        .when(location.rlike("^offset[0-9]+$"), F.substring(data, F.lit(27) + n * 2, F.lit(40)))
+        .otherwise(F.raise_error(F.concat(F.lit("unknown location "), location)).cast("string"))
     )
+    return F.when(F.length(digits) == 40, F.concat(F.lit("0x"), F.lower(digits)))
 
 
 def child_address(df: DataFrame, location: str, to: str = "child") -> DataFrame:
-    """The created contract's address: ``topicN`` (its last 40 digits) or ``offsetN`` (byte offset of a word in data)."""
-    if location.startswith("topic"):
-        digits = F.right(F.col(location), F.lit(40))
-    elif location.startswith("offset"):
-        digits = F.substring("data", 3 + 2 * int(location[6:]) + 24, 40)
-    else:
+    """``df`` with the created contract's address; see child_at."""
+    if not re.fullmatch("topic[1-3]|offset[0-9]+", location):
         raise ValueError(f"unknown location {location}")
-    return df.withColumn(to, F.when(F.length(digits) == 40, F.concat(F.lit("0x"), F.lower(digits))))
+    return df.withColumn(to, child_at(df, F.lit(location)))
 
 
 #: Fixed value: seconds of a mean year.
@@ -185,8 +325,14 @@ CHECKPOINT = (("block_ts", 10), ("chain_id", 16), ("block_number", 16), ("transa
 
 
 def checkpoint_encode(**fields: Column) -> Column:
-    """A string of fixed width that sorts as the events' positions do."""
-    return F.concat(*(F.lpad(fields[n].cast("string"), w, "0") for n, w in CHECKPOINT))
+    """A string of fixed width that sorts as the events' positions do; a field that is wider than its place is an error."""
+
+    def field(name: str, width: int) -> Column:
+        text = fields[name].cast("string")
+        wide = F.raise_error(F.concat(F.lit(f"{name} doesn't fit a checkpoint: "), text)).cast("string")
+        return F.when((F.length(text) > width) | text.startswith("-"), wide).otherwise(F.lpad(text, width, "0"))
+
+    return F.concat(*(field(n, w) for n, w in CHECKPOINT))
 
 
 def checkpoint_decode(text: Column) -> dict[str, Column]:

@@ -73,11 +73,22 @@ def bucket_digest(df: DataFrame, order: list[str], exclude: tuple[str, ...] = ()
 
 
 def table_digest(df: DataFrame, name: str, order: list[str], exclude: tuple[str, ...] = (), width: int = 1000) -> DataFrame:
-    """(table_name, n_rows, digest) in two levels: buckets first, then their digests in order. Only buckets meet."""
-    buckets = bucket_digest(df, order, exclude, width)
-    line = F.struct("chain_id", "bucket", F.concat_ws(":", F.col("chain_id").cast("string"), F.col("bucket").cast("string"), "digest").alias("line"))
-    lines = F.array_join(F.transform(F.array_sort(F.collect_list(line)), lambda x: x["line"]), "\n")
-    return buckets.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).cast("long").alias("n_rows"), F.md5(lines.cast("binary")).alias("digest")).select(F.lit(name).alias("table_name"), "n_rows", "digest")
+    """(table_name, n_rows, digest) in three levels: buckets of blocks; ``FAN`` neighbouring buckets' digests in order; and
+    these groups' digests in order. What meets in a task at a time is a bucket's rows, a group's buckets, or one line for
+    each width * FAN blocks."""
+    buckets = bucket_digest(df, order, exclude, width).withColumn("part", F.floor(F.col("bucket") / FAN).cast("long"))
+    groups = buckets.groupBy("chain_id", "part").agg(F.sum("n_rows").alias("n_rows"), _lines(F.col("bucket")).alias("digest"))
+    return groups.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).cast("long").alias("n_rows"), _lines(F.col("part")).alias("digest")).select(F.lit(name).alias("table_name"), "n_rows", "digest")
+
+
+#: Buckets whose digests are hashed together.
+FAN = 1000
+
+
+def _lines(place: Column) -> Column:
+    """The hash of a group's lines ``chain:place:digest``, in order."""
+    line = F.struct("chain_id", place.alias("place"), F.concat_ws(":", F.col("chain_id").cast("string"), place.cast("string"), "digest").alias("line"))
+    return F.md5(F.array_join(F.transform(F.array_sort(F.collect_list(line)), lambda x: x["line"]), "\n").cast("binary"))
 
 
 def store_digest(tables: list[DataFrame]) -> DataFrame:
@@ -186,19 +197,23 @@ def trailing_rate(events: DataFrame, now: int, span: int = 3600, most: int = 3)
     return events.groupBy("source").agg(F.count("*").alias("n"), F.max("at_s").alias("last_at"), recent.alias("recent")).withColumn("flagged", F.col("recent") > most)
 
 
-def window_completeness(windows: DataFrame, indexed: DataFrame, truth: DataFrame) -> DataFrame:
-    """Windows (chain_id, lo, hi) with both tables' rows in them and whether these are equal. Rows are counted per block
-    before they meet the windows."""
-
-    def counts(df: DataFrame, name: str) -> DataFrame:
-        n = df.groupBy("chain_id", "block_number").agg(F.count("*").alias("c"))
-        j = windows.join(n, "chain_id").where("block_number BETWEEN lo AND hi")
-        return j.groupBy("chain_id", "lo", "hi").agg(F.sum("c").alias(name))
+def window_completeness(windows: DataFrame, indexed: DataFrame, truth: DataFrame, width: int = 1000) -> DataFrame:
+    """Windows (chain_id, lo, hi) with both tables' rows in them and whether these are equal.
 
-    keys = ["chain_id", "lo", "hi"]
-    j = windows.join(counts(indexed, "indexed"), keys, "left").join(counts(truth, "truth"), keys, "left")
-    a, b = F.coalesce("indexed", F.lit(0)).cast("long"), F.coalesce("truth", F.lit(0)).cast("long")
-    return j.select(*keys, a.alias("indexed"), b.alias("truth"), (a == b).alias("complete"))
+    Both tables are counted per block in one aggregation. Windows are cut at multiples of ``width`` blocks: a piece that
+    is a whole bucket meets the bucket's sum, and only the pieces at a window's ends meet single blocks, of their own
+    bucket. So windows of any length join on chain and bucket.
+    """
+    keys, edge = ["chain_id", "lo", "hi"], ["chain_id", "bucket"]
+    both = indexed.select("chain_id", "block_number", F.lit(1).alias("i"), F.lit(0).alias("t")).unionByName(truth.select("chain_id", "block_number", F.lit(0).alias("i"), F.lit(1).alias("t")))
+    blocks = both.groupBy("chain_id", "block_number").agg(F.sum("i").alias("i"), F.sum("t").alias("t")).withColumn("bucket", F.floor(F.col("block_number") / width))
+    sums = blocks.groupBy(*edge).agg(F.sum("i").alias("i"), F.sum("t").alias("t"))
+    pieces = windows.select(*keys).distinct().where("lo <= hi").withColumn("bucket", F.explode(F.sequence(F.floor(F.col("lo") / width), F.floor(F.col("hi") / width))))
+    whole = (F.col("lo") <= F.col("bucket") * width) & (F.col("hi") >= F.col("bucket") * width + width - 1)
+    found = pieces.where(whole).join(sums, edge).unionByName(pieces.where(~whole).join(blocks, edge).where("block_number BETWEEN lo AND hi").drop("block_number"))
+    counts = found.groupBy(*keys).agg(F.sum("i").alias("i"), F.sum("t").alias("t"))
+    a, b = F.coalesce("i", F.lit(0)).cast("long"), F.coalesce("t", F.lit(0)).cast("long")
+    return windows.join(counts, keys, "left").select(*keys, a.alias("indexed"), b.alias("truth"), (a == b).alias("complete"))
 
 
 def child_coverage_vs_reference(children: DataFrame, reference: DataFrame, heads: DataFrame, events: DataFrame) -> DataFrame:

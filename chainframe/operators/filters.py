@@ -1,62 +1,143 @@
 """Source filters as tables: rows match if any filter does. Nothing is duplicated and no column is added.
 
-A filter's null means any. Filters are dealt by what they fix (topic, address, or neither), so that each branch has an
-equi key beside the chain; branches are existence joins over one scan of the rows.
+A filter's null means any. An address, a topic, a selector or a call type may be one value or a list of values; an address
+may also be a factory: then contracts that it created match, from their creation on (``children``: factory_id, chain_id,
+child, created_block). Filters are told apart by ``filter_id`` where sides of one filter must meet.
+
+Lists and factories are spread to rows, so that each kind of filter has an equi key beside the chain: address, topic0, or
+neither. Kinds are existence joins over one scan of the rows, and the blocks that all filters together want bound that
+scan as a scalar subquery, which reaches the files' statistics.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+RANGE = "(f.from_block IS NULL OR r.block_number >= f.from_block) AND (f.to_block IS NULL OR r.block_number <= f.to_block)"
+#: Rows within the blocks that any filter wants.
+WANTED = """r.block_number >= (SELECT min(coalesce(from_block, 0)) FROM {filters})
+  AND r.block_number <= (SELECT max(coalesce(to_block, 9223372036854775807)) FROM {filters})"""
+
+
+def _values(df: DataFrame, name: str) -> Column:
+    """A filter's column as a list in lower case; null is any, and so is a column that isn't there."""
+    if name not in df.columns:
+        return F.lit(None).cast("array<string>")
+    one = df.schema[name].dataType.simpleString()
+    c = F.col(name) if one.startswith("array") else F.when(F.col(name).isNotNull(), F.array(F.col(name).cast("string")))
+    return F.transform(c, lambda x: F.lower(x))
+
+
+def _plain(df: DataFrame, name: str, kind: str) -> Column:
+    return F.col(name).cast(kind) if name in df.columns else F.lit(None).cast(kind)
+
+
+def prepared(filters: DataFrame, sides: tuple[str, ...], sets: tuple[str, ...]) -> DataFrame:
+    """Filters with an id, the lists of ``sides`` and ``sets``, the factories of ``sides`` and the range."""
+    ids = F.col("filter_id").cast("string") if "filter_id" in filters.columns else F.sha2(F.to_json(F.struct("*")), 256)
+    factories = [_plain(filters, f"{s}_factory", "string").alias(f"{s}_factory") for s in sides]
+    return filters.select(
+        ids.alias("filter_id"), F.col("chain_id"), *(_values(filters, c).alias(c) for c in (*sides, *sets)), *factories,
+        _plain(filters, "from_block", "long").alias("from_block"), _plain(filters, "to_block", "long").alias("to_block"),
+        F.coalesce(_plain(filters, "include_reverted", "boolean"), F.lit(True)).alias("include_reverted"),
+    )
+
+
+def members(filters: DataFrame, side: str, children: DataFrame | None) -> DataFrame:
+    """(filter_id, chain_id, who, since): the addresses that ``side`` of each filter takes, and from which block on. A
+    factory without children takes none."""
+    own = filters.where(F.col(side).isNotNull()).select("filter_id", "chain_id", F.explode(side).alias("who"), F.lit(0).cast("long").alias("since"))
+    if children is None:
+        return own
+    c = children.select(F.col("factory_id").cast("string").alias(f"{side}_factory"), "chain_id", F.lower("child").alias("who"), F.col("created_block").cast("long").alias("since"))
+    made = filters.join(c, [f"{side}_factory", "chain_id"]).select("filter_id", "chain_id", "who", "since")
+    return own.unionByName(made)
+
+
+def is_any(side: str) -> Column:
+    return F.col(side).isNull() & F.col(f"{side}_factory").isNull()
+
+
+def _in(row: str, name: str) -> str:
+    """The row's value is in the filter's list, if it has one."""
+    return f"(f.{name} IS NULL OR array_contains(f.{name}, lower({row})))"
+
 
-def _in_range(row: str = "r", f: str = "f") -> str:
-    return f"({f}.from_block IS NULL OR {row}.block_number >= {f}.from_block) AND ({f}.to_block IS NULL OR {row}.block_number <= {f}.to_block)"
+def _topic(logs: DataFrame, k: int) -> str:
+    """A log's topic: from ``topicK`` or from the list ``topics``; null beyond its end."""
+    return f"r.topic{k}" if f"topic{k}" in logs.columns else f"get(r.topics, {k})" if "topics" in logs.columns else "CAST(NULL AS STRING)"
 
 
-def match_logs(logs: DataFrame, filters: DataFrame) -> DataFrame:
-    """Logs that a log filter (chain_id, address, topic0, topic1, from_block, to_block) matches."""
-    rest = f"(f.topic1 IS NULL OR f.topic1 = r.topic1) AND {_in_range()}"
+def match_logs(logs: DataFrame, filters: DataFrame, children: DataFrame | None = None) -> DataFrame:
+    """Logs that a log filter (chain_id, address or address_factory, topic0 .. topic3, from_block, to_block) matches.
+
+    A filter by factory takes logs of its children from their creation on; without children it matches nothing.
+    """
+    f = prepared(filters, ("address",), ("topic0", "topic1", "topic2", "topic3"))
+    of_address = f.drop("address").join(members(f, "address", children), ["filter_id", "chain_id"])
+    free = f.where(is_any("address"))
+    of_topic = free.where("topic0 IS NOT NULL").withColumn("own_topic", F.explode("topic0"))
+    topics = " AND ".join(_in(_topic(logs, k), f"topic{k}") for k in range(4))
     return logs.sparkSession.sql(
-        f"""SELECT r.* FROM {{logs}} r WHERE
-  EXISTS (SELECT 1 FROM {{filters}} f WHERE f.topic0 IS NOT NULL AND f.chain_id = r.chain_id AND f.topic0 = r.topic0
-          AND (f.address IS NULL OR f.address = r.address) AND {rest})
-  OR EXISTS (SELECT 1 FROM {{filters}} f WHERE f.topic0 IS NULL AND f.address IS NOT NULL AND f.chain_id = r.chain_id
-          AND f.address = r.address AND {rest})
-  OR EXISTS (SELECT 1 FROM {{filters}} f WHERE f.topic0 IS NULL AND f.address IS NULL AND f.chain_id = r.chain_id AND {rest})""",
+        f"""SELECT r.* FROM {{logs}} r WHERE {WANTED} AND (
+  EXISTS (SELECT 1 FROM {{of_address}} f WHERE f.chain_id = r.chain_id AND f.who = lower(r.address) AND f.since <= r.block_number AND {topics} AND {RANGE})
+  OR EXISTS (SELECT 1 FROM {{of_topic}} f WHERE f.chain_id = r.chain_id AND f.own_topic = lower({_topic(logs, 0)}) AND {topics} AND {RANGE})
+  OR EXISTS (SELECT 1 FROM {{of_neither}} f WHERE f.chain_id = r.chain_id AND {topics} AND {RANGE}))""",
         logs=logs,
-        filters=filters,
+        filters=f,
+        of_address=of_address,
+        of_topic=of_topic,
+        of_neither=free.where("topic0 IS NULL"),
     )
 
 
-def match_logs_factory(logs: DataFrame, children: DataFrame) -> DataFrame:
-    """Logs of factory children (chain_id, child, created_block) from their creation on; no children match nothing."""
+def match_logs_factory(logs: DataFrame, filters: DataFrame, children: DataFrame) -> DataFrame:
+    """Logs of factory children that a filter (chain_id, address_factory, topic0 .. topic3, from_block, to_block) matches:
+    children of its own factory, from their creation on. No children match nothing; filters without a factory are left out."""
+    return match_logs(logs, filters.where("address_factory IS NOT NULL"), children)
+
+
+def child_logs(logs: DataFrame, children: DataFrame) -> DataFrame:
+    """All logs of children (chain_id, child, created_block), whatever their factory, from their creation on."""
     same = (F.col("r.chain_id") == F.col("c.chain_id")) & (F.col("r.address") == F.col("c.child"))
     return logs.alias("r").join(children.alias("c"), same & (F.col("r.block_number") >= F.col("c.created_block")), "left_semi")
 
 
+def _match_sides(rows: DataFrame, f: DataFrame, children: DataFrame | None, rest: str, match_all: bool) -> DataFrame:
+    """Rows (from_address, to_address) of which both sides of one filter hold.
+
+    Where a filter fixes both sides, its recipients are looked up beforehand: each row that is such a recipient learns of
+    which filters, a list as long as the filters that name one address.
+    """
+    both = f.where(~is_any("from_address") & ~is_any("to_address"))
+    takes = members(both, "to_address", children).groupBy("chain_id", "who").agg(F.collect_set(F.struct("filter_id", "since")).alias("__takes"))
+    own = rows.join(takes.select("chain_id", F.col("who").alias("__who"), "__takes"), (F.lower(rows["to_address"]) == F.col("__who")) & (rows["chain_id"] == takes["chain_id"]), "left").select(*(rows[c] for c in rows.columns), "__takes")
+    senders = f.join(members(f, "from_address", children), ["filter_id", "chain_id"]).withColumn("any_to", is_any("to_address"))
+    receivers = f.where(is_any("from_address")).join(members(f, "to_address", children), ["filter_id", "chain_id"])
+    neither = f.where(is_any("from_address") & is_any("to_address")).where(F.lit(match_all))
+    found = rows.sparkSession.sql(
+        f"""SELECT r.* FROM {{own}} r WHERE {WANTED} AND (
+  EXISTS (SELECT 1 FROM {{senders}} f WHERE f.chain_id = r.chain_id AND f.who = lower(r.from_address) AND f.since <= r.block_number
+          AND (f.any_to OR exists(r.__takes, t -> t.filter_id = f.filter_id AND t.since <= r.block_number)) AND {rest} AND {RANGE})
+  OR EXISTS (SELECT 1 FROM {{receivers}} f WHERE f.chain_id = r.chain_id AND f.who = lower(r.to_address) AND f.since <= r.block_number AND {rest} AND {RANGE})
+  OR EXISTS (SELECT 1 FROM {{neither}} f WHERE f.chain_id = r.chain_id AND {rest} AND {RANGE}))""",
+        own=own,
+        filters=f,
+        senders=senders,
+        receivers=receivers,
+        neither=neither,
+    )
+    return found.select(*rows.columns)
+
+
 def match_transactions(txs: DataFrame, filters: DataFrame, children: DataFrame | None = None) -> DataFrame:
-    """Transactions that a filter (chain_id, from_address, to_address, from_block, to_block) matches.
+    """Transactions that a filter (chain_id, from_address or from_address_factory, to_address or to_address_factory,
+    from_block, to_block) matches.
 
     Both sides of one filter must hold; filters that fix neither are skipped; a null recipient matches no recipient.
-    ``children``: created contracts (chain_id, child, created_block) of which sender or recipient may be one.
     """
-    extra = ""
-    frames = {"txs": txs, "filters": filters}
-    if children is not None:
-        frames["children"] = children
-        extra = "".join(
-            f" OR EXISTS (SELECT 1 FROM {{children}} c WHERE c.chain_id = r.chain_id AND c.child = r.{side} AND c.created_block <= r.block_number)"
-            for side in ("from_address", "to_address")
-        )
-    return txs.sparkSession.sql(
-        f"""SELECT r.* FROM {{txs}} r WHERE
-  EXISTS (SELECT 1 FROM {{filters}} f WHERE f.from_address IS NOT NULL AND f.chain_id = r.chain_id AND f.from_address = r.from_address
-          AND (f.to_address IS NULL OR f.to_address = r.to_address) AND {_in_range()})
-  OR EXISTS (SELECT 1 FROM {{filters}} f WHERE f.from_address IS NULL AND f.to_address IS NOT NULL AND f.chain_id = r.chain_id
-          AND f.to_address = r.to_address AND {_in_range()}){extra}""",
-        **frames,
-    )
+    return _match_sides(txs, prepared(filters, ("from_address", "to_address"), ()), children, "true", match_all=False)
 
 
 def drop_reverted(txs: DataFrame, receipts: DataFrame) -> DataFrame:
@@ -65,33 +146,28 @@ def drop_reverted(txs: DataFrame, receipts: DataFrame) -> DataFrame:
     return txs.join(receipts.where("status = 1").select(*keys), keys, "left_semi").select(*txs.columns)
 
 
-def match_traces(ranked: DataFrame, filters: DataFrame) -> DataFrame:
-    """Frames that a filter (chain_id, from_address, to_address, selector, call_type, from_block, to_block) matches.
+def match_traces(ranked: DataFrame, filters: DataFrame, children: DataFrame | None = None) -> DataFrame:
+    """Frames that a filter (as for match_transactions, with selector, call_type and include_reverted) matches; a filter
+    that fixes nothing takes all of its chain's frames.
 
-    ``ranked`` frames (from_address, to_address, selector, call_type) already have their trace_index: a frame's rank
-    counts frames that no filter wants.
+    ``ranked`` frames (from_address, to_address, selector, call_type, and error if reverted ones are to be told) already
+    have their trace_index: a frame's rank counts frames that no filter wants.
     """
-    rest = f"""(f.selector IS NULL OR f.selector = r.selector) AND (f.call_type IS NULL OR f.call_type = r.call_type)
-          AND (f.from_address IS NULL OR f.from_address = r.from_address) AND {_in_range()}"""
-    return ranked.sparkSession.sql(
-        f"""SELECT r.* FROM {{ranked}} r WHERE
-  EXISTS (SELECT 1 FROM {{filters}} f WHERE f.to_address IS NOT NULL AND f.chain_id = r.chain_id AND f.to_address = r.to_address AND {rest})
-  OR EXISTS (SELECT 1 FROM {{filters}} f WHERE f.to_address IS NULL AND f.chain_id = r.chain_id AND {rest})""",
-        ranked=ranked,
-        filters=filters,
-    )
+    f = prepared(filters, ("from_address", "to_address"), ("selector", "call_type"))
+    reverted = " AND (f.include_reverted OR r.error IS NULL)" if "error" in ranked.columns else ""
+    return _match_sides(ranked, f, children, f"{_in('r.selector', 'selector')} AND {_in('r.call_type', 'call_type')}{reverted}", match_all=True)
 
 
-def match_transfers(ranked: DataFrame, filters: DataFrame, value: str = "value_hex") -> DataFrame:
+def match_transfers(ranked: DataFrame, filters: DataFrame, children: DataFrame | None = None, value: str = "value_hex") -> DataFrame:
     """Frames that move value (over zero) and that a filter (as for match_traces) matches."""
-    return match_traces(ranked.where(~F.regexp_replace(F.col(value), "^0x", "").rlike("^0*$")), filters)
+    return match_traces(ranked.where(~F.regexp_replace(F.col(value), "^0x", "").rlike("^0*$")), filters, children)
 
 
 def match_blocks_interval(blocks: DataFrame, filters: DataFrame) -> DataFrame:
     """Blocks that an interval filter (chain_id, interval, offset, from_block, to_block) picks."""
     return blocks.sparkSession.sql(
         f"""SELECT r.* FROM {{blocks}} r LEFT SEMI JOIN {{filters}} f
-            ON f.chain_id = r.chain_id AND (r.block_number - f.offset) % f.interval = 0 AND {_in_range()}""",
+            ON f.chain_id = r.chain_id AND (r.block_number - f.offset) % f.interval = 0 AND {RANGE}""",
         blocks=blocks,
         filters=filters,
     )

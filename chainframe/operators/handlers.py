@@ -92,6 +92,6 @@ def lending_tables(decoded: DataFrame) -> dict[str, DataFrame]:
     for event, (table, columns) in LENDING.items():
         out[table] = decoded.where(F.col("event_name") == event).select(
             event_id(F.col("tx_hash"), F.col("log_index")).alias("id"), "chain_id", F.col("address").alias("vault"), "block_number",
-            *(F.col(arg).alias(c) for c, arg in columns.items()),
+            *(F.col("args")[arg].alias(c) for c, arg in columns.items()),
         )
     return out

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chainframe.functions.encodings import child_address
-from chainframe.operators.filters import match_logs_factory
+from chainframe.functions.encodings import child_at
+from chainframe.operators.filters import child_logs, match_logs_factory, prepared
 
 BLOCK, TX = ["chain_id", "block_number"], ["chain_id", "block_number", "transaction_index"]
 
@@ -81,23 +81,41 @@ def cascade_errors(frames: DataFrame) -> DataFrame:
 
 def discover_children(logs: DataFrame, factories: DataFrame, location: str = "topic1") -> DataFrame:
     """(factory_id, chain_id, child, created_block): first creations by factories (factory_id, chain_id, address, topic0,
-    from_block, to_block; null is any). Creations outside the factory's range are ignored."""
-    f = factories.select(*(F.col(c).alias(f"f_{c}") for c in ("factory_id", "chain_id", "address", "topic0", "from_block", "to_block")))
+    from_block, to_block, and location of the child; null is any). Creations outside the factory's range are ignored.
+
+    ``address`` may be one value or a list. Factories without a location of their own have ``location``: ``topicN``, or
+    ``offsetN``, the byte where a word of the data begins.
+    """
+    own = factories.withColumn("filter_id", F.col("factory_id").cast("string"))
+    place = F.coalesce(F.col("location") if "location" in factories.columns else F.lit(None).cast("string"), F.lit(location))
+    f = prepared(own, ("address",), ()).drop("address_factory").withColumnRenamed("filter_id", "factory_id")
+    kinds = own.select(F.col("filter_id").alias("factory_id"), "chain_id", F.lower("topic0").alias("topic0"), place.alias("location"))
+    f = f.join(kinds, ["factory_id", "chain_id"])
+    f = f.select(*(F.col(c).alias(f"f_{c}") for c in ("factory_id", "chain_id", "address", "topic0", "from_block", "to_block", "location")))
     match = (
-        (F.col("f_chain_id") == F.col("chain_id")) & (F.col("f_topic0") == F.col("topic0"))
-        & (F.col("f_address").isNull() | (F.col("f_address") == F.col("address")))
+        (F.col("f_chain_id") == F.col("chain_id")) & (F.col("f_topic0") == F.lower("topic0"))
+        & (F.col("f_address").isNull() | F.array_contains("f_address", F.lower("address")))
         & (F.col("f_from_block").isNull() | (F.col("block_number") >= F.col("f_from_block")))
         & (F.col("f_to_block").isNull() | (F.col("block_number") <= F.col("f_to_block")))
     )
     created = logs.join(f, match).withColumn("factory_id", F.col("f_factory_id"))
-    return child_address(created, location).where("child IS NOT NULL").groupBy("factory_id", "chain_id", "child").agg(F.min("block_number").alias("created_block"))
+    found = created.select("factory_id", "chain_id", "block_number", child_at(created, F.col("f_location")).alias("child"))
+    return found.where("child IS NOT NULL").groupBy("factory_id", "chain_id", "child").agg(F.min("block_number").alias("created_block"))
+
+
+def child_events(logs: DataFrame, children: DataFrame) -> DataFrame:
+    """Logs of ``children`` (of discover_children) from their creation on, whichever factory made them."""
+    return child_logs(logs, children.groupBy("chain_id", "child").agg(F.min("created_block").alias("created_block")))
 
 
-def factory_events(logs: DataFrame, factories: DataFrame, location: str = "topic1") -> DataFrame:
-    """Logs of contracts that factories created, from their creation on: discovery over all logs, then the match."""
+def factory_events(logs: DataFrame, factories: DataFrame, filters: DataFrame | None = None, location: str = "topic1") -> DataFrame:
+    """Logs of contracts that factories created, from their creation on: discovery over all logs, then the match.
+
+    With ``filters`` (address_factory, topics, range) a log must come from a child of the filter's own factory; without,
+    all logs of all children are taken.
+    """
     children = discover_children(logs, factories, location)
-    earliest = children.groupBy("chain_id", "child").agg(F.min("created_block").alias("created_block"))
-    return match_logs_factory(logs, earliest)
+    return child_events(logs, children) if filters is None else match_logs_factory(logs, filters, children)
 
 
 def dedupe_children_least(children: DataFrame, persisted: DataFrame) -> DataFrame:
@@ -135,8 +153,19 @@ def asof_block(checkpoints: DataFrame, blocks: DataFrame, seconds: int = 86400)
     return own.join(carried, ["chain_id", "span"]).select("row.*", F.greatest("own", "carried").alias("asof_block"))
 
 
-def relation_join(one: DataFrame, many: DataFrame, key: list[str], item: list[str], to: str = "items", most: int | None = None) -> DataFrame:
-    """Rows of ``one`` with the array of their ``many``, sorted, and its size; empty where there is none."""
+def relation_pages(one: DataFrame, many: DataFrame, key: list[str], item: list[str], page: Column, to: str = "items") -> DataFrame:
+    """Rows of ``one`` by pages of their ``many``: key, page, the array of the page's items, sorted, and its size; a single
+    null page where there is none. ``page`` is a bounded part of a key's rows, such as a block bucket: a key with any
+    number of rows is many arrays, and no task gathers all of them."""
+    got = many.groupBy(*key, page.alias("page")).agg(F.sort_array(F.collect_list(F.struct(*item))).alias(to))
+    size = F.coalesce(F.size(to), F.lit(0)).cast("long")
+    return one.join(got, key, "left").select(*one.columns, "page", to, F.greatest(size, F.lit(0)).alias(f"n_{to}"))
+
+
+def relation_join(one: DataFrame, many: DataFrame, key: list[str], item: list[str], to: str = "items", most: int | None = 1000) -> DataFrame:
+    """Rows of ``one`` with the array of the first ``most`` of their ``many``, sorted, and how many there are; empty where
+    there is none. All items of a key without bound, for keys that are known to have few, with None; see relation_pages
+    for keys with many."""
     if most is None:
         size = F.count("*")
     else:  # no more than ``most`` items of a key are gathered

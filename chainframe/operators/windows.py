@@ -102,64 +102,117 @@ def newest_row(blocks: DataFrame) -> DataFrame:
     return n.select("chain_id", F.col("x.block_number").alias("block_number"), F.col("x.block_ts").alias("block_ts"))
 
 
-def progress_stagnation(series: DataFrame, by: list[str], order: str, a: str, b: str, tolerance: int, patience: int = 2) -> DataFrame:
-    """Two legs' progress per run: a state from their skew and how it moves, and a failure that stays until recovery.
+#: What a run of two legs is found to be.
+FROZEN, GROWING, ONE_SIDED, UNRECOVERED = "frozen", "skew-growing", "one-sided-empty", "wedge-unrecovered"
+IN_SKEW, ARMING, EMPTY_ARMING, BOTH_EMPTY = "both-populated-in-skew", "skew-above-threshold-arming", "empty-arming", "both-empty"
+CATCHING_UP, LAGGING, QUIESCENT = "catching-up", "lagging-constant", "mutually-quiescent"
 
-    States: one-sided-empty (one leg has no value), quiescent (neither moved, in skew), in-skew (apart by ``tolerance`` at
-    most), arming (apart, for fewer than ``patience`` runs), catching-up (skew shrinks), frozen (the lagging leg stands
-    still), skew-growing, lagging-constant. frozen, skew-growing and one-sided-empty fail; the failure ends with in-skew.
+
+def progress_stagnation(series: DataFrame, by: list[str], order: str, a: str, b: str, at: str, threshold: int) -> DataFrame:
+    """Two legs' newest times ``a`` and ``b`` (seconds; null: empty) per run at time ``at``, with ``state``, ``failing``,
+    ``stale_side`` (A or B) and ``cause``, the state in which a failure that goes on began.
+
+    A run by itself: both empty is no failure. One leg empty fails once it has been so for over ``threshold`` seconds and
+    the other moves on. Apart by more than ``threshold``, legs fail if just one of them moves, or if they draw apart; a
+    first such run only arms. Empty legs count with their last known time. A failure goes on, whatever the runs look
+    like, until both legs are there and either near again, or the leg that stood still moves on and they don't draw apart.
+
+    What a run is by itself comes from windows. Whether a failure goes on is a walk over the runs of a series that keeps
+    one side and one cause: rows are sorted by series and streamed, so a long series needs no memory.
     """
     w = Window.partitionBy(*by).orderBy(order)
-    s = (
-        series.withColumn("skew", F.abs(F.col(a) - F.col(b)))
-        .withColumn("lag_now", F.least(a, b))
-        .withColumn("lag_before", F.lag(F.least(a, b)).over(w))
-        .withColumn("skew_before", F.lag("skew").over(w))
-        .withColumn("moved", (F.coalesce(F.col(a) - F.lag(a).over(w), F.lit(1)) != 0) | (F.coalesce(F.col(b) - F.lag(b).over(w), F.lit(1)) != 0))
+    upto, before = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(Window.unboundedPreceding, -1)
+    s = series.select(*by, order, F.col(a).alias("a"), F.col(b).alias("b"), F.col(at).alias("at"))
+    for x in ("a", "b"):
+        s = s.withColumn(f"{x}_now", F.last(x, ignorenulls=True).over(upto)).withColumn(f"{x}_then", F.last(x, ignorenulls=True).over(before))
+        s = s.withColumn(f"{x}_seen", F.count(x).over(upto)).withColumn(f"{x}_moves", F.coalesce(F.col(f"{x}_now") > F.col(f"{x}_then"), F.lit(False)))
+    known = F.col("a_now").isNotNull() | F.col("b_now").isNotNull()
+    for x in ("a", "b"):  # a leg is empty since the first empty run after its last row, once any leg is known
+        empty = Window.partitionBy(*by, f"{x}_seen")
+        s = s.withColumn(f"{x}_empty_s", F.col("at") - F.min(F.when(F.col(x).isNull() & known, F.col("at"))).over(empty))
+    gap, gap_then = F.abs(F.col("a_now") - F.col("b_now")), F.abs(F.col("a_then") - F.col("b_then"))
+    s = s.withColumns({"skew": F.abs(F.col("a") - F.col("b")), "grew": F.coalesce(gap > gap_then, F.lit(False)), "shrank": F.coalesce(gap < gap_then, F.lit(False))})
+    older = F.when(F.col("a_now") < F.col("b_now"), "A").when(F.col("b_now") < F.col("a_now"), "B")
+    older_moves = F.when(older == "A", F.col("a_moves")).when(older == "B", F.col("b_moves")).otherwise(False)
+    gone = F.when(F.col("a").isNull(), "A").otherwise("B")
+    starved = F.when(gone == "A", (F.col("a_empty_s") > threshold) & F.col("b_moves")).otherwise((F.col("b_empty_s") > threshold) & F.col("a_moves"))
+    alone = (
+        F.when(F.col("a").isNull() & F.col("b").isNull(), BOTH_EMPTY)
+        .when(F.col("skew").isNull(), F.when(F.coalesce(starved, F.lit(False)), ONE_SIDED).otherwise(EMPTY_ARMING))
+        .when(F.col("skew") <= threshold, IN_SKEW)
+        .when(F.col("a_then").isNull() | F.col("b_then").isNull(), ARMING)
+        .when(F.col("a_moves") != F.col("b_moves"), FROZEN)
+        .when(F.col("grew"), GROWING)
+        .when(F.col("a_moves") & older_moves & F.col("shrank"), CATCHING_UP)
+        .when(F.col("a_moves") & ~F.col("shrank"), LAGGING)
+        .otherwise(QUIESCENT)
     )
-    apart = F.coalesce(F.col("skew") > tolerance, F.lit(False))
-    s = s.withColumn("stretch", F.count_if(~apart).over(w)).withColumn("run_length", F.count_if(apart).over(Window.partitionBy(*by, "stretch").orderBy(order)))
-    state = (
-        F.when(F.col(a).isNull() | F.col(b).isNull(), "one-sided-empty")
-        .when(~apart & ~F.col("moved"), "quiescent")
-        .when(~apart, "in-skew")
-        .when(F.col("run_length") < patience, "arming")
-        .when(F.col("skew") < F.col("skew_before"), "catching-up")
-        .when(F.col("lag_now") == F.col("lag_before"), "frozen")
-        .when(F.col("skew") > F.col("skew_before"), "skew-growing")
-        .otherwise("lagging-constant")
-    )
-    s = s.withColumn("state", state)
-    event = F.when(F.col("state").isin("frozen", "skew-growing", "one-sided-empty"), True).when(F.col("state").isin("in-skew", "quiescent"), False)
-    failing = F.coalesce(F.last(event, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)), F.lit(False))
-    return s.withColumn("failing", failing).select(*by, order, a, b, "skew", "state", "failing")
+    s = s.withColumn("state", alone)
+    side = F.when(F.col("state") == ONE_SIDED, gone).when(F.col("state") == FROZEN, F.when(F.col("a_moves"), "B").otherwise("A")).when(F.col("state") == GROWING, older)
+    near = F.coalesce(F.col("skew") <= threshold, F.lit(False))
+    s = s.select(
+        *by, order, "a", "b", "skew", "state", side.alias("stale_side"),
+        *((near | (F.col("skew").isNotNull() & F.col(f"{x}_moves") & ~F.col("grew"))).alias(f"{x}_recovers") for x in ("a", "b")),
+    )
+    kept = [*by, order, "a", "b", "skew"]
+    types = {f.name: f.dataType.simpleString() for f in s.schema}
+    schema = ", ".join([*(f"`{c}` {types[c]}" for c in kept), "state string", "failing boolean", "stale_side string", "cause string"])
+
+    def walk(batches):
+        import pyarrow as pa
+
+        key = side = cause = None
+        for batch in batches:
+            out = []
+            columns = (batch.column(c).to_pylist() for c in ("state", "stale_side", "a_recovers", "b_recovers"))
+            for own, state, stale, *recovers in zip(zip(*(batch.column(c).to_pylist() for c in by)), *columns):
+                if own != key:
+                    key, side, cause = own, None, None
+                if cause is not None and not recovers["AB".index(side)]:
+                    out.append((UNRECOVERED, True, side, cause))
+                    continue
+                failing = state in (FROZEN, GROWING, ONE_SIDED)
+                side, cause = (stale, state) if failing else (None, None)
+                out.append((state, failing, side, cause))
+            states = [pa.array(c, t) for c, t in zip(zip(*out) if out else ((),) * 4, (pa.string(), pa.bool_(), pa.string(), pa.string()))]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *states], [*kept, "state", "failing", "stale_side", "cause"])
+
+    return s.repartition(*by).sortWithinPartitions(*by, order).mapInArrow(walk, schema)
 
 
 # --- reorganisations -----------------------------------------------------------------------------------------------
 
 
-def reorg_resolve(deliveries: DataFrame, by: tuple[str, ...] = (), span: int = 1_000_000) -> DataFrame:
+def reorg_resolve(deliveries: DataFrame, by: tuple[str, ...] = (), span: int = 100_000) -> DataFrame:
     """Delivered headers (seq, number, hash, parent_hash) with ``orphaned``: a later delivery, repeats of a hash aside, is
     at its height or below.
 
     Deliveries are looked at in spans of ``span`` sequence numbers, so that a long chain is many tasks; of later spans the
-    least height is enough.
+    least height is enough. Windows run from the last delivery back, as frames that grow are kept up and frames that
+    shrink are computed anew for each row.
     """
     first = deliveries.groupBy(*by, "hash").agg(F.min_by(F.struct("seq", "number", "parent_hash"), "seq").alias("x")).select(*by, "hash", "x.*")
     first = first.withColumn("span", F.floor(F.col("seq") / span))
-    later = Window.partitionBy(*by, "span").orderBy("seq").rowsBetween(1, Window.unboundedFollowing)
-    spans = Window.partitionBy(*by).orderBy("span").rowsBetween(1, Window.unboundedFollowing)
+    later = Window.partitionBy(*by, "span").orderBy(F.desc("seq")).rowsBetween(Window.unboundedPreceding, -1)
+    spans = Window.partitionBy(*by).orderBy(F.desc("span")).rowsBetween(Window.unboundedPreceding, -1)  # one row a span
     least = first.groupBy(*by, "span").agg(F.min("number").alias("least")).withColumn("after", F.min("least").over(spans)).select(*by, "span", "after")
     own = first.withColumn("own", F.min("number").over(later)).join(least, [*by, "span"])
     orphaned = F.coalesce(F.least("own", "after") <= F.col("number"), F.lit(False))
     return own.select(*by, "seq", "number", "hash", "parent_hash", orphaned.alias("orphaned"))
 
 
-def chain_linkage(headers: DataFrame, by: list[str], number: str, own: str, parent: str) -> DataFrame:
-    """Headers that break the chain: a number that doesn't rise, or a parent that isn't the header before."""
-    w = Window.partitionBy(*by).orderBy(number)
-    j = headers.withColumn("__n", F.lag(number).over(w)).withColumn("__h", F.lag(own).over(w))
-    kind = F.when(F.col("__n") >= F.col(number), "number").when(F.col("__h") != F.col(parent), "parent")
+def chain_linkage(headers: DataFrame, by: list[str], number: str, own: str, parent: str, span: int = 10_000) -> DataFrame:
+    """Headers that break the chain: a number that doesn't rise, or a parent that isn't the header before.
+
+    Headers are looked at in spans of ``span`` numbers, so that a long chain is many tasks; a span's first header is held
+    against the last one of the spans before.
+    """
+    h = headers.select(*by, number, own, parent, F.floor(F.col(number) / span).alias("__span"))
+    last = h.groupBy(*by, "__span").agg(F.max(F.struct(number, own)).alias("__x"))
+    last = last.withColumn("__last", F.lag("__x").over(Window.partitionBy(*by).orderBy("__span"))).select(*by, "__span", "__last")  # one row a span
+    w = Window.partitionBy(*by, "__span").orderBy(number, own)
+    j = h.withColumn("__own", F.lag(F.struct(number, own)).over(w)).join(last, [*by, "__span"]).withColumn("__before", F.coalesce("__own", "__last"))
+    kind = F.when(F.col(f"__before.{number}") >= F.col(number), "number").when(F.col(f"__before.{own}") != F.col(parent), "parent")
     return j.withColumn("violation", kind).where("violation IS NOT NULL").select(*by, number, own, "violation")
 
 

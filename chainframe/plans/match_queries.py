@@ -17,19 +17,35 @@ RANGE = "(f.from_block IS NULL OR r.block_number >= f.from_block) AND (f.to_bloc
 MATCHED_LOGS = f"""SELECT r.* FROM {{logs}} r WHERE EXISTS (SELECT 1 FROM {{log_filters}} f WHERE f.chain_id = r.chain_id
   AND (f.address IS NULL OR f.address = r.address) AND (f.topic0 IS NULL OR f.topic0 = r.topic0) AND (f.topic1 IS NULL OR f.topic1 = r.topic1) AND {RANGE})"""
 
-register("match_logs", lambda f: filters.match_logs(f.logs, f.log_filters).select(*LOG, "address", "topic0"), f"SELECT chain_id, block_number, log_index, address, topic0 FROM ({MATCHED_LOGS}) m")
 
-CHILD_LOGS = "SELECT r.* FROM {logs} r JOIN {creations} c ON c.chain_id = r.chain_id AND c.child = r.address AND r.block_number >= c.created_block"
-register("match_logs_factory", lambda f: filters.match_logs_factory(f.logs, f.creations).select(*LOG, "address"), f"SELECT chain_id, block_number, log_index, address FROM ({CHILD_LOGS}) m")
 
+def listed(row: str, name: str) -> str:
+    return f"(f.{name} IS NULL OR list_contains(f.{name}, {row}))"
+
+
+TOPICS = " AND ".join(listed(f"r.topic{k}", f"topic{k}") for k in range(4))
+#: Log filters, those by factory once for each child.
+BY_FACTORY = """SELECT f.*, c.child, c.created_block FROM {topic_filters} f JOIN {factory_children} c ON c.factory_id = f.address_factory AND c.chain_id = f.chain_id"""
+FOUND_BY_FACTORY = f"SELECT r.chain_id, r.block_number, r.log_index, r.address, r.topic0 FROM {{logs}} r JOIN ({BY_FACTORY}) f ON f.chain_id = r.chain_id AND f.child = r.address AND r.block_number >= f.created_block WHERE {TOPICS} AND {RANGE}"
+FOUND = f"SELECT r.chain_id, r.block_number, r.log_index, r.address, r.topic0 FROM {{logs}} r JOIN {{topic_filters}} f ON f.chain_id = r.chain_id WHERE f.address_factory IS NULL AND {listed('r.address', 'address')} AND {TOPICS} AND {RANGE}"
+register("match_logs", lambda f: filters.match_logs(f.logs, f.topic_filters, f.factory_children).select(*LOG, "address", "topic0"), f"{FOUND} UNION {FOUND_BY_FACTORY}")
+register("match_logs_factory", lambda f: filters.match_logs_factory(f.logs, f.topic_filters, f.factory_children).select(*LOG, "address"), f"SELECT DISTINCT chain_id, block_number, log_index, address FROM ({FOUND_BY_FACTORY}) m")
+
+
+def sides(sender: str, receiver: str, rest: str) -> str:
+    """Rows joined to filters of which both sides hold; ``j`` says what the filter's factories allow."""
+    return f"""JOIN {{side_filters}} f ON f.chain_id = r.chain_id
+  LEFT JOIN {{factory_children}} a ON a.chain_id = r.chain_id AND a.factory_id = f.from_address_factory AND a.child = {sender} AND a.created_block <= r.block_number
+  LEFT JOIN {{factory_children}} b ON b.chain_id = r.chain_id AND b.factory_id = f.to_address_factory AND b.child = {receiver} AND b.created_block <= r.block_number
+  WHERE (f.from_address_factory IS NULL OR a.child IS NOT NULL) AND (f.to_address_factory IS NULL OR b.child IS NOT NULL)
+  AND {listed(sender, 'from_address')} AND {listed(receiver, 'to_address')} AND {rest} AND {RANGE}"""
+
+
+NOT_ALL = "coalesce(f.from_address_factory, f.to_address_factory, f.from_address[1], f.to_address[1]) IS NOT NULL"
 register(
     "match_transactions",
-    lambda f: filters.match_transactions(f.tx, f.tx_filters, f.creations.where("chain_id = 5")).select(*TX, "tx_hash"),
-    f"""
-SELECT chain_id, block_number, transaction_index, tx_hash FROM {{tx}} r WHERE
-  EXISTS (SELECT 1 FROM {{tx_filters}} f WHERE f.chain_id = r.chain_id AND (f.from_address IS NOT NULL OR f.to_address IS NOT NULL)
-    AND (f.from_address IS NULL OR f.from_address = r.from_address) AND (f.to_address IS NULL OR f.to_address = r.to_address) AND {RANGE})
-  OR EXISTS (SELECT 1 FROM {{creations}} c WHERE c.chain_id = 5 AND c.chain_id = r.chain_id AND c.created_block <= r.block_number AND c.child IN (r.from_address, r.to_address))""",
+    lambda f: filters.match_transactions(f.tx, f.side_filters, f.factory_children).select(*TX, "tx_hash"),
+    f"SELECT DISTINCT r.chain_id, r.block_number, r.transaction_index, r.tx_hash FROM {{tx}} r {sides('r.from_address', 'r.to_address', NOT_ALL)}",
 )
 
 register("drop_reverted", lambda f: filters.drop_reverted(f.tx, f.receipts).select(*TX), "SELECT chain_id, block_number, transaction_index FROM {tx} WHERE status = 1")
@@ -46,22 +62,17 @@ RANKED = """
 SELECT *, CAST(row_number() OVER (PARTITION BY chain_id, block_number, transaction_index ORDER BY depth > 0, p0, p1) - 1 AS BIGINT) AS trace_index FROM {calls}"""
 
 
-def trace_filters(f: Fixtures) -> DataFrame:
-    return f.tx_filters.select("chain_id", "from_address", "to_address", F.lit(None).cast("string").alias("selector"), F.lit(None).cast("string").alias("call_type"), "from_block", "to_block")
-
-
 def matchable(f: Fixtures) -> DataFrame:
-    return call_frames(f).withColumn("selector", F.lit("0x00")).withColumn("call_type", F.lit("CALL"))
+    key = F.col("frame_key")
+    kinds = F.array(*map(F.lit, ("CALL", "STATICCALL", "DELEGATECALL")))
+    return call_frames(f).withColumns({"selector": F.concat(F.lit("0x0000000"), (key % 4).cast("string")), "call_type": F.get(kinds, (key % 3).cast("int")), "error": F.col("own_error")})
 
 
-TRACE_MATCH = f"""EXISTS (SELECT 1 FROM {{tx_filters}} f WHERE f.chain_id = r.chain_id
-    AND (f.from_address IS NULL OR f.from_address = r.sender) AND (f.to_address IS NULL OR f.to_address = r.address) AND {RANGE})"""
-register("match_traces", lambda f: filters.match_traces(matchable(f), trace_filters(f)).select(*TX, "trace_index"), f"SELECT chain_id, block_number, transaction_index, trace_index FROM ({RANKED}) r WHERE {TRACE_MATCH}")
-register(
-    "match_transfers",
-    lambda f: filters.match_transfers(matchable(f), trace_filters(f)).select(*TX, "trace_index", "value_hex"),
-    f"SELECT chain_id, block_number, transaction_index, trace_index, value_hex FROM ({RANKED}) r WHERE value_hex <> '0x0' AND {TRACE_MATCH}",
-)
+TRACES = f"""SELECT DISTINCT r.chain_id, r.block_number, r.transaction_index, r.trace_index, r.value_hex FROM ({RANKED}) r
+{sides('r.sender', 'r.address', "(f.include_reverted OR r.own_error IS NULL) AND " + listed("concat('0x0000000', CAST(r.frame_key % 4 AS STRING))", "selector")
+       + " AND (f.call_type IS NULL OR list_contains(list_transform(f.call_type, lambda x: upper(x)), CASE r.frame_key % 3 WHEN 0 THEN 'CALL' WHEN 1 THEN 'STATICCALL' ELSE 'DELEGATECALL' END))")}"""
+register("match_traces", lambda f: filters.match_traces(matchable(f), f.side_filters, f.factory_children).select(*TX, "trace_index"), f"SELECT chain_id, block_number, transaction_index, trace_index FROM ({TRACES}) m")
+register("match_transfers", lambda f: filters.match_transfers(matchable(f), f.side_filters, f.factory_children).select(*TX, "trace_index", "value_hex"), f"SELECT * FROM ({TRACES}) m WHERE value_hex <> '0x0'")
 
 
 def interval_filters(f: Fixtures) -> DataFrame:
@@ -153,14 +164,15 @@ register(
     "cascade_errors",
     lambda f: joins.cascade_errors(failing_frames(f)).select(*TX, F.array_join(F.col("path").cast("array<string>"), ".").alias("path"), "error", "reason"),
     """
-WITH c AS (SELECT *, CASE WHEN own_error IS NOT NULL THEN 'r' || CAST(frame_key AS STRING) END AS own_reason FROM {calls} WHERE NOT (depth = 1 AND frame_key % 7 = 0))
-SELECT c.chain_id, c.block_number, c.transaction_index,
-       CASE c.depth WHEN 0 THEN '' WHEN 1 THEN CAST(c.p0 AS STRING) ELSE CAST(c.p0 AS STRING) || '.' || CAST(c.p1 AS STRING) END AS path,
-       coalesce(c.own_error, CASE WHEN c.depth = 2 THEN coalesce(p.own_error, CASE WHEN p.depth IS NOT NULL THEN r.own_error END) WHEN c.depth = 1 THEN r.own_error END) AS error,
-       coalesce(c.own_reason, CASE WHEN c.depth = 2 THEN coalesce(p.own_reason, CASE WHEN p.depth IS NOT NULL THEN r.own_reason END) WHEN c.depth = 1 THEN r.own_reason END) AS reason
-FROM c
-LEFT JOIN c p ON c.depth = 2 AND p.depth = 1 AND p.chain_id = c.chain_id AND p.block_number = c.block_number AND p.transaction_index = c.transaction_index AND p.p0 = c.p0
-LEFT JOIN c r ON c.depth > 0 AND r.depth = 0 AND r.chain_id = c.chain_id AND r.block_number = c.block_number AND r.transaction_index = c.transaction_index""",
+WITH c AS (SELECT *, CASE WHEN own_error IS NOT NULL THEN 'r' || CAST(frame_key AS STRING) END AS own_reason FROM {calls} WHERE NOT (depth = 1 AND frame_key % 7 = 0)),
+p AS (SELECT chain_id, block_number, transaction_index, p0, own_error, own_reason FROM c WHERE depth = 1),
+r AS (SELECT chain_id, block_number, transaction_index, own_error, own_reason FROM c WHERE depth = 0)
+SELECT c.chain_id, c.block_number, c.transaction_index, '' AS path, c.own_error AS error, c.own_reason AS reason FROM c WHERE depth = 0
+UNION ALL SELECT c.chain_id, c.block_number, c.transaction_index, CAST(c.p0 AS STRING), coalesce(c.own_error, r.own_error), coalesce(c.own_reason, r.own_reason)
+FROM c LEFT JOIN r USING (chain_id, block_number, transaction_index) WHERE c.depth = 1
+UNION ALL SELECT c.chain_id, c.block_number, c.transaction_index, CAST(c.p0 AS STRING) || '.' || CAST(c.p1 AS STRING), coalesce(c.own_error, p.own_error, CASE WHEN p.p0 IS NOT NULL THEN r.own_error END),
+       coalesce(c.own_reason, p.own_reason, CASE WHEN p.p0 IS NOT NULL THEN r.own_reason END)
+FROM c LEFT JOIN p USING (chain_id, block_number, transaction_index, p0) LEFT JOIN r USING (chain_id, block_number, transaction_index) WHERE c.depth = 2""",
 )
 
 
@@ -177,10 +189,16 @@ def as_contract(df: DataFrame) -> DataFrame:
 
 CHILDREN = """SELECT 'factory-' || CAST(l.chain_id AS STRING) AS factory_id, l.chain_id, l.address AS child, min(l.block_number) AS created_block
   FROM {logs} l JOIN {heads} h ON h.chain_id = l.chain_id WHERE l.event_code = 'RF' AND l.block_number BETWEEN 5 AND h.finalized GROUP BY l.chain_id, l.address"""
-register("discover_children", lambda f: joins.discover_children(as_contract(f.logs), factories(f)), CHILDREN)
+register("discover_children", lambda f: joins.discover_children(f.logs, f.factory_rows), "SELECT factory_id, chain_id, child, created_block FROM {factory_children}")
 
-register("factory_events", lambda f: joins.factory_events(as_contract(f.logs), factories(f)).select(*LOG, "address"), f"""
-SELECT l.chain_id, l.block_number, l.log_index, l.address FROM {{logs}} l JOIN ({CHILDREN}) c ON c.chain_id = l.chain_id AND c.child = l.address AND l.block_number >= c.created_block""")
+register(
+    "factory_events",
+    lambda f: joins.factory_events(f.logs, f.factory_rows).select(*LOG, "address"),
+    """
+SELECT DISTINCT l.chain_id, l.block_number, l.log_index, l.address FROM {logs} l JOIN {factory_children} c ON c.chain_id = l.chain_id AND c.child = l.address AND l.block_number >= c.created_block""",
+)
+# each filter takes children of its own factory
+register("factory_events_filtered", lambda f: joins.factory_events(f.logs, f.factory_rows, f.topic_filters).select(*LOG, "address"), f"SELECT DISTINCT chain_id, block_number, log_index, address FROM ({FOUND_BY_FACTORY}) m")
 
 register(
     "dedupe_children_least",
@@ -205,11 +223,11 @@ GROUP BY c.chain_id, c.block_number, c.block_ts""",
 
 register(
     "relation_join",
-    lambda f: joins.relation_join(f.creations, f.logs.where("event_code = 'RO'").select("chain_id", F.col("address").alias("child"), "block_number", "log_index"), ["chain_id", "child"], ["block_number", "log_index"])
-    .select("chain_id", "child", F.coalesce(F.array_join(F.transform("items", lambda x: F.concat_ws("-", x["block_number"].cast("string"), x["log_index"].cast("string"))), ","), F.lit("")).alias("items"), F.greatest("n_items", F.lit(0)).alias("n_items")),
+    lambda f: joins.relation_pages(f.creations, f.logs.where("event_code = 'RO'").select("chain_id", F.col("address").alias("child"), "block_number", "log_index"), ["chain_id", "child"], ["block_number", "log_index"], F.floor(F.col("block_number") / 500).cast("long"))
+    .select("chain_id", "child", "page", F.coalesce(F.array_join(F.transform("items", lambda x: F.concat_ws("-", x["block_number"].cast("string"), x["log_index"].cast("string"))), ","), F.lit("")).alias("items"), "n_items"),
     """
-SELECT c.chain_id, c.child, coalesce(string_agg(CAST(l.block_number AS STRING) || '-' || CAST(l.log_index AS STRING), ',' ORDER BY l.block_number, l.log_index), '') AS items, count(l.log_index) AS n_items
-FROM {creations} c LEFT JOIN {logs} l ON l.chain_id = c.chain_id AND l.address = c.child AND l.event_code = 'RO' GROUP BY c.chain_id, c.child""",
+SELECT c.chain_id, c.child, CAST(floor(l.block_number / 500.0) AS BIGINT) AS page, coalesce(string_agg(CAST(l.block_number AS STRING) || '-' || CAST(l.log_index AS STRING), ',' ORDER BY l.block_number, l.log_index), '') AS items, count(l.log_index) AS n_items
+FROM {creations} c LEFT JOIN {logs} l ON l.chain_id = c.chain_id AND l.address = c.child AND l.event_code = 'RO' GROUP BY c.chain_id, c.child, CAST(floor(l.block_number / 500.0) AS BIGINT)""",
 )
 
 register(
@@ -253,14 +271,18 @@ FROM {logs} WHERE (log_index % 19 = 0 OR log_index % 17 = 0 OR log_index % 23 =
 # --- handlers ---------------------------------------------------------------------------------------------------
 
 
+#: An indexed word and two words of the data.
+WORDS = "array(named_struct('name', 'arg1', 'type', 'bytes32', 'indexed', true), named_struct('name', 'arg2', 'type', 'bytes32', 'indexed', false), named_struct('name', 'arg3', 'type', 'bytes32', 'indexed', false))"
+
+
 def decoded(f: Fixtures) -> DataFrame:
-    return decode_events(f.logs, f.signatures)
+    return decode_events(f.logs, f.signatures.withColumn("args", F.expr(WORDS)))
 
 
 def handled(f: Fixtures) -> DataFrame:
     h = handlers.Handlers()
-    handlers.on_event(h, "Vault:Deposit", lambda e: {"action": e.select("chain_id", F.lit("deposit").alias("kind"), "arg1")})
-    handlers.on_event(h, "Vault:Withdraw", lambda e: {"action": e.select("chain_id", F.lit("withdraw").alias("kind"), "arg1")})
+    handlers.on_event(h, "Vault:Deposit", lambda e: {"action": e.select("chain_id", F.lit("deposit").alias("kind"), F.col("args")["arg1"].alias("arg1"))})
+    handlers.on_event(h, "Vault:Withdraw", lambda e: {"action": e.select("chain_id", F.lit("withdraw").alias("kind"), F.col("args")["arg1"].alias("arg1"))})
     d = decoded(f)
     out = h.run({"Vault:Deposit": d.where("event_name = 'Deposit'"), "Vault:Withdraw": d.where("event_name = 'Withdraw'")})
     return out["action"].groupBy("chain_id", "kind").agg(F.count("*").alias("n"), F.countDistinct("arg1").alias("accounts"))
@@ -313,8 +335,10 @@ SELECT CASE event_code WHEN 'RO' THEN 'deposit' ELSE 'borrow' END AS t, tx_hash
 
 def flagship(f: Fixtures) -> DataFrame:
     """Discovery, the children's events, their transactions, and counts per vault."""
-    events = joins.factory_events(as_contract(f.logs), factories(f))
-    vaults = joins.discover_children(as_contract(f.logs), factories(f)).select("chain_id", F.col("child").alias("vault"))
+    logs = as_contract(f.logs)
+    children = joins.discover_children(logs, factories(f))
+    events = joins.child_events(logs, children)
+    vaults = children.select("chain_id", F.col("child").alias("vault"))
     parents = joins.parent_transactions(f.tx, events).select("chain_id", "tx_hash", "value_units")
     own = events.select("chain_id", F.col("address").alias("vault"), "tx_hash")
     counts = aggregates.vault_event_counts(vaults, own)

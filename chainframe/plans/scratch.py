@@ -7,7 +7,18 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
+_local: dict[str, str] = {}
+
+
 def scratch(spark: SparkSession) -> str:
-    """The folder that driver and executors share, or a new local one where it is unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="spark-chainframe-")
+    """The folder that driver and executors share: spark.checkpoint.dir. Without it, in local mode, a temporary one for
+    each application; on a cluster that is an error."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        app = spark.sparkContext.applicationId
+        if app not in _local:
+            _local[app] = "file://" + tempfile.mkdtemp(prefix="spark-chainframe-")
+        folder = _local[app]
     return f"{folder.rstrip('/')}/chainframe-scratch"

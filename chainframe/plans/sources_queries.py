@@ -63,15 +63,27 @@ FROM (SELECT chain_id, CASE WHEN bool_or(from_block IS NULL) THEN 0 ELSE min(fro
              bool_or(to_block IS NULL) AS open_end, max(to_block) AS e FROM {log_filters} GROUP BY chain_id) s
 JOIN {heads} h ON h.chain_id = s.chain_id""")
 
-register(
-    "project_families",
-    lambda f: src.project_families(f.tx.select(*TX, "tx_hash", "status"), want_receipts=False, transaction_source=False).unionByName(
-        src.project_families(f.tx.select(*TX, "tx_hash", "status"), want_receipts=True).where("status = 1"), allowMissingColumns=True
-    ),
-    """
-SELECT chain_id, block_number, transaction_index, tx_hash, CAST(NULL AS INT) AS status FROM {tx}
-UNION ALL SELECT chain_id, block_number, transaction_index, tx_hash, status FROM {tx} WHERE status = 1""",
-)
+
+
+def _projected(f: Fixtures) -> DataFrame:
+    """The columns that each kind of source reads, one row a column, with how many rows it has."""
+    tables = {"blocks": f.headers, "logs": f.logs.withColumn("topics", F.array("topic0")), "transactions": f.receipts.withColumn("from_address", F.lit("0x")), "traces": f.calls.withColumn("error", F.col("own_error"))}
+    out = None
+    for kind, sources, receipts in (("log", {"log"}, False), ("log and receipts", {"log"}, True), ("transaction", {"transaction"}, False), ("trace", {"trace"}, False), ("block", {"block"}, False)):
+        for family, df in src.project_families(tables, sources, receipts).items():
+            own = df.agg(F.count("*").alias("n")).select(F.lit(kind).alias("source"), F.lit(family).alias("family"), F.lit(",".join(sorted(df.columns))).alias("columns"), "n")
+            out = own if out is None else out.unionByName(own)
+    return out
+
+
+_HEADER, _TX = "base_fee,block_hash,block_number,block_ts,chain_id,parent_hash,size", "block_number,chain_id,from_address,transaction_index,tx_hash"
+_LOG, _RECEIPT = "address,block_number,chain_id,data,log_index,topics,transaction_index,tx_hash", "block_number,chain_id,contract_address,from_address,gas_used,status,transaction_index,tx_hash"
+_READS = [
+    *((k, "blocks", _HEADER, "headers") for k in ("log", "log and receipts", "transaction", "trace", "block")),
+    ("log", "logs", _LOG, "logs"), ("log and receipts", "logs", _LOG, "logs"), ("log", "transactions", _TX, "receipts"), ("log and receipts", "transactions", _RECEIPT, "receipts"),
+    ("transaction", "transactions", _RECEIPT, "receipts"), ("trace", "transactions", _TX, "receipts"), ("trace", "traces", "block_number,chain_id,error,gas,transaction_index", "calls"),
+]
+register("project_families", _projected, " UNION ALL ".join(f"SELECT '{k}' AS source, '{n}' AS family, '{c}' AS columns, count(*) AS n FROM {{{t}}}" for k, n, c, t in _READS))
 
 register(
     "degrade_columns",
@@ -221,18 +233,24 @@ JOIN (SELECT chain_id, count(*) AS n FROM {tx} GROUP BY chain_id) t ON t.chain_i
 
 # --- encodings ----------------------------------------------------------------------------------------------------
 
-register(
-    "hex_quantity",
-    lambda f: f.tx.select(
+#: Numbers beyond 64 bits, as decimal and as hex text.
+BIG = [(str(v), hex(v)) for v in (2**63, 2**64, 10**38, 2**128 - 1, 2**200 + 12345, 2**255 + 7, 2**256 - 1, 10**77)]
+
+
+def big(f: Fixtures) -> DataFrame:
+    decimals = F.array(*(F.lit(d) for d, _ in BIG))
+    return f.tx.select(
         "order_key",
         enc.hex_quantity(F.col("value_units")).alias("of_number"),
-        enc.hex_quantity(F.when(F.col("order_key") % 3 == 0, "").when(F.col("order_key") % 3 == 1, F.upper("value_hex")).otherwise(F.col("value_units").cast("string"))).alias("of_text"),
+        enc.hex_quantity(F.when(F.col("order_key") % 3 == 0, "").when(F.col("order_key") % 3 == 1, F.upper("value_hex")).otherwise(F.concat(F.lit("00"), F.col("value_units").cast("string")))).alias("of_text"),
         enc.hex_quantity(F.when(F.col("status") == 1, F.col("value_units")), optional=True).alias("of_optional"),
-    ),
-    """
+        enc.hex_quantity(F.get(decimals, (F.col("order_key") % len(BIG)).cast("int"))).alias("of_long"),
+    )
+
+
+register("hex_quantity", big, f"""
 SELECT order_key, value_hex AS of_number, CASE WHEN order_key % 3 = 0 THEN '0x0' ELSE value_hex END AS of_text,
-       CASE WHEN status = 1 THEN value_hex END AS of_optional FROM {tx}""",
-)
+       CASE WHEN status = 1 THEN value_hex END AS of_optional, [{", ".join(f"'{h}'" for _, h in BIG)}][order_key % {len(BIG)} + 1] AS of_long FROM {{tx}}""")
 
 register(
     "uint256_compare",
@@ -246,15 +264,26 @@ register(
     "SELECT chain_id, '0x' || lower(hex(CAST(sum(value_units) AS BIGINT))) AS total FROM {tx} GROUP BY chain_id",
 )
 
-register(
-    "canon_block",
-    lambda f: enc.canon_block(
-        f.headers.select("chain_id", F.col("block_number").alias("number"), F.upper("block_hash").alias("hash"), "parent_hash", F.col("block_ts").alias("timestamp"), "size", F.lit("0x").alias("gas_limit"), "base_fee", F.lit(None).cast("string").alias("total_difficulty"))
-    ),
-    """
-SELECT chain_id, block_number, lower(block_hash) AS block_hash, lower(parent_hash) AS parent_hash, block_ts, '0x' || lower(hex(size)) AS size, '0x0' AS gas_limit,
-       CASE WHEN base_fee IS NOT NULL THEN '0x' || lower(hex(base_fee)) END AS base_fee, CAST(NULL AS STRING) AS total_difficulty FROM {headers}""",
-)
+
+
+def raw_headers(f: Fixtures) -> DataFrame:
+    """Headers as the wire has them; mixHash is lacking altogether, other nullable fields in some rows."""
+    h = f.headers
+    text = lambda name: F.concat(F.lit(f"0x{name}"), F.col("block_hash"))
+    return h.select(
+        "chain_id", F.col("block_number").alias("number"), F.col("block_hash").alias("hash"), F.col("parent_hash").alias("parentHash"), F.col("block_ts").alias("timestamp"), text("b").alias("logsBloom"),
+        text("m").alias("miner"), (F.col("block_number") * 1000).cast("string").alias("gasUsed"), F.lit("30000000").alias("gasLimit"), F.col("base_fee").cast("string").alias("baseFeePerGas"),
+        F.when(F.col("block_number") % 2 == 0, text("n")).alias("nonce"), text("s").alias("stateRoot"), text("r").alias("receiptsRoot"), text("t").alias("transactionsRoot"), text("u").alias("sha3Uncles"),
+        "size", F.lit("0x").alias("difficulty"), F.when(F.col("block_number") % 5 == 0, F.concat((F.col("block_number") + 1).cast("string"), F.lit("0" * 20))).alias("totalDifficulty"), F.lit("0xEE").alias("extraData"),
+    )
+
+
+HEX = "'0x' || lower(hex({}))".format
+register("canon_block", lambda f: enc.canon_block(raw_headers(f)), f"""
+SELECT chain_id, block_number, block_hash, parent_hash, block_ts, '0xb' || block_hash AS logs_bloom, '0xm' || block_hash AS miner, {HEX("block_number * 1000")} AS gas_used, '0x1c9c380' AS gas_limit,
+       CASE WHEN base_fee IS NOT NULL THEN {HEX("base_fee")} END AS base_fee, CASE WHEN block_number % 2 = 0 THEN '0xn' || block_hash END AS nonce, CAST(NULL AS STRING) AS mix_hash, '0xs' || block_hash AS state_root,
+       '0xr' || block_hash AS receipts_root, '0xt' || block_hash AS transactions_root, '0xu' || block_hash AS sha3_uncles, {HEX("size")} AS size, '0x0' AS difficulty,
+       CASE WHEN block_number % 5 = 0 THEN {HEX("CAST(block_number + 1 AS HUGEINT) * 100000000000000000000")} END AS total_difficulty, '0xEE' AS extra_data FROM {{headers}}""")
 
 register(
     "canon_log",
@@ -265,15 +294,35 @@ SELECT chain_id, block_number, log_index, lower(address) AS address, CASE WHEN l
        CASE WHEN log_index % 3 = 0 THEN data ELSE '0x' END AS data, FALSE AS removed FROM {logs}""",
 )
 
-register(
-    "canon_tx",
-    lambda f: enc.canon_tx(
-        f.tx.select(*TX, F.upper("from_address").alias("from_address"), F.upper("to_address").alias("to_address"), F.when(F.col("order_key") % 2 == 0, F.col("order_key")).alias("nonce"), F.when(F.col("tx_type") > 0, F.col("tx_type")).alias("tx_type"), F.when(F.col("status") == 1, F.col("value_units")).alias("value"), F.lit(None).cast("string").alias("input"))
-    ),
-    """
-SELECT chain_id, block_number, transaction_index, from_address, to_address, CASE WHEN order_key % 2 = 0 THEN order_key ELSE 0 END AS nonce, tx_type,
-       CASE WHEN status = 1 THEN value_hex ELSE '0x0' END AS value, '0x' AS input FROM {tx}""",
-)
+
+
+def raw_transactions(f: Fixtures) -> DataFrame:
+    """Transactions with their receipts' columns as the wire has them."""
+    k, n = F.col("order_key"), F.col("value_units").cast("string")
+    return f.tx.select(
+        "chain_id", "block_number", F.concat(F.lit("0xh"), F.col("block_number").cast("string")).alias("block_hash"), F.col("transaction_index").alias("transactionIndex"), F.col("tx_hash").alias("hash"),
+        F.upper("from_address").alias("from"), F.when(k % 10 == 3, "").otherwise(F.upper("to_address")).alias("to"), F.when(k % 3 != 0, F.lit("0xAB")).alias("input"), F.when(F.col("status") == 1, n).alias("value"),
+        F.when(k % 2 == 0, k).alias("nonce"), (k * 21).cast("string").alias("gas"), F.when(F.col("tx_type") < 2, n).alias("gasPrice"), F.when(F.col("tx_type") >= 2, F.concat(n, F.lit("0" * 20))).alias("maxFeePerGas"),
+        F.when(F.col("tx_type") > 0, F.col("tx_type")).alias("type"), F.concat(F.lit("0xR"), n).alias("r"), F.concat(F.lit("0xS"), n).alias("s"), (k % 2).cast("string").alias("v"), F.when(k % 4 == 0, F.lit("0x1")).alias("yParity"),
+        F.when(k % 7 != 0, F.array(F.struct(F.col("from_address").alias("address"), F.array(F.lit("0x1"), F.lit("0x2")).alias("storageKeys")))).alias("accessList"),
+        F.when(k % 3 == 0, F.col("status").cast("string")).when(k % 3 == 1, F.concat(F.lit("0x"), F.col("status").cast("string"))).otherwise((F.col("status") == 1).cast("string")).alias("status"),
+        (k * 100).cast("string").alias("cumulativeGasUsed"), n.alias("effectiveGasPrice"), (k + 7).cast("string").alias("gasUsed"), F.when(F.col("to_address").isNull(), F.upper(F.substring("tx_hash", 1, 42))).alias("contractAddress"),
+        F.concat(F.lit("0xB"), n).alias("logsBloom"),
+    )
+
+
+def _canon_tx(f: Fixtures) -> DataFrame:
+    lists = F.array_join(F.transform("access_list", lambda x: F.concat(x["address"], F.lit(":"), F.array_join(x["storageKeys"], "+"))), ",")
+    return enc.canon_tx(raw_transactions(f)).withColumn("access_list", lists)
+
+
+SIDES = "lower(from_address) AS from_address, CASE WHEN order_key % 10 <> 3 THEN to_address END AS to_address"
+register("canon_tx", _canon_tx, f"""
+SELECT chain_id, block_number, '0xh' || CAST(block_number AS STRING) AS block_hash, transaction_index, tx_hash, {SIDES}, CASE WHEN order_key % 3 <> 0 THEN '0xAB' ELSE '0x' END AS input, {HEX("order_key * 21")} AS gas,
+       CASE WHEN order_key % 2 = 0 THEN {HEX("order_key")} ELSE '0x0' END AS nonce, CASE WHEN status = 1 THEN value_hex ELSE '0x0' END AS value, {HEX("CAST(tx_type AS BIGINT)")} AS tx_type,
+       CASE WHEN tx_type < 2 THEN value_hex END AS gas_price, CASE WHEN tx_type >= 2 THEN {HEX("CAST(value_units AS HUGEINT) * 100000000000000000000")} END AS max_fee_per_gas, CAST(NULL AS STRING) AS max_priority_fee_per_gas,
+       {HEX("CAST(order_key % 2 AS BIGINT)")} AS v, CASE WHEN order_key % 4 = 0 THEN '0x1' END AS y_parity, '0xR' || CAST(value_units AS STRING) AS r, '0xS' || CAST(value_units AS STRING) AS s,
+       CASE WHEN tx_type IN (1, 2, 3, 4) AND order_key % 7 <> 0 THEN from_address || ':0x1+0x2' END AS access_list FROM {{tx}}""")
 
 register(
     "gate_access_list",
@@ -287,35 +336,79 @@ register(
     "SELECT chain_id, block_number, transaction_index FROM {tx} WHERE tx_type IN (1, 2, 3, 4) AND order_key % 7 = 0 AND chain_id <> 2",
 )
 
-register(
-    "canon_receipt",
-    lambda f: enc.canon_receipt(f.receipts.withColumn("status", F.when(F.col("transaction_index") % 2 == 0, F.concat(F.lit("0x"), F.col("status").cast("string"))).otherwise(F.when(F.col("status") == 1, "true").otherwise("false")))),
-    """
-SELECT chain_id, block_number, transaction_index, tx_hash, CASE WHEN status = 1 THEN '0x1' ELSE '0x0' END AS status, '0x' || lower(hex(gas_used)) AS gas_used,
-       lower(contract_address) AS contract_address FROM {receipts}""",
-)
+register("canon_receipt", lambda f: enc.canon_receipt(raw_transactions(f)), f"""
+SELECT chain_id, block_number, '0xh' || CAST(block_number AS STRING) AS block_hash, transaction_index, tx_hash, {SIDES}, CASE WHEN to_address IS NULL THEN lower(substring(tx_hash, 1, 42)) END AS contract_address,
+       '0xB' || CAST(value_units AS STRING) AS logs_bloom, {HEX("order_key + 7")} AS gas_used, {HEX("order_key * 100")} AS cumulative_gas_used, value_hex AS effective_gas_price, {HEX("CAST(tx_type AS BIGINT)")} AS tx_type,
+       CASE WHEN status = 1 THEN '0x1' ELSE '0x0' END AS status FROM {{tx}}""")
+
+
+def raw_traces(f: Fixtures) -> DataFrame:
+    """Traces as the wire has them: odd frames nested, even ones flattened; every field has a value of its own."""
+    k, odd = F.col("frame_key"), F.col("frame_key") % 2 == 1
+    text = lambda name: F.concat(F.lit(f"0x{name}"), k.cast("string"))
+    call = F.get(F.array(*map(F.lit, ("call", "delegatecall", "staticcall", "callcode", "weird"))), (k % 7 - 1).cast("int"))
+    action = F.struct(
+        F.upper("sender").alias("from"), F.upper("address").alias("to"), F.col("value_hex").alias("value"), F.col("gas").cast("string").alias("gas"), text("IN").alias("input"), call.alias("callType"), text("INIT").alias("init"),
+        text("SELF").alias("address"), text("REFUND").alias("refundAddress"), (k + 5).cast("string").alias("balance"),
+    )
+    result = F.struct((k % 1000).cast("string").alias("gasUsed"), text("OUT").alias("output"), text("MADE").alias("address"), text("CODE").alias("code"))
+    flat = {
+        "callFrom": F.upper("sender"), "callTo": F.col("address"), "callValue": F.col("value_hex"), "callGas": F.col("gas").cast("string"), "callInput": text("in"), "callCallType": call, "callResultGasUsed": (k % 900).cast("string"),
+        "callResultOutput": text("out"), "createFrom": text("CF"), "createValue": F.lit("0x9"), "createGas": F.lit("77"), "createInit": text("init"), "createResultGasUsed": F.lit("78"), "createResultCode": text("code"),
+        "createResultAddress": text("MADE"), "suicideAddress": text("SF"), "suicideRefundAddress": text("SR"), "suicideBalance": F.lit("0"),
+    }
+    kind = F.get(F.array(*map(F.lit, ("call", "create", "suicide", "reward", "other"))), (F.floor(k / 2) % 5).cast("int"))
+    return f.calls.select(
+        *TX, "frame_key", kind.alias("type"), F.col("own_error").alias("error"), F.when(odd, action).alias("action"), F.when(odd & (k % 11 != 0), result).alias("result"),
+        *(F.when(~odd, c).alias(n) for n, c in flat.items()),
+    )
 
-register(
-    "canon_trace",
-    lambda f: enc.canon_trace(
-        f.calls.select(
-            *TX, "frame_key", F.element_at(F.array(*map(F.lit, ("call", "create", "suicide", "reward"))), (F.col("frame_key") % 4 + 1).cast("int")).alias("type"),
-            F.element_at(F.array(*map(F.lit, ("call", "delegatecall", "staticcall", "callcode"))), (F.col("frame_key") % 16 / 4).cast("int") + 1).alias("call_type"),
-            F.when(F.col("depth") > 0, F.struct(F.upper("sender").alias("from"), F.col("address").alias("to"), F.col("value_hex").alias("value"), F.lit(None).cast("string").alias("callType"))).alias("action"),
-            F.col("sender").alias("from_address"), F.col("address").alias("to_address"), F.col("value_hex").alias("value"),
-        )
-    ),
-    """
-SELECT chain_id, block_number, transaction_index, frame_key,
-       CASE frame_key % 4 WHEN 1 THEN 'CREATE' WHEN 2 THEN 'SELFDESTRUCT'
-         ELSE CASE CAST(floor(frame_key % 16 / 4.0) AS INT) WHEN 0 THEN 'CALL' WHEN 1 THEN 'DELEGATECALL' WHEN 2 THEN 'STATICCALL' ELSE 'CALLCODE' END END AS frame_type,
-       lower(sender) AS from_address, address AS to_address, value_hex AS value
-FROM {calls} WHERE frame_key % 4 <> 3""",
-)
 
-register("decode_events", lambda f: enc.decode_events(f.logs, f.signatures).select("chain_id", "block_number", "log_index", "event_name", "arg1", "arg2", "arg3"), """
-SELECT chain_id, block_number, log_index, name AS event_name, topic1 AS arg1, '0x' || substring(data, 3, 64) AS arg2, '0x' || substring(data, 67, 64) AS arg3
-FROM {logs} l JOIN {signatures} s ON s.topic0 = l.topic0""")
+register("canon_trace", lambda f: enc.canon_trace(raw_traces(f)), f"""
+WITH c AS (SELECT *, CAST(floor(frame_key / 2.0) AS BIGINT) % 5 AS t, frame_key % 2 = 1 AS odd, frame_key % 2 = 1 AND frame_key % 11 <> 0 AS done, CAST(frame_key AS STRING) AS k FROM {{calls}})
+SELECT chain_id, block_number, transaction_index, frame_key, own_error AS error,
+       CASE t WHEN 1 THEN 'CREATE' WHEN 2 THEN 'SELFDESTRUCT' ELSE CASE frame_key % 7 WHEN 2 THEN 'DELEGATECALL' WHEN 3 THEN 'STATICCALL' WHEN 4 THEN 'CALLCODE' ELSE 'CALL' END END AS frame_type,
+       CASE t WHEN 0 THEN sender WHEN 1 THEN CASE WHEN odd THEN sender ELSE '0xcf' || k END ELSE CASE WHEN odd THEN '0xself' || k ELSE '0xsf' || k END END AS from_address,
+       CASE t WHEN 0 THEN address WHEN 1 THEN CASE WHEN NOT odd OR done THEN '0xmade' || k END ELSE CASE WHEN odd THEN '0xrefund' || k ELSE '0xsr' || k END END AS to_address,
+       CASE t WHEN 0 THEN value_hex WHEN 1 THEN CASE WHEN odd THEN value_hex ELSE '0x9' END ELSE CASE WHEN odd THEN {HEX("frame_key + 5")} ELSE '0x0' END END AS value,
+       CASE t WHEN 2 THEN '0x0' ELSE CASE WHEN t = 0 OR odd THEN {HEX("CAST(gas AS BIGINT)")} ELSE '0x4d' END END AS gas,
+       CASE t WHEN 2 THEN '0x0' WHEN 0 THEN CASE WHEN done THEN {HEX("frame_key % 1000")} WHEN odd THEN '0x0' ELSE {HEX("frame_key % 900")} END ELSE CASE WHEN done THEN {HEX("frame_key % 1000")} WHEN odd THEN '0x0' ELSE '0x4e' END END AS gas_used,
+       CASE t WHEN 2 THEN '0x' WHEN 0 THEN CASE WHEN odd THEN '0xIN' || k ELSE '0xin' || k END ELSE CASE WHEN odd THEN '0xINIT' || k ELSE '0xinit' || k END END AS input,
+       CASE t WHEN 0 THEN CASE WHEN done THEN '0xOUT' || k WHEN NOT odd THEN '0xout' || k END WHEN 1 THEN CASE WHEN done THEN '0xCODE' || k WHEN NOT odd THEN '0xcode' || k END END AS output
+FROM c WHERE t < 3""")
+
+
+def event_logs(f: Fixtures) -> DataFrame:
+    """Logs with a head of five words: an amount, an account, a flag, and the places of a text and of a list."""
+    word = lambda c: F.lpad(F.lower(F.hex(c.cast("bigint"))), 64, "0")
+    note = F.concat(F.lit("é "), F.col("event_code"), F.col("line_no").cast("string"))
+    size = F.octet_length(note)
+    tags = F.when(F.col("line_no") == 1, word(F.lit(0))).otherwise(F.concat(word(F.lit(2)), word(F.col("line_no")), word(F.col("supp_key"))))
+    data = F.concat(F.lit("0x"), F.substring("data", 3, 64), F.substring("topic2", 3, 64), word(F.col("line_no") % 2), word(F.lit(160)), word(F.lit(224)), word(size), F.rpad(F.lower(F.hex(note)), 64, "0"), tags)
+    return f.logs.withColumn("data", F.when(F.col("line_no") == 6, F.substring(data, 1, 2 + 64)).otherwise(data))
+
+
+def _signatures(f: Fixtures) -> DataFrame:
+    args = [("part", "uint256", True), ("vault", "address", True), ("line", "uint8", True), ("amount", "uint256", False), ("account", "address", False), ("", "bool", False), ("note", "string", False), ("tags", "uint256[]", False)]
+    other = [("key", "bytes4", True), ("amount", "bytes32", False)]
+    spec = lambda own: F.array(*(F.struct(F.lit(n).alias("name"), F.lit(t).alias("type"), F.lit(i).alias("indexed")) for n, t, i in own))
+    return f.signatures.withColumn("args", F.when(F.col("code") == "AO", spec(other)).otherwise(spec(args)))
+
+
+def _decoded_events(f: Fixtures) -> DataFrame:
+    names = ("part", "vault", "line", "amount", "account", "word2", "note", "tags", "key")
+    return enc.decode_events(event_logs(f), _signatures(f)).select("chain_id", "block_number", "log_index", "event_name", *(F.col("args")[n].alias(n) for n in names))
+
+
+_TRIMMED = "'0x' || regexp_replace(substring({}, 3), '^0+(.)', '\\1')".format
+register("decode_events", _decoded_events, f"""
+WITH d AS (SELECT l.*, s.name AS event_name, code = 'AO' AS ao, line_no = 6 AS short FROM {{logs}} l JOIN {{signatures}} s ON s.topic0 = l.topic0)
+SELECT chain_id, block_number, log_index, event_name, CASE WHEN NOT ao THEN {_TRIMMED("topic1")} END AS part, CASE WHEN NOT ao THEN address END AS vault,
+       CASE WHEN NOT ao THEN {_TRIMMED("topic3")} END AS line, CASE WHEN ao THEN '0x' || substring(data, 3, 64) ELSE {_TRIMMED("substring(data, 1, 66)")} END AS amount,
+       CASE WHEN NOT ao AND NOT short THEN address END AS account, CASE WHEN NOT ao AND NOT short THEN CASE line_no % 2 WHEN 0 THEN 'false' ELSE 'true' END END AS word2,
+       CASE WHEN NOT ao AND NOT short THEN 'é ' || event_code || CAST(line_no AS STRING) END AS note,
+       CASE WHEN NOT ao AND NOT short THEN CASE WHEN line_no = 1 THEN '' ELSE {HEX("CAST(line_no AS BIGINT)")} || ',' || {HEX("CAST(supp_key AS BIGINT)")} END END AS tags,
+       CASE WHEN ao THEN '0x' || substring(topic1, 3, 8) END AS key FROM d""")
 
 register(
     "child_address",

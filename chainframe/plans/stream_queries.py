@@ -33,12 +33,12 @@ def items(f: Fixtures) -> DataFrame:
     return d.unionByName(finals)
 
 
-def reconciled(f: Fixtures, rows: DataFrame) -> DataFrame:
+def reconciled(f: Fixtures, rows: DataFrame, **limits) -> DataFrame:
     """All events of ``rows`` through the stream."""
     reconcile.use_rocksdb(f.spark)
     base = folder(f)
     reconcile.ordered_items(rows, f"{base}/in")
-    stream = reconcile.stream_reconcile(sinks.stream_blocks(f.spark, f"{base}/in", reconcile.ITEM, files_per_batch=1))
+    stream = reconcile.stream_reconcile(sinks.stream_blocks(f.spark, f"{base}/in", reconcile.ITEM, files_per_batch=1), **limits)
     sinks.run_available(stream, lambda df, i: sinks.write_batch(df, i, f"{base}/log"), f"{base}/checkpoint")
     return sinks.log_of(f.spark, f"{base}/log", LOG_SCHEMA).drop("batch_id")
 
@@ -99,9 +99,9 @@ register(
 
 def stream_dedupe(f: Fixtures) -> DataFrame:
     base = folder(f)
-    one = f.tx.select("chain_id", "tx_hash")
+    one = f.tx.select("chain_id", "tx_hash", F.timestamp_seconds(1700000000 + F.col("block_number") * 12).alias("at"))
     one.unionByName(one.where("chain_id = 3")).write.parquet(f"{base}/in")
-    stream = sinks.stream_dedupe(f.spark.readStream.schema(one.schema).parquet(f"{base}/in"), ["chain_id", "tx_hash"])
+    stream = sinks.stream_dedupe(f.spark.readStream.schema(one.schema).parquet(f"{base}/in"), ["chain_id", "tx_hash"], "at", "3650 days")
     sinks.run_available(stream, lambda df, i: sinks.write_batch(df, i, f"{base}/out"), f"{base}/checkpoint")
     return f.spark.read.parquet(f"{base}/out").select("chain_id", "tx_hash")
 
@@ -119,8 +119,8 @@ def stalled_items(f: Fixtures) -> DataFrame:
     return blocks.unionByName(finals)
 
 
-register("stream_progress_watchdog", lambda f: reconcile.stream_progress_watchdog(reconciled(f, stalled_items(f))).select("number"), """
-SELECT event_id + 1 AS number FROM {events} WHERE event_id + 1 BETWEEN 450 AND 590 AND event_id % 10 = 0 AND event_id + 1 >= 516 AND (event_id + 1) * 12 - 500 * 12 > 300""")
+register("stream_progress_watchdog", lambda f: reconcile.stream_progress_watchdog(reconciled(f, stalled_items(f), fail=False, stall_seconds=300)).select("number"), """
+SELECT event_id + 1 AS number FROM {events} WHERE event_id + 1 BETWEEN 450 AND 590 AND event_id % 10 = 0 AND event_id + 1 >= 516 AND (event_id + 1) * 12 - 500 * 12 >= 300""")
 
 
 def withheld_items(f: Fixtures) -> DataFrame:
@@ -134,8 +134,8 @@ def withheld_items(f: Fixtures) -> DataFrame:
 
 
 # the last delivery before the heads of a span is its block 500
-register("stream_progress_watchdog_all", lambda f: reconcile.stream_progress_watchdog(reconciled(f, withheld_items(f))).select("number"), """
-SELECT event_id + 1 AS number FROM {events} WHERE (event_id + 1) % 1000 BETWEEN 516 AND 599 AND event_id % 10 = 0 AND ((event_id + 1) % 1000 - 500) * 12 > 300""")
+register("stream_progress_watchdog_all", lambda f: reconcile.stream_progress_watchdog(reconciled(f, withheld_items(f), fail=False, stall_seconds=300)).select("number"), """
+SELECT event_id + 1 AS number FROM {events} WHERE (event_id + 1) % 1000 BETWEEN 516 AND 599 AND event_id % 10 = 0 AND ((event_id + 1) % 1000 - 500) * 12 >= 300""")
 
 
 def stream_finalized_children(f: Fixtures) -> DataFrame:

@@ -69,7 +69,10 @@ register("bucket_digest", lambda f: agg.bucket_digest(f.tx.select(*TX_COLUMNS, "
 def tables_sql(*named: tuple[str, str]) -> str:
     return " UNION ALL ".join(
         f"""SELECT '{n}' AS table_name, CAST(sum(n_rows) AS BIGINT) AS n_rows,
-  md5(string_agg(CAST(chain_id AS STRING) || ':' || CAST(bucket AS STRING) || ':' || digest, chr(10) ORDER BY chain_id, bucket)) AS digest FROM ({q}) d{k}"""
+  md5(string_agg(CAST(chain_id AS STRING) || ':' || CAST(part AS STRING) || ':' || digest, chr(10) ORDER BY chain_id, part)) AS digest FROM (
+    SELECT chain_id, CAST(floor(bucket / {agg.FAN}.0) AS BIGINT) AS part, sum(n_rows) AS n_rows,
+           md5(string_agg(CAST(chain_id AS STRING) || ':' || CAST(bucket AS STRING) || ':' || digest, chr(10) ORDER BY bucket)) AS digest
+    FROM ({q}) d{k} GROUP BY chain_id, CAST(floor(bucket / {agg.FAN}.0) AS BIGINT)) g{k}"""
         for k, (n, q) in enumerate(named)
     )
 
@@ -233,27 +236,30 @@ FROM {heads} h LEFT JOIN {blocks} c ON c.chain_id = h.chain_id AND c.chain_id <>
 register("newest_row", lambda f: win.newest_row(f.blocks), "SELECT chain_id, block_number, block_ts FROM {blocks} b WHERE block_number = (SELECT max(block_number) FROM {blocks} x WHERE x.chain_id = b.chain_id)")
 
 
-def legs(f: Fixtures) -> DataFrame:
-    p = f.progress
-    a = p.where("leg = 0").select("run", F.col("max_block").alias("a"))
-    # the second leg stands still for a while, then catches up
-    b = p.where("leg = 1").select("run", F.when(F.col("run") % 20 < 12, F.col("max_block")).otherwise(F.col("max_block") - F.col("run") % 20 * 90 + 990).alias("b"))
-    return a.join(b, "run", "full_outer").withColumn("series", F.lit("chain"))
-
-
+# what a run is by itself, then a walk over the runs of a series
 STATES = """
-WITH l AS (SELECT a.run, a.max_block AS a, CASE WHEN b.run % 20 < 12 THEN b.max_block ELSE b.max_block - b.run % 20 * 90 + 990 END AS b
-  FROM (SELECT * FROM {progress} WHERE leg = 0) a FULL JOIN (SELECT * FROM {progress} WHERE leg = 1) b ON a.run = b.run),
-s AS (SELECT *, abs(a - b) AS skew, coalesce(abs(a - b) > 60, FALSE) AS apart, least(a, b) AS lg, lag(least(a, b)) OVER (ORDER BY run) AS lb, lag(abs(a - b)) OVER (ORDER BY run) AS sb,
-        coalesce(a - lag(a) OVER (ORDER BY run), 1) <> 0 OR coalesce(b - lag(b) OVER (ORDER BY run), 1) <> 0 AS moved FROM l),
-t AS (SELECT *, sum(CASE WHEN apart THEN 0 ELSE 1 END) OVER (ORDER BY run) AS stretch FROM s),
-u AS (SELECT *, sum(CASE WHEN apart THEN 1 ELSE 0 END) OVER (PARTITION BY stretch ORDER BY run) AS k FROM t),
-v AS (SELECT *, CASE WHEN a IS NULL OR b IS NULL THEN 'one-sided-empty' WHEN NOT apart AND NOT moved THEN 'quiescent' WHEN NOT apart THEN 'in-skew' WHEN k < 2 THEN 'arming'
-        WHEN skew < sb THEN 'catching-up' WHEN lg = lb THEN 'frozen' WHEN skew > sb THEN 'skew-growing' ELSE 'lagging-constant' END AS state FROM u),
-w AS (SELECT *, CASE WHEN state IN ('frozen', 'skew-growing', 'one-sided-empty') THEN 1 WHEN state IN ('in-skew', 'quiescent') THEN 0 END AS e FROM v),
-x AS (SELECT *, count(e) OVER (ORDER BY run) AS g FROM w)
-SELECT 'chain' AS series, run, a, b, skew, state, coalesce(max(e) OVER (PARTITION BY g), 0) = 1 AS failing FROM x"""
-register("progress_stagnation", lambda f: win.progress_stagnation(legs(f), ["series"], "run", "a", "b", tolerance=60), STATES)
+WITH RECURSIVE n AS (SELECT *, row_number() OVER (PARTITION BY series ORDER BY run) AS k FROM {legs}),
+c AS (SELECT *, last_value(a IGNORE NULLS) OVER (PARTITION BY series ORDER BY run ROWS UNBOUNDED PRECEDING) AS a1, last_value(b IGNORE NULLS) OVER (PARTITION BY series ORDER BY run ROWS UNBOUNDED PRECEDING) AS b1,
+        count(a) OVER (PARTITION BY series ORDER BY run ROWS UNBOUNDED PRECEDING) AS ca, count(b) OVER (PARTITION BY series ORDER BY run ROWS UNBOUNDED PRECEDING) AS cb FROM n),
+d AS (SELECT *, lag(a1) OVER (PARTITION BY series ORDER BY run) AS a0, lag(b1) OVER (PARTITION BY series ORDER BY run) AS b0,
+        at_s - min(CASE WHEN a IS NULL AND coalesce(a1, b1) IS NOT NULL THEN at_s END) OVER (PARTITION BY series, ca) AS ea,
+        at_s - min(CASE WHEN b IS NULL AND coalesce(a1, b1) IS NOT NULL THEN at_s END) OVER (PARTITION BY series, cb) AS eb FROM c),
+e AS (SELECT *, coalesce(a1 > a0, FALSE) AS ma, coalesce(b1 > b0, FALSE) AS mb, abs(a - b) AS skew, coalesce(abs(a1 - b1) > abs(a0 - b0), FALSE) AS grew, coalesce(abs(a1 - b1) < abs(a0 - b0), FALSE) AS shrank FROM d),
+f AS (SELECT *, CASE WHEN a IS NULL AND b IS NULL THEN 'both-empty'
+    WHEN a IS NULL THEN CASE WHEN ea > 250 AND mb THEN 'one-sided-empty' ELSE 'empty-arming' END
+    WHEN b IS NULL THEN CASE WHEN eb > 250 AND ma THEN 'one-sided-empty' ELSE 'empty-arming' END
+    WHEN skew <= 250 THEN 'both-populated-in-skew' WHEN a0 IS NULL OR b0 IS NULL THEN 'skew-above-threshold-arming'
+    WHEN ma AND NOT mb OR mb AND NOT ma THEN 'frozen' WHEN grew THEN 'skew-growing' WHEN NOT ma THEN 'mutually-quiescent'
+    WHEN shrank AND a1 <> b1 THEN 'catching-up' WHEN NOT shrank THEN 'lagging-constant' ELSE 'mutually-quiescent' END AS st FROM e),
+g AS (SELECT *, CASE st WHEN 'one-sided-empty' THEN CASE WHEN a IS NULL THEN 'A' ELSE 'B' END WHEN 'frozen' THEN CASE WHEN ma THEN 'B' ELSE 'A' END WHEN 'skew-growing' THEN CASE WHEN a1 < b1 THEN 'A' ELSE 'B' END END AS side FROM f),
+walk AS (
+  SELECT series, run, k, a, b, skew, st AS state, side IS NOT NULL AS failing, side AS stale_side, CASE WHEN side IS NOT NULL THEN st END AS cause FROM g WHERE k = 1
+  UNION ALL
+  SELECT g.series, g.run, g.k, g.a, g.b, g.skew, CASE WHEN w.failing AND NOT CASE w.stale_side WHEN 'A' THEN g.ra ELSE g.rb END THEN 'wedge-unrecovered' ELSE g.st END, CASE WHEN w.failing AND NOT CASE w.stale_side WHEN 'A' THEN g.ra ELSE g.rb END THEN TRUE ELSE g.side IS NOT NULL END,
+         CASE WHEN w.failing AND NOT CASE w.stale_side WHEN 'A' THEN g.ra ELSE g.rb END THEN w.stale_side ELSE g.side END, CASE WHEN w.failing AND NOT CASE w.stale_side WHEN 'A' THEN g.ra ELSE g.rb END THEN w.cause WHEN g.side IS NOT NULL THEN g.st END
+  FROM walk w JOIN (SELECT *, skew IS NOT NULL AND (skew <= 250 OR ma AND NOT grew) AS ra, skew IS NOT NULL AND (skew <= 250 OR mb AND NOT grew) AS rb FROM g) g ON g.series = w.series AND g.k = w.k + 1)
+SELECT series, run, a, b, skew, state, failing, stale_side, cause FROM walk"""
+register("progress_stagnation", lambda f: win.progress_stagnation(f.legs, ["series"], "run", "a", "b", "at_s", threshold=250), STATES)
 
 CANONICAL = """
 SELECT seq, number, hash, parent_hash, coalesce(min(number) OVER (ORDER BY seq ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) <= number, FALSE) AS orphaned

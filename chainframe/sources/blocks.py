@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chainframe.schemas import NULLABLE_COLUMNS, RAW_BLOCK, RECEIPT_COLUMNS
+from chainframe.schemas import FAMILIES, NULLABLE_COLUMNS, RAW_BLOCK
 
 
 def read_block_ndjson(spark: SparkSession, path: str) -> DataFrame:
@@ -42,11 +42,17 @@ def bounded_window(filters: DataFrame, finalized: DataFrame) -> DataFrame:
     return wanted.join(heads, "chain_id", "left").select("chain_id", "start_block", F.least("wanted_end", "finalized").alias("end_block"))
 
 
-def project_families(transactions: DataFrame, want_receipts: bool, transaction_source: bool = False) -> DataFrame:
-    """Receipt columns only if a source wants receipts, or if transactions themselves are a source."""
-    if want_receipts or transaction_source:
-        return transactions
-    return transactions.drop(*RECEIPT_COLUMNS)
+def project_families(tables: dict[str, DataFrame], sources: set[str], want_receipts: bool = False) -> dict[str, DataFrame]:
+    """The families that ``sources`` (log, transaction, trace, transfer, block) need, each with its own columns only, so
+    that scans read no others. Headers are needed by all, transactions by all but block sources. A receipt's columns come
+    with transactions if a source wants receipts, and always if transactions are a source themselves."""
+    needed = {"blocks"} | ({"logs"} if "log" in sources else set()) | ({"traces"} if sources & {"trace", "transfer"} else set()) | ({"transactions"} if sources - {"block"} else set())
+    receipts = FAMILIES["receipts"] if want_receipts or "transaction" in sources else ()
+    out = {}
+    for name in sorted(needed & set(tables)):
+        wanted = {"chain_id", *FAMILIES[name], *(receipts if name == "transactions" else ())}
+        out[name] = tables[name].select(*(c for c in tables[name].columns if c in wanted))
+    return out
 
 
 def degrade_columns(parts: list[DataFrame], columns: dict[str, str]) -> DataFrame:

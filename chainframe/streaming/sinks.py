@@ -6,12 +6,13 @@ row counts once. Rollbacks are rows too; readers take each block's last word. No
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from chainframe.operators.filters import match_logs_factory
+from chainframe.operators.filters import child_logs
 from chainframe.operators.joins import dedupe_children_least, discover_children
 
 
@@ -44,6 +45,48 @@ def log_of(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], f"{schema}, batch_id bigint")
 
 
+#: Batches after which what a log says so far is written as one table.
+COMPACT = 20
+
+
+def state_before(spark: SparkSession, path: str, schema: str, batch_id: int, every: int = COMPACT) -> DataFrame:
+    """What the log says before a batch: the last whole table, and the batches since; at most ``every`` of these are read."""
+    last = batch_id // every * every - 1
+    since = log_of(spark, path, schema).where((F.col("batch_id") > last) & (F.col("batch_id") < batch_id)).drop("batch_id")
+    return since if last < 0 else spark.read.schema(schema).parquet(f"{path}-whole/{last}").unionByName(since)
+
+
+def compact(whole: DataFrame, batch_id: int, path: str, every: int = COMPACT) -> None:
+    """Write what the log says, this batch included, if it is this batch's turn. A batch that runs again writes the same."""
+    if batch_id % every == every - 1:
+        whole.write.mode("overwrite").parquet(f"{path}-whole/{batch_id}")
+
+
+def recorded(batch: Callable[[DataFrame, int], None], path: str) -> Callable[[DataFrame, int], None]:
+    """``batch`` with its times in the logs at ``path``/received and ``path``/committed: see stream_freshness. A batch that
+    fails is committed as not ok, and its error goes on."""
+
+    def row(df: DataFrame, batch_id: int, kind: str, **more) -> None:
+        now = df.sparkSession.range(1).select(F.lit(time.time_ns() // 1_000_000).alias("at_ms"), *(F.lit(v).alias(k) for k, v in more.items()))
+        write_batch(now, batch_id, f"{path}/{kind}")
+
+    def run(df: DataFrame, batch_id: int) -> None:
+        row(df, batch_id, "received")
+        try:
+            batch(df, batch_id)
+        except Exception:
+            row(df, batch_id, "committed", ok=False)
+            raise
+        row(df, batch_id, "committed", ok=True)
+
+    return run
+
+
+def freshness_of(spark: SparkSession, path: str) -> DataFrame:
+    """stream_freshness of what ``recorded`` wrote."""
+    return stream_freshness(log_of(spark, f"{path}/received", "at_ms bigint"), log_of(spark, f"{path}/committed", "at_ms bigint, ok boolean"))
+
+
 def run_available(stream: DataFrame, batch: Callable[[DataFrame, int], None], checkpoint: str) -> None:
     """Run the batches that are there, and stop."""
     q = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
@@ -71,17 +114,25 @@ def live_rows(rows: DataFrame, log: DataFrame) -> DataFrame:
     return rows.join(live, ["chain_id", "block_hash"], "left_semi").select(*rows.columns)
 
 
-def stream_children(factories: DataFrame, children_path: str, logs_path: str, location: str = "topic1") -> Callable[[DataFrame, int], None]:
-    """Sink of log batches: children found in a batch match logs of the same batch; each batch is done once."""
-    schema = "chain_id bigint, child string, created_block bigint"
+def live_children(children: DataFrame, log: DataFrame) -> DataFrame:
+    """(chain_id, child, created_block) of children (with block_hash) whose creating block is live: what a reorganisation
+    removed is pruned with the blocks it was found in, and comes back if the block does."""
+    return live_rows(children, log).groupBy("chain_id", "child").agg(F.min("created_block").alias("created_block"))
+
+
+def stream_children(factories: DataFrame, children_path: str, logs_path: str, location: str = "topic1", every: int = COMPACT) -> Callable[[DataFrame, int], None]:
+    """Sink of log batches: children found in a batch match logs of the same batch; each batch is done once. What is known
+    is read from a compacted table and the batches since."""
+    schema, keys = "chain_id bigint, child string, created_block bigint", ["chain_id", "child"]
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        spark = df.sparkSession
         df = df.persist()
-        own = discover_children(df, factories, location).groupBy("chain_id", "child").agg(F.min("created_block").alias("created_block"))
+        own = discover_children(df, factories, location).groupBy(*keys).agg(F.min("created_block").alias("created_block"))
         write_batch(own.select(F.col("chain_id").cast("bigint"), "child", F.col("created_block").cast("bigint")), batch_id, children_path)
-        known = log_of(spark, children_path, schema).groupBy("chain_id", "child").agg(F.min("created_block").alias("created_block"))
-        write_batch(match_logs_factory(df, known), batch_id, logs_path)
+        mine = df.sparkSession.read.schema(schema).parquet(f"{children_path}/batch_id={batch_id}")
+        known = state_before(df.sparkSession, children_path, schema, batch_id, every).unionByName(mine).groupBy(*keys).agg(F.min("created_block").alias("created_block"))
+        write_batch(child_logs(df, known), batch_id, logs_path)
+        compact(known, batch_id, children_path, every)
         df.unpersist()
 
     return batch
@@ -95,18 +146,22 @@ def stream_prune_children(children: DataFrame, reorgs: DataFrame) -> DataFrame:
     return j.where("ancestor IS NULL OR created_block <= ancestor").select(*children.columns)
 
 
-def stream_dedupe(stream: DataFrame, keys: list[str]) -> DataFrame:
-    """Each key once over the whole stream, such as transactions by hash: redelivered blocks do nothing."""
-    return stream.dropDuplicates(keys)
+def stream_dedupe(stream: DataFrame, keys: list[str], at: str, delay: str = "1 day") -> DataFrame:
+    """Each key once, such as transactions by hash: redelivered blocks do nothing. State is kept for ``delay`` of the time
+    ``at`` behind the latest row; blocks that old are final and aren't delivered again."""
+    return stream.withWatermark(at, delay).dropDuplicatesWithinWatermark(keys)
 
 
-def stream_finalized_children(path: str) -> Callable[[DataFrame, int], None]:
+def stream_finalized_children(path: str, every: int = COMPACT) -> Callable[[DataFrame, int], None]:
     """Sink of children (factory, chain_id, address, created_block) at finality: new ones, or known ones found earlier."""
     schema = "factory string, chain_id bigint, address string, created_block bigint"
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        stored = log_of(df.sparkSession, path, schema).where(F.col("batch_id") < batch_id)
-        write_batch(dedupe_children_least(df, stored.drop("batch_id")), batch_id, path)
+        spark = df.sparkSession
+        stored = state_before(spark, path, schema, batch_id, every)
+        write_batch(dedupe_children_least(df, stored), batch_id, path)
+        mine = spark.read.schema(schema).parquet(f"{path}/batch_id={batch_id}")
+        compact(stored.unionByName(mine).groupBy("factory", "chain_id", "address").agg(F.min("created_block").alias("created_block")), batch_id, path, every)
 
     return batch
 

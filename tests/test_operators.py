@@ -1,5 +1,6 @@
 """Hand-made rows: the cases that are easy to get wrong."""
 
+import json
 import random
 
 import pytest
@@ -64,9 +65,56 @@ def test_rank_is_preorder(spark):
 
 def test_factory_children(spark):
     logs = spark.createDataFrame([(1, 5, 0, "a"), (1, 9, 0, "a"), (2, 9, 0, "a"), (1, 9, 1, "b")], "chain_id long, block_number long, log_index long, address string")
-    children = spark.createDataFrame([(1, "a", 6)], "chain_id long, child string, created_block long")
-    assert rows(filters.match_logs_factory(logs, children)) == [(1, 9, 0, "a")]
-    assert rows(filters.match_logs_factory(logs, children.limit(0))) == []
+    children = spark.createDataFrame([("f", 1, "a", 6)], "factory_id string, chain_id long, child string, created_block long")
+    assert rows(filters.child_logs(logs, children)) == [(1, 9, 0, "a")]
+    assert rows(filters.child_logs(logs, children.limit(0))) == []
+    f = spark.createDataFrame([(1, "f"), (1, "none"), (1, None)], "chain_id long, address_factory string")
+    assert rows(filters.match_logs_factory(logs, f, children)) == [(1, 9, 0, "a")]
+    assert rows(filters.match_logs_factory(logs, f.where("address_factory = 'none'"), children)) == []
+    assert rows(filters.match_logs_factory(logs, f.where("address_factory = 'f'"), children.limit(0))) == []
+
+
+def test_filters_by_factory_keep_to_their_own_children(spark):
+    logs = spark.createDataFrame([(1, 9, k, a, ["0xT", "0x1", None, "0x3"][: 2 + k % 3]) for k, a in enumerate("ABABAB")], "chain_id long, block_number long, log_index long, address string, topics array<string>")
+    children = spark.createDataFrame([("f", 1, "a", 6), ("g", 1, "b", 6), ("g", 1, "a", 10)], "factory_id string, chain_id long, child string, created_block long")
+    f = spark.createDataFrame([(1, "g", ["0xt", "0xu"], None, None, 20), (1, "f", None, ["0x3"], 9, None)], "chain_id long, address_factory string, topic0 array<string>, topic3 array<string>, from_block long, to_block long")
+    assert [r[2] for r in rows(filters.match_logs_factory(logs, f, children))] == [1, 2, 3, 5]  # b by g; a with a third topic by f
+    assert rows(filters.match_logs_factory(logs, f.where("address_factory = 'f'"), children))[0][2] == 2
+
+
+def test_both_sides_of_one_filter(spark):
+    txs = spark.createDataFrame([(1, b, k, x, y) for b in (3, 8) for k, (x, y) in enumerate([("X", "y"), ("x", "z"), ("w", "y"), ("w", None), ("w", "z")])], f"{TX}, from_address string, to_address string")
+    children = spark.createDataFrame([("f", 1, "y", 5), ("f", 1, "w", 0), ("g", 1, "z", 0)], "factory_id string, chain_id long, child string, created_block long")
+    schema = "chain_id long, from_address array<string>, from_address_factory string, to_address array<string>, to_address_factory string, from_block long, to_block long"
+
+    def found(*own):
+        return [r[1:3] for r in rows(filters.match_transactions(txs, spark.createDataFrame([(1, *o, None, None) for o in own], schema), children))]
+
+    assert found((["x"], None, None, "f")) == [(8, 0)]  # y is a child from block 5 on
+    assert found((None, "f", None, "g")) == [(3, 4), (8, 4)]
+    assert found((None, "f", ["y", "q"], None)) == [(3, 2), (8, 2)]
+    assert found((["x", "v"], None, ["z"], None), (None, None, None, None)) == [(3, 1), (8, 1)]
+    assert found((["w"], None, ["z"], None), (["x"], None, ["y"], None)) == [(3, 0), (3, 4), (8, 0), (8, 4)]  # not the sender of one and the recipient of the other
+
+
+def test_the_range_of_all_filters_reaches_the_files(spark, tmp_path):
+    logs = spark.range(100).select(F.lit(1).cast("long").alias("chain_id"), F.col("id").alias("block_number"), F.lit("a").alias("address"), F.lit("t").alias("topic0"))
+    logs.write.parquet(str(tmp_path / "l"))
+    f = spark.createDataFrame([(1, "a", 10, 20), (1, "b", 15, 30)], "chain_id long, address string, from_block long, to_block long")
+    got = filters.match_logs(spark.read.parquet(str(tmp_path / "l")), f)
+    assert sorted(r.block_number for r in got.collect()) == list(range(10, 21))
+    scan = [line for line in got._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan parquet" in line and "block_number" in line]
+    assert scan and "block_number" in scan[0].split("DataFilters")[1] and "subquery" in scan[0].split("DataFilters")[1]
+
+
+def test_factories_have_their_own_places(spark):
+    word = lambda n: f"{n:064x}"
+    logs = spark.createDataFrame([(1, 4, "0xF", "0xT", word(1), "0x" + word(2) + word(3)), (1, 3, "0xf", "0xt", "0x" + word(1), "0x" + word(2) + word(3)), (1, 2, "0xe", "0xt", "0x" + word(9), "0x" + word(9))], "chain_id long, block_number long, address string, topic0 string, topic1 string, data string")
+    f = spark.createDataFrame([("a", 1, ["0xf", "0xq"], "0xT", None, None, "topic1"), ("b", 1, ["0xf"], "0xt", None, None, "offset32"), ("c", 1, None, "0xt", None, 2, None)], "factory_id string, chain_id long, address array<string>, topic0 string, from_block long, to_block long, location string")
+    got = {(r.factory_id, int(r.child, 16), r.created_block) for r in joins.discover_children(logs, f).collect()}
+    assert got == {("a", 1, 3), ("b", 3, 3), ("c", 9, 2)}
+    with pytest.raises(Exception, match="unknown location"):
+        joins.discover_children(logs, f.withColumn("location", F.lit("data1"))).collect()
 
 
 def test_match_transactions_null_recipient(spark):
@@ -114,12 +162,55 @@ def test_malformed_line_is_an_error(spark, tmp_path):
 
 
 def test_raw_traces_nested_and_flat(spark, tmp_path):
-    (tmp_path / "a.json").write_text(
-        '{"header":{"number":7,"hash":"0xA","timestamp":3},"traces":[{"transactionIndex":0,"traceAddress":[],"type":"call","action":{"from":"0xAB","to":"0xCD","value":"0x5","callType":"delegatecall"}},{"transactionIndex":null,"type":"reward"}]}\n'
-    )
+    traces = [
+        {"transactionIndex": 0, "traceAddress": [], "type": "call", "action": {"from": "0xAB", "to": "0xCD", "value": "0x5", "callType": "delegatecall", "gas": "0x10", "input": "0xff"}, "result": {"gasUsed": "0x7", "output": "0x1"}},
+        {"transactionIndex": 0, "traceAddress": [0], "type": "create", "error": "oops", "action": {"from": "0xAB", "value": "0x0", "gas": "0x9", "init": "0x60"}, "result": {"address": "0xNEW", "code": "0x61", "gasUsed": "0x8"}},
+        {"transactionIndex": 0, "traceAddress": [1], "type": "suicide", "action": {"address": "0xDEAD", "refundAddress": "0xBEEF", "balance": "18446744073709551616"}},
+        {"transactionIndex": 0, "traceAddress": [2], "type": "call", "callFrom": "0xA", "callTo": "0xB", "callValue": "7", "callGas": "12", "callCallType": "staticcall"},
+        {"transactionIndex": 0, "traceAddress": [3], "type": "suicide", "suicideAddress": "0xA", "suicideRefundAddress": "0xB", "suicideBalance": "0x"},
+        {"transactionIndex": 0, "traceAddress": [4], "type": "call", "action": {"from": "0xa", "callType": "weird"}},
+        {"transactionIndex": None, "type": "reward"}, {"transactionIndex": 0, "type": "daofork"},
+    ]
+    (tmp_path / "a.json").write_text(json.dumps({"header": {"number": 7, "hash": "0xA", "timestamp": 3}, "traces": traces}) + "\n")
     t = src.explode_block(src.read_block_ndjson(spark, str(tmp_path)))["traces"].withColumn("chain_id", F.lit(1))
-    got = enc.canon_trace(t).select("block_number", "frame_type", "from_address", "to_address", "value").collect()
-    assert [tuple(r) for r in got] == [(7, "DELEGATECALL", "0xab", "0xcd", "0x5")]
+    got = enc.canon_trace(t).orderBy("traceAddress").select("frame_type", "from_address", "to_address", "value", "gas", "gas_used", "input", "output", "error").collect()
+    assert [tuple(r) for r in got] == [
+        ("DELEGATECALL", "0xab", "0xcd", "0x5", "0x10", "0x7", "0xff", "0x1", None), ("CREATE", "0xab", "0xnew", "0x0", "0x9", "0x8", "0x60", "0x61", "oops"),
+        ("SELFDESTRUCT", "0xdead", "0xbeef", "0x10000000000000000", "0x0", "0x0", "0x", None, None), ("STATICCALL", "0xa", "0xb", "0x7", "0xc", "0x0", "0x", None, None),
+        ("SELFDESTRUCT", "0xa", "0xb", "0x0", "0x0", "0x0", "0x", None, None), ("CALL", "0xa", None, None, "0x0", "0x0", "0x", None, None),
+    ]
+
+
+def test_raw_block_has_all_fields(spark, tmp_path):
+    header = {"number": 7, "hash": "0xA", "parentHash": "0xP", "timestamp": 3, "logsBloom": "0xb", "miner": "0xM", "gasUsed": "100", "gasLimit": "0x64", "baseFeePerGas": None, "nonce": "0x0", "mixHash": "0x1", "stateRoot": "0x2",
+              "receiptsRoot": "0x3", "transactionsRoot": "0x4", "sha3Uncles": "0x5", "size": 600, "difficulty": "0", "totalDifficulty": str(2**70), "extraData": "0x"}
+    tx = {"transactionIndex": 0, "hash": "0xT", "from": "0xF", "to": None, "gas": "21000", "gasPrice": "5", "maxFeePerGas": "9", "maxPriorityFeePerGas": "1", "type": 2, "r": "0xr", "s": "0xs", "v": "0x1", "yParity": "0x1", "accessList": [],
+          "status": 1, "cumulativeGasUsed": "21000", "effectiveGasPrice": "5", "gasUsed": "21000", "contractAddress": "0xC", "logsBloom": "0xb"}
+    (tmp_path / "a.json").write_text(json.dumps({"header": header, "transactions": [tx]}) + "\n")
+    parts = src.explode_block(src.read_block_ndjson(spark, str(tmp_path)).withColumn("chain_id", F.lit(1)))
+    b = enc.canon_block(parts["headers"]).first()
+    assert (b.gas_used, b.gas_limit, b.base_fee, b.size, b.difficulty, b.total_difficulty, b.mix_hash, b.extra_data) == ("0x64", "0x64", None, "0x258", "0x0", hex(2**70), "0x1", "0x")
+    t = enc.canon_tx(parts["transactions"]).first()
+    assert (t.to_address, t.nonce, t.value, t.tx_type, t.gas, t.gas_price, t.max_fee_per_gas, t.max_priority_fee_per_gas, t.y_parity, t.access_list, t.input) == (None, "0x0", "0x0", "0x2", "0x5208", "0x5", "0x9", "0x1", "0x1", [], "0x")
+    r = enc.canon_receipt(parts["transactions"]).first()
+    assert (r.status, r.cumulative_gas_used, r.effective_gas_price, r.contract_address, r.from_address, r.tx_type) == ("0x1", "0x5208", "0x5", "0xc", "0xf", "0x2")
+
+
+def test_quantities_are_exact_and_nothing_else_passes(spark):
+    rnd = random.Random(6)
+    values = [rnd.getrandbits(rnd.choice([8, 60, 63, 64, 65, 128, 200, 256])) for _ in range(200)] + [0, 10**18 - 1, 10**18, 2**256 - 1]
+    df = spark.createDataFrame([(str(v), hex(v)) for v in values], "v string, h string").withColumn("got", enc.hex_quantity(F.col("v")))
+    assert df.where("got <> h").collect() == []
+    for bad in ("12a", "-1", "1.5", "1" * 90):
+        with pytest.raises(Exception, match="not a quantity"):
+            spark.createDataFrame([(bad,)], "v string").select(enc.hex_quantity(F.col("v"))).collect()
+
+
+def test_a_wide_field_is_no_checkpoint(spark):
+    fields = {n: F.lit(1) for n, _ in enc.CHECKPOINT}
+    assert len(spark.range(1).select(enc.checkpoint_encode(**fields)).first()[0]) == 75
+    with pytest.raises(Exception, match="doesn't fit"):
+        spark.range(1).select(enc.checkpoint_encode(**fields | {"event_type": F.lit(10)})).collect()
 
 
 def test_uint256_sum_is_exact(spark):
@@ -232,3 +323,64 @@ def test_queries_of_whole_tables_grow_with_them(spark):
     for name, column in (("closest_block_all", "closest_block"), ("checkpoint_progress_all", "n_rows")):
         small, large = progress(name, column, "sf0.001"), progress(name, column, "sf0.01")
         assert max(large.values()) > 2 * max(small.values())
+
+
+def legs(spark, *runs):
+    made = [("s", k, a, b, k * 3600) for k, (a, b) in enumerate(runs)]
+    df = spark.createDataFrame(made, "series string, run long, a long, b long, at_s long")
+    return [(r.state, r.failing, r.stale_side) for r in win.progress_stagnation(df, ["series"], "run", "a", "b", "at_s", 600).orderBy("run").collect()]
+
+
+@pytest.mark.parametrize("runs, want", [
+    ([(None, None), (None, None)], [("both-empty", False, None)] * 2),
+    ([(1000, 1000), (2000, 1500)], [("both-populated-in-skew", False, None)] * 2),
+    # neither moves, however far apart they are
+    ([(9000, 1000), (9000, 1000)], [("skew-above-threshold-arming", False, None), ("mutually-quiescent", False, None)]),
+    # one stands still: a failure that lasts until it moves on and the gap doesn't grow
+    ([(5000, 1000), (6000, 1000), (6000, 1000), (7000, 1500), (7100, 2000)], [("skew-above-threshold-arming", False, None), ("frozen", True, "B"), ("wedge-unrecovered", True, "B"), ("wedge-unrecovered", True, "B"), ("catching-up", False, None)]),
+    ([(5000, 1000), (6000, 1500)], [("skew-above-threshold-arming", False, None), ("skew-growing", True, "B")]),
+    ([(5000, 1000), (6000, 2000)], [("skew-above-threshold-arming", False, None), ("lagging-constant", False, None)]),
+    # an empty leg arms, then fails if the other moves; coming back behind isn't enough
+    ([(1000, 1000), (2000, None), (3000, None), (3000, 900), (3100, 3000)], [("both-populated-in-skew", False, None), ("empty-arming", False, None), ("one-sided-empty", True, "B"), ("wedge-unrecovered", True, "B"), ("both-populated-in-skew", False, None)]),
+    # an empty leg while the other stands still is no failure
+    ([(1000, 1000), (1000, None), (1000, None)], [("both-populated-in-skew", False, None), ("empty-arming", False, None), ("empty-arming", False, None)]),
+    # the leader goes back and the other stands still: nobody moved
+    ([(5000, 1000), (4000, 1000)], [("skew-above-threshold-arming", False, None), ("mutually-quiescent", False, None)]),
+])
+def test_stagnation_regimes(spark, runs, want):
+    assert legs(spark, *runs) == want
+
+
+def test_linkage_across_spans(spark):
+    made = [(1, k, f"h{k}", f"h{k - 1}" if k % 7 else "x") for k in range(1, 60) if k % 13]
+    h = spark.createDataFrame(made, "chain_id long, n long, h string, p string")
+    want = [(k, "parent") for j, (_, k, _, p) in enumerate(made) if j and p != made[j - 1][2]]
+    for span in (10_000, 4, 1):
+        assert [(r.n, r.violation) for r in win.chain_linkage(h, ["chain_id"], "n", "h", "p", span).orderBy("n").collect()] == want
+    twice = spark.createDataFrame([(1, 1, "a", "g"), (1, 2, "b", "a"), (1, 2, "c", "a")], "chain_id long, n long, h string, p string")
+    assert [tuple(r) for r in win.chain_linkage(twice, ["chain_id"], "n", "h", "p").collect()] == [(1, 2, "c", "number")]
+
+
+def test_window_completeness_cuts_windows_at_buckets(spark):
+    rnd = random.Random(2)
+    truth = [(1, rnd.randrange(60)) for _ in range(300)]
+    indexed = [t for t in truth if rnd.random() < 0.99]
+    w = [(1, lo, lo + rnd.randrange(40)) for lo in range(0, 60, 3)] + [(1, 70, 80), (2, 0, 5)]
+    schema = "chain_id long, block_number long"
+    for width in (1000, 10, 1):
+        got = aggregates.window_completeness(spark.createDataFrame(w, "chain_id long, lo long, hi long"), spark.createDataFrame(indexed, schema), spark.createDataFrame(truth, schema), width)
+        count = lambda t, c, lo, hi: sum(x == c and lo <= b <= hi for x, b in t)
+        assert rows(got) == sorted((c, lo, hi, count(indexed, c, lo, hi), count(truth, c, lo, hi), count(indexed, c, lo, hi) == count(truth, c, lo, hi)) for c, lo, hi in w)
+
+
+def test_reorg_windows_grow(spark):
+    d = spark.createDataFrame([(1, 1, "a", "g")], "seq long, number long, hash string, parent_hash string")
+    assert "unboundedfollowing" not in win.reorg_resolve(d)._jdf.queryExecution().toString().lower()
+
+
+def test_relation_pages_are_bounded(spark):
+    many = spark.range(100).select((F.col("id") % 2).alias("k"), F.col("id").alias("v"))
+    got = joins.relation_pages(spark.range(3).withColumnRenamed("id", "k"), many, ["k"], ["v"], F.floor(F.col("v") / 20)).collect()
+    assert max(r.n_items for r in got) == 10
+    assert sorted(x.v for r in got for x in r["items"] or []) == list(range(100))
+    assert [(r.page, r.n_items) for r in got if r.k == 2] == [(None, 0)]

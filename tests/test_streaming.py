@@ -1,5 +1,10 @@
 """The reconciler as a model and as a stream over several batches."""
 
+import random
+import time
+
+import pytest
+
 from chainframe.streaming import reconcile, sinks
 
 
@@ -10,8 +15,8 @@ def run(state, *items):
     return out
 
 
-def fresh():
-    return reconcile.ChainState([], None, 16, 300)
+def fresh(**limits):
+    return reconcile.ChainState(None, {}.__getitem__, **{"stall_seconds": 300, **limits})
 
 
 def test_append_duplicate_reorg_gap():
@@ -26,9 +31,57 @@ def test_finality_is_monotone_defers_and_conflicts():
     assert got == [("append", 1, "a"), ("defer", 2, "b"), ("append", 2, "b"), ("finalize", 2, "b"), ("conflict", 2, "x"), ("append", 3, "c"), ("conflict", 3, "zz"), ("gap", 2, "q")]
 
 
+def test_a_head_without_a_hash_counts_by_its_number():
+    assert run(fresh(), ("b", 1, "a", "g", 0), ("b", 2, "b", "a", 0), ("f", 9, None, 0)) == [("append", 1, "a"), ("append", 2, "b"), ("finalize", 2, "b")]
+
+
+def test_deferring_ends_in_a_fault():
+    s = fresh(defer_seconds=100, stall_blocks=1000)
+    got = run(s, ("b", 1, "a", "g", 0), ("f", 5, "e", 10), ("f", 6, "x", 109), ("f", 7, "y", 110), ("b", 2, "b", "a", 111))
+    assert got == [("append", 1, "a"), ("defer", 5, "e"), ("defer", 6, "x"), ("expired", 7, "y"), ("append", 2, "b")]
+    s = fresh(defer_seconds=100, stall_blocks=1000)  # a head that is within reach ends the streak
+    got = run(s, ("b", 1, "a", "g", 0), ("b", 2, "b", "a", 0), ("f", 5, "e", 10), ("f", 1, "a", 60), ("f", 6, "x", 130))
+    assert got == [("append", 1, "a"), ("append", 2, "b"), ("defer", 5, "e"), ("finalize", 1, "a"), ("defer", 6, "x")]
+
+
+def test_more_headers_than_are_kept_are_a_fault():
+    got = run(fresh(most=3), *(("b", k, f"h{k}", f"h{k - 1}", 0) for k in range(1, 6)))
+    assert [e for e, *_ in got] == ["append"] * 4 + ["overflow", "append", "overflow"]
+
+
 def test_watchdog_spares_a_quiet_chain():
     s = fresh()
-    assert [e for e, *_ in run(s, ("b", 1, "a", "g", 0), ("f", 1, None, 1000), ("f", 10, None, 2000), ("f", 40, None, 2001))] == ["append", "finalize", "defer", "stalled", "defer"]
+    items = ("b", 1, "a", "g", 0), ("f", 1, None, 1000), ("f", 10, None, 2000), ("f", 17, None, 2001), ("f", 40, None, 2001)
+    assert [e for e, *_ in run(s, *items)] == ["append", "finalize", "stalled", "stalled"]  # 17 is 16 above the delivered block
+    s = fresh()  # a first head far above, as after a pause, is where counting starts
+    assert [e for e, *_ in run(s, ("b", 1, "a", "g", 0), ("f", 500, None, 1000), ("f", 515, None, 2000), ("f", 516, None, 2000))] == ["append", "finalize", "stalled"]
+    s = fresh()
+    assert [e for e, *_ in run(s, ("b", 1, "a", "g", 0), ("f", 1, None, 10), ("f", 20, None, 299), ("f", 21, None, 300))] == ["append", "finalize", "stalled"]
+
+
+def test_state_that_is_stored_and_loaded_is_the_same_at_any_cut():
+    rnd, chain, items = random.Random(4), [(0, "g")], []
+    for k in range(200):
+        chain = chain[: max(1, len(chain) - rnd.choice([0] * 6 + [1, 2]))] if len(chain) > 12 else chain
+        n = chain[-1][0] + 1
+        items.append(("b", n, f"h{k}", chain[-1][1], k))
+        chain.append((n, f"h{k}"))
+        if rnd.random() < 0.1:
+            items.append(items[-1])
+        if rnd.random() < 0.1 and len(chain) > 12:
+            items.append(("f", chain[-8][0], chain[-8][1], k))
+    whole = run(fresh(), *items)
+    for size in (1, 7):
+        facts, stored, out = None, {}, []
+        for k in range(0, len(items), size):
+            s = reconcile.ChainState(facts, stored.__getitem__, stall_seconds=300)
+            out += run(s, *items[k : k + size])
+            for n in s.gone():
+                del stored[n]
+            stored.update(s.added())
+            facts = s.facts()
+            assert sorted(stored) == list(range(s.anchor_number + 1, s.tip_number + 1))
+        assert out == whole
 
 
 def test_stream_over_batches(spark, tmp_path):
@@ -40,10 +93,56 @@ def test_stream_over_batches(spark, tmp_path):
     ]
     for rows in batches:
         spark.createDataFrame(rows, reconcile.ITEM).write.mode("append").parquet(str(tmp_path / "in"))
-        stream = reconcile.fail_on_gap(reconcile.stream_reconcile(sinks.stream_blocks(spark, str(tmp_path / "in"), reconcile.ITEM)))
-        sinks.run_available(stream, sinks.stream_rollback(str(tmp_path / "log")), str(tmp_path / "checkpoint"))
+        stream = reconcile.stream_reconcile(sinks.stream_blocks(spark, str(tmp_path / "in"), reconcile.ITEM))
+        sinks.run_available(stream, sinks.recorded(sinks.stream_rollback(str(tmp_path / "log")), str(tmp_path / "times")), str(tmp_path / "checkpoint"))
     log = sinks.log_of(spark, str(tmp_path / "log"), "chain_id bigint, seq bigint, place int, event string, number bigint, hash string")
     assert sorted((r.number, r.hash) for r in sinks.live_blocks(log).collect()) == [(1, "a"), (2, "c"), (3, "d"), (4, "e")]
+    children = spark.createDataFrame([(1, "x", 2, "b"), (1, "y", 2, "c"), (1, "x", 4, "e"), (1, "z", 1, "a")], "chain_id long, child string, created_block long, block_hash string")
+    assert sorted(map(tuple, sinks.live_children(children, log).collect())) == [(1, "x", 4), (1, "y", 2), (1, "z", 1)]
+    fresh_ = sinks.freshness_of(spark, str(tmp_path / "times")).collect()
+    assert [r.state for r in fresh_] == ["ack"] * 3 and all(r.latency_ms >= 0 for r in fresh_)
+
+
+def test_a_fault_stops_the_query_and_is_recorded(spark, tmp_path):
+    reconcile.use_rocksdb(spark)
+    spark.createDataFrame([(1, 1, "block", 1, "a", "g", 0), (1, 2, "block", 5, "e", "d", 1)], reconcile.ITEM).write.parquet(str(tmp_path / "in"))
+    stream = reconcile.stream_reconcile(sinks.stream_blocks(spark, str(tmp_path / "in"), reconcile.ITEM))
+    with pytest.raises(Exception, match="chain 1 gap at 5"):
+        sinks.run_available(stream, sinks.recorded(sinks.stream_rollback(str(tmp_path / "log")), str(tmp_path / "times")), str(tmp_path / "checkpoint"))
+    assert [r.state for r in sinks.freshness_of(spark, str(tmp_path / "times")).collect()] == ["reject"]
+
+
+def test_a_timer_tells_of_a_stall_without_items(spark, tmp_path):
+    reconcile.use_rocksdb(spark)
+    rows = [(1, 1, "block", 1, "a", "g", 0), (1, 2, "final", 1, "a", None, 1), (1, 3, "final", 40, "z", None, 1), (2, 4, "block", 1, "q", "p", 0), (2, 5, "final", 1, "q", None, 1)]
+    spark.createDataFrame(rows, reconcile.ITEM).coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = reconcile.stream_reconcile(sinks.stream_blocks(spark, str(tmp_path / "in"), reconcile.ITEM), fail=False, timer=True, stall_seconds=2)
+    q = stream.writeStream.foreachBatch(lambda df, i: sinks.write_batch(df, i, str(tmp_path / "log"))).option("checkpointLocation", str(tmp_path / "c")).trigger(processingTime="1 second").start()
+    try:
+        for _ in range(60):
+            time.sleep(1)
+            found = sinks.log_of(spark, str(tmp_path / "log"), reconcile.EVENT).where("event = 'stalled'").collect()
+            if found:
+                break
+    finally:
+        q.stop()
+    assert {(r.chain_id, r.number, r.seq) for r in found} == {(1, 40, None)}
+
+
+def test_children_logs_are_compacted(spark, tmp_path):
+    schema = "chain_id long, block_number long, log_index long, address string, topic0 string, topic1 string, data string"
+    factories = spark.createDataFrame([("f", 1, None, "0xc", None, None)], "factory_id string, chain_id long, address string, topic0 string, from_block long, to_block long")
+    made, base = [], str(tmp_path)
+    run_ = sinks.stream_children(factories, f"{base}/children", f"{base}/logs", every=3)
+    for k in range(8):
+        rows = [(1, k, 0, "0xmaker", "0xc", "0x" + f"{k % 5:064x}", "0x"), *((1, k, 1 + j, "0x" + f"{j:040x}", "0xe", None, "0x") for j in range(6))]
+        made += rows
+        run_(spark.createDataFrame(rows, schema), k)
+        run_(spark.createDataFrame(rows, schema), k)  # a batch that runs again
+    got = sorted((r.block_number, r.address) for r in sinks.log_of(spark, f"{base}/logs", schema).collect())
+    first = {f"0x{k:040x}": k for k in range(5)}
+    assert got == sorted((r[1], r[3]) for r in made if r[3] in first and r[1] >= first[r[3]])
+    assert sorted(x.name for x in (tmp_path / "children-whole").iterdir()) == ["2", "5"]
 
 
 def test_stalls_are_looked_for_all_over_the_table(spark):
@@ -92,8 +191,11 @@ def test_reconciler_passes_events_on_before_the_end(monkeypatch):
         def clear(self):
             self.value = None
 
+        def updateValue(self, key, value):
+            pass
+
     monkeypatch.setattr(reconcile, "OUT_ROWS", 10)
-    r = reconcile.Reconciler(16, 300)
+    r = reconcile.Reconciler({})
     r.headers, r.facts = State(), State()
     items = pd.DataFrame([(k, "block", k, f"h{k}", f"h{k - 1}", k) for k in range(1, 36)], columns=["seq", "kind", "number", "hash", "parent_hash", "at_s"])
     assert [len(x) for x in r.handleInputRows((1,), iter([items]), None)] == [10, 10, 10, 5]
