@@ -250,8 +250,8 @@ class MergedSlices:
         sizes = iter((np.diff(cuts) - 1).tolist())
         return np.array([next(sizes) if BETWEEN not in p else len(self._merge_one(p)) for p in pieces], np.int32)
 
-    def of(self, by_text: list[list[str]]) -> list[bytes]:
-        """The ids of texts that are given as slices."""
+    def of(self, by_text: list[list[str]], counts: bool = False) -> list[bytes] | list[tuple[bytes, np.ndarray]]:
+        """The ids of texts that are given as slices; with ``counts`` also where each slice's ids begin."""
         if len(self.known) > self.most:
             self.known = {}
         known = self.known
@@ -267,7 +267,14 @@ class MergedSlices:
         for piece in new:
             if BETWEEN in piece:  # the pattern would take such a slice apart
                 known[piece] = np.array(self._merge_one(piece), "<u4").tobytes()
-        out = [b"".join(map(known.__getitem__, pieces)) for pieces in by_text]
+        if counts:
+            out = []
+            for pieces in by_text:
+                own = list(map(known.__getitem__, pieces))
+                sizes = np.fromiter(map(len, own), np.int64, len(own)) >> 2
+                out.append((b"".join(own), np.cumsum(sizes) - sizes))
+        else:
+            out = [b"".join(map(known.__getitem__, pieces)) for pieces in by_text]
         for piece in new:
             if len(piece) > self.longest:
                 del known[piece]
@@ -287,6 +294,15 @@ def encode_chunk(texts: list[str], cache: MergedSlices) -> Iterator[tuple[bytes,
     yield from zip(cache.of([pieces for pieces, _ in sliced]), [starts for _, starts in sliced])
 
 
+def encode_with_offsets(texts: list[str], content: bytes) -> Iterator[tuple[bytes, np.ndarray, np.ndarray]]:
+    """For each text its ids as bytes, its slices' starts in code points, and where their ids begin."""
+    cache, _ = merged_slices(content)
+    for a, b in chunks(texts):
+        sliced = list(pretokenize(texts[a:b]))
+        for (ids, first), (_, starts) in zip(cache.of([pieces for pieces, _ in sliced], counts=True), sliced):
+            yield ids, starts, first
+
+
 def encode_texts(texts: list[str], content: bytes, special: bool = False) -> Iterator[tuple[bytes, np.ndarray]]:
     """As encode_chunk, for many texts in bounded memory. special: the vocabulary's special strings inside a text become
     their ids, as the public tokenizer library does by default; the text around them is encoded on its own."""
@@ -327,6 +343,8 @@ class Decoder:
         self.lengths = np.array([len(t) for t in tokens], np.int64)
         self.offsets = np.cumsum(self.lengths) - self.lengths
         self.blob = np.frombuffer(b"".join(tokens), np.uint8)
+        #: Code points that begin in each token: bytes that don't continue one.
+        self.code_points = np.array([sum(b & 0xC0 != 0x80 for b in t) for t in tokens], np.int64)
 
     def __call__(self, ids: np.ndarray) -> bytes:
         lengths = self.lengths[ids]
@@ -335,6 +353,21 @@ class Decoder:
         return self.blob[np.repeat(self.offsets[ids], lengths) + within].tobytes()
 
 
+    def slices_match(self, ids: np.ndarray, starts: np.ndarray, first: np.ndarray) -> bool:
+        """Whether each slice's ids decode to as many code points as lie between its start and the next."""
+        points = np.concatenate([[0], np.cumsum(self.code_points[ids])])
+        return bool((points[first] == starts).all()) and len(starts) == len(first)
+
+    def span(self, ids: np.ndarray, starts: np.ndarray, first: np.ndarray, a: int, b: int) -> str:
+        """The code points a..b of the text, decoded from the ids of the slices that hold them alone."""
+        low = max(0, int(np.searchsorted(starts, a, "right")) - 1)
+        high = int(np.searchsorted(starts, b, "left"))
+        if b <= a or low >= high:
+            return ""
+        text = self(ids[first[low] : first[high] if high < len(first) else len(ids)]).decode()
+        return text[a - int(starts[low]) : b - int(starts[low])]
+
+
 @functools.lru_cache(maxsize=4)
 def decoder(content: bytes) -> Decoder:
     return Decoder(*parse_vocabulary(content))
@@ -362,17 +395,21 @@ def _lists(parts: list[bytes] | list[np.ndarray], kind: str) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(raw), "<i4")))
 
 
-def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", starts: str | None = None, special: bool = False) -> DataFrame:
-    """Add the column ``ids`` (array<int>), and ``starts`` (array<int>: where the slices begin, in code points) if named.
+def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", starts: str | None = None, special: bool = False, first: str | None = None) -> DataFrame:
+    """Add the column ``ids`` (array<int>), and if named ``starts`` (array<int>: where the slices begin, in code points) and,
+    with it, ``first`` (array<int>: the place of each slice's first id).
 
-    Whole texts; null and empty texts have no ids. ``df``'s other columns stay; columns named like the new ones are
-    replaced. Rows are independent, so there is no shuffle; repeated rows give repeated results.
+    Whole texts of any length, a very long one by itself; null and empty texts have no ids. ``df``'s other columns stay;
+    columns named like the new ones are replaced, and the name ``__text`` is reserved. Rows are independent, so there is no
+    shuffle; repeated rows give repeated results, and an empty table none.
     """
+    if first and (special or not starts):
+        raise ValueError("first goes with starts, and not with special strings")
     content = vocabulary(df, path)
-    kept = [c for c in df.columns if c not in (ids, starts)]
+    kept = [c for c in df.columns if c not in (ids, starts, first)]
     of = df.schema[text].name
     plain = df.select(*(F.col(f"`{c}`") for c in kept), F.coalesce(F.col(f"`{of}`"), F.lit("")).alias("__text"))
-    new = [ids, *([starts] if starts else [])]
+    new = [c for c in (ids, starts, first) if c]
     schema = plain.drop("__text").schema
     for c in new:
         schema = schema.add(c, T.ArrayType(T.IntegerType()))
@@ -380,9 +417,9 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", start
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for one in small(batch, "__text"):
-                found = list(encode_texts(one.column("__text").to_pylist(), content.value, special))
-                columns = [one.column(c) for c in kept] + [_lists([x[0] for x in found], "<i4")]
-                columns += [_lists([x[1] for x in found], "<i4")] if starts else []
+                texts = one.column("__text").to_pylist()
+                found = list(encode_with_offsets(texts, content.value) if first else encode_texts(texts, content.value, special))
+                columns = [one.column(c) for c in kept] + [_lists([x[k] for x in found], "<i4") for k in range(len(new))]
                 yield pa.RecordBatch.from_arrays(columns, [*kept, *new])
 
     return plain.mapInArrow(run, schema)
@@ -403,10 +440,15 @@ def small(batch: pa.RecordBatch, text: str, most: int = 4_000_000) -> Iterator[p
         yield batch.slice(start)
 
 
-def decode(df: DataFrame, path: str, ids: str = "ids", to: str = "decoded") -> DataFrame:
-    """Add the column ``to`` (binary): the bytes of the ids. Null ids give null."""
+def decode(df: DataFrame, path: str, ids: str = "ids", to: str = "decoded", offsets: tuple[str, str] | None = None) -> DataFrame:
+    """Add the column ``to`` (binary): the bytes of the ids. Null ids give null; an empty table gives no rows.
+
+    ``offsets`` names encode's columns ``starts`` and ``first``: then ``to``_offsets (boolean) says whether each slice's ids
+    decode to the code points between its start and the next, that is whether the slices can be decoded one by one.
+    """
     content = vocabulary(df, path)
-    kept = [c for c in df.columns if c != to]
+    match = f"{to}_offsets"
+    kept = [c for c in df.columns if c not in (to, match if offsets else to)]
     plain = df.select(*(F.col(f"`{c}`") for c in kept))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -418,17 +460,24 @@ def decode(df: DataFrame, path: str, ids: str = "ids", to: str = "decoded") -> D
                 values = column.values.to_numpy(zero_copy_only=False)
                 at = column.offsets.to_numpy()
                 out = [decoded(values[a:b]) if v else None for a, b, v in zip(at, at[1:], column.is_valid().to_pylist())]
-                yield pa.RecordBatch.from_arrays([*(one.column(c) for c in kept), pa.array(out, pa.binary())], [*kept, to])
+                columns = [*(one.column(c) for c in kept), pa.array(out, pa.binary())]
+                if offsets:
+                    lists = [[x.values.to_numpy(zero_copy_only=False)[a:b] for a, b in zip(o, o[1:])] for x in map(one.column, (ids, *offsets)) for o in [x.offsets.to_numpy()]]
+                    columns.append(pa.array([decoded.slices_match(*x) if v is not None else None for v, x in zip(out, zip(*lists))], pa.bool_()))
+                yield pa.RecordBatch.from_arrays(columns, [*kept, to, *([match] if offsets else [])])
 
-    return plain.mapInArrow(run, T.StructType([*plain.schema.fields, T.StructField(to, T.BinaryType())]))
+    new = [T.StructField(to, T.BinaryType()), *([T.StructField(match, T.BooleanType())] if offsets else [])]
+    return plain.mapInArrow(run, T.StructType([*plain.schema.fields, *new]))
 
 
 def round_trip(documents: DataFrame, path: str) -> DataFrame:
-    """Digests of each document's ids and of what they decode to."""
-    both = decode(encode(documents.select("doc_id", "text"), path).drop("text"), path)
+    """Digests of each document's ids and of what they decode to; its slices, and whether each of them decodes by itself."""
+    both = decode(encode(documents.select("doc_id", "text"), path, starts="starts", first="first").drop("text"), path, offsets=("starts", "first"))
     return both.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.size("starts").cast("long").alias("n_slices"),
+        F.col("decoded_offsets").alias("offsets_match"),
     )

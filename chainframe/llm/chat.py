@@ -39,7 +39,8 @@ def unescape(text: str) -> str:
 
 
 class PartVisitor:
-    """Flattens the parts of one turn; one method per type, unknown types are refused."""
+    """Flattens the parts of one turn; one method per type. Parts of unknown types are attachments of their type without
+    tokens, with a placeholder of their own, so that nothing is lost and no row fails."""
 
     def __init__(self) -> None:
         self.out: list[str] = []
@@ -47,10 +48,7 @@ class PartVisitor:
 
     def visit(self, part: dict) -> None:
         kind = part.get("type") or "text"
-        method = getattr(self, f"visit_{kind}", None)
-        if method is None:
-            raise ValueError(f"unknown content part: {kind}")
-        method(part)
+        {"text": self.visit_text, "image": self.visit_image, "audio": self.visit_audio, "document": self.visit_document}.get(kind, self.visit_other)(part)
 
     def visit_text(self, part: dict) -> None:
         self.out.append(escape(part.get("text") or ""))
@@ -58,8 +56,8 @@ class PartVisitor:
     def _attach(self, kind: str, part: dict) -> None:
         ordinal = len(self.attachments)
         units = part.get("units")
-        tokens = TOKENS_PER_UNIT[kind] * (1 if units is None else max(0, units))
-        self.attachments.append({"ordinal": ordinal, "type": kind, "ref": part.get("ref"), "tokens": tokens})
+        tokens = TOKENS_PER_UNIT.get(kind, 0) * (1 if units is None else max(0, units))
+        self.attachments.append({"ordinal": ordinal, "type": part.get("type"), "ref": part.get("ref"), "tokens": tokens})
         self.out.append(f"{PART}{kind}:{ordinal}>")
 
     def visit_image(self, part: dict) -> None:
@@ -71,6 +69,9 @@ class PartVisitor:
     def visit_document(self, part: dict) -> None:
         self._attach("document", part)
 
+    def visit_other(self, part: dict) -> None:
+        self._attach("other", part)
+
 
 def render_turn(role: str | None, parts: list[dict] | None) -> tuple[str, int, int, list[dict]]:
     """(segment, start and end of its content, attachments)."""
@@ -109,8 +110,10 @@ def text_parts(df: DataFrame) -> DataFrame:
 def render(turns: DataFrame, loss_roles: tuple[str, ...] = ("assistant",)) -> DataFrame:
     """(conv_id, turn, segment, loss_start, loss_end, attachments, expanded_tokens), a row per row of ``turns``.
 
-    ``turns``: conv_id, turn, role, parts; other columns are ignored. Null parts are none, a null role is empty. The
-    loss mask of a turn is loss_start..loss_end in its segment; both are null if the role isn't under the loss.
+    ``turns``: conv_id, turn, role, parts; other columns are ignored. Null parts are none, a null role is empty, and a part
+    without a type is text; of unknown types see PartVisitor. Repeated rows are rendered each; texts of any length are
+    rendered whole; an empty table gives no rows. The loss mask of a turn is loss_start..loss_end in its segment; both are
+    null if the role isn't under the loss.
     """
     schema = f"conv_id long, turn long, segment string, loss_start int, loss_end int, attachments {ATTACHMENTS}, expanded_tokens long"
     plain = turns.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", F.col("parts").cast(PARTS).alias("parts"))
@@ -146,32 +149,39 @@ def in_order(rendered: DataFrame) -> DataFrame:
 def read_back(rendered: DataFrame) -> DataFrame:
     """Per conversation what its formatted form says, read from the segments and the loss mask alone.
 
-    Null conv_ids are one conversation. Placeholders are read as they stand. Streams: only digests are held.
+    Null conv_ids are one conversation. Placeholders are read as they stand; each must have its attachment, in order, and
+    these count as n_attachments and expanded_tokens. Turns with the same number, and repeated rows, are ordered by their
+    segment. Streams: only digests are held. An empty table gives no rows.
     """
-    schema = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
+    schema = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_attachments long, expanded_tokens long"
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
-        types = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+        names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "n_attachments", "expanded_tokens"]
+        types = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
         now = None
 
         def batch_of(rows: list[tuple]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
 
         def row(state: dict) -> tuple:
-            return (state["id"], state["n"], state["turns"].hexdigest(), state["chars"], state["loss"].hexdigest(), state["formatted"])
+            return (state["id"], state["n"], state["turns"].hexdigest(), state["chars"], state["loss"].hexdigest(), state["formatted"], state["attached"], state["tokens"])
 
         for batch in batches:
             done = []
-            columns = (batch.column(c).to_pylist() for c in ("conv_id", "segment", "loss_start", "loss_end"))
-            for conv, segment, a, b in zip(*columns, strict=True):
+            columns = (batch.column(c).to_pylist() for c in ("conv_id", "segment", "loss_start", "loss_end", "attachments", "expanded_tokens"))
+            for conv, segment, a, b, attached, tokens in zip(*columns, strict=True):
                 if now is None or conv != now["id"]:
                     if now is not None:
                         done.append(row(now))
-                    now = {"id": conv, "n": 0, "turns": hashlib.sha256(), "chars": 0, "loss": hashlib.sha256(), "formatted": 0}
+                    now = {"id": conv, "n": 0, "turns": hashlib.sha256(), "chars": 0, "loss": hashlib.sha256(), "formatted": 0, "attached": 0, "tokens": 0}
                 role, parts = parse_turn(segment)
                 text = "".join(x if kind == "text" else f"{PART}{kind}:{x}>" for kind, x in parts)
+                held = [x for kind, x in parts if kind != "text"]
+                if held != [x["ordinal"] for x in attached]:
+                    raise ValueError(f"placeholders {held} don't match the attachments of conversation {conv}")
                 now["n"] += 1
+                now["attached"] += len(held)
+                now["tokens"] += tokens
                 now["formatted"] += len(segment)
                 now["turns"].update(f"{role}\n{text}\n".encode())
                 if a is not None:
@@ -183,7 +193,7 @@ def read_back(rendered: DataFrame) -> DataFrame:
         if now is not None:
             yield batch_of([row(now)])
 
-    return in_order(rendered.select("conv_id", "turn", "segment", "loss_start", "loss_end")).mapInArrow(run, schema)
+    return in_order(rendered.select("conv_id", "turn", "segment", "loss_start", "loss_end", "attachments", "expanded_tokens")).mapInArrow(run, schema)
 
 
 #: The conversation that the query adds.
@@ -210,6 +220,7 @@ SELECT conv_id, count(*) AS n_turns,
        CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
        sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
        CAST(sum(length('### : </turn>') + 1 + length(regexp_replace(role, '(\\|###|</turn>|<part:|:)', '\\\1', 'g'))
-                + length(regexp_replace(text, '(\\|###|</turn>|<part:)', '\\\1', 'g'))) AS BIGINT) AS formatted_chars
+                + length(regexp_replace(text, '(\\|###|</turn>|<part:)', '\\\1', 'g'))) AS BIGINT) AS formatted_chars,
+       CAST(0 AS BIGINT) AS n_attachments, CAST(0 AS BIGINT) AS expanded_tokens
 FROM turns GROUP BY conv_id
 """

@@ -38,9 +38,11 @@ def winners(rows: DataFrame) -> DataFrame:
 
 @dataclass
 class DigestIndex:
-    """The index as a table of the session's catalog at ``path``: digest, keep_id; bucketed and sorted by digest.
+    """The index as a table of the session's catalog at ``path``: digest, keep_id, batch; bucketed and sorted by digest.
 
-    Opening an existing path continues it. Appends are atomic for one writer; two writers at a time are not supported.
+    Opening an existing path continues it, under any table name. Digests carry the batch that brought them: a batch that
+    runs again, because it failed after its append or in the midst of it, finds its own digests new, and appends only those
+    that are lacking. Two writers at a time are not supported.
     """
 
     spark: SparkSession
@@ -50,22 +52,27 @@ class DigestIndex:
 
     def __post_init__(self) -> None:
         self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {self.table} (digest BINARY, keep_id BIGINT) USING parquet "
+            f"CREATE TABLE IF NOT EXISTS {self.table} (digest BINARY, keep_id BIGINT, batch STRING) USING parquet "
             f"CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{self.path}'"
         )
 
     def known(self) -> DataFrame:
+        """The index as it is now: the files are listed anew, as another session may have appended some."""
+        self.spark.catalog.refreshTable(self.table)
         return self.spark.table(self.table)
 
-    def unseen(self, found: DataFrame) -> DataFrame:
-        """Rows of ``found`` (unique by digest) whose digest the index lacks."""
-        return found.join(self.known().select("digest").hint("merge"), "digest", "left_anti")
+    def unseen(self, found: DataFrame, batch: str) -> DataFrame:
+        """Rows of ``found`` (unique by digest) whose digest no other batch brought, with ``stored``: ``batch`` did before."""
+        known = self.known().select("digest", F.col("batch").alias("__batch"))
+        others = known.where(F.col("__batch") != batch).select("digest").hint("merge")
+        own = known.where(F.col("__batch") == batch).select("digest", F.lit(True).alias("stored")).hint("merge")
+        return found.join(others, "digest", "left_anti").join(own, "digest", "left").withColumn("stored", F.coalesce("stored", F.lit(False)))
 
-    def append(self, found: DataFrame) -> DataFrame:
-        """Add what is new and return it."""
-        new = materialize(self.unseen(found))
+    def append(self, found: DataFrame, batch: str) -> DataFrame:
+        """Add what is new and return it, with what ``batch`` has added before."""
+        new = materialize(self.unseen(found, batch))
         (
-            new.select("digest", F.col("keep_id").cast("long"))
+            new.where("NOT stored").select("digest", F.col("keep_id").cast("long"), F.lit(batch).alias("batch"))
             .repartition(F.pmod(F.hash("digest"), F.lit(self.buckets)))  # a bucket's rows in one task: one file each
             .write.mode("append").format("parquet")
             .bucketBy(self.buckets, "digest").sortBy("digest")
@@ -74,10 +81,11 @@ class DigestIndex:
         return new
 
 
-def dedup(df: DataFrame, index: DigestIndex) -> DataFrame:
+def dedup(df: DataFrame, index: DigestIndex, batch: str) -> DataFrame:
     """Every row of ``df`` (doc_id, text; other columns are ignored): doc_id, keep_id, group_size, kept, text_sha256.
 
-    Texts are equal when the same without ASCII white space; null is empty. Of a group new to the index the row with the
+    ``batch`` names these rows: running it again, with the same rows, gives the same result, however far the first run
+    came. Texts are equal when the same without ASCII white space; null is empty; texts of any length are hashed whole. Of a group new to the index the row with the
     most code points stays, then the smallest doc_id (null last), then the first of repeated rows; exactly one row of it
     is kept. A group that the index knows keeps none, and keep_id is the one recorded. group_size counts the rows of
     this batch. An empty table gives no rows.
@@ -87,8 +95,8 @@ def dedup(df: DataFrame, index: DigestIndex) -> DataFrame:
     """
     rows = materialize(digests(df))
     found = materialize(winners(rows))
-    fresh = index.append(found)
-    old = found.join(index.known().withColumnRenamed("keep_id", "known_id").hint("merge"), "digest").join(
+    fresh = index.append(found, batch)
+    old = found.join(index.known().drop("batch").withColumnRenamed("keep_id", "known_id").hint("merge"), "digest").join(
         fresh.select("digest"), "digest", "left_anti"
     )
     groups = materialize(

@@ -53,7 +53,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exactdedup.dedup(documents(spark, sf_dir), exactdedup.new_index(spark))
+    return exactdedup.dedup(documents(spark, sf_dir), exactdedup.new_index(spark), "documents")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

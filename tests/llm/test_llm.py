@@ -11,6 +11,7 @@ import zlib
 import numpy as np
 import public_tokenizers as P
 import pytest
+import regex
 import tiktoken
 import xxhash
 from pyspark.sql import functions as F
@@ -71,8 +72,26 @@ def test_chat_parts():
     segment, _, _, attached = chat.render_turn("user", parts)
     assert chat.parse_turn(segment)[1] == [("text", "see <part:image:0>"), ("image", 0), ("audio", 1), ("document", 2)]
     assert [(a["ordinal"], a["ref"], a["tokens"]) for a in attached] == [(0, "a.png", 1024), (1, None, 25), (2, "d.pdf", 1536)]
-    with pytest.raises(ValueError):
-        chat.render_turn("user", [{"type": "video"}])
+    segment, _, _, attached = chat.render_turn("user", [{"type": "video", "ref": "v.mp4", "units": 9}, {"type": None, "text": "<part:"}, None])
+    assert chat.parse_turn(segment)[1] == [("other", 0), ("text", "<part:")]
+    assert attached == [{"ordinal": 0, "type": "video", "ref": "v.mp4", "tokens": 0}]
+
+
+def test_chat_attachments_through_the_frames(spark):
+    rows = [
+        (1, 0, "user", [("text", "a <part:image:7> ", None, None), ("image", None, "a.png", 4), ("text", "b", None, None), ("audio", None, "b.wav", 10), ("video", None, "c", 2)]),
+        (1, 1, "assistant", [("document", None, "d.pdf", 2), ("text", "seen", None, None)]),
+        (2, 0, "user", None), (2, 1, None, [(None, None, None, None)]), (2, 1, None, [(None, None, None, None)]),
+    ]
+    turns = spark.createDataFrame(rows, f"conv_id long, turn long, role string, parts {chat.PARTS}").withColumn("expanded_tokens", F.lit("?"))
+    made = {(r.conv_id, r.turn): r for r in chat.render(turns).collect()}
+    assert [(a.ordinal, a.type, a.ref, a.tokens) for a in made[1, 0].attachments] == [(0, "image", "a.png", 1024), (1, "audio", "b.wav", 250), (2, "video", "c", 0)]
+    got = {r.conv_id: r for r in chat.read_back(chat.render(turns)).collect()}
+    assert (got[1].n_attachments, got[1].expanded_tokens, got[1].loss_sha256) == (4, 1024 + 250 + 1536, sha("<part:document:0>seen"))
+    assert got[1].turns_sha256 == sha("user\na <part:image:7> <part:image:0>b<part:audio:1><part:other:2>\nassistant\n<part:document:0>seen\n")
+    assert (got[2].n_turns, got[2].n_attachments, got[2].turns_sha256) == (3, 0, sha("user\n\n" + "\n\n" * 2))
+    with pytest.raises(Exception, match="don't match"):
+        chat.read_back(chat.render(turns).withColumn("attachments", F.slice("attachments", 1, 1))).collect()
 
 
 def test_chat_awkward(spark):
@@ -422,10 +441,30 @@ def multi():
     return tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+def re_slices(t):
+    return regex.findall(P.PATTERN, t)
+
+
+def test_bpe_offsets_decode_parts():
+    content = open(P.path("byte_bpe_multi_50k.tiktoken"), "rb").read()
+    rnd, d = random.Random(3), bpe.decoder(open(P.path("byte_bpe_multi_50k.tiktoken"), "rb").read())
+    block = ["".join(rnd.choice("abc  é中\U0001f389\n'st 12#") for _ in range(rnd.randrange(60))) for _ in range(300)]
+    for t, (ids, starts, first) in zip(block, bpe.encode_with_offsets(block, content)):
+        ids, own = np.frombuffer(ids, "<u4"), re_slices(t)
+        ends = [*first.tolist(), len(ids)]
+        assert [d(ids[a:b]).decode() for a, b in zip(ends, ends[1:])] == own and len(starts) == len(own)
+        assert d.slices_match(ids, starts, first)
+        assert not len(own) > 2 or not d.slices_match(ids, starts, np.r_[first[0], first[1] + 1, first[2:]]) or d.code_points[ids[first[1]]] == 0
+        for _ in range(5):
+            a, b = sorted((rnd.randrange(len(t) + 1), rnd.randrange(len(t) + 1)))
+            assert d.span(ids, starts, first, a, b) == t[a:b]
+
+
 def test_bpe_of_documents(spark, texts, multi):
     for r in run(spark, "op7_byte_bpe"):
         ids = multi.encode_ordinary(texts[r.doc_id])
         assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(ids), sha(",".join(map(str, ids))), sha(texts[r.doc_id]))
+        assert r.offsets_match and r.n_slices == len(re_slices(texts[r.doc_id]))
 
 
 def test_bpe_of_torture(multi):
@@ -631,7 +670,7 @@ def test_exact_dedup_and_persistence(spark, docs, empty):
     index = exactdedup.new_index(spark)
     rows = [(3, "a b"), (2, "ab"), (9, "a  b"), (9, "a  b"), (5, None), (6, " \n"), (None, "zz"), (7, "a b")]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("digest", F.lit(1)).withColumn("keep_id", F.lit(1))
-    got = exactdedup.dedup(df, index).collect()
+    got = exactdedup.dedup(df, index, "first").collect()
     by = collections.defaultdict(list)
     for r in got:
         by[r.doc_id].append((r.keep_id, r.group_size, r.kept, r.text_sha256))
@@ -639,8 +678,31 @@ def test_exact_dedup_and_persistence(spark, docs, empty):
     assert sorted(k for _, _, k, _ in by[9]) == [False, True]
     assert by[5] == [(6, 2, False, sha(""))] and by[6] == [(6, 2, True, sha(""))]
     assert by[None] == [(None, 1, True, sha("zz"))] and by[7][0][2]
-    again = exactdedup.dedup(spark.createDataFrame([(1, "a b"), (4, "new")], "doc_id long, text string"), index).collect()
+    again = exactdedup.dedup(spark.createDataFrame([(1, "a b"), (4, "new")], "doc_id long, text string"), index, "second").collect()
     assert {(r.doc_id, r.keep_id, r.kept) for r in again} == {(1, 9, False), (4, 4, True)}
     assert index.known().count() == 5
-    assert exactdedup.dedup(empty, exactdedup.new_index(spark)).collect() == []
-    assert len(exactdedup.dedup(docs, exactdedup.new_index(spark)).collect()) == len(AWKWARD)
+    assert exactdedup.dedup(empty, exactdedup.new_index(spark), "b").collect() == []
+    assert len(exactdedup.dedup(docs, exactdedup.new_index(spark), "b").collect()) == len(AWKWARD)
+
+
+def test_exact_dedup_runs_a_batch_again(spark, monkeypatch):
+    index = exactdedup.new_index(spark)
+    schema = "doc_id long, text string"
+    one, two = spark.createDataFrame([(1, "a"), (2, "b"), (3, "b ")], schema), spark.createDataFrame([(4, "b"), (5, "c")], schema)
+    result = lambda df, batch, of=index: sorted(map(tuple, exactdedup.dedup(df, of, batch).collect()))
+    first = result(one, "one")
+    assert [r[3] for r in first] == [True, False, True]
+    assert result(one, "one") == first and index.known().count() == 2  # it failed after its append
+    again = exactdedup.DigestIndex(spark, f"{index.table}_again", index.path)  # another session would open the path so
+    assert result(one, "one", again) == first
+    second = result(two, "two", again)
+    assert [(r[0], r[1], r[3]) for r in second] == [(4, 3, False), (5, 5, True)]
+    assert result(two, "two") == second
+    # an append that wrote a part only: the rest is added, and nothing twice
+    part = exactdedup.materialize(exactdedup.winners(exactdedup.materialize(exactdedup.digests(spark.createDataFrame([(6, "d")], schema)))))
+    index.append(part, "three")
+    three = spark.createDataFrame([(6, "d"), (7, "e"), (8, "a")], schema)
+    want = [(6, 6, True), (7, 7, True), (8, 1, False)]
+    for _ in range(2):
+        assert [(r[0], r[1], r[3]) for r in result(three, "three")] == want
+    assert index.known().count() == index.known().select("digest").distinct().count() == 5
