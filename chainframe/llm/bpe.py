@@ -221,14 +221,16 @@ BETWEEN = "\0"
 
 
 class MergedSlices:
-    """Slice -> its ids as unsigned 32-bit bytes. Keeps at most ``most`` slices of ``longest`` characters, then begins anew.
+    """Slice -> its ids as unsigned 32-bit bytes. Keeps slices of ``longest`` characters in two generations of about ``most``:
+    when the younger one is full it becomes the older, and slices that are met again move back, so that frequent ones stay.
 
     Pair merging, in the order of the ranks, is the public library's; it gets whole slices, many in one call.
     """
 
-    def __init__(self, ranks: dict[bytes, int], most: int = 150_000, longest: int = 64):
+    def __init__(self, ranks: dict[bytes, int], most: int = 100_000, longest: int = 64):
         import tiktoken
 
+        self.older: dict[str, bytes] = {}
         pattern = f"[^{BETWEEN}]+|{BETWEEN}"
         self.merge = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self.ranks, self.merge_one = ranks, None
@@ -253,12 +255,13 @@ class MergedSlices:
     def of(self, by_text: list[list[str]], counts: bool = False) -> list[bytes] | list[tuple[bytes, np.ndarray]]:
         """The ids of texts that are given as slices; with ``counts`` also where each slice's ids begin."""
         if len(self.known) > self.most:
-            self.known = {}
-        known = self.known
-        new: set[str] = set()
-        for pieces in by_text:
-            new.update(pieces)
-        fresh = [p for p in new.difference(known) if BETWEEN not in p]
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        new = set().union(*by_text).difference(known)
+        again = [p for p in new if p in older]
+        known.update((p, older[p]) for p in again)
+        new.difference_update(again)
+        fresh = [p for p in new if BETWEEN not in p]
         ids = np.array(self.merge(BETWEEN.join(fresh)), "<u4")
         cuts = np.flatnonzero(ids == self.between).tolist()
         raw = ids.tobytes()
