@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chainframe.llm.common import chunks
+from chainframe.llm.common import chunks, free_name
 
 # --- automaton -------------------------------------------------------------------------------------------------
 
@@ -403,24 +403,25 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", start
     with it, ``first`` (array<int>: the place of each slice's first id).
 
     Whole texts of any length, a very long one by itself; null and empty texts have no ids. ``df``'s other columns stay;
-    columns named like the new ones are replaced, and the name ``__text`` is reserved. Rows are independent, so there is no
-    shuffle; repeated rows give repeated results, and an empty table none.
+    columns named like the new ones are replaced. Rows are independent, so there is no shuffle; repeated rows give repeated
+    results, and an empty table none.
     """
     if first and (special or not starts):
         raise ValueError("first goes with starts, and not with special strings")
     content = vocabulary(df, path)
     kept = [c for c in df.columns if c not in (ids, starts, first)]
     of = df.schema[text].name
-    plain = df.select(*(F.col(f"`{c}`") for c in kept), F.coalesce(F.col(f"`{of}`"), F.lit("")).alias("__text"))
+    own = free_name(df, "__text")
+    plain = df.select(*(F.col(f"`{c}`") for c in kept), F.coalesce(F.col(f"`{of}`"), F.lit("")).alias(own))
     new = [c for c in (ids, starts, first) if c]
-    schema = plain.drop("__text").schema
+    schema = plain.drop(own).schema
     for c in new:
         schema = schema.add(c, T.ArrayType(T.IntegerType()))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for one in small(batch, "__text"):
-                texts = one.column("__text").to_pylist()
+            for one in small(batch, own):
+                texts = one.column(own).to_pylist()
                 found = list(encode_with_offsets(texts, content.value) if first else encode_texts(texts, content.value, special))
                 columns = [one.column(c) for c in kept] + [_lists([x[k] for x in found], "<i4") for k in range(len(new))]
                 yield pa.RecordBatch.from_arrays(columns, [*kept, *new])

@@ -49,6 +49,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_of(column: str) -> Column:
     """The text, with null as the empty text."""
     return F.coalesce(F.col(column), F.lit(""))

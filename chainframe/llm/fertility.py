@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chainframe.llm.bpe import MergedSlices, merged_slices, small, vocabulary
-from chainframe.llm.common import ASCII_SPACE, chunks, text_of
+from chainframe.llm.common import ASCII_SPACE, chunks, free_name, text_of
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
@@ -204,22 +204,22 @@ def measure(df: DataFrame, pieces_path: str, ranks_path: str, text: str = "text"
 
     Words are ``[^\\x20\\x09-\\x0D]+``; null and empty texts have none, and shares of nothing are 0. Repeated rows give
     repeated results, an empty table none; nothing is compared between rows, so there are no ties. Texts of any length are
-    measured whole; a very long one is held in memory by itself. Columns of ``df`` that clash with new ones are replaced;
-    the name ``__text`` is reserved.
+    measured whole; a very long one is held in memory by itself. Columns of ``df`` that clash with new ones are replaced.
     """
     pieces, ranks = vocabulary(df, pieces_path), vocabulary(df, ranks_path)
     names = [n for n, _ in SCHEMA]
     kept = [c for c in df.columns if c not in (text, *names)]
-    plain = df.select(*(F.col(f"`{c}`") for c in kept), text_of(text).alias("__text"))
-    schema = plain.drop("__text").schema
+    own = free_name(df, "__text")
+    plain = df.select(*(F.col(f"`{c}`") for c in kept), text_of(text).alias(own))
+    schema = plain.drop(own).schema
     for n, t in SCHEMA:
         schema = schema.add(n, "long" if t == pa.int64() else "double" if t == pa.float64() else "string")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = words_of(pieces.value, ranks.value)
         for batch in batches:
-            for one in small(batch, "__text"):
-                texts = one.column("__text").to_pylist()
+            for one in small(batch, own):
+                texts = one.column(own).to_pylist()
                 rows = [r for a, b in chunks(texts) for r in measure_texts(texts[a:b], words)]
                 new = [pa.array(c, t) for c, (_, t) in zip(zip(*rows), SCHEMA)]
                 yield pa.RecordBatch.from_arrays([*(one.column(c) for c in kept), *new], [*kept, *names])

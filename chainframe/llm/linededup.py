@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chainframe.llm.common import ASCII_SPACE, materialize, text_of
+from chainframe.llm.common import ASCII_SPACE, free_name, materialize, text_of
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: A key with over 1 / HEAVY of all lines is sliced, so at most HEAVY keys are, which bounds what is broadcast.
@@ -89,17 +89,18 @@ def keep_bitmaps(marked: DataFrame, drop: Column) -> DataFrame:
 
 def apply_bitmaps(df: DataFrame, bitmaps: DataFrame) -> DataFrame:
     """Each document with n_lines, n_dropped and kept (its other lines joined by \\n)."""
-    split = df.select(*(F.col(f"`{c}`") for c in df.columns), F.xxhash64(text_of("text")).alias("__th"))
-    b = bitmaps.select(F.col("doc_id").alias("__id"), F.col("th").alias("__bth"), "dropped")
-    joined = split.join(b, split["doc_id"].eqNullSafe(b["__id"]) & (split["__th"] == b["__bth"]), "left")
+    th, own_id, own_th, bits = (free_name(df, n) for n in ("__th", "__id", "__bth", "__dropped"))
+    split = df.select(*(F.col(f"`{c}`") for c in df.columns), F.xxhash64(text_of("text")).alias(th))
+    b = bitmaps.select(F.col("doc_id").alias(own_id), F.col("th").alias(own_th), F.col("dropped").alias(bits))
+    joined = split.join(b, split["doc_id"].eqNullSafe(b[own_id]) & (split[th] == b[own_th]), "left")
     lines = F.split(text_of("text"), "\n")
 
     def stays(_: Column, i: Column) -> Column:
-        word = F.coalesce(F.try_element_at("dropped", F.floor(i / F.lit(64)).cast("int")), F.lit(0).cast("long"))
+        word = F.coalesce(F.try_element_at(bits, F.floor(i / F.lit(64)).cast("int")), F.lit(0).cast("long"))
         return F.call_function("bit_get", word, i % F.lit(64)) == 0
 
-    n_dropped = F.aggregate(F.map_values("dropped"), F.lit(0).cast("long"), lambda a, w: a + F.bit_count(w))
-    text = F.when(F.col("dropped").isNull(), text_of("text")).otherwise(F.array_join(F.filter(lines, stays), "\n"))
+    n_dropped = F.aggregate(F.map_values(bits), F.lit(0).cast("long"), lambda a, w: a + F.bit_count(w))
+    text = F.when(F.col(bits).isNull(), text_of("text")).otherwise(F.array_join(F.filter(lines, stays), "\n"))
     return joined.select(
         *(F.col(f"`{c}`") for c in df.columns),
         F.size(lines).cast("long").alias("n_lines"),

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chainframe.llm.bpe import small
-from chainframe.llm.common import materialize, text_of
+from chainframe.llm.common import free_name, materialize, text_of
 
 BITS, DISTANCE, GROUPS, SEED = 64, 3, 6, 42
 #: Points of a cell that one block holds; a cell with more is joined block by block.
@@ -53,17 +53,19 @@ def signed(values: Iterable[int]) -> np.ndarray:
 
 
 def fingerprints(df: DataFrame, to: str = "fp") -> DataFrame:
-    """Add ``to``, the fingerprint as a signed long; null texts are empty; other columns but text stay."""
+    """Add ``to``, the fingerprint as a signed long; null texts are empty; other columns but text stay, one named ``to`` is
+    replaced. Texts of any length are hashed whole, a very long one by itself."""
     kept = [c for c in df.columns if c not in (to, "text")]
-    plain = df.select(*(F.col(f"`{c}`") for c in kept), text_of("text").alias("__text"))
+    name = free_name(df, "__text")
+    plain = df.select(*(F.col(f"`{c}`") for c in kept), text_of("text").alias(name))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for one in small(batch, "__text"):
-                own = signed(fingerprint(t) for t in one.column("__text").to_pylist())
+            for one in small(batch, name):
+                own = signed(fingerprint(t) for t in one.column(name).to_pylist())
                 yield pa.RecordBatch.from_arrays([*(one.column(c) for c in kept), pa.array(own)], [*kept, to])
 
-    return plain.mapInArrow(run, plain.drop("__text").schema.add(to, "long"))
+    return plain.mapInArrow(run, plain.drop(name).schema.add(to, "long"))
 
 
 # --- embedding and grid ---------------------------------------------------------------------------------------
@@ -205,22 +207,24 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     raise RuntimeError(f"components did not settle in {most_rounds} rounds")
 
 
-def near_duplicates(df: DataFrame) -> DataFrame:
-    """doc_id, fp, component_id per row of ``df`` (doc_id, text; other columns are ignored).
+def near_duplicates(df: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, fp, component_id, root per row of ``df`` (doc_id, text and what is to be carried along; other columns are
+    ignored, whatever their names). ``root`` is a fingerprint that stands for the component.
 
     component_id is the smallest doc_id that links reach; null doc_ids don't count, and a component of such rows alone
-    has none. Null texts are empty; texts without words have fingerprint 0. Repeated rows come back each. An empty table
+    has none. Null texts are empty; texts without words have fingerprint 0. Texts of any length are hashed whole. Repeated
+    rows come back each, in the same component; equal fingerprints are one point, so ties don't matter. An empty table
     gives no rows.
     """
-    rows = materialize(fingerprints(df.select("doc_id", "text")))
+    rows = materialize(fingerprints(df.select("doc_id", "text", *carry)))
     points = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("least_id")))
     roots = components(links(points.select("fp")))
     rooted = materialize(
         points.join(roots, points["fp"] == roots["node"], "left").select("fp", "least_id", F.coalesce("root", "fp").alias("root"))
     )
     ids = materialize(rooted.groupBy("root").agg(F.min("least_id").alias("component_id")))
-    classes = materialize(rooted.join(ids, "root").select("fp", "component_id"))
-    return rows.join(classes, "fp").select("doc_id", "fp", "component_id")
+    classes = materialize(rooted.join(ids, "root").select("fp", "component_id", "root"))
+    return rows.join(classes, "fp").select("doc_id", *carry, "fp", "component_id", "root")
 
 
 def near_duplicate_classes(documents: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chainframe.llm.bpe import small
-from chainframe.llm.common import chunks, materialize, text_of
+from chainframe.llm.common import chunks, free_name, materialize, text_of
 
 #: ASCII punctuation and control characters part words; A-Z are lower-cased.
 _WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if b > 127 or chr(b).isalnum() else 32 for b in range(256))
@@ -188,7 +188,7 @@ def score(df: DataFrame, weights: DataFrame, p: Ftrl = Ftrl(), to: str = "score"
     """Add ``to``: the probability of label 1 by the text alone. Null and empty texts have the bias only.
 
     The weights that L1 leaves are gathered and broadcast: 2^bits + 1 pairs of numbers at most. Other columns stay, one
-    named ``to`` is replaced, and the name ``__text`` is reserved; no shuffle. Texts of any length are scored whole, a very
+    named ``to`` is replaced; no shuffle. Texts of any length are scored whole, a very
     long one by itself; repeated rows get equal scores; an empty table gives no rows.
     """
     got = weights.toPandas()
@@ -196,7 +196,8 @@ def score(df: DataFrame, weights: DataFrame, p: Ftrl = Ftrl(), to: str = "score"
     dense[got["coordinate"].to_numpy(np.int64)] = got["weight"].to_numpy()
     sent = df.sparkSession.sparkContext.broadcast((np.flatnonzero(dense).astype(np.int32), dense[dense != 0]))
     kept = [c for c in df.columns if c != to]
-    plain = df.select(*(F.col(f"`{c}`") for c in kept), text_of("text").alias("__text"))
+    own = free_name(df, "__text")
+    plain = df.select(*(F.col(f"`{c}`") for c in kept), text_of("text").alias(own))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = np.zeros((1 << p.bits) + 1, np.float32)
@@ -204,12 +205,12 @@ def score(df: DataFrame, weights: DataFrame, p: Ftrl = Ftrl(), to: str = "score"
         w[i] = v
         hashes = WordHashes(p.stems)
         for batch in batches:
-            for one in small(batch, "__text"):
-                texts = one.column("__text").to_pylist()
+            for one in small(batch, own):
+                texts = one.column(own).to_pylist()
                 scores = np.concatenate([score_texts(texts[a:b], w, p, hashes) for a, b in chunks(texts)])
                 yield pa.RecordBatch.from_arrays([*(one.column(c) for c in kept), pa.array(scores, pa.float64())], [*kept, to])
 
-    return plain.mapInArrow(run, plain.drop("__text").schema.add(to, "double"))
+    return plain.mapInArrow(run, plain.drop(own).schema.add(to, "double"))
 
 
 def score_texts(texts: list[str], w: np.ndarray, p: Ftrl, hashes: WordHashes) -> np.ndarray:

@@ -36,7 +36,7 @@ def sha(b):
 
 @pytest.fixture(scope="module")
 def docs(spark):
-    return spark.createDataFrame(AWKWARD, DOCUMENTS).withColumns({"start": F.lit(1), "length": F.lit("x"), "ids": F.lit(0), "score": F.lit("s"), "spans": F.lit(0), "kept": F.lit(0), "n_words": F.lit("?"), "dropped": F.lit(1)})
+    return spark.createDataFrame(AWKWARD, DOCUMENTS).withColumns({"start": F.lit(1), "length": F.lit("x"), "ids": F.lit(0), "score": F.lit("s"), "spans": F.lit(0), "kept": F.lit(0), "n_words": F.lit("?"), "dropped": F.lit(1), "__text": F.lit("?"), "__TEXT_": F.lit(0), "__th": F.lit(0), "__id": F.lit("?"), "__bth": F.lit("?"), "fp": F.lit("?"), "lang_": F.lit(0)})
 
 
 @pytest.fixture(scope="module")
