@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chainframe.llm import linededup, packing, secretscan, simhash, toxicity
-from chainframe.llm.common import documents, shared_folder
+from chainframe.llm.common import documents, materialize, shared_folder
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -20,7 +20,9 @@ def with_text(docs: DataFrame, text) -> DataFrame:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents predicted toxic go."""
+    """Documents predicted toxic go. A null or empty text has the bias only and stays unless that alone is toxic; repeated
+    rows go or stay alike; texts of any length are scored whole; columns but those of documents are left behind; an empty
+    table stays empty."""
     p = toxicity.Ftrl()
     weights = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), p)
     scored = toxicity.score(docs.select(*COLUMNS), weights, p)
@@ -28,26 +30,43 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that ten documents or more have go; documents stay, even if empty then."""
+    """Lines that ten documents or more have go; documents stay, even if empty then. A null text stays null; repeated rows
+    lose the same lines; rows without a doc_id count as one document; texts of any length are split whole; columns but
+    those of documents are left behind; an empty table stays empty."""
     done = linededup.dedup_lines(docs.select(*COLUMNS).drop("n_chars"))
     return with_text(done, F.when(F.col("n_dropped") > 0, F.col("kept")).otherwise(F.col("text")))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component stays: that with the smallest doc_id. Rows without a doc_id can't be told apart by
-    it and stay."""
-    found = simhash.near_duplicates(docs)
-    goes = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id")
-    return docs.select(*COLUMNS).join(goes, "doc_id", "left_anti").select(*COLUMNS)
+    """One row of each component stays: that with the smallest doc_id (null last), then with the least hash of its text. Of
+    rows that are alike in both one stays. Null and empty texts, and those without words, are one component. Texts of any
+    length are hashed whole; columns but those of documents are left behind; an empty table stays empty."""
+    docs = docs.select(*COLUMNS, F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"))
+    rows = materialize(simhash.near_duplicates(docs, carry=("th",)).groupBy("root", "doc_id", "th").agg(F.count("*").alias("n")))
+    best = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("best"))
+    marked = rows.join(best, "root").withColumn("stays", F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("th") == F.col("best.th")))
+
+    def these(which: DataFrame, how: str, of: DataFrame) -> DataFrame:
+        w = which.select(F.col("doc_id").alias("w_id"), F.col("th").alias("w_th"))
+        return of.join(w, of["doc_id"].eqNullSafe(w["w_id"]) & (of["th"] == w["w_th"]), how)
+
+    kept = these(marked.where("NOT stays"), "left_anti", docs)
+    again = materialize(marked.where("stays AND n > 1").select("doc_id", "th"))
+    if not again.isEmpty():  # only the rows that are alike are compared
+        kept = these(again, "left_anti", kept).unionByName(these(again, "left_semi", kept).dropDuplicates(["doc_id", "th"]))
+    return kept.select(*COLUMNS)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are replaced by their kind; documents stay."""
+    """Secrets are replaced by their kind; documents stay. A null text stays null; repeated rows are redacted alike; texts of
+    any length are scanned whole; columns but those of documents are left behind; an empty table stays empty."""
     done = secretscan.scan(docs.select(*COLUMNS), redact=True)
     return with_text(done, F.col("text"))
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences, a row per piece: see packing.pack, which says what null and empty texts,
+    repeated rows, rows without a doc_id and empty tables give."""
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
