@@ -165,6 +165,18 @@ class Fixtures:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir, self._made = spark, sf_dir, {}
 
+    def written(self, path: str, names: tuple[str, ...]) -> Fixtures:
+        """The same views, of which ``names`` are read from tables at ``path``: partitioned by chain, sorted by block."""
+        out = Fixtures(self.spark, self.sf_dir)
+        for name in names:
+            df = getattr(self, name)
+            keys = [c for c in ("chain_id",) if c in df.columns]
+            order = [c for c in ("block_number", "seq") if c in df.columns]
+            dealt = df.repartition(*keys) if keys else df
+            (dealt.sortWithinPartitions(*keys, *order) if order else dealt).write.partitionBy(*keys).parquet(f"{path}/{name}")
+            out._made[name] = self.spark.read.schema(df.schema).parquet(f"{path}/{name}").select(*df.columns)
+        return out
+
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_") or (name not in VIEWS and name not in BASE):
             raise AttributeError(name)

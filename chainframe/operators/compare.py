@@ -167,10 +167,14 @@ def overlap_window(a: DataFrame, b: DataFrame, cutovers: DataFrame, margin: int)
     )
 
 
-def compare_chain(a: DataFrame, b: DataFrame, cutovers: DataFrame, floors: DataFrame, pins: DataFrame, margin: int, stagnation: DataFrame | None = None) -> DataFrame:
+def compare_chain(
+    a: DataFrame, b: DataFrame, cutovers: DataFrame, floors: DataFrame, pins: DataFrame, margin: int, stagnation: DataFrame | None = None, others: dict[str, tuple[DataFrame, DataFrame, list[str]]] | None = None, width: int = 1000
+) -> DataFrame:
     """One row per chain over its overlap: counts of each class of transactions and PASS, FAIL or PENDING.
 
-    ``stagnation`` (chain_id, failing) fails a chain whose progress does.
+    ``stagnation`` (chain_id, failing) fails a chain whose progress does. ``others`` are the other families by name: both
+    sides and the order of their rows; they are compared by digests of ``width`` blocks, and buckets that differ, counted as
+    bad_NAME, fail the chain.
     """
     w = overlap_window(a, b, cutovers, margin)
     ready = w.where("state = 'READY'").select("chain_id", "lo", "hi")
@@ -189,8 +193,13 @@ def compare_chain(a: DataFrame, b: DataFrame, cutovers: DataFrame, floors: DataF
     cols = [c.replace("-", "_") for c in names]
     j = w.join(n, "chain_id", "left").join(ia.groupBy("chain_id").agg(F.count("*").alias("compared")), "chain_id", "left")
     j = j.select("chain_id", "lo", "hi", "state", *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in [*cols, "compared"]))
+    for name, (x, y, order) in (others or {}).items():
+        dx, dy = (bucket_digest(inside(t), order, width=width).select("chain_id", "bucket", F.col("digest").alias(d)) for t, d in ((x, "dx"), (y, "dy")))
+        differs = dx.join(dy, ["chain_id", "bucket"], "full_outer").where(~F.col("dx").eqNullSafe(F.col("dy")))
+        j = j.join(differs.groupBy("chain_id").agg(F.count("*").alias("__n")), "chain_id", "left").withColumn(f"bad_{name}", F.coalesce("__n", F.lit(0)).cast("long")).drop("__n")
     j = j.join(stagnation.select("chain_id", "failing"), "chain_id", "left") if stagnation is not None else j.withColumn("failing", F.lit(False))
-    bad = (F.col("only_b_hard") + F.col("mismatch") + F.col("only_a") > 0) | F.coalesce("failing", F.lit(False))
+    bad_buckets = sum((F.col(f"bad_{n}") for n in others or {}), F.lit(0))
+    bad = (F.col("only_b_hard") + F.col("mismatch") + F.col("only_a") + bad_buckets > 0) | F.coalesce("failing", F.lit(False))
     verdict = F.when((F.col("state") == "PENDING") | (F.col("compared") == 0), "PENDING").when(bad, "FAIL").otherwise("PASS")
     return j.withColumn("verdict", verdict).drop("failing", "state")
 

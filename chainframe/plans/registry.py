@@ -24,5 +24,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {n: (lambda spark, sf_dir, f=f: f(Fixtures(spark, sf_dir))) for n, f in _QUERIES.items()}
 
 
+def run(name: str, fixtures: Fixtures) -> DataFrame:
+    """A query over views that are there already."""
+    return _QUERIES[name](fixtures)
+
+
 def oracle_sql() -> dict[str, str]:
     return {n: with_views(q) for n, q in _ORACLES.items()}

@@ -480,7 +480,16 @@ register(
 SELECT chain_id, block_number, CAST(floor(block_number / 100.0) AS BIGINT) AS bucket, CAST(floor(least(greatest(block_number, 150), 320) / 100.0) AS BIGINT) AS clamped FROM {blocks}""",
 )
 
+#: Eras of the test chain, one of them beyond its end.
+_ERAS = {"one": 20, "two": 33, "far": 10**9}
 register(
     "sample_windows",
-    lambda f: scalars.sample_windows(f.blocks.groupBy("chain_id").agg(F.min("block_number").alias("first_block"), F.max("block_number").alias("last_block"), F.min(F.when(F.col("block_number") >= 20, F.col("block_number"))).alias("deploy_block")), seed=11, count=6, length=20, grid=100),
+    lambda f: scalars.sample_windows(f.blocks.groupBy("chain_id").agg(F.min("block_number").alias("first_block"), F.max("block_number").alias("last_block"), F.min(F.when(F.col("block_number") >= 20, F.col("block_number"))).alias("deploy_block")), seed=11, count=6, length=20, grid=16, pad=5, span=7, frontier=9, eras=_ERAS),
+    f"""
+WITH c AS (SELECT chain_id, min(block_number) AS a, max(block_number) AS z, min(CASE WHEN block_number >= 20 THEN block_number END) AS d FROM {{blocks}} GROUP BY chain_id),
+w AS (SELECT chain_id, a, z, 'random-' || CAST(i AS STRING) AS strategy, a + CAST('0x' || substring(md5('11:' || CAST(chain_id AS STRING) || ':' || CAST(i AS STRING)), 1, 12) AS BIGINT) % greatest(z - a - 18, 1) AS lo, 19 AS more FROM c, range(6) r(i)
+  UNION ALL SELECT chain_id, a, z, 'grid@' || CAST(k * 16 AS STRING), k * 16 - 2, 4 FROM c, range(100000) r(k) WHERE k * 16 BETWEEN a + 2 AND z - 2
+  UNION ALL SELECT chain_id, a, z, 'deploy', greatest(d - 5, 0), d + 5 - greatest(d - 5, 0) FROM c UNION ALL SELECT chain_id, a, z, 'frontier', z - 8, 8 FROM c UNION ALL SELECT chain_id, a, z, 'full', d, z - d FROM c
+  UNION ALL SELECT chain_id, a, z, 'era:' || n, b, 7 FROM c, (VALUES {", ".join(f"('{n}', {b})" for n, b in _ERAS.items())}) e(n, b) WHERE chain_id = 1)
+SELECT chain_id, strategy, CAST(greatest(lo, a) AS BIGINT) AS lo, CAST(least(lo + more, z) AS BIGINT) AS hi FROM w WHERE greatest(lo, a) <= least(lo + more, z)""",
 )
