@@ -227,7 +227,7 @@ class MergedSlices:
     Pair merging, in the order of the ranks, is the public library's; it gets whole slices, many in one call.
     """
 
-    def __init__(self, ranks: dict[bytes, int], most: int = 100_000, longest: int = 64):
+    def __init__(self, ranks: dict[bytes, int], most: int = 75_000, longest: int = 64):
         import tiktoken
 
         self.older: dict[str, bytes] = {}
@@ -420,7 +420,7 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", start
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for one in small(batch, own):
+            for one in small(batch, own, 1_000_000):
                 texts = one.column(own).to_pylist()
                 found = list(encode_with_offsets(texts, content.value) if first else encode_texts(texts, content.value, special))
                 columns = [one.column(c) for c in kept] + [_lists([x[k] for x in found], "<i4") for k in range(len(new))]
@@ -458,8 +458,8 @@ def decode(df: DataFrame, path: str, ids: str = "ids", to: str = "decoded", offs
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoded = decoder(content.value)
         for batch in batches:
-            for k in range(0, batch.num_rows, 512):
-                one = batch.slice(k, 512)
+            for k in range(0, batch.num_rows, 128):
+                one = batch.slice(k, 128)
                 column = one.column(ids)
                 values = column.values.to_numpy(zero_copy_only=False)
                 at = column.offsets.to_numpy()
