@@ -213,11 +213,10 @@ register("children_in_range", lambda f: joins.children_in_range(f.creations, 10,
 
 register(
     "asof_block",
-    lambda f: joins.asof_block(f.blocks.where("block_number % 3 = 0").select(F.pmod(F.col("chain_id"), F.lit(5)).cast("long").alias("chain_id"), F.col("block_number").alias("foreign_block"), (F.col("block_ts") + F.col("block_number") % 5 * 3).alias("checkpoint_ts")), f.blocks.where("block_number % 2 = 0")),
+    lambda f: joins.asof_block(f.blocks.select(F.pmod(F.col("chain_id"), F.lit(5)).cast("long").alias("chain_id"), F.col("block_number").alias("foreign_block"), (F.col("block_ts") + F.col("block_number") % 5 * 3).alias("checkpoint_ts")), f.blocks),
     """
 SELECT c.chain_id % 5 AS chain_id, c.block_number AS foreign_block, c.block_ts + c.block_number % 5 * 3 AS checkpoint_ts, max(b.block_number) AS asof_block
-FROM (SELECT * FROM {blocks} WHERE block_number % 3 = 0) c
-LEFT JOIN (SELECT * FROM {blocks} WHERE block_number % 2 = 0) b ON b.chain_id = c.chain_id % 5 AND b.block_ts < c.block_ts + c.block_number % 5 * 3
+FROM {blocks} c LEFT JOIN {blocks} b ON b.chain_id = c.chain_id % 5 AND b.block_ts < c.block_ts + c.block_number % 5 * 3
 GROUP BY c.chain_id, c.block_number, c.block_ts""",
 )
 

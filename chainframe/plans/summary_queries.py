@@ -13,10 +13,10 @@ from chainframe.plans.match_queries import LABELLED, LOG, RANKED, TX, call_frame
 from chainframe.plans.registry import register
 from chainframe.plans.sources_queries import POSITIONS, _positions
 
-register("closest_block", lambda f: agg.closest_block(f.logs.where("block_number < 150"), f.tx.where("block_number < 120"), f.frames.where("own_error IS NOT NULL AND block_number < 170")), """
+register("closest_block", lambda f: agg.closest_block(f.logs.where("event_code = 'RF'"), f.tx.where("status = 0"), f.frames.where("own_error IS NOT NULL")), """
 SELECT chain_id, max(block_number) AS closest_block FROM (
-  SELECT chain_id, block_number FROM {logs} WHERE block_number < 150 UNION ALL SELECT chain_id, block_number FROM {tx} WHERE block_number < 120
-  UNION ALL SELECT chain_id, block_number FROM {frames} WHERE own_error IS NOT NULL AND block_number < 170) u GROUP BY chain_id""")
+  SELECT chain_id, block_number FROM {logs} WHERE event_code = 'RF' UNION ALL SELECT chain_id, block_number FROM {tx} WHERE status = 0
+  UNION ALL SELECT chain_id, block_number FROM {frames} WHERE own_error IS NOT NULL) u GROUP BY chain_id""")
 
 # whole tables; families differ by columns
 register("closest_block_all", lambda f: agg.closest_block(f.logs.where("event_code <> 'NO'"), f.tx.where("status = 1"), f.frames.where("own_error IS NOT NULL")), """
@@ -155,15 +155,25 @@ WITH w AS (SELECT DISTINCT chain_id, CAST(floor(block_number / 40.0) * 40 AS BIG
 SELECT w.chain_id, w.lo, w.lo + 49 AS hi, count(CASE WHEN l.log_index <> 33 THEN 1 END) AS indexed, count(l.log_index) AS truth, count(CASE WHEN l.log_index <> 33 THEN 1 END) = count(l.log_index) AS complete
 FROM w LEFT JOIN {logs} l ON l.chain_id = w.chain_id AND l.block_number BETWEEN w.lo AND w.lo + 49 GROUP BY w.chain_id, w.lo""")
 
+
+
+def children_of(f: Fixtures, code: str) -> DataFrame:
+    """Created contracts that have a log of this kind."""
+    return f.creations.join(f.logs.where(F.col("event_code") == code).select("chain_id", F.col("address").alias("child")), ["chain_id", "child"], "left_semi")
+
+
 register(
     "child_coverage_vs_reference",
-    lambda f: agg.child_coverage_vs_reference(f.creations.where("created_block % 4 <> 0"), f.creations.where("created_block % 5 <> 0"), f.heads.withColumn("finalized", F.lit(60)), f.logs.where("event_code = 'NF' AND block_number < 20")),
+    lambda f: agg.child_coverage_vs_reference(children_of(f, "RO"), children_of(f, "NO"), f.heads, f.logs.where("event_code = 'NF' AND line_no = 1")),
     """
-WITH r AS (SELECT c.chain_id, c.child, c.created_block, c.created_block % 4 <> 0 AS found, EXISTS (SELECT 1 FROM {logs} l WHERE l.chain_id = c.chain_id AND l.address = c.child AND l.event_code = 'NF' AND l.block_number < 20) AS active
-  FROM {creations} c WHERE c.created_block % 5 <> 0)
+WITH r AS (SELECT c.chain_id, c.child, c.created_block, h.finalized,
+    EXISTS (SELECT 1 FROM {logs} l WHERE l.chain_id = c.chain_id AND l.address = c.child AND l.event_code = 'RO') AS found,
+    EXISTS (SELECT 1 FROM {logs} l WHERE l.chain_id = c.chain_id AND l.address = c.child AND l.event_code = 'NO') AS known,
+    EXISTS (SELECT 1 FROM {logs} l WHERE l.chain_id = c.chain_id AND l.address = c.child AND l.event_code = 'NF' AND l.line_no = 1) AS active
+  FROM {creations} c LEFT JOIN {heads} h ON h.chain_id = c.chain_id)
 SELECT chain_id, class, count(*) AS n FROM (
-  SELECT chain_id, CASE WHEN found THEN 'found' WHEN created_block > 60 THEN 'after-head' WHEN NOT active THEN 'event-less' ELSE 'missing' END AS class FROM r
-  UNION ALL SELECT chain_id, 'extra' FROM {creations} WHERE created_block % 4 <> 0 AND created_block % 5 = 0) u GROUP BY chain_id, class""",
+  SELECT chain_id, CASE WHEN found AND NOT known THEN 'extra' WHEN found THEN 'found' WHEN created_block > finalized THEN 'after-head' WHEN NOT active THEN 'event-less' ELSE 'missing' END AS class
+  FROM r WHERE found OR known) u GROUP BY chain_id, class""",
 )
 
 # discovered children have a seventh-line AF log, the reference's a second RF log; heads are the chains' own
@@ -189,8 +199,8 @@ SELECT chain_id, class, count(*) AS n FROM (
 # --- windows ------------------------------------------------------------------------------------------------------
 
 register("rank_traces", lambda f: call_frames(f).select(*TX, "frame_key", "trace_index"), f"SELECT chain_id, block_number, transaction_index, frame_key, trace_index FROM ({RANKED}) r")
-register("dedupe_first", lambda f: win.dedupe_first([f.tx.where("order_key % 3 = 0").select("tx_hash"), f.tx.where("order_key % 2 = 0").select("tx_hash")], ["tx_hash"]), """
-SELECT tx_hash, CASE WHEN order_key % 3 = 0 THEN 0 ELSE 1 END AS branch FROM {tx} WHERE order_key % 3 = 0 OR order_key % 2 = 0""")
+register("dedupe_first", lambda f: win.dedupe_first([f.tx.where("tx_type = 2").select("tx_hash"), f.tx.where("status = 1").select("tx_hash"), f.tx.select("tx_hash")], ["tx_hash"]), """
+SELECT tx_hash, CASE WHEN tx_type = 2 THEN 0 WHEN status = 1 THEN 1 ELSE 2 END AS branch FROM {tx}""")
 
 ISLANDS = """
 SELECT fragment_id, min(lo) AS lo, max(hi) AS hi FROM (
@@ -226,9 +236,9 @@ register("checkpoint_monotonic", lambda f: win.checkpoint_monotonic(f.intervals.
 WITH s AS (SELECT fragment_id, lo, hi - lo + CAST(lo AS DOUBLE) / 5 AS p, lag(hi - lo + CAST(lo AS DOUBLE) / 5) OVER (PARTITION BY fragment_id ORDER BY lo) AS b FROM {intervals}),
 r AS (SELECT *, row_number() OVER (PARTITION BY fragment_id ORDER BY lo) AS n FROM s WHERE p < b)
 SELECT fragment_id, lo AS at, b AS before, p AS after FROM r WHERE n = 1""")
-register("checkpoint_progress", lambda f: win.checkpoint_progress(f.heads.select("chain_id"), f.blocks.where("chain_id <> 4 AND block_number < 77").select("chain_id", F.when(F.col("chain_id") == 2, 0).otherwise(F.col("block_number")).alias("block_number")), f.blocks), """
+register("checkpoint_progress", lambda f: win.checkpoint_progress(f.heads.select("chain_id"), f.blocks.where("chain_id <> 4 AND tx_count > 2").select("chain_id", F.when(F.col("chain_id") == 2, 0).otherwise(F.col("block_number")).alias("block_number")), f.blocks), """
 SELECT h.chain_id, count(c.block_number) AS n_rows, CASE WHEN count(c.block_number) > 0 THEN max(CASE WHEN c.chain_id = 2 THEN 0 ELSE c.block_number END) ELSE (SELECT max(block_number) FROM {blocks} b WHERE b.chain_id = h.chain_id) END AS progress
-FROM {heads} h LEFT JOIN {blocks} c ON c.chain_id = h.chain_id AND c.chain_id <> 4 AND c.block_number < 77 GROUP BY h.chain_id""")
+FROM {heads} h LEFT JOIN {blocks} c ON c.chain_id = h.chain_id AND c.chain_id <> 4 AND c.tx_count > 2 GROUP BY h.chain_id""")
 # checkpoints up to each chain's finalised head; chain 4 has none, chain 2's are zero
 register("checkpoint_progress_all", lambda f: win.checkpoint_progress(f.heads.select("chain_id"), f.blocks.join(f.heads.select("chain_id", "finalized"), "chain_id").where("chain_id <> 4 AND block_number <= finalized").select("chain_id", F.when(F.col("chain_id") == 2, 0).otherwise(F.col("block_number")).alias("block_number")), f.blocks), """
 SELECT h.chain_id, count(c.block_number) AS n_rows, CASE WHEN count(c.block_number) > 0 THEN max(CASE WHEN c.chain_id = 2 THEN 0 ELSE c.block_number END) ELSE (SELECT max(block_number) FROM {blocks} b WHERE b.chain_id = h.chain_id) END AS progress
@@ -294,5 +304,5 @@ register("union_filters", lambda f: win.union_filters([f.logs.where("event_code
 register("set_diff", lambda f: win.set_diff(f.logs.where("log_index % 5 <> 0").select("chain_id", "event_code"), f.logs.where("log_index % 4 <> 0").select("chain_id", "event_code")), """
 WITH d AS (SELECT chain_id, event_code, sum(CASE WHEN log_index % 5 <> 0 THEN 1 ELSE 0 END) - sum(CASE WHEN log_index % 4 <> 0 THEN 1 ELSE 0 END) AS d FROM {logs} GROUP BY chain_id, event_code)
 SELECT chain_id, event_code, CASE WHEN d > 0 THEN 'only_a' ELSE 'only_b' END AS side, CAST(abs(d) AS BIGINT) AS n FROM d WHERE d <> 0""")
-register("referenced_keys", lambda f: win.referenced_keys(f.tx.where("order_key % 2 = 0"), f.logs.where("event_code = 'NF'"), ["chain_id", "tx_hash"]), """
-SELECT chain_id, tx_hash FROM {tx} WHERE order_key % 2 = 0 AND tx_hash IN (SELECT tx_hash FROM {logs} WHERE event_code = 'NF')""")
+register("referenced_keys", lambda f: win.referenced_keys(f.tx, f.logs.where("event_code = 'NF'"), ["chain_id", "tx_hash"]), """
+SELECT chain_id, tx_hash FROM {tx} WHERE tx_hash IN (SELECT tx_hash FROM {logs} WHERE event_code = 'NF')""")
