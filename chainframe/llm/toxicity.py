@@ -39,6 +39,7 @@ class Ftrl:
     epochs: int = 12
     most_rows: int = 12_000
     shard_rows: int = 4_000
+    shard_chars: int = 64_000_000
     most_weight: float = 10.0
     skips: tuple[int, ...] = (1, 2)
     stems: tuple[int, ...] = (4, 5, 6, 7)
@@ -167,10 +168,12 @@ def training_rows(documents: DataFrame, labels: DataFrame, p: Ftrl) -> DataFrame
 def train(documents: DataFrame, labels: DataFrame, p: Ftrl = Ftrl()) -> DataFrame:
     """(coordinate, weight), 2^bits + 1 rows at most; no rows if nothing is labelled.
 
-    The sample is small and bounded; it is written once, then dealt to as many shards as its size asks for.
+    The sample is small and bounded; it is written once, then dealt to as many shards as its rows, or its characters if
+    texts are long, ask for.
     """
     sample = materialize(training_rows(documents, labels, p))
-    shards = max(1, -(-sample.count() // p.shard_rows))
+    rows, chars = sample.agg(F.count("*"), F.coalesce(F.sum(F.char_length("text")), F.lit(0))).first()
+    shards = max(1, -(-rows // p.shard_rows), -(-chars // p.shard_chars))
     rows = sample.withColumn("shard", F.pmod(F.xxhash64(F.lit("shard"), "doc_id"), F.lit(shards)))
 
     def run(shard: pa.Table) -> pa.Table:
