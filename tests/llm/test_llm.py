@@ -248,7 +248,7 @@ def test_line_dedup(spark, keep_first):
 
 def test_line_dedup_slices_heavy_keys(spark, monkeypatch):
     monkeypatch.setattr(linededup, "HEAVY", 4)
-    rows = [(i, f"hot\nown {i}\nhot\nwarm{i % 2}") for i in range(60)]
+    rows = [(i, f"hot\nown {i}\nhot\nwarm{i % 2}") for i in range(60)] + [(None, "hot\nof nobody"), (None, " HOT\t"), (60, None)]
     got = linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), keep_first=True)
     assert sorted((str(r.doc_id), r.n_lines, r.n_dropped, r.kept) for r in got.collect()) == brute_lines(rows, 10, True)
 
@@ -304,6 +304,22 @@ def test_packing_awkward(spark, docs, empty):
     assert packing.pack(empty, P.path("byte_bpe_50k.json")).collect() == []
 
 
+def test_packing_of_ties_and_groups(spark):
+    """Many alike documents, in groups of about five: each id lies in one piece, and a task that runs again packs the same."""
+    rows = [(k % 7, "alike " * 30) for k in range(120)] + [(None, ""), (None, ""), (500, "x " * 30_000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = packing.pack(df, P.path("byte_bpe_50k.json"), group_docs=5).collect()
+    tokenizer = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    ids = {i: tokenizer.encode(t, add_special_tokens=False).ids + [1] for i, t in rows}
+    many = collections.Counter(i for i, _ in rows)
+    check_packing(got, ids, many)
+    for i, n in many.items():
+        assert sum(r.length for r in got if r.doc_id == i) == n * len(ids[i])
+    assert len({r.sequence_id >> 32 for r in got}) > 10
+    again = packing.pack(df, P.path("byte_bpe_50k.json"), group_docs=5).collect()
+    assert sorted(map(str, got)) == sorted(map(str, again))
+
+
 def test_first_fit_takes_the_first_bin():
     rnd = np.random.default_rng(0)
     lengths = rnd.integers(1, 2049, 500)
