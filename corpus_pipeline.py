@@ -43,7 +43,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     length are hashed whole; columns but those of documents are left behind; an empty table stays empty."""
     docs = docs.select(*COLUMNS, F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"))
     rows = materialize(simhash.near_duplicates(docs, carry=("th",)).groupBy("root", "doc_id", "th").agg(F.count("*").alias("n")))
-    best = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("best"))
+    # a table of its own, so that the rows of a hot component can be split over tasks
+    best = materialize(rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("best")))
     marked = rows.join(best, "root").withColumn("stays", F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("th") == F.col("best.th")))
 
     def these(which: DataFrame, how: str, of: DataFrame) -> DataFrame:
