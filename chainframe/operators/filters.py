@@ -112,7 +112,8 @@ def _match_sides(rows: DataFrame, f: DataFrame, children: DataFrame | None, rest
     """
     both = f.where(~is_any("from_address") & ~is_any("to_address"))
     takes = members(both, "to_address", children).groupBy("chain_id", "who").agg(F.collect_set(F.struct("filter_id", "since")).alias("__takes"))
-    own = rows.join(takes.select("chain_id", F.col("who").alias("__who"), "__takes"), (F.lower(rows["to_address"]) == F.col("__who")) & (rows["chain_id"] == takes["chain_id"]), "left").select(*(rows[c] for c in rows.columns), "__takes")
+    takes = takes.select(F.col("chain_id").alias("__chain"), F.col("who").alias("__who"), "__takes")
+    own = rows.join(takes, (F.col("chain_id") == F.col("__chain")) & (F.lower("to_address") == F.col("__who")), "left").drop("__chain", "__who")
     senders = f.join(members(f, "from_address", children), ["filter_id", "chain_id"]).withColumn("any_to", is_any("to_address"))
     receivers = f.where(is_any("from_address")).join(members(f, "to_address", children), ["filter_id", "chain_id"])
     neither = f.where(is_any("from_address") & is_any("to_address")).where(F.lit(match_all))
