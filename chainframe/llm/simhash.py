@@ -61,7 +61,7 @@ def fingerprints(df: DataFrame, to: str = "fp") -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for one in small(batch, name):
+            for one in small(batch, name, 1_000_000):
                 own = signed(fingerprint(t) for t in one.column(name).to_pylist())
                 yield pa.RecordBatch.from_arrays([*(one.column(c) for c in kept), pa.array(own)], [*kept, to])
 
