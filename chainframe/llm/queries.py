@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from chainframe.llm import bpe, chat, exactdedup, fertility, licenses, linededup, packing, secretscan, simhash, toxicity
+from chainframe.llm import bpe, chat, decontamination, exactdedup, fertility, licenses, linededup, packing, periodic, resampling, secretscan, simhash, toxicity
 from chainframe.llm.common import documents
 
 
@@ -56,8 +56,20 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exactdedup.dedup(documents(spark, sf_dir), exactdedup.new_index(spark), "documents")
 
 
+def op11_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.run_digests(documents(spark, sf_dir))
+
+
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.importance_sample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_chat_parts, op2_fertility, op3_line_dedup, op4_packing, op5_secrets, op6_toxicity, op7_byte_bpe, op8_licenses, op8_license_notices, op9_simhash, op10_exact_dedup)
+    own = (op1_chat_parts, op2_fertility, op3_line_dedup, op4_packing, op5_secrets, op6_toxicity, op7_byte_bpe, op8_licenses, op8_license_notices, op9_simhash, op10_exact_dedup, op11_periodic, op12_decontamination, op13_resampling)
     return {f.__name__: f for f in own}
 
 
@@ -67,4 +79,6 @@ def oracle_sql() -> dict[str, str]:
         "op3_line_dedup": linededup.ORACLE_SQL,
         "op8_licenses": licenses.ORACLE_SQL,
         "op10_exact_dedup": exactdedup.ORACLE_SQL,
+        "op12_decontamination": decontamination.ORACLE_SQL,
+        "op13_resampling": resampling.ORACLE_SQL,
     }
