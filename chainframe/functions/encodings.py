@@ -6,6 +6,9 @@ import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from chainframe.functions import abi
 
 #: Transaction types that may carry an access list.
 ACCESS_LIST_TYPES = (1, 2, 3, 4)
@@ -208,95 +211,23 @@ def data_word(data: Column, word: int) -> Column:
 ARGUMENTS = "array<struct<name:string,type:string,indexed:boolean>>"
 
 
-#: How a value is read: numbers, addresses, flags and fixed bytes are a word; the others lie where a word points to.
-NUMBER, ADDRESS, FLAG, FIXED, TEXT, BYTES, LIST = range(7)
-
-
-def _kind(type_: Column) -> Column:
-    """How a type is read."""
-    plain = F.when(type_ == "address", ADDRESS).when(type_ == "bool", FLAG).when(type_.rlike("^bytes[0-9]+$"), FIXED)
-    return plain.when(type_ == "string", TEXT).when(type_ == "bytes", BYTES).when(type_.endswith("[]"), LIST).otherwise(NUMBER)
-
-
-def _specs(args: Column, indexed: bool) -> Column:
-    """A signature's arguments of one sort, with how they are read: worked out once a signature, not once a log."""
-    item = lambda a: F.regexp_replace(a["type"], r"\[\]$", "")
-    digits = lambda t: F.coalesce(F.regexp_extract(t, "^bytes([0-9]+)$", 1).try_cast("int"), F.lit(0)) * 2
-    own = F.filter(args, lambda a: F.coalesce(a["indexed"], F.lit(False)) == indexed)
-    kind = "topic" if indexed else "word"
-    return F.transform(own, lambda a, k: F.struct(
-        F.when(F.coalesce(a["name"], F.lit("")) != "", a["name"]).otherwise(F.concat(F.lit(kind), (k + int(indexed)).cast("string"))).alias("name"),
-        _kind(a["type"]).alias("kind"), digits(a["type"]).alias("digits"), _kind(item(a)).alias("item"), digits(item(a)).alias("item_digits"),
-    ))
-
-
-def _bound(value: Column, use) -> Column:
-    """``use`` of a value that is worked out once."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
-def _number(word: Column) -> Column:
-    """A word as a place or a length; null if it can't be one."""
-    return F.when(F.startswith(word, F.lit("0" * 49)), F.conv(F.substring(word, 50, 15), 16, 10).cast("bigint"))
-
-
-def _static(word: Column, kind: Column, digits: Column) -> Column:
-    """A word by its type: addresses and fixed bytes as 0x-hex, flags as true or false, numbers as 0x-hex without leading
-    zeros (signed ones in two's complement)."""
-    number = F.ltrim(word, F.lit("0"))
-    return (
-        F.when(kind == ADDRESS, F.concat(F.lit("0x"), F.right(word, F.lit(40))))
-        .when(kind == FLAG, F.when(number == "", "false").when(number.isNotNull(), "true"))
-        .when(kind == FIXED, F.concat(F.lit("0x"), F.substring(word, F.lit(1), digits)))
-        .otherwise(F.concat(F.lit("0x"), F.when(number == "", "0").otherwise(number)))
-    )
-
-
-def _dynamic(words: Column, head: Column, a: Column) -> Column:
-    """A text, bytes or list at the place that ``head`` names: its length, then its content."""
-
-    def content(x: Column) -> Column:
-        raw = F.substring(F.array_join(F.slice(words, (x["at"] + 2).cast("int"), F.ceil(x["n"] / 32).cast("int")), ""), F.lit(1), (x["n"] * 2).cast("int"))
-        items = F.array_join(F.transform(F.slice(words, (x["at"] + 2).cast("int"), x["n"].cast("int")), lambda w: _static(w, a["item"], a["item_digits"])), ",")
-        there = F.size(words) - x["at"] - 1
-        return F.when(a["kind"] == LIST, F.when(x["n"] <= there, items)).when(
-            F.ceil(x["n"] / 32) <= there, F.when(a["kind"] == TEXT, F.decode(F.unhex(raw), "UTF-8")).otherwise(F.concat(F.lit("0x"), raw))
-        )
-
-    at = F.when(_number(head) % 32 == 0, _number(head) / 32).cast("int")
-    return _bound(at, lambda p: _bound(F.struct(p.alias("at"), _number(F.get(words, p)).alias("n")), lambda x: F.when(x["n"].isNotNull(), content(x))))
-
-
 def decode_events(logs: DataFrame, signatures: DataFrame) -> DataFrame:
     """Logs with ``event_name`` and ``args`` (map of name to value) by their signature (topic0, name, args: ARGUMENTS).
 
-    Indexed arguments come from topics 1 to 3 in order, the others from the words of the data in order. string, bytes and
-    T[] of a static type T are read where their word points to: text, 0x-hex, and values joined by commas. Indexed ones of
-    these are hashes and stay so. Arguments without a name are called topicN or wordN by their place. What the data doesn't
-    hold is null. Logs without a signature go.
+    Indexed arguments come from topics 1 to 3 in order, the others from the data by the layout of their types: see abi. A
+    word is 0x-hex, true or false; bytes are 0x-hex, string is text; lists of words are joined by commas, other lists and
+    tuples are JSON. Indexed ones that are longer than a word are hashes and stay so. Arguments without a name are called
+    topicN or wordN by their place in words; a name that is there twice gets a number. What the data doesn't hold is null; a
+    type that isn't one is an error. Logs without a signature go; columns named event_name or args are replaced.
     """
-    args = F.col("args").cast(ARGUMENTS)
-    own = signatures.select(F.lower("topic0").alias("__topic0"), F.col("name").alias("event_name"), _specs(args, True).alias("__indexed"), _specs(args, False).alias("__plain"))
-    topics = F.array(*(F.lower(_topic(logs, k)) for k in (1, 2, 3)))
-    digits = F.lower(F.substring(F.coalesce("data", F.lit("0x")), 3, 1 << 30))
-    j = logs.withColumn("__topics", topics).withColumn("__digits", digits).withColumn("__topic0", F.lower(_topic(logs, 0))).join(own, "__topic0")
-    n = F.floor(F.length("__digits") / 64).cast("int")
-    cut = F.when(n > 0, F.transform(F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1), lambda i: F.substring(F.col("__digits"), i * 64 + 1, F.lit(64)))).otherwise(F.array().cast("array<string>"))
-
-    def indexed(a: Column, k: Column) -> Column:
-        topic = F.get("__topics", k)
-        return F.struct(a["name"].alias("name"), F.when(a["kind"] >= TEXT, topic).otherwise(_static(F.substring(topic, 3, 64), a["kind"], a["digits"])).alias("value"))
-
-    def plain(words: Column):
-        def one(a: Column, k: Column) -> Column:
-            value = F.when(a["kind"] < TEXT, _static(F.get(words, k), a["kind"], a["digits"])).otherwise(_dynamic(words, F.get(words, k), a))
-            return F.struct(a["name"].alias("name"), value.alias("value"))
-
-        return one
-
-    both = F.concat(F.transform("__indexed", indexed), _bound(cut, lambda words: F.transform("__plain", plain(words))))
-    # exploding an array of one keeps the map from being made again for each of its uses
-    return j.select(*(F.col(f"`{c}`") for c in logs.columns), "event_name", F.explode(F.array(F.map_from_entries(both))).alias("args"))
+    kept = [c for c in logs.columns if c not in ("event_name", "args")]
+    own = signatures.select(F.lower("topic0").alias("__topic0"), F.col("name").alias("event_name"), F.to_json(F.col("args").cast(ARGUMENTS)).alias("__layout"))
+    data = F.coalesce("data", F.lit("0x")) if "data" in logs.columns else F.lit("0x")
+    topics = {f"__topic{k}": F.lower(_topic(logs, k)) for k in (1, 2, 3)}
+    j = logs.select(*(F.col(f"`{c}`") for c in kept), F.lower(_topic(logs, 0)).alias("__topic0"), *(c.alias(n) for n, c in topics.items()), F.lower(F.substring(data, 3, 1 << 30)).alias("__digits"))
+    j = j.join(own, "__topic0").select(*(F.col(f"`{c}`") for c in kept), "event_name", "__layout", *topics, "__digits")
+    schema = j.select(*(F.col(f"`{c}`") for c in kept), "event_name").schema.add("args", T.MapType(T.StringType(), T.StringType()))
+    return j.mapInArrow(abi.decoder([*kept, "event_name"], "__layout", list(topics), "__digits", "args"), schema)
 
 
 def _topic(logs: DataFrame, k: int) -> Column:

@@ -385,29 +385,36 @@ def event_logs(f: Fixtures) -> DataFrame:
     size = F.octet_length(note)
     tags = F.when(F.col("line_no") == 1, word(F.lit(0))).otherwise(F.concat(word(F.lit(2)), word(F.col("line_no")), word(F.col("supp_key"))))
     data = F.concat(F.lit("0x"), F.substring("data", 3, 64), F.substring("topic2", 3, 64), word(F.col("line_no") % 2), word(F.lit(160)), word(F.lit(224)), word(size), F.rpad(F.lower(F.hex(note)), 64, "0"), tags)
-    return f.logs.withColumn("data", F.when(F.col("line_no") == 6, F.substring(data, 1, 2 + 64)).otherwise(data))
+    # of Borrow: a tuple, a list of fixed length, three words, and texts whose places are counted from the list's own head
+    text = lambda t: F.concat(word(F.octet_length(t)), F.rpad(F.lower(F.hex(t)), 64, "0"))
+    few = [word(F.lit(n)) for n in (99, 5, 6, 288, 2, 64, 128)]
+    wide = F.concat(F.lit("0x"), word(F.col("line_no")), F.substring("topic2", 3, 64), word(F.lit(1)), word(F.col("line_no")), word(F.lit(2)), *few, text(F.concat(F.lit("n"), F.col("line_no").cast("string"))), text(F.col("event_code")))
+    return f.logs.withColumn("data", F.when(F.col("event_code") == "NF", wide).when(F.col("line_no") == 6, F.substring(data, 1, 2 + 64)).otherwise(data))
 
 
 def _signatures(f: Fixtures) -> DataFrame:
     args = [("part", "uint256", True), ("vault", "address", True), ("line", "uint8", True), ("amount", "uint256", False), ("account", "address", False), ("", "bool", False), ("note", "string", False), ("tags", "uint256[]", False)]
     other = [("key", "bytes4", True), ("amount", "bytes32", False)]
+    wide = [("pair", "tuple(uint256,address)", False), ("three", "uint8[3]", False), ("last", "uint256", False), ("x", "uint64", False), ("x", "int8", False), ("names", "string[]", False)]
     spec = lambda own: F.array(*(F.struct(F.lit(n).alias("name"), F.lit(t).alias("type"), F.lit(i).alias("indexed")) for n, t, i in own))
-    return f.signatures.withColumn("args", F.when(F.col("code") == "AO", spec(other)).otherwise(spec(args)))
+    return f.signatures.withColumn("args", F.when(F.col("code") == "AO", spec(other)).when(F.col("code") == "NF", spec(wide)).otherwise(spec(args)))
 
 
 def _decoded_events(f: Fixtures) -> DataFrame:
-    names = ("part", "vault", "line", "amount", "account", "word2", "note", "tags", "key")
+    names = ("part", "vault", "line", "amount", "account", "word2", "note", "tags", "key", "pair", "three", "last", "x", "x_2", "names")
     return enc.decode_events(event_logs(f), _signatures(f)).select("chain_id", "block_number", "log_index", "event_name", *(F.col("args")[n].alias(n) for n in names))
 
 
 _TRIMMED = "'0x' || regexp_replace(substring({}, 3), '^0+(.)', '\\1')".format
 register("decode_events", _decoded_events, f"""
-WITH d AS (SELECT l.*, s.name AS event_name, code = 'AO' AS ao, line_no = 6 AS short FROM {{logs}} l JOIN {{signatures}} s ON s.topic0 = l.topic0)
-SELECT chain_id, block_number, log_index, event_name, CASE WHEN NOT ao THEN {_TRIMMED("topic1")} END AS part, CASE WHEN NOT ao THEN address END AS vault,
-       CASE WHEN NOT ao THEN {_TRIMMED("topic3")} END AS line, CASE WHEN ao THEN '0x' || substring(data, 3, 64) ELSE {_TRIMMED("substring(data, 1, 66)")} END AS amount,
-       CASE WHEN NOT ao AND NOT short THEN address END AS account, CASE WHEN NOT ao AND NOT short THEN CASE line_no % 2 WHEN 0 THEN 'false' ELSE 'true' END END AS word2,
-       CASE WHEN NOT ao AND NOT short THEN 'é ' || event_code || CAST(line_no AS STRING) END AS note,
-       CASE WHEN NOT ao AND NOT short THEN CASE WHEN line_no = 1 THEN '' ELSE {HEX("CAST(line_no AS BIGINT)")} || ',' || {HEX("CAST(supp_key AS BIGINT)")} END END AS tags,
+WITH d AS (SELECT l.*, s.name AS event_name, code = 'AO' AS ao, code = 'NF' AS nf, code NOT IN ('AO', 'NF') AS long, line_no = 6 AS short FROM {{logs}} l JOIN {{signatures}} s ON s.topic0 = l.topic0)
+SELECT chain_id, block_number, log_index, event_name, CASE WHEN long THEN {_TRIMMED("topic1")} END AS part, CASE WHEN long THEN address END AS vault,
+       CASE WHEN long THEN {_TRIMMED("topic3")} END AS line, CASE WHEN ao THEN '0x' || substring(data, 3, 64) WHEN long THEN {_TRIMMED("substring(data, 1, 66)")} END AS amount,
+       CASE WHEN long AND NOT short THEN address END AS account, CASE WHEN long AND NOT short THEN CASE line_no % 2 WHEN 0 THEN 'false' ELSE 'true' END END AS word2,
+       CASE WHEN long AND NOT short THEN 'é ' || event_code || CAST(line_no AS STRING) END AS note,
+       CASE WHEN long AND NOT short THEN CASE WHEN line_no = 1 THEN '' ELSE {HEX("CAST(line_no AS BIGINT)")} || ',' || {HEX("CAST(supp_key AS BIGINT)")} END END AS tags,
+       CASE WHEN nf THEN '["' || {HEX("CAST(line_no AS BIGINT)")} || '","' || address || '"]' END AS pair, CASE WHEN nf THEN '0x1,' || {HEX("CAST(line_no AS BIGINT)")} || ',0x2' END AS three,
+       CASE WHEN nf THEN '0x63' END AS last, CASE WHEN nf THEN '0x5' END AS x, CASE WHEN nf THEN '0x6' END AS x_2, CASE WHEN nf THEN '["n' || CAST(line_no AS STRING) || '","NF"]' END AS names,
        CASE WHEN ao THEN '0x' || substring(topic1, 3, 8) END AS key FROM d""")
 
 register(
