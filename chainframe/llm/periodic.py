@@ -38,7 +38,7 @@ def surviving(words: list[bytes], exponent: int = EXPONENT, least: int = LEAST)
     """
     done: list[tuple[int, int]] = []
     where: dict[bytes, list[int]] = {}
-    open_ = [(0, len(words), Counter(words), None)]
+    open_ = [(0, len(words), Counter(words), None)] if len(words) >= least else []
     while open_:
         lo, hi, counts, few = open_.pop()
         if few is None:
@@ -140,8 +140,6 @@ def runs_of(texts: list[list[bytes]], exponent: int = EXPONENT, least: int = LEA
     places: list[tuple[int, int, int]] = []  # where a segment begins in the array; its text; its first word
     size = longest = 0
     for t, words in enumerate(texts):
-        if len(words) < least:
-            continue
         for lo, hi in surviving(words, exponent, least):
             places.append((size, t, lo))
             parts += [np.fromiter((numbers.setdefault(w, len(numbers)) for w in words[lo:hi]), np.int64, hi - lo), np.array([-1 - size])]
