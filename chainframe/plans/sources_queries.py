@@ -11,7 +11,7 @@ from chainframe.fixtures import Fixtures
 from chainframe.functions import encodings as enc
 from chainframe.functions import scalars
 from chainframe.plans.registry import register
-from chainframe.plans.scratch import scratch
+from chainframe.scratch import scratch
 from chainframe.sources import blocks as src
 from chainframe.sources import store
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from chainframe.fixtures import Fixtures
 from chainframe.plans.match_queries import CHILDREN, LOG, as_contract, factories
 from chainframe.plans.registry import register
-from chainframe.plans.scratch import scratch
+from chainframe.scratch import scratch
 from chainframe.plans.summary_queries import CANONICAL
 from chainframe.streaming import reconcile, sinks
 

@@ -1,11 +1,11 @@
-"""Where queries that need files put them."""
+"""Tables between steps, in the folder that driver and executors share."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
-
+from pyspark.sql import DataFrame, SparkSession
 
 _local: dict[str, str] = {}
 
@@ -22,3 +22,12 @@ def scratch(spark: SparkSession) -> str:
             _local[app] = "file://" + tempfile.mkdtemp(prefix="spark-chainframe-")
         folder = _local[app]
     return f"{folder.rstrip('/')}/chainframe-scratch"
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """``df`` written to a table and read back: worked out once however often it is used, its size known, and a lost
+    executor costs a re-read."""
+    spark = df.sparkSession
+    path = f"{scratch(spark)}/settled-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

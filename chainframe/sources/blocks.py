@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from chainframe.schemas import FAMILIES, NULLABLE_COLUMNS, RAW_BLOCK
 
+#: Blocks of a partition of a store.
+BUCKET = 1000
+
 
 def read_block_ndjson(spark: SparkSession, path: str) -> DataFrame:
     """One row per block of newline JSON, plain or gzipped; a malformed line is an error."""
@@ -42,6 +45,20 @@ def bounded_window(filters: DataFrame, finalized: DataFrame) -> DataFrame:
     return wanted.join(heads, "chain_id", "left").select("chain_id", "start_block", F.least("wanted_end", "finalized").alias("end_block"))
 
 
+def scan_windows(df: DataFrame, ranges: DataFrame, partitions: DataFrame, width: int = BUCKET) -> DataFrame:
+    """Rows of a store partitioned by chain_id and block_bucket that lie in the partitions of ``ranges`` (chain_id, lo, hi;
+    null is open), so that a scan reads no others.
+
+    ``partitions`` (chain_id, block_bucket) are those that the store has, such as Store.partitions: they bound open ranges.
+    What is sent to prune the scan has a row for each of them at most.
+    """
+    bucket = lambda c: F.floor(F.col(c) / width).cast("long")
+    r = ranges.select(F.col("chain_id").alias("r_chain"), bucket("lo").alias("first"), bucket("hi").alias("last"))
+    inside = (F.col("chain_id") == F.col("r_chain")) & (F.col("first").isNull() | (F.col("block_bucket") >= F.col("first"))) & (F.col("last").isNull() | (F.col("block_bucket") <= F.col("last")))
+    wanted = partitions.where("block_bucket >= 0").join(F.broadcast(r.distinct()), inside, "left_semi").select("chain_id", "block_bucket")
+    return df.join(F.broadcast(wanted), ["chain_id", "block_bucket"], "left_semi").select(*df.columns)
+
+
 def project_families(tables: dict[str, DataFrame], sources: set[str], want_receipts: bool = False) -> dict[str, DataFrame]:
     """The families that ``sources`` (log, transaction, trace, transfer, block) need, each with its own columns only, so
     that scans read no others. Headers are needed by all, transactions by all but block sources. A receipt's columns come
