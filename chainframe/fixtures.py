@@ -5,6 +5,9 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from chainframe.sources.blocks import BUCKET
 
 BASE = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -166,15 +169,17 @@ class Fixtures:
         self.spark, self.sf_dir, self._made = spark, sf_dir, {}
 
     def written(self, path: str, names: tuple[str, ...]) -> Fixtures:
-        """The same views, of which ``names`` are read from tables at ``path``: partitioned by chain, sorted by block."""
+        """The same views, of which ``names`` are read from tables at ``path``: partitioned by chain and block bucket where they
+        have blocks, sorted by block."""
         out = Fixtures(self.spark, self.sf_dir)
         for name in names:
             df = getattr(self, name)
-            keys = [c for c in ("chain_id",) if c in df.columns]
+            own = df.withColumn("block_bucket", F.floor(F.col("block_number") / BUCKET).cast("long")) if "block_number" in df.columns else df
+            keys = [c for c in ("chain_id", "block_bucket") if c in own.columns]
             order = [c for c in ("block_number", "seq") if c in df.columns]
-            dealt = df.repartition(*keys) if keys else df
+            dealt = own.repartition(*keys) if keys else own
             (dealt.sortWithinPartitions(*keys, *order) if order else dealt).write.partitionBy(*keys).parquet(f"{path}/{name}")
-            out._made[name] = self.spark.read.schema(df.schema).parquet(f"{path}/{name}").select(*df.columns)
+            out._made[name] = self.spark.read.schema(own.schema).parquet(f"{path}/{name}").select(*df.columns)
         return out
 
     def __getattr__(self, name: str) -> DataFrame:

@@ -18,6 +18,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 NUMBER, ADDRESS, FLAG, FIXED, TEXT, BYTES, LIST, TUPLE = "number", "address", "flag", "fixed", "text", "bytes", "list", "tuple"
+WORDS = (NUMBER, ADDRESS, FLAG, FIXED)
 
 
 @dataclass(frozen=True)
@@ -162,14 +163,34 @@ class Reader:
         return out
 
 
+def _plain_tail(t: Type, digits: str, at: int) -> str:
+    """What most dynamic arguments are, read straight off: a text, bytes, or a free list of words."""
+    start = 2 * int(digits[at : at + 64], 16)
+    head = digits[start : start + 64]
+    if len(head) < 64:
+        raise Short
+    n, start = int(head, 16), start + 64
+    end = start + (2 if t.kind != LIST else 64) * n
+    if end > len(digits):
+        raise Short
+    if t.kind == TEXT:
+        return bytes.fromhex(digits[start:end]).decode(errors="replace")
+    if t.kind == BYTES:
+        return "0x" + digits[start:end]
+    item = t.parts[0]
+    return ",".join([word_text(item, digits[k : k + 64]) for k in range(start, end, 64)])
+
+
 def value_text(t: Type, digits: str, at: int) -> str | None:
     """An argument whose head is at byte ``at``: lists of words joined by commas, other lists and tuples as JSON; null where
     the data doesn't hold it."""
     try:
+        if t.kind in (TEXT, BYTES) or t.kind == LIST and t.length is None and t.parts[0].kind in WORDS:
+            return _plain_tail(t, digits, 2 * at)
         v = Reader(digits).value(t, at, 0)
     except (Short, ValueError):  # digits that are no hex
         return None
-    if t.kind == LIST and t.parts[0].kind in (NUMBER, ADDRESS, FLAG, FIXED):
+    if t.kind == LIST and t.parts[0].kind in WORDS:
         return ",".join(v)
     return v if isinstance(v, str) else json.dumps(v, ensure_ascii=False, separators=(",", ":"))
 
@@ -177,6 +198,10 @@ def value_text(t: Type, digits: str, at: int) -> str | None:
 # --- whole events ---------------------------------------------------------------------------------------------------
 
 
+#: Words of a static argument that are read as a column each.
+MOST_COLUMNS = 64
+
+
 @dataclass(frozen=True)
 class Event:
     """indexed: (type, number of the topic); plain: (type, byte of its head); names: of both, in this order."""
@@ -225,19 +250,35 @@ def _words(t: Type, words: pa.Array) -> pa.Array:
     return pc.binary_join_element_wise(prefix, pc.if_else(none, "0", number), "")
 
 
+def _statics(t: Type, digits: pa.Array, at: int, inner: bool = False) -> pa.Array:
+    """Static values at byte ``at`` of all logs at once, as value_text has them; inner ones are JSON."""
+    if t.kind in WORDS:
+        v = _words(t, pc.utf8_slice_codeunits(digits, 2 * at, 2 * at + 64))
+        return pc.binary_join_element_wise('"', v, '"', "") if inner else v
+    types = t.parts * (t.length if t.kind == LIST else 1)
+    flat = t.kind == LIST and t.parts[0].kind in WORDS and not inner
+    parts = []
+    for k, own in enumerate(types):
+        v = _statics(own, digits, at, not flat)
+        parts.append(pc.binary_join_element_wise(json.dumps(t.names[k]) + ":", v, "") if t.names else v)
+        at += 32 * own.width
+    joined = pc.binary_join_element_wise(*parts, ",") if parts else pa.array([""] * len(digits), pa.string())
+    return joined if flat else pc.binary_join_element_wise("{" if t.names else "[", joined, "}" if t.names else "]", "")
+
+
 def arguments(event: Event, topics: list[pa.Array], data: pa.Array) -> pa.MapArray:
-    """A map of the arguments of each log of one event. topics: 1 to 3, with 0x; data: hex digits in lower case, without."""
-    values = []
+    """A map of the arguments of each log of one event. topics: 1 to 3; data: both with 0x."""
+    values, digits = [], pc.ascii_lower(pc.utf8_slice_codeunits(pc.fill_null(data, "0x"), 2, 1 << 30))
     for t, k in event.indexed:
-        topic = topics[k - 1] if k <= len(topics) else pa.nulls(len(data), pa.string())
-        word = t.kind in (NUMBER, ADDRESS, FLAG, FIXED)  # what is longer than a word is a hash there
+        topic = pc.ascii_lower(topics[k - 1]) if k <= len(topics) else pa.nulls(len(data), pa.string())
+        word = t.kind in WORDS  # what is longer than a word is a hash there
         values.append(_words(t, pc.utf8_slice_codeunits(topic, 2, 66)) if word else topic)
     texts: list[str] | None = None
     for t, at in event.plain:
-        if t.kind in (NUMBER, ADDRESS, FLAG, FIXED):
-            values.append(_words(t, pc.utf8_slice_codeunits(data, 2 * at, 2 * at + 64)))
+        if not t.dynamic and t.width <= MOST_COLUMNS:
+            values.append(_statics(t, digits, at))
         else:
-            texts = texts or data.to_pylist()
+            texts = texts or digits.to_pylist()
             values.append(pa.array([value_text(t, d, at) for d in texts], pa.string()))
     n, m = len(data), len(event.names)
     keys = pa.array(event.names, pa.string()).take(pa.array(np.tile(np.arange(m), n)))

@@ -222,12 +222,13 @@ def decode_events(logs: DataFrame, signatures: DataFrame) -> DataFrame:
     """
     kept = [c for c in logs.columns if c not in ("event_name", "args")]
     own = signatures.select(F.lower("topic0").alias("__topic0"), F.col("name").alias("event_name"), F.to_json(F.col("args").cast(ARGUMENTS)).alias("__layout"))
-    data = F.coalesce("data", F.lit("0x")) if "data" in logs.columns else F.lit("0x")
-    topics = {f"__topic{k}": F.lower(_topic(logs, k)) for k in (1, 2, 3)}
-    j = logs.select(*(F.col(f"`{c}`") for c in kept), F.lower(_topic(logs, 0)).alias("__topic0"), *(c.alias(n) for n, c in topics.items()), F.lower(F.substring(data, 3, 1 << 30)).alias("__digits"))
-    j = j.join(own, "__topic0").select(*(F.col(f"`{c}`") for c in kept), "event_name", "__layout", *topics, "__digits")
+    # what is a column already is sent once
+    extra = {f"__topic{k}": _topic(logs, k) for k in (1, 2, 3) if f"topic{k}" not in kept} | ({} if "data" in kept else {"__data": F.lit(None).cast("string")})
+    j = logs.select(*(F.col(f"`{c}`") for c in kept), F.lower(_topic(logs, 0)).alias("__topic0"), *(c.alias(n) for n, c in extra.items()))
+    j = j.join(own, "__topic0").select(*(F.col(f"`{c}`") for c in kept), "event_name", "__layout", *extra)
     schema = j.select(*(F.col(f"`{c}`") for c in kept), "event_name").schema.add("args", T.MapType(T.StringType(), T.StringType()))
-    return j.mapInArrow(abi.decoder([*kept, "event_name"], "__layout", list(topics), "__digits", "args"), schema)
+    topics = [f"topic{k}" if f"topic{k}" in kept else f"__topic{k}" for k in (1, 2, 3)]
+    return j.mapInArrow(abi.decoder([*kept, "event_name"], "__layout", topics, "data" if "data" in kept else "__data", "args"), schema)
 
 
 def _topic(logs: DataFrame, k: int) -> Column:

@@ -402,7 +402,8 @@ def _signatures(f: Fixtures) -> DataFrame:
 
 def _decoded_events(f: Fixtures) -> DataFrame:
     names = ("part", "vault", "line", "amount", "account", "word2", "note", "tags", "key", "pair", "three", "last", "x", "x_2", "names")
-    return enc.decode_events(event_logs(f), _signatures(f)).select("chain_id", "block_number", "log_index", "event_name", *(F.col("args")[n].alias(n) for n in names))
+    logs = event_logs(f).select("chain_id", "block_number", "log_index", "topic0", "topic1", "topic2", "topic3", "data")
+    return enc.decode_events(logs, _signatures(f)).select("chain_id", "block_number", "log_index", "event_name", *(F.col("args")[n].alias(n) for n in names))
 
 
 _TRIMMED = "'0x' || regexp_replace(substring({}, 3), '^0+(.)', '\\1')".format

@@ -3,6 +3,7 @@
 import json
 import random
 
+import pyarrow as pa
 import pytest
 
 from chainframe.functions import abi
@@ -85,6 +86,8 @@ def test_round_trip_of_random_types():
         data, at = row(types, [b[0] for b in both]), 0
         for t, (_, want) in zip(types, both):
             assert abi.value_text(t, data, 32 * at) == shown(t, want)
+            if not t.dynamic:
+                assert abi._statics(t, pa.array([data, data[: 64 * (at + t.width) - 1]]), 32 * at).to_pylist() == [shown(t, want), None]
             at += t.width
 
 
