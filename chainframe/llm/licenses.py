@@ -85,6 +85,12 @@ def bounds(size: int, least: float) -> tuple[int, int]:
     return math.ceil(size * least / (2 - least) - 1e-9), math.floor(size * (2 - least) / least + 1e-9)
 
 
+def template_sets(templates: dict[str, str]) -> dict[str, list[str]]:
+    """Each template's distinct bigrams. One of less than two words has none: it has no Dice coefficient with anything, so it
+    matches nothing, itself included, and is left out."""
+    return {name: grams for name, text in templates.items() if (grams := template_bigrams(text))}
+
+
 def passages(df: DataFrame) -> DataFrame:
     """(doc_id, pos, text): each line with its number, and the whole text as number -1 if it has several lines; normalised,
     which happens once a document."""
@@ -103,14 +109,17 @@ def matches(df: DataFrame, templates: dict[str, str] = TEMPLATES, least: float =
     against a template.
 
     Null and empty texts have no bigrams and match nothing; repeated rows match each; a passage that reaches ``least``
-    against several templates has a row for each of them, ties too; an empty table gives no rows. Whole texts of any
+    against several templates has a row for each of them, ties too; a template of less than two words matches nothing; an
+    empty table, or one of templates, gives no rows. Whole texts of any
     length are looked at. No shuffle and no join.
 
     Sizes prune before any bigram is made: a passage has fewer distinct bigrams than words, and more than distinct words
     less two, so blanks and distinct words tell which passages lie outside all templates' bounds. Then each template is
     compared only with passages whose distinct bigrams lie in its own bounds.
     """
-    own = {name: template_bigrams(t) for name, t in templates.items() if template_bigrams(t)}
+    own = template_sets(templates)
+    if not own:
+        return matches(df.limit(0), {"none": "no words"}, least)
     limits = {name: bounds(len(g), least) for name, g in own.items()}
     low, high = min(a for a, _ in limits.values()), max(b for _, b in limits.values())
     text = F.btrim("text")
@@ -151,7 +160,9 @@ def notices(df: DataFrame, templates: dict[str, str] = NOTICES, least: float = L
     many bigrams, repeats counted, as the template's bounds allow. Of runs of a template that overlap, the best stays,
     then the first, then the shortest. ``word`` is the number of the run's first word. No shuffle and no join.
     """
-    own = {name: template_bigrams(t) for name, t in templates.items()}
+    own = template_sets(templates)
+    if not own:
+        return notices(df.limit(0), {"none": "no words"}, least)
     every = sorted(set().union(*own.values()))
     text = df.select("doc_id", words(text_of("text")).alias("w"))
     n = F.greatest(F.size("w") - 1, F.lit(0))

@@ -40,6 +40,10 @@ BASE_RULES = (
     Rule("access", r"AKIA[A-Z0-9]+", 20),
     Rule("hex", r"[0-9a-f]+", 24),
 )
+#: A private key in PEM, from BEGIN through header lines and digits, whose line breaks may be escaped, to END.
+#: Where END lacks, words of 16 digits or more are the key's; a mere mention of BEGIN is that line alone.
+_EDGE, _HEADERS = r"(?:[A-Z0-9]+\x20)*PRIVATE KEY(?:\x20BLOCK)?-----", r"(?:\s*[A-Za-z-]+:\x20[^\n]*\n)*"
+_PEM = rf"-----BEGIN {_EDGE}(?:{_HEADERS}(?:[A-Za-z0-9+/=\s]|\\[nr])*+-----END {_EDGE}|{_HEADERS}(?:(?:\s|\\[nr])*[A-Za-z0-9+/=]{{16,}})*)"
 #: Public formats of keys.
 MORE_RULES = (
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
@@ -47,7 +51,7 @@ MORE_RULES = (
     Rule("google", r"AIza[A-Za-z0-9_-]{35}"),
     Rule("stripe", r"[rs]k_live_[A-Za-z0-9]{16,}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
-    Rule("private_key", r"-----BEGIN (?:[A-Z]+ )?PRIVATE KEY-----"),
+    Rule("private_key", _PEM),
 )
 RULES = BASE_RULES + MORE_RULES
 SPANS = T.ArrayType(T.StructType().add("kind", "string").add("start", "integer").add("end", "integer"))
