@@ -167,24 +167,94 @@ def overlap_window(a: DataFrame, b: DataFrame, cutovers: DataFrame, margin: int)
     )
 
 
-def compare_chain(
-    a: DataFrame, b: DataFrame, cutovers: DataFrame, floors: DataFrame, pins: DataFrame, margin: int, stagnation: DataFrame | None = None, others: dict[str, tuple[DataFrame, DataFrame, list[str]]] | None = None, width: int = 1000
-) -> DataFrame:
-    """One row per chain over its overlap: counts of each class of transactions and PASS, FAIL or PENDING.
+def digest_tree(digests: DataFrame, fan: int = 1000) -> DataFrame:
+    """(chain_id, level, node, digest) over bucket digests (chain_id, bucket, digest): level 0 is the buckets, level 1 has a
+    node for ``fan`` of them, level 2 one for ``fan`` of those and so on to level 3, the chain. Kept beside a store, it is
+    added to as buckets are."""
+    out = digests.select("chain_id", F.lit(0).alias("level"), F.col("bucket").alias("node"), "digest")
+    level = out
+    for k in (1, 2, 3):
+        node = F.floor(F.col("node") / fan).cast("long") if k < 3 else F.lit(0).cast("long")
+        listed = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("node", "digest"))), lambda x: F.concat_ws(":", x["node"].cast("string"), x["digest"])), ",")
+        level = level.groupBy("chain_id", node.alias("parent")).agg(F.md5(listed.cast("binary")).alias("digest"))
+        level = level.select("chain_id", F.lit(k).alias("level"), F.col("parent").alias("node"), "digest")
+        out = out.unionByName(level)
+    return out
+
+
+def differing_buckets(a: DataFrame, b: DataFrame, fan: int = 1000) -> DataFrame:
+    """(chain_id, bucket) in which two digest trees differ, found from the top: a level's nodes are looked at only below
+    nodes that differ. A bucket that one side lacks differs."""
+    down = None
+    for k in (3, 2, 1, 0):
+        x, y = (t.where(F.col("level") == k).select("chain_id", "node", F.col("digest").alias(n)) for t, n in ((a, "da"), (b, "db")))
+        if down is not None:
+            parent = F.floor(F.col("node") / fan).cast("long") if k < 2 else F.lit(0).cast("long")
+            x, y = (t.withColumn("parent", parent).join(down, ["chain_id", "parent"], "left_semi").drop("parent") for t in (x, y))
+        met = x.join(y, ["chain_id", "node"], "full_outer").where(~F.col("da").eqNullSafe(F.col("db")))
+        down = met.select("chain_id", F.col("node").alias("parent"))
+    return down.select("chain_id", F.col("parent").alias("bucket"))
+
+
+def family_classes(a: DataFrame, b: DataFrame, keys: list[str], window: DataFrame, floors: DataFrame, width: int = 1000, trees: tuple[DataFrame, DataFrame] | None = None, exclude: tuple[str, ...] = ()) -> DataFrame:
+    """Per chain of ``window`` (chain_id, lo, hi): rows that only b has, tolerated (see classify_only_b) or hard, rows that
+    mismatch, rows that only a has, buckets that differ, and how many of those tolerated rows explain.
+
+    Only rows of buckets that differ are read a second time, with ``trees`` of both stores (of the same width) only those and
+    the buckets that the window cuts: a bucket is explained if it has no difference but tolerated rows.
+    """
+    columns = [c for c in a.columns if c not in keys and c not in exclude]
+    bucket = F.floor(F.col("block_number") / width).cast("long")
+
+    def inside(df: DataFrame) -> DataFrame:
+        return df.select(*keys, *columns).join(F.broadcast(window.select("chain_id", "lo", "hi")), "chain_id").where("block_number BETWEEN lo AND hi").drop("lo", "hi")
+
+    if trees is None:
+        da, db = (bucket_digest(inside(t), keys, width=width).select("chain_id", "bucket", F.col("digest").alias(n)) for t, n in ((a, "da"), (b, "db")))
+        bad = da.join(db, ["chain_id", "bucket"], "full_outer").where(~F.col("da").eqNullSafe(F.col("db"))).select("chain_id", "bucket")
+    else:
+        first, last = (F.floor(F.col(c) / width).cast("long") for c in ("lo", "hi"))
+        near = differing_buckets(*trees).join(F.broadcast(window), "chain_id").where(F.col("bucket").between(first, last)).select("chain_id", "bucket")
+        bad = near.unionByName(window.select("chain_id", F.explode(F.array(first, last)).alias("bucket"))).distinct()
 
-    ``stagnation`` (chain_id, failing) fails a chain whose progress does. ``others`` are the other families by name: both
-    sides and the order of their rows; they are compared by digests of ``width`` blocks, and buckets that differ, counted as
-    bad_NAME, fail the chain.
+    def rows(df: DataFrame, name: str) -> DataFrame:
+        own = inside(df).withColumn("bucket", bucket).join(bad, ["chain_id", "bucket"], "left_semi")
+        return own.select(*keys, "bucket", row_md5(columns).alias(name))
+
+    j = rows(a, "a").join(rows(b, "b"), [*keys, "bucket"], "full_outer").where(~F.col("a").eqNullSafe(F.col("b"))).join(F.broadcast(floors), "chain_id", "left")
+    fine = F.coalesce(F.col("block_number").between(F.col("floor"), F.col("window_end")), F.lit(False))
+    kind = F.when(F.col("a").isNotNull() & F.col("b").isNotNull(), "mismatch").when(F.col("a").isNotNull(), "only_a").when(fine, "tolerated").otherwise("hard")
+    counts = {n: F.count_if(F.col("kind") == n) for n in ("tolerated", "hard", "mismatch", "only_a")}
+    per = j.select("chain_id", "bucket", kind.alias("kind")).groupBy("chain_id", "bucket").agg(*(c.alias(n) for n, c in counts.items()))
+    explained = F.col("hard") + F.col("mismatch") + F.col("only_a") == 0
+    return per.groupBy("chain_id").agg(*(F.sum(n).alias(n) for n in counts), F.count("*").alias("buckets"), F.count_if(explained).alias("explained"))
+
+
+def compare_chain(
+    a: DataFrame, b: DataFrame, cutovers: DataFrame, floors: DataFrame, pins: DataFrame, margin: int, stagnation: DataFrame | None = None, others: dict[str, tuple[DataFrame, DataFrame, list[str]]] | None = None, width: int = 1000,
+    trees: dict[str, tuple[DataFrame, DataFrame]] | None = None,
+) -> DataFrame:
+    """One row per chain over its overlap: counts of each class of transactions and of the other families' rows, and PASS,
+    FAIL or PENDING.
+
+    ``stagnation`` (chain_id, failing) fails a chain whose progress does, with an overlap or without: a stuck side is just
+    what keeps an overlap from opening. ``others`` are the other families by name, such as logs and blocks: both sides and
+    their keys; see family_classes for their classes, counted as CLASS_NAME. Rows that only b has are tolerated above the
+    chain's floor; of transactions only those of blocks that a lacks as a whole, by the family ``blocks`` if it is given.
+    Anything else that differs fails the chain. A chain of which nothing was compared isn't a pass. ``trees``: digest trees
+    of other families' stores, by name.
     """
     w = overlap_window(a, b, cutovers, margin)
     ready = w.where("state = 'READY'").select("chain_id", "lo", "hi")
+    others = others or {}
 
     def inside(df: DataFrame) -> DataFrame:
         return df.join(ready, "chain_id").where("block_number BETWEEN lo AND hi").select(*df.columns)
 
     ia, ib = inside(a), inside(b)
+    a_blocks = inside(others["blocks"][0]) if "blocks" in others else ia
     parts = [
-        classify_only_b_tx(ia, ib, ia, floors).select("chain_id", F.concat(F.lit("only_b_"), F.col("class")).alias("class")),
+        classify_only_b_tx(ia, ib, a_blocks, floors).select("chain_id", F.concat(F.lit("only_b_"), F.col("class")).alias("class")),
         classify_shared_tx(ia, ib, pins).select("chain_id", F.col("class")),
         ia.join(ib.select(*TX), TX, "left_anti").select("chain_id", F.lit("only_a").alias("class")),
     ]
@@ -193,14 +263,15 @@ def compare_chain(
     cols = [c.replace("-", "_") for c in names]
     j = w.join(n, "chain_id", "left").join(ia.groupBy("chain_id").agg(F.count("*").alias("compared")), "chain_id", "left")
     j = j.select("chain_id", "lo", "hi", "state", *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in [*cols, "compared"]))
-    for name, (x, y, order) in (others or {}).items():
-        dx, dy = (bucket_digest(inside(t), order, width=width).select("chain_id", "bucket", F.col("digest").alias(d)) for t, d in ((x, "dx"), (y, "dy")))
-        differs = dx.join(dy, ["chain_id", "bucket"], "full_outer").where(~F.col("dx").eqNullSafe(F.col("dy")))
-        j = j.join(differs.groupBy("chain_id").agg(F.count("*").alias("__n")), "chain_id", "left").withColumn(f"bad_{name}", F.coalesce("__n", F.lit(0)).cast("long")).drop("__n")
+    fails = F.col("only_b_hard") + F.col("mismatch") + F.col("only_a")
+    for name, (x, y, keys) in others.items():
+        classes = family_classes(x, y, keys, ready, floors, width, (trees or {}).get(name))
+        own = [c for c in classes.columns if c != "chain_id"]
+        j = j.join(classes.select("chain_id", *(F.col(c).alias(f"{c}_{name}") for c in own)), "chain_id", "left").fillna(0, [f"{c}_{name}" for c in own])
+        fails = fails + F.col(f"hard_{name}") + F.col(f"mismatch_{name}") + F.col(f"only_a_{name}")
     j = j.join(stagnation.select("chain_id", "failing"), "chain_id", "left") if stagnation is not None else j.withColumn("failing", F.lit(False))
-    bad_buckets = sum((F.col(f"bad_{n}") for n in others or {}), F.lit(0))
-    bad = (F.col("only_b_hard") + F.col("mismatch") + F.col("only_a") + bad_buckets > 0) | F.coalesce("failing", F.lit(False))
-    verdict = F.when((F.col("state") == "PENDING") | (F.col("compared") == 0), "PENDING").when(bad, "FAIL").otherwise("PASS")
+    bad = (fails > 0) | F.coalesce("failing", F.lit(False))
+    verdict = F.when(bad, "FAIL").when((F.col("state") == "PENDING") | (F.col("compared") == 0), "PENDING").otherwise("PASS")
     return j.withColumn("verdict", verdict).drop("failing", "state")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from chainframe.fixtures import Fixtures
 from chainframe.operators import aggregates as agg
 from chainframe.operators import compare as cmp
-from chainframe.plans.match_queries import BLOCK, TX
+from chainframe.plans.match_queries import BLOCK, LOG, TX
 from chainframe.plans.registry import register
 from chainframe.plans.summary_queries import SNAPSHOT, digest_sql
 
@@ -154,29 +154,80 @@ register("overlap_window", lambda f: cmp.overlap_window(a_(f), b_(f), cutovers(f
 
 
 
+def lost(f: Fixtures, df: DataFrame) -> DataFrame:
+    """``df`` without the blocks that side a lost: some of chain 1 up to its finalized head, some of chain 3."""
+    ends = f.heads.select("chain_id", F.col("finalized").alias("__end"))
+    gone = "block_number % 9 = 4 AND (chain_id = 3 OR chain_id = 1 AND block_number <= __end)"
+    return df.join(ends, "chain_id", "left").where(f"NOT coalesce({gone}, false)").select(*df.columns)
+
+
 def whole_chain(f: Fixtures) -> DataFrame:
-    """With logs, of which chain 3 lacks some on one side, and with progress that fails on the chain without an end."""
+    """Chain 1 lost blocks with all that is in them, which is tolerated; chain 2 has other transactions and logs; chain 3
+    lost blocks beyond what is tolerated; chains 4 and 5 have no overlap, and progress fails on the latter."""
     logs = f.logs.select("chain_id", "block_number", "log_index", "address", "data")
+    other = logs.withColumn("data", F.when((F.col("chain_id") == 2) & (F.col("log_index") == 5), "0x").otherwise(F.col("data")))
+    headers = f.headers.select(*BLOCK, "block_hash", "parent_hash")
     failing = f.heads.select("chain_id", F.col("end_block").isNull().alias("failing"))
-    others = {"logs": (logs.where("NOT (chain_id = 3 AND log_index = 7)"), logs, ["chain_id", "block_number", "log_index"])}
-    return cmp.compare_chain(b_(f), a_(f), cutovers(f), floors(f), pins(f), 5, failing, others, width=10)
+    a = a_(f).where("chain_id <> 2").unionByName(b_(f).where("chain_id = 2"))
+    others = {"logs": (lost(f, other), logs, LOG), "blocks": (lost(f, headers), headers, BLOCK)}
+    return cmp.compare_chain(lost(f, a), a_(f), cutovers(f), floors(f), pins(f), 5, failing, others, width=10)
+
+
+GONE = "(x.block_number % 9 = 4 AND (x.chain_id = 3 OR x.chain_id = 1 AND x.block_number <= h.finalized))"
+LOST = "(SELECT x.* FROM ({}) x JOIN {{heads}} h ON h.chain_id = x.chain_id WHERE NOT " + GONE + ")"
+SIDE_A = LOST.format("SELECT * FROM {store_a} WHERE chain_id <> 2 UNION ALL SELECT * FROM {store_b} WHERE chain_id = 2")
 
 
+def family_sql(name: str, rows: str, changed: str) -> str:
+    """Differences of a family by row over the overlap, and by bucket."""
+    return f"""{name}_rows AS (
+  SELECT x.chain_id, floor(x.block_number / 10.0) AS bucket, CASE WHEN NOT {GONE} THEN 'mismatch' WHEN coalesce(x.block_number BETWEEN f.floor AND f.window_end, FALSE) THEN 'tolerated' ELSE 'hard' END AS k
+  FROM {rows} x JOIN o ON o.chain_id = x.chain_id AND o.state = 'READY' AND x.block_number BETWEEN o.lo AND o.hi JOIN {{heads}} h ON h.chain_id = x.chain_id LEFT JOIN {FLOORS} f ON f.chain_id = x.chain_id
+  WHERE {GONE} OR {changed}),
+{name}_n AS (
+  SELECT chain_id, count(*) FILTER (WHERE k = 'tolerated') AS tolerated_{name}, count(*) FILTER (WHERE k = 'hard') AS hard_{name}, count(*) FILTER (WHERE k = 'mismatch') AS mismatch_{name},
+         count(DISTINCT bucket) AS buckets_{name}, count(DISTINCT bucket) - count(DISTINCT CASE WHEN k <> 'tolerated' THEN bucket END) AS explained_{name} FROM {name}_rows GROUP BY chain_id)"""
+
+
+# the window is cut by the newest rows of both sides; a wedged side fails a chain that has no overlap; only rows that b has,
+# at the floor or above it, are tolerated, and of transactions those of blocks that a lacks
 register("compare_chain", whole_chain, f"""
-WITH o AS ({OVERLAP.replace("greatest(a.m, b.m) - a.m AS lag_a, greatest(a.m, b.m) - b.m AS lag_b,", "")}),
-p AS (SELECT p.* FROM ({PAIRED}) p JOIN o ON o.chain_id = p.chain_id AND o.state = 'READY' AND p.block_number BETWEEN o.lo AND o.hi),
-k AS (SELECT chain_id, CASE
-    WHEN status = 'only_a' THEN CASE WHEN EXISTS (SELECT 1 FROM p x WHERE x.chain_id = p.chain_id AND x.block_number = p.block_number AND x.status <> 'only_a') THEN 'hard'
-         WHEN EXISTS (SELECT 1 FROM {FLOORS} f WHERE f.chain_id = p.chain_id AND p.block_number BETWEEN f.floor AND f.window_end) THEN 'fine' ELSE 'hard' END
-    WHEN status = 'only_b' THEN 'only_a'
-    WHEN status = 'mismatch' THEN CASE WHEN columns = 'access_list' AND la IS NOT NULL AND lb IS NOT NULL AND tx_hash IN (SELECT tx_hash FROM {{tx}} WHERE order_key % 142 = 0) THEN 'pinned' WHEN columns = 'access_list' AND lb IS NULL THEN 'null' ELSE 'mismatch' END
-    ELSE status END AS k, status FROM p),
-n AS (SELECT o.chain_id, o.lo, o.hi, o.state, count(CASE WHEN k = 'fine' THEN 1 END) AS only_b_tolerated, count(CASE WHEN k = 'hard' THEN 1 END) AS only_b_hard, count(CASE WHEN k = 'pinned' THEN 1 END) AS pinned,
-        count(CASE WHEN k = 'null' THEN 1 END) AS a_null, count(CASE WHEN k = 'mismatch' THEN 1 END) AS mismatch, count(CASE WHEN k = 'only_a' THEN 1 END) AS only_a, count(CASE WHEN status <> 'only_a' THEN 1 END) AS compared
-      FROM o LEFT JOIN k ON k.chain_id = o.chain_id GROUP BY o.chain_id, o.lo, o.hi, o.state)
-SELECT chain_id, CAST(lo AS BIGINT) AS lo, CAST(hi AS BIGINT) AS hi, only_b_tolerated, only_b_hard, pinned, a_null, mismatch, only_a, compared, bad_logs,
-       CASE WHEN state = 'PENDING' OR compared = 0 THEN 'PENDING' WHEN only_b_hard + mismatch + only_a + bad_logs > 0 OR chain_id = 5 THEN 'FAIL' ELSE 'PASS' END AS verdict
-FROM (SELECT *, (SELECT count(DISTINCT floor(l.block_number / 10.0)) FROM {{logs}} l WHERE l.chain_id = 3 AND n.chain_id = 3 AND n.state = 'READY' AND l.log_index = 7 AND l.block_number BETWEEN n.lo AND n.hi) AS bad_logs FROM n) m""")
+WITH sa AS (SELECT * FROM {SIDE_A}),
+o AS (SELECT h.chain_id, h.finalized - 100 + h.chain_id * 40 AS lo, least(a.m, b.m) - 5 AS hi, CASE WHEN coalesce(least(a.m, b.m) - 5 >= h.finalized - 100 + h.chain_id * 40, FALSE) THEN 'READY' ELSE 'PENDING' END AS state
+  FROM {{heads}} h LEFT JOIN (SELECT chain_id, max(block_number) AS m FROM sa GROUP BY chain_id) a ON a.chain_id = h.chain_id
+  LEFT JOIN (SELECT chain_id, max(block_number) AS m FROM {{store_a}} GROUP BY chain_id) b ON b.chain_id = h.chain_id),
+{family_sql("logs", "{logs}", "x.chain_id = 2 AND x.log_index = 5")},
+{family_sql("blocks", "{headers}", "FALSE")},
+p AS (SELECT coalesce(a.chain_id, b.chain_id) AS chain_id, coalesce(a.block_number, b.block_number) AS block_number, coalesce(a.tx_hash, b.tx_hash) AS tx_hash, a.access_list AS la, b.access_list AS lb,
+  CASE WHEN a.chain_id IS NULL THEN 'only_b' WHEN b.chain_id IS NULL THEN 'only_a' WHEN {DIFFERS} = '' THEN 'shared' ELSE 'mismatch' END AS status,
+  CASE WHEN a.chain_id IS NOT NULL AND b.chain_id IS NOT NULL THEN {DIFFERS} END AS columns FROM sa a FULL OUTER JOIN {{store_a}} b ON {ON}),
+k AS (SELECT x.chain_id, x.status, CASE
+    WHEN status = 'only_b' THEN CASE WHEN {GONE} AND coalesce(x.block_number BETWEEN f.floor AND f.window_end, FALSE) THEN 'fine' ELSE 'hard' END
+    WHEN status = 'mismatch' THEN CASE WHEN columns = 'access_list' AND la IS NOT NULL AND lb IS NOT NULL AND tx_hash IN (SELECT tx_hash FROM {{tx}} WHERE order_key % 142 = 0) THEN 'pinned' WHEN columns = 'access_list' AND la IS NULL THEN 'null' ELSE 'mismatch' END
+    ELSE status END AS k
+  FROM p x JOIN o ON o.chain_id = x.chain_id AND o.state = 'READY' AND x.block_number BETWEEN o.lo AND o.hi JOIN {{heads}} h ON h.chain_id = x.chain_id LEFT JOIN {FLOORS} f ON f.chain_id = x.chain_id),
+n AS (SELECT o.chain_id, o.lo, o.hi, o.state, count(*) FILTER (WHERE k = 'fine') AS only_b_tolerated, count(*) FILTER (WHERE k = 'hard') AS only_b_hard, count(*) FILTER (WHERE k = 'pinned') AS pinned,
+        count(*) FILTER (WHERE k = 'null') AS a_null, count(*) FILTER (WHERE k = 'mismatch') AS mismatch, count(*) FILTER (WHERE k = 'only_a') AS only_a, count(*) FILTER (WHERE status <> 'only_b') AS compared
+      FROM o LEFT JOIN k ON k.chain_id = o.chain_id GROUP BY o.chain_id, o.lo, o.hi, o.state),
+m AS (SELECT n.*, coalesce(tolerated_logs, 0) AS tolerated_logs, coalesce(hard_logs, 0) AS hard_logs, coalesce(mismatch_logs, 0) AS mismatch_logs, 0 AS only_a_logs, coalesce(buckets_logs, 0) AS buckets_logs, coalesce(explained_logs, 0) AS explained_logs,
+        coalesce(tolerated_blocks, 0) AS tolerated_blocks, coalesce(hard_blocks, 0) AS hard_blocks, coalesce(mismatch_blocks, 0) AS mismatch_blocks, 0 AS only_a_blocks, coalesce(buckets_blocks, 0) AS buckets_blocks, coalesce(explained_blocks, 0) AS explained_blocks
+      FROM n LEFT JOIN logs_n ON logs_n.chain_id = n.chain_id LEFT JOIN blocks_n ON blocks_n.chain_id = n.chain_id)
+SELECT chain_id, CAST(lo AS BIGINT) AS lo, CAST(hi AS BIGINT) AS hi, only_b_tolerated, only_b_hard, pinned, a_null, mismatch, only_a, compared, tolerated_logs, hard_logs, mismatch_logs, only_a_logs, buckets_logs, explained_logs,
+       tolerated_blocks, hard_blocks, mismatch_blocks, only_a_blocks, buckets_blocks, explained_blocks,
+       CASE WHEN state = 'PENDING' THEN CASE WHEN chain_id = 5 THEN 'FAIL' ELSE 'PENDING' END
+            WHEN chain_id = 5 OR only_b_hard + mismatch + only_a + hard_logs + mismatch_logs + hard_blocks + mismatch_blocks > 0 THEN 'FAIL'
+            WHEN compared = 0 THEN 'PENDING' ELSE 'PASS' END AS verdict FROM m""")
+
+
+def kept_trees(f: Fixtures) -> DataFrame:
+    """Where two stores' kept digest trees differ: four buckets of blocks a node."""
+    a, b = (agg.bucket_digest(s, TX, width=10) for s in (a_(f), b_(f)))
+    return cmp.differing_buckets(cmp.digest_tree(a, 4), cmp.digest_tree(b, 4), 4)
+
+
+register("differing_buckets", kept_trees, f"""
+WITH a AS ({A_BUCKETS}), b AS ({digest_sql("{store_b}", DIGESTED, ["block_number", "transaction_index"], 10)})
+SELECT coalesce(a.chain_id, b.chain_id) AS chain_id, coalesce(a.bucket, b.bucket) AS bucket FROM a FULL OUTER JOIN b ON a.chain_id = b.chain_id AND a.bucket = b.bucket WHERE a.digest IS DISTINCT FROM b.digest""")
 
 register("parity_report", lambda f: cmp.parity_report(agg.store_snapshot(f.blocks, f.tx, f.logs), agg.store_snapshot(f.blocks, f.tx.where("chain_id <> 5"), f.logs.where("chain_id <> 5"))), f"""
 WITH s AS ({SNAPSHOT}),
