@@ -21,24 +21,35 @@ def folder(f: Fixtures) -> str:
     return f"{scratch(f.spark)}/{uuid.uuid4().hex}"
 
 
+#: Blocks of a chain of the streams' items. The cuts lie far from numbers that forks begin at.
+CHAIN_BLOCKS = 750
+CHAIN = f"CAST(floor(({{}} + 124) / {CHAIN_BLOCKS}.0) AS BIGINT)"
+
+
+def heads_of(f: Fixtures, where: str, seq: str, number: str) -> DataFrame:
+    """Finalised heads after events that ``where`` picks."""
+    n = "(event_id + 1)"
+    return f.events.where(where).selectExpr(f"{CHAIN.format(n)} AS chain_id", f"CAST({seq} AS BIGINT) AS seq", "'final' AS kind", f"CAST({n} AS BIGINT) AS number", "CAST(NULL AS STRING) AS hash", "CAST(NULL AS STRING) AS parent_hash", f"CAST({number} * 12 AS BIGINT) AS at_s")
+
+
 def items(f: Fixtures) -> DataFrame:
-    """Deliveries as items, and a finalised head after every hundredth block, twenty blocks late."""
-    d = f.deliveries.select(
-        F.lit(1).cast("long").alias("chain_id"), F.col("seq").cast("long").alias("seq"), F.lit("block").alias("kind"), F.col("number").cast("long").alias("number"), "hash", "parent_hash", (F.col("number") * 12).cast("long").alias("at_s")
-    )
-    n = F.col("event_id") + 1
-    finals = f.events.where("(event_id + 1) % 100 = 0").select(
-        F.lit(1).cast("long").alias("chain_id"), ((n + 20) * 10 + 9).cast("long").alias("seq"), F.lit("final").alias("kind"), n.cast("long").alias("number"), F.lit(None).cast("string").alias("hash"), F.lit(None).cast("string").alias("parent_hash"), ((n + 20) * 12).cast("long").alias("at_s")
-    )
-    return d.unionByName(finals)
+    """Deliveries as items of several chains, a stretch of blocks each, and a finalised head after every hundredth block,
+    twenty blocks late."""
+    d = f.deliveries.selectExpr(f"{CHAIN.format('number')} AS chain_id", "CAST(seq AS BIGINT) AS seq", "'block' AS kind", "CAST(number AS BIGINT) AS number", "hash", "parent_hash", "CAST(number * 12 AS BIGINT) AS at_s")
+    return d.unionByName(heads_of(f, "(event_id + 1) % 100 = 0", "(event_id + 21) * 10 + 9", "(event_id + 21)"))
+
+
+def written_items(f: Fixtures, rows: DataFrame, base: str) -> DataFrame:
+    """A stream of ``rows``, which are written first."""
+    reconcile.use_rocksdb(f.spark)
+    reconcile.ordered_items(rows, f"{base}/in")
+    return sinks.stream_blocks(f.spark, f"{base}/in", reconcile.ITEM, files_per_batch=reconcile.BATCH_FILES)
 
 
 def reconciled(f: Fixtures, rows: DataFrame, **limits) -> DataFrame:
     """All events of ``rows`` through the stream."""
-    reconcile.use_rocksdb(f.spark)
     base = folder(f)
-    reconcile.ordered_items(rows, f"{base}/in")
-    stream = reconcile.stream_reconcile(sinks.stream_blocks(f.spark, f"{base}/in", reconcile.ITEM, files_per_batch=1), **limits)
+    stream = reconcile.stream_reconcile(written_items(f, rows, base), **limits)
     sinks.run_available(stream, lambda df, i: sinks.write_batch(df, i, f"{base}/log"), f"{base}/checkpoint")
     return sinks.log_of(f.spark, f"{base}/log", LOG_SCHEMA).drop("batch_id")
 
@@ -53,29 +64,42 @@ def stream_blocks(f: Fixtures) -> DataFrame:
 
 register("stream_blocks", stream_blocks, "SELECT seq, number, hash FROM {deliveries} WHERE number > 50 AND number <= 700")
 
-LIVE = f"SELECT number, hash FROM ({CANONICAL}) c WHERE NOT orphaned"
-register("stream_reconcile", lambda f: sinks.live_blocks(reconciled(f, items(f))).select("number", "hash"), LIVE)
+LIVE = f"SELECT {CHAIN.format('number')} AS chain_id, number, hash FROM ({CANONICAL}) c WHERE NOT orphaned"
+register("stream_reconcile", lambda f: sinks.live_blocks(reconciled(f, items(f))).select("chain_id", "number", "hash"), LIVE)
 
 register(
     "stream_finalize",
-    lambda f: reconcile.stream_finalize(reconciled(f, items(f))).select("event", "number", "hash"),
-    """
-SELECT 'finalize' AS event, number, md5(concat('c', CAST(number AS STRING))) AS hash
-FROM (SELECT event_id + 1 AS number FROM {events} WHERE (event_id + 1) % 100 = 0) n""",
+    lambda f: reconcile.stream_finalize(reconciled(f, items(f))).select("chain_id", "event", "number", "hash"),
+    f"""
+SELECT {CHAIN.format("number")} AS chain_id, 'finalize' AS event, number, md5(concat('c', CAST(number AS STRING))) AS hash
+FROM (SELECT event_id + 1 AS number FROM {{events}} WHERE (event_id + 1) % 100 = 0) n""",
 )
 
 
-def stream_rollback(f: Fixtures) -> DataFrame:
+def rolled_back(f: Fixtures) -> DataFrame:
+    """The log of appends and removals, as a live query writes it."""
     base = folder(f)
-    reconcile.use_rocksdb(f.spark)
-    reconcile.ordered_items(items(f), f"{base}/in")
-    stream = reconcile.stream_reconcile(sinks.stream_blocks(f.spark, f"{base}/in", reconcile.ITEM, files_per_batch=1))
-    sinks.run_available(stream, sinks.stream_rollback(f"{base}/log"), f"{base}/checkpoint")
-    payload = f.deliveries.select(F.lit(1).cast("long").alias("chain_id"), F.col("hash").alias("block_hash"), F.col("number")).distinct()
-    return sinks.live_rows(payload, sinks.log_of(f.spark, f"{base}/log", LOG_SCHEMA)).select("block_hash", "number")
+    sinks.run_available(reconcile.stream_reconcile(written_items(f, items(f), base)), sinks.stream_rollback(f"{base}/log", every=2), f"{base}/checkpoint")
+    return sinks.rolled(f.spark, f"{base}/log", every=2)
+
+
+def stream_rollback(f: Fixtures) -> DataFrame:
+    payload = f.deliveries.selectExpr(f"{CHAIN.format('number')} AS chain_id", "hash AS block_hash", "number").distinct()
+    return sinks.live_rows(payload, rolled_back(f)).select("chain_id", "block_hash", "number")
 
 
-register("stream_rollback", stream_rollback, f"SELECT hash AS block_hash, number FROM ({CANONICAL}) c WHERE NOT orphaned")
+register("stream_rollback", stream_rollback, f"SELECT {CHAIN.format('number')} AS chain_id, hash AS block_hash, number FROM ({CANONICAL}) c WHERE NOT orphaned")
+
+
+def pruned_live(f: Fixtures) -> DataFrame:
+    """Children found in each seventh block, forks' blocks included; what a reorganisation removed goes with its block."""
+    found = f.deliveries.where("number % 7 < 3").selectExpr(f"{CHAIN.format('number')} AS chain_id", "concat('0x', CAST(number % 97 AS STRING), substring(hash, 1, 1)) AS child", "number AS created_block", "hash AS block_hash")
+    return sinks.live_children(found, rolled_back(f))
+
+
+register("stream_prune_children_live", pruned_live, f"""
+SELECT chain_id, child, min(number) AS created_block
+FROM (SELECT {CHAIN.format("number")} AS chain_id, '0x' || CAST(number % 97 AS STRING) || substring(hash, 1, 1) AS child, number FROM ({CANONICAL}) c WHERE NOT orphaned AND number % 7 < 3) k GROUP BY chain_id, child""")
 
 
 def stream_children(f: Fixtures) -> DataFrame:
@@ -109,33 +133,22 @@ def stream_dedupe(f: Fixtures) -> DataFrame:
 register("stream_dedupe", stream_dedupe, "SELECT chain_id, tx_hash FROM {tx}")
 
 
-def stalled_items(f: Fixtures) -> DataFrame:
-    """Blocks up to 500 and from 600 on the canonical chain; finalised heads run on in between."""
-    n = F.col("event_id") + 1
-    blocks = items(f).where("kind = 'block' AND number <= 500")
-    finals = f.events.where("event_id + 1 BETWEEN 450 AND 590 AND event_id % 10 = 0").select(
-        F.lit(1).cast("long").alias("chain_id"), (n * 10 + 9).cast("long").alias("seq"), F.lit("final").alias("kind"), n.cast("long").alias("number"), F.lit(None).cast("string").alias("hash"), F.lit(None).cast("string").alias("parent_hash"), (n * 12).cast("long").alias("at_s")
-    )
-    return blocks.unionByName(finals)
-
-
-register("stream_progress_watchdog", lambda f: reconcile.stream_progress_watchdog(reconciled(f, stalled_items(f), fail=False, stall_seconds=300)).select("number"), """
-SELECT event_id + 1 AS number FROM {events} WHERE event_id + 1 BETWEEN 450 AND 590 AND event_id % 10 = 0 AND event_id + 1 >= 516 AND (event_id + 1) * 12 - 500 * 12 >= 300""")
-
-
 def withheld_items(f: Fixtures) -> DataFrame:
     """All deliveries; of every 1,000 numbers blocks 501 to 599 come only after every tenth of them was a finalised head."""
-    n = F.col("event_id") + 1
     blocks = items(f).where("kind = 'block'").withColumn("seq", F.col("seq") * 1000)
-    finals = f.events.where("(event_id + 1) % 1000 BETWEEN 501 AND 599 AND event_id % 10 = 0").select(
-        F.lit(1).cast("long").alias("chain_id"), ((n - n % 1000) * 10000 + 5009000 + n % 1000).cast("long").alias("seq"), F.lit("final").alias("kind"), n.cast("long").alias("number"), F.lit(None).cast("string").alias("hash"), F.lit(None).cast("string").alias("parent_hash"), (n * 12).cast("long").alias("at_s")
-    )
-    return blocks.unionByName(finals)
+    n = "(event_id + 1)"
+    return blocks.unionByName(heads_of(f, f"{n} % 1000 BETWEEN 501 AND 599 AND event_id % 10 = 0", f"({n} - {n} % 1000) * 10000 + 5009000 + {n} % 1000", n))
+
+
+def stalls(f: Fixtures) -> DataFrame:
+    return reconcile.stream_progress_watchdog(reconciled(f, withheld_items(f), fail=False, stall_seconds=300)).select("number")
 
 
 # the last delivery before the heads of a span is its block 500
-register("stream_progress_watchdog_all", lambda f: reconcile.stream_progress_watchdog(reconciled(f, withheld_items(f), fail=False, stall_seconds=300)).select("number"), """
-SELECT event_id + 1 AS number FROM {events} WHERE (event_id + 1) % 1000 BETWEEN 516 AND 599 AND event_id % 10 = 0 AND ((event_id + 1) % 1000 - 500) * 12 >= 300""")
+STALLS = """
+SELECT event_id + 1 AS number FROM {events} WHERE (event_id + 1) % 1000 BETWEEN 516 AND 599 AND event_id % 10 = 0 AND ((event_id + 1) % 1000 - 500) * 12 >= 300"""
+register("stream_progress_watchdog", stalls, STALLS)
+register("stream_progress_watchdog_all", stalls, STALLS)
 
 
 def stream_finalized_children(f: Fixtures) -> DataFrame:
@@ -163,3 +176,17 @@ register(
 SELECT at_s AS batch_id, at_s * 1000 AS received_ms, CASE WHEN at_s % 7 <> 0 THEN at_s * 1000 + bytes % 500 END AS committed_ms, CASE WHEN at_s % 7 <> 0 THEN bytes % 500 END AS latency_ms,
        CASE WHEN at_s % 7 = 0 THEN 'pending' WHEN ok = 1 THEN 'ack' ELSE 'reject' END AS state FROM {requests}""",
 )
+
+
+def fresh_run(f: Fixtures) -> DataFrame:
+    """Batches of a stream over all deliveries, by what the run itself recorded."""
+    base = folder(f)
+    f.deliveries.selectExpr("seq", "number", "hash").repartition(4).write.parquet(f"{base}/in")
+    stream = sinks.stream_blocks(f.spark, f"{base}/in", "seq bigint, number bigint, hash string", files_per_batch=1)
+    sinks.run_available(stream, sinks.recorded(lambda df, i: sinks.write_batch(df, i, f"{base}/out"), f"{base}/times"), f"{base}/checkpoint")
+    rows = sinks.log_of(f.spark, f"{base}/out", "seq bigint, number bigint, hash string").agg(F.count("*").alias("n_rows"))
+    timed = sinks.freshness_of(f.spark, f"{base}/times").select("state", (F.col("latency_ms") >= 0).alias("timed"))
+    return timed.groupBy("state").agg(F.count("*").alias("batches"), F.bool_and("timed").alias("timed")).join(F.broadcast(rows))
+
+
+register("stream_freshness_live", fresh_run, "SELECT 'ack' AS state, 4 AS batches, TRUE AS timed, (SELECT count(*) FROM {deliveries}) AS n_rows")

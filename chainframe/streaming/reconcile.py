@@ -23,8 +23,8 @@ OUT = ["chain_id", "seq", "place", "event", "number", "hash"]
 #: A header that doesn't attach; a finalised head on another fork; a head that was out of reach for too long; more
 #: unfinalised headers than are kept; finality ahead while nothing is delivered.
 FAULTS = ("gap", "conflict", "expired", "overflow", "stalled")
-#: Events that are gathered before they are passed on, and items in a file, which is a micro-batch.
-OUT_ROWS, FILE_ROWS = 10_000, 100_000
+#: Events that are gathered before they are passed on; items in a file, and files in a micro-batch.
+OUT_ROWS, FILE_ROWS, BATCH_FILES = 10_000, 20_000, 32
 FACTS = ("anchor_number", "anchor_hash", "tip_number", "tip_hash", "deferred_number", "deferred_hash", "deferred_at", "first_head", "last_head", "highest", "delivered_at")
 _FACTS = ", ".join(f"{n} {'string' if n.endswith('hash') else 'bigint'}" for n in FACTS)
 
@@ -191,9 +191,10 @@ def use_rocksdb(spark: SparkSession) -> None:
 
 
 def ordered_items(items: DataFrame, path: str, most: int = FILE_ROWS) -> None:
-    """Write ``items`` by seq in files of ``most`` rows, one after another, as the source reads files by their time. Read
-    with one file a batch, a chain of any length needs the memory of one file. Sorting spills; one task writes."""
-    items.repartition(1).sortWithinPartitions("seq").write.option("maxRecordsPerFile", most).parquet(path)
+    """Write ``items``, each chain on its own by seq in files of ``most`` rows. A task writes a chain's files one after another,
+    as the source reads files by their time, and chains are written side by side. Read with BATCH_FILES files a batch, chains
+    of any length need the memory of that many files, and a batch's chains are groups of their own. Sorting spills."""
+    items.repartition("chain_id").sortWithinPartitions("chain_id", "seq").write.option("maxRecordsPerFile", most).partitionBy("chain_id").parquet(path)
 
 
 def stream_reconcile(items: DataFrame, fail: bool = True, timer: bool = False, stall_blocks: int = 16, stall_seconds: int = 600, defer_seconds: int = 600, most: int = 50_000) -> DataFrame:

@@ -49,10 +49,22 @@ def log_of(spark: SparkSession, path: str, schema: str) -> DataFrame:
 COMPACT = 20
 
 
+def _batches(spark: SparkSession, path: str, schema: str, ids: range) -> DataFrame:
+    """The batches ``ids``, by their folders' names: others are not even listed. Batches that wrote nothing are passed over."""
+    if not ids:
+        return spark.createDataFrame([], schema)
+    try:
+        return spark.read.schema(schema).parquet(*(f"{path}/batch_id={k}" for k in ids))
+    except Exception as error:
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+        return log_of(spark, path, schema).where(F.col("batch_id").between(ids[0], ids[-1])).drop("batch_id")
+
+
 def state_before(spark: SparkSession, path: str, schema: str, batch_id: int, every: int = COMPACT) -> DataFrame:
     """What the log says before a batch: the last whole table, and the batches since; at most ``every`` of these are read."""
     last = batch_id // every * every - 1
-    since = log_of(spark, path, schema).where((F.col("batch_id") > last) & (F.col("batch_id") < batch_id)).drop("batch_id")
+    since = _batches(spark, path, schema, range(last + 1, batch_id))
     return since if last < 0 else spark.read.schema(schema).parquet(f"{path}-whole/{last}").unionByName(since)
 
 
@@ -93,19 +105,39 @@ def run_available(stream: DataFrame, batch: Callable[[DataFrame, int], None], ch
     q.awaitTermination()
 
 
-def stream_rollback(path: str) -> Callable[[DataFrame, int], None]:
-    """Sink of reconciled events: appends and removals of blocks. Read it with live_blocks."""
+def stream_rollback(path: str, every: int = COMPACT) -> Callable[[DataFrame, int], None]:
+    """Sink of reconciled events: appends and removals of blocks. Each ``every`` batches the last words so far are written as
+    one table. Read it with rolled and live_blocks."""
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        write_batch(df.where(F.col("event").isin("append", "remove")), batch_id, path)
+        write_batch(df.where(F.col("event").isin("append", "remove")).select(*(F.col(c) for c in ROLLED_COLUMNS)), batch_id, path)
+        if batch_id % every == every - 1:
+            spark = df.sparkSession
+            mine = spark.read.schema(ROLLED).parquet(f"{path}/batch_id={batch_id}")
+            compact(last_words(state_before(spark, path, ROLLED, batch_id, every).unionByName(mine)), batch_id, path, every)
 
     return batch
 
 
+ROLLED = "chain_id bigint, seq bigint, place int, event string, number bigint, hash string"
+ROLLED_COLUMNS = ("chain_id", "seq", "place", "event", "number", "hash")
+
+
+def last_words(log: DataFrame) -> DataFrame:
+    """The last append or removal of each block."""
+    last = log.where(F.col("event").isin("append", "remove")).groupBy("chain_id", "number", "hash").agg(F.max(F.struct("seq", "place", "event")).alias("e"))
+    return last.select("chain_id", "e.seq", "e.place", "e.event", "number", "hash")
+
+
+def rolled(spark: SparkSession, path: str, every: int = COMPACT) -> DataFrame:
+    """What stream_rollback's log says so far: its last whole table, and the batches since."""
+    newest = log_of(spark, path, ROLLED).agg(F.max("batch_id")).first()[0]
+    return state_before(spark, path, ROLLED, 0 if newest is None else newest + 1, every)
+
+
 def live_blocks(log: DataFrame) -> DataFrame:
     """(chain_id, number, hash) of blocks whose last event is an append."""
-    last = log.where(F.col("event").isin("append", "remove")).groupBy("chain_id", "number", "hash").agg(F.max_by("event", F.struct("seq", "place")).alias("e"))
-    return last.where("e = 'append'").select("chain_id", "number", "hash")
+    return last_words(log).where("event = 'append'").select("chain_id", "number", "hash")
 
 
 def live_rows(rows: DataFrame, log: DataFrame) -> DataFrame:

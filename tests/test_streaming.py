@@ -212,3 +212,39 @@ def test_throughput_in_spans_and_bounded_relation_join(spark):
     got = joins.relation_join(spark.range(3).withColumnRenamed("id", "k"), many, ["k"], ["v"], most=3)
     assert "Window" in got._jdf.queryExecution().optimizedPlan().toString()
     assert {r.k: ([x.v for x in r["items"] or []], r.n_items) for r in got.collect()} == {0: ([-98, -96, -94], 50), 1: ([-99, -97, -95], 50), 2: ([], 0)}
+
+
+def test_chains_are_groups_in_tasks_of_their_own(spark, tmp_path):
+    rows = [(c, k, "block", k, f"h{c}-{k}", f"h{c}-{k - 1}", k) for c in range(1, 9) for k in range(1, 41)]
+    items = spark.createDataFrame(rows[::-1], reconcile.ITEM).repartition(3)
+    reconcile.ordered_items(items, str(tmp_path / "in"), most=15)
+    assert {p.name for p in (tmp_path / "in").iterdir() if p.is_dir()} == {f"chain_id={c}" for c in range(1, 9)}
+    reconcile.use_rocksdb(spark)
+    stream = reconcile.stream_reconcile(sinks.stream_blocks(spark, str(tmp_path / "in"), reconcile.ITEM, files_per_batch=reconcile.BATCH_FILES))
+    sinks.run_available(stream, sinks.stream_rollback(str(tmp_path / "log"), every=2), str(tmp_path / "checkpoint"))
+    files = [spark.read.parquet(str(p)).select("chain_id").distinct().collect() for p in (tmp_path / "log" / "batch_id=0").glob("*.parquet")]
+    chains = [{r.chain_id for r in f} for f in files if f]
+    assert len(chains) >= 2 and sum(map(len, chains)) == len(set().union(*chains)) == 8  # several tasks, each chain in one of them
+    live = sinks.live_blocks(sinks.rolled(spark, str(tmp_path / "log"), every=2)).collect()
+    assert sorted((r.chain_id, r.number) for r in live) == [(c, k) for c in range(1, 9) for k in range(1, 41)]
+
+
+def test_rollback_logs_are_compacted(spark, tmp_path):
+    sink, path = sinks.stream_rollback(str(tmp_path / "log"), every=3), str(tmp_path / "log")
+    seq, want = 0, {}
+    rnd = random.Random(2)
+    for k in range(8):
+        rows = []
+        for _ in range(5):
+            seq += 1
+            number = rnd.randint(1, 6)
+            event = "remove" if number in want else "append"
+            want.pop(number, None) if event == "remove" else want.update({number: f"h{number}"})
+            rows.append((1, seq, 0, event, number, f"h{number}"))
+        for _ in range(2):  # a batch that runs again
+            sink(spark.createDataFrame([*rows, (1, seq, 1, "finalize", 1, "h1")], sinks.ROLLED), k)
+        got = {r.number: r.hash for r in sinks.live_blocks(sinks.rolled(spark, path, every=3)).collect()}
+        assert got == want
+    assert sorted(p.name for p in (tmp_path / "log-whole").iterdir()) == ["2", "5"]
+    whole = spark.read.parquet(f"{path}-whole/5")
+    assert whole.count() == whole.select("number").distinct().count() <= 6
