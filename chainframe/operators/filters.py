@@ -109,7 +109,7 @@ def _matching(rows: DataFrame, f: DataFrame, children: DataFrame | None, sides:
         return spark.sql(f"SELECT r.* FROM {{rows}} r WHERE {WANTED} AND {plain}", rows=rows, filters=f, **tables)
 
     of = _makers(children, f, made)
-    few = of.count() <= MOST_SENT  # read off the table that was just written
+    few = _few(of)
     own = spark.sql(f"SELECT r.*, {plain} AS __taken FROM {{rows}} r WHERE {WANTED}", rows=rows, filters=f, **tables)
     if few:
         own = own.withColumnRenamed("__taken", "__plain")
@@ -131,6 +131,11 @@ def _matching(rows: DataFrame, f: DataFrame, children: DataFrame | None, sides:
     return spark.sql(f"SELECT r.* FROM {{own}} r WHERE r.__plain OR {by_factory}", own=own, **tables).select(*columns)
 
 
+def _few(table: DataFrame) -> bool:
+    """Whether a table that was just written may be sent to all tasks; its files know their rows."""
+    return table.count() <= MOST_SENT
+
+
 def _makers(children: DataFrame, f: DataFrame, sides: list[str]) -> DataFrame:
     """(__chain, __child, __by): addresses with the filters' factories that made them, mapped to the block; a child has as many as
     the configuration names. Written, as each side and the bitmap read it."""
@@ -231,7 +236,7 @@ def trim_superset(logs: DataFrame, txs: DataFrame, children: DataFrame, discover
     c = children.groupBy(F.col("chain_id").cast("long").alias("__chain"), F.lower("child").alias("__child")).agg(F.min("created_block").alias("__by"))
     d = discovery.select(*(F.col(k).cast("long").alias(f"__{k}") for k in keys)).distinct()
     c, d = settled(c), settled(d)
-    few = {"c": c.count() <= MOST_SENT, "d": d.count() <= MOST_SENT}
+    few = {"c": _few(c), "d": _few(d)}
     own, ask = logs, "lower(address)"
     if not all(few.values()):
         at = "concat_ws('-', {0}block_number, {0}log_index)".format

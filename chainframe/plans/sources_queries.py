@@ -12,6 +12,7 @@ from chainframe.functions import encodings as enc
 from chainframe.functions import scalars
 from chainframe.plans.registry import register
 from chainframe.scratch import scratch
+from chainframe.sources.manifest import Store
 from chainframe.sources import blocks as src
 from chainframe.sources import store
 
@@ -501,3 +502,35 @@ w AS (SELECT chain_id, a, z, 'random-' || CAST(i AS STRING) AS strategy, a + CAS
   UNION ALL SELECT chain_id, a, z, 'era:' || n, b, 7 FROM c, (VALUES {", ".join(f"('{n}', {b})" for n, b in _ERAS.items())}) e(n, b) WHERE chain_id = 1)
 SELECT chain_id, strategy, CAST(greatest(lo, a) AS BIGINT) AS lo, CAST(least(lo + more, z) AS BIGINT) AS hi FROM w WHERE greatest(lo, a) <= least(lo + more, z)""",
 )
+
+
+# --- a store of batches -------------------------------------------------------------------------------------------
+
+
+def batched(f: Fixtures) -> DataFrame:
+    """Transactions in three batches that overlap, the first of them twice."""
+    own = f.tx.select("chain_id", "block_number", "transaction_index", "tx_hash", "value_units")
+    at = Store(f.spark, f"{scratch(f.spark)}/{uuid.uuid4().hex}", own.schema, ["chain_id", "block_number", "transaction_index"], width=100)
+    for name, part in (("a", "block_number % 3 < 2"), ("b", "block_number % 3 > 0"), ("a", "block_number % 3 < 2"), ("c", "transaction_index < 2 OR block_number % 3 = 0")):
+        at.append(own.where(part), name)
+    return at.read()
+
+
+register("store_batches", batched, "SELECT chain_id, block_number, transaction_index, tx_hash, value_units, CAST(floor(block_number / 100.0) AS BIGINT) AS block_bucket FROM {tx}")
+
+
+def ranged(f: Fixtures) -> DataFrame:
+    """Logs of a store within ranges, some of them open: only their partitions are read."""
+    own = f.logs.select("chain_id", "block_number", "log_index", "address")
+    at = Store(f.spark, f"{scratch(f.spark)}/{uuid.uuid4().hex}", own.schema, ["chain_id", "block_number", "log_index"], width=50)
+    at.append(own, "all")
+    ranges = f.heads.select("chain_id", F.when(F.col("chain_id") > 1, F.col("chain_id") * 10).alias("lo"), F.when(F.col("chain_id") < 4, F.col("finalized")).alias("hi")).where("chain_id <> 3")
+    found = src.scan_windows(at.read(), ranges, at.partitions(), width=50)
+    r = ranges.select(F.col("chain_id").alias("c"), "lo", "hi")
+    inside = (F.col("chain_id") == F.col("c")) & (F.col("lo").isNull() | (F.col("block_number") >= F.col("lo"))) & (F.col("hi").isNull() | (F.col("block_number") <= F.col("hi")))
+    return found.join(F.broadcast(r), inside, "left_semi").drop("block_bucket")
+
+
+register("scan_windows", ranged, """
+SELECT l.chain_id, l.block_number, l.log_index, l.address FROM {logs} l JOIN {heads} h ON h.chain_id = l.chain_id
+WHERE l.chain_id <> 3 AND (l.chain_id = 1 OR l.block_number >= l.chain_id * 10) AND (l.chain_id >= 4 OR l.block_number <= h.finalized)""")

@@ -9,6 +9,8 @@ from chainframe.schemas import FAMILIES, NULLABLE_COLUMNS, RAW_BLOCK
 
 #: Blocks of a partition of a store.
 BUCKET = 1000
+#: Ranges that become one condition on a scan.
+MOST_RANGES = 500
 
 
 def read_block_ndjson(spark: SparkSession, path: str) -> DataFrame:
@@ -50,11 +52,16 @@ def scan_windows(df: DataFrame, ranges: DataFrame, partitions: DataFrame, width:
     null is open), so that a scan reads no others.
 
     ``partitions`` (chain_id, block_bucket) are those that the store has, such as Store.partitions: they bound open ranges.
-    What is sent to prune the scan has a row for each of them at most.
+    What is sent to prune the scan has a row for each of them at most. Spark prunes by each column on its own then, so up to
+    MOST_RANGES ranges are a condition on both columns as well.
     """
     bucket = lambda c: F.floor(F.col(c) / width).cast("long")
     r = ranges.select(F.col("chain_id").alias("r_chain"), bucket("lo").alias("first"), bucket("hi").alias("last"))
     inside = (F.col("chain_id") == F.col("r_chain")) & (F.col("first").isNull() | (F.col("block_bucket") >= F.col("first"))) & (F.col("last").isNull() | (F.col("block_bucket") <= F.col("last")))
+    few = r.distinct().limit(MOST_RANGES + 1).collect()
+    if len(few) <= MOST_RANGES:
+        both = [f"(chain_id = {x.r_chain}" + f" AND block_bucket >= {x.first}" * (x.first is not None) + f" AND block_bucket <= {x.last}" * (x.last is not None) + ")" for x in few if x.r_chain is not None]
+        df = df.where(" OR ".join(both) or "false")
     wanted = partitions.where("block_bucket >= 0").join(F.broadcast(r.distinct()), inside, "left_semi").select("chain_id", "block_bucket")
     return df.join(F.broadcast(wanted), ["chain_id", "block_bucket"], "left_semi").select(*df.columns)
 
