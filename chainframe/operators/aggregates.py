@@ -137,7 +137,8 @@ def latency_percentiles(requests: DataFrame, by: list[str], approximate: bool =
 
 def tip_lag(heads: DataFrame) -> DataFrame:
     """Endpoints (chain_id, endpoint, head) with the blocks that they are behind the chain's freshest."""
-    return heads.withColumn("lag", F.max("head").over(Window.partitionBy("chain_id")) - F.col("head"))
+    best = heads.groupBy("chain_id").agg(F.max("head").alias("__best"))  # summed up before it is shuffled, a row for each chain
+    return heads.join(best, "chain_id").select(*heads.columns, (F.col("__best") - F.col("head")).alias("lag"))
 
 
 def throughput(counters: DataFrame, seconds: int = 10, error_threshold: float = 0.5, span: int = 100_000) -> DataFrame:

@@ -81,16 +81,18 @@ def cascade_errors(frames: DataFrame) -> DataFrame:
 
 def discover_children(logs: DataFrame, factories: DataFrame, location: str = "topic1") -> DataFrame:
     """(factory_id, chain_id, child, created_block): first creations by factories (factory_id, chain_id, address, topic0,
-    from_block, to_block, and location of the child; null is any). Creations outside the factory's range are ignored.
+    from_block, to_block, and location of the child). A null address or bound is any; topic0 is needed, so a row without
+    matches nothing. A factory may have several rows, each on its own. Creations outside a row's range are ignored.
 
     ``address`` may be one value or a list. Factories without a location of their own have ``location``: ``topicN``, or
     ``offsetN``, the byte where a word of the data begins.
     """
-    own = factories.withColumn("filter_id", F.col("factory_id").cast("string"))
+    # rows are told apart by all that they say: one factory may have several addresses, topics and locations
+    own = factories.withColumn("filter_id", F.to_json(F.struct(*factories.columns)))
     place = F.coalesce(F.col("location") if "location" in factories.columns else F.lit(None).cast("string"), F.lit(location))
-    f = prepared(own, ("address",), ()).drop("address_factory").withColumnRenamed("filter_id", "factory_id")
-    kinds = own.select(F.col("filter_id").alias("factory_id"), "chain_id", F.lower("topic0").alias("topic0"), place.alias("location"))
-    f = f.join(kinds, ["factory_id", "chain_id"])
+    f = prepared(own, ("address",), ()).drop("address_factory")
+    kinds = own.select("filter_id", "chain_id", F.col("factory_id").cast("string").alias("factory_id"), F.lower("topic0").alias("topic0"), place.alias("location"))
+    f = f.join(kinds.distinct(), ["filter_id", "chain_id"])
     f = f.select(*(F.col(c).alias(f"f_{c}") for c in ("factory_id", "chain_id", "address", "topic0", "from_block", "to_block", "location")))
     match = (
         (F.col("f_chain_id") == F.col("chain_id")) & (F.col("f_topic0") == F.lower("topic0"))

@@ -28,23 +28,44 @@ def dedupe_first(parts: list[DataFrame], keys: list[str]) -> DataFrame:
 # --- intervals: half-open [lo, hi) per fragment -----------------------------------------------------------------
 
 
-def coalesce_intervals(intervals: DataFrame) -> DataFrame:
-    """(fragment_id, lo, hi) with overlapping and adjacent ranges merged; empty ranges go."""
-    before = Window.partitionBy("fragment_id").orderBy("lo", "hi").rowsBetween(Window.unboundedPreceding, -1)
-    upto = Window.partitionBy("fragment_id").orderBy("lo", "hi").rowsBetween(Window.unboundedPreceding, 0)
-    reach = intervals.where("lo < hi").withColumn("reach", F.max("hi").over(before))
-    new = F.when(F.col("reach").isNull() | (F.col("lo") > F.col("reach")), 1).otherwise(0)
-    islands = reach.withColumn("new", new).withColumn("island", F.sum("new").over(upto))
-    return islands.groupBy("fragment_id", "island").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).drop("island")
-
-
-def missing_ranges(intervals: DataFrame, wanted: DataFrame) -> DataFrame:
-    """What of each fragment's wanted range (fragment_id, want_lo, want_hi) isn't covered."""
-    c = coalesce_intervals(intervals).join(wanted, "fragment_id").where("lo < want_hi AND hi > want_lo")
-    c = c.select("fragment_id", "want_lo", "want_hi", F.greatest("lo", "want_lo").alias("lo"), F.least("hi", "want_hi").alias("hi"))
-    after = Window.partitionBy("fragment_id").orderBy("lo")
-    gaps = c.select("fragment_id", F.col("hi").alias("lo"), F.coalesce(F.lead("lo").over(after), F.col("want_hi")).alias("hi"))
-    heads = wanted.join(c.groupBy("fragment_id").agg(F.min("lo").alias("first")), "fragment_id", "left").select(
+#: Blocks of a span: what a task of the interval operators looks at in a fragment.
+SPAN = 1_000_000
+
+
+def coalesce_intervals(intervals: DataFrame, span: int = SPAN) -> DataFrame:
+    """(fragment_id, lo, hi) with overlapping and adjacent ranges merged; empty ranges go.
+
+    Two levels, so that a fragment of any length is many tasks: ranges are merged by the ``span`` blocks that they begin in,
+    knowing how far earlier spans reach. What of a span goes on with what was before, and the last range of each span, are
+    then merged along the fragment, two rows a span.
+    """
+    s = intervals.where("lo < hi").select("fragment_id", "lo", "hi", F.floor(F.col("lo") / span).alias("span"))
+    earlier = Window.partitionBy("fragment_id").orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
+    carried = s.groupBy("fragment_id", "span").agg(F.max("hi").alias("top")).withColumn("carried", F.max("top").over(earlier)).drop("top")
+    inside = Window.partitionBy("fragment_id", "span").orderBy("lo", "hi")
+    reach = F.greatest("carried", F.max("hi").over(inside.rowsBetween(Window.unboundedPreceding, -1)))
+    own = s.join(carried, ["fragment_id", "span"]).withColumn("reach", reach)
+    own = own.withColumn("new", F.when(F.col("reach").isNull() | (F.col("lo") > F.col("reach")), 1).otherwise(0))
+    own = own.withColumn("island", F.sum("new").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+    local = own.groupBy("fragment_id", "span", "island").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    local = local.withColumn("last", F.col("island") == F.max("island").over(Window.partitionBy("fragment_id", "span")))
+    edges = local.where("last OR island = 0")  # island 0 goes on with the last one before
+    along = Window.partitionBy("fragment_id").orderBy("span", "island").rowsBetween(Window.unboundedPreceding, 0)
+    edges = edges.withColumn("whole", F.sum(F.when(F.col("island") > 0, 1).otherwise(0)).over(along))
+    merged = edges.groupBy("fragment_id", "whole").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    return local.where("NOT last AND island > 0").select("fragment_id", "lo", "hi").unionByName(merged.select("fragment_id", "lo", "hi"))
+
+
+def missing_ranges(intervals: DataFrame, wanted: DataFrame, span: int = SPAN) -> DataFrame:
+    """What of each fragment's wanted range (fragment_id, want_lo, want_hi) isn't covered; by spans, as for
+    coalesce_intervals: where a span's last range ends, the next span's first one is looked up."""
+    c = coalesce_intervals(intervals, span).join(wanted, "fragment_id").where("lo < want_hi AND hi > want_lo")
+    c = c.select("fragment_id", "want_lo", "want_hi", F.greatest("lo", "want_lo").alias("lo"), F.least("hi", "want_hi").alias("hi")).withColumn("span", F.floor(F.col("lo") / span))
+    firsts = c.groupBy("fragment_id", "span").agg(F.min("lo").alias("first"))
+    next_span = firsts.withColumn("later", F.lead("first").over(Window.partitionBy("fragment_id").orderBy("span"))).drop("first")
+    after = Window.partitionBy("fragment_id", "span").orderBy("lo")
+    gaps = c.join(next_span, ["fragment_id", "span"]).select("fragment_id", F.col("hi").alias("lo"), F.coalesce(F.lead("lo").over(after), F.col("later"), F.col("want_hi")).alias("hi"))
+    heads = wanted.join(firsts.groupBy("fragment_id").agg(F.min("first").alias("first")), "fragment_id", "left").select(
         "fragment_id", F.col("want_lo").alias("lo"), F.coalesce("first", "want_hi").alias("hi")
     )
     return heads.unionByName(gaps).where("lo < hi")
@@ -80,10 +101,15 @@ def tiling_verdict(intervals: DataFrame, wanted: DataFrame) -> DataFrame:
 # --- progress ------------------------------------------------------------------------------------------------------
 
 
-def checkpoint_monotonic(series: DataFrame, by: str, order: str, value: str) -> DataFrame:
-    """Per series the first place where the value goes back, if any."""
-    w = Window.partitionBy(by).orderBy(order)
-    back = series.withColumn("before", F.lag(value).over(w)).where(F.col(value) < F.col("before"))
+def checkpoint_monotonic(series: DataFrame, by: str, order: str, value: str, span: int = SPAN) -> DataFrame:
+    """Per series the first place where the value goes back, if any. ``order`` is a number: places are looked at in spans of
+    ``span``; of the span before, its last value is enough."""
+    own = series.select(by, order, value, F.floor(F.col(order) / span).alias("__span"))
+    last = own.groupBy(by, "__span").agg(F.max_by(value, order).alias("__last"))
+    last = last.withColumn("__carried", F.lag("__last").over(Window.partitionBy(by).orderBy("__span"))).drop("__last")
+    w = Window.partitionBy(by, "__span").orderBy(order)
+    rows = own.join(last, [by, "__span"]).withColumn("before", F.when(F.row_number().over(w) > 1, F.lag(value).over(w)).otherwise(F.col("__carried")))
+    back = rows.where(F.col(value) < F.col("before"))
     first = back.groupBy(by).agg(F.min_by(F.struct(F.col(order).alias("at"), "before", F.col(value).alias("after")), order).alias("x"))
     return first.select(by, F.col("x.at").alias("at"), F.col("x.before").alias("before"), F.col("x.after").alias("after"))
 

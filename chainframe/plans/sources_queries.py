@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from chainframe.fixtures import Fixtures
 from chainframe.functions import encodings as enc
 from chainframe.functions import scalars
+from chainframe.operators.windows import reorg_resolve
 from chainframe.plans.registry import register
 from chainframe.scratch import scratch
 from chainframe.sources.manifest import Store
@@ -534,3 +535,25 @@ def ranged(f: Fixtures) -> DataFrame:
 register("scan_windows", ranged, """
 SELECT l.chain_id, l.block_number, l.log_index, l.address FROM {logs} l JOIN {heads} h ON h.chain_id = l.chain_id
 WHERE l.chain_id <> 3 AND (l.chain_id = 1 OR l.block_number >= l.chain_id * 10) AND (l.chain_id >= 4 OR l.block_number <= h.finalized)""")
+
+
+def counted(f: Fixtures) -> DataFrame:
+    """Headers by number, counted in batches: both forks' at first, one batch twice, redelivered blocks, then what was orphaned is taken back."""
+    base, keys = f"{scratch(f.spark)}/{uuid.uuid4().hex}", ["chain_id", "kind"]
+    d = f.deliveries.selectExpr("CAST(1 AS BIGINT) AS chain_id", "CAST(number % 7 AS BIGINT) AS kind", "hash AS block_hash", "seq", "number").dropDuplicates(["block_hash"])
+    none = d.select("chain_id", "block_hash").limit(0)
+    for k, part, gone in ((0, "number % 3 < 2", none), (1, "number % 3 > 0", none), (0, "number % 3 < 2", none), (2, "number % 3 = 0", reorged(f))):
+        store.post_batch(d.where(part).select(*keys, "block_hash"), gone, base, k, keys)
+    schema = d.select(*keys, "block_hash").schema.add("delta", "long")
+    return store.ledger_totals(store.read_ledger(f.spark, base, schema), keys)
+
+
+def reorged(f: Fixtures) -> DataFrame:
+    return reorg_resolve(f.deliveries).where("orphaned").select(F.lit(1).cast("long").alias("chain_id"), F.col("hash").alias("block_hash"))
+
+
+# what stays is the canonical headers
+register("ledger_totals", counted, """
+WITH d AS (SELECT *, row_number() OVER (PARTITION BY hash ORDER BY seq) AS n FROM {deliveries}),
+o AS (SELECT number, hash, coalesce(min(number) OVER (ORDER BY seq ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) <= number, FALSE) AS orphaned FROM d WHERE n = 1)
+SELECT CAST(1 AS BIGINT) AS chain_id, CAST(number % 7 AS BIGINT) AS kind, count(*) AS n FROM o WHERE NOT orphaned GROUP BY number % 7""")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 
 def write_store(df: DataFrame, target: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
@@ -48,13 +49,57 @@ def upsert_do_nothing(events: DataFrame, existing: DataFrame, keys: list[str], o
 
 
 def upsert_accumulate(events: DataFrame, existing: DataFrame, keys: list[str], count: str = "n") -> DataFrame:
-    """Existing counters plus one for each event; keys of either side."""
+    """Existing counters plus one for each event; keys of either side. It keeps no account of what it counted: where batches
+    may be repeated or blocks removed, see ledger_entries."""
     new = events.groupBy(*keys).agg(F.count("*").alias("__new"))
     return existing.select(*keys, count).join(new, keys, "full_outer").select(
         *keys, (F.coalesce(count, F.lit(0)) + F.coalesce("__new", F.lit(0))).cast("long").alias(count)
     )
 
 
+def ledger_entries(events: DataFrame, removed: DataFrame, ledger: DataFrame, keys: list[str]) -> DataFrame:
+    """Signed entries (keys, chain_id, block_hash, delta) of a batch against the ``ledger`` of batches before it.
+
+    ``events`` (keys, chain_id, block_hash) count one each. A block that the ledger counts already adds nothing, so a
+    redelivered block is no-op; ``removed`` (chain_id, block_hash) blocks, of this batch or of earlier ones, are taken back.
+    A block that comes back after it was removed counts again.
+    """
+    block = ["chain_id", "block_hash"]
+    gone = removed.select(*block).distinct()
+    held = ledger.groupBy(*keys, *(b for b in block if b not in keys)).agg(F.sum("delta").alias("delta")).where("delta <> 0")
+    own = events.groupBy(*keys, *(b for b in block if b not in keys)).agg(F.count("*").alias("delta"))
+    new = own.join(gone, block, "left_anti").join(held.select(*block).distinct(), block, "left_anti")
+    undone = held.join(gone, block, "left_semi").withColumn("delta", -F.col("delta"))
+    columns = list(dict.fromkeys([*keys, *block])) + ["delta"]
+    return new.select(*columns).unionByName(undone.select(*columns))
+
+
+def post_batch(events: DataFrame, removed: DataFrame, path: str, batch_id: int, keys: list[str]) -> None:
+    """Write a batch's entries to its own folder of the ledger at ``path``. A batch that runs again, even after later ones,
+    is worked out against the batches before it alone, and so writes the same."""
+    spark = events.sparkSession
+    columns = list(dict.fromkeys([*keys, "chain_id", "block_hash"]))
+    schema = events.select(*columns).schema.add("delta", "long")
+    ledger = read_ledger(spark, path, schema).where(F.col("batch_id") < batch_id).drop("batch_id")
+    ledger_entries(events, removed, ledger, keys).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+
+def read_ledger(spark, path: str, schema) -> DataFrame:
+    """All entries with their batch_id; none before the first batch."""
+    whole = StructType([*schema.fields, StructField("batch_id", LongType())])
+    try:
+        return spark.read.schema(whole).parquet(path)
+    except Exception as error:
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+        return spark.createDataFrame([], whole)
+
+
+def ledger_totals(ledger: DataFrame, keys: list[str], count: str = "n") -> DataFrame:
+    """Counters (keys, n) as the ledger's entries add up; keys whose events were all taken back are gone."""
+    return ledger.groupBy(*keys).agg(F.sum("delta").cast("long").alias(count)).where(F.col(count) != 0)
+
+
 def completion_summary(metrics: DataFrame) -> DataFrame:
     """Metrics (chain, name, value) as one row per chain, and a row for all (chain null).
 

@@ -384,3 +384,51 @@ def test_relation_pages_are_bounded(spark):
     assert max(r.n_items for r in got) == 10
     assert sorted(x.v for r in got for x in r["items"] or []) == list(range(100))
     assert [(r.page, r.n_items) for r in got if r.k == 2] == [(None, 0)]
+
+
+@pytest.mark.parametrize("span", [1, 3, 7, 50, 10**6])
+def test_intervals_in_spans_equal_the_plain_form(spark, span):
+    rnd = random.Random(6)
+    own = [(f, lo, lo + rnd.choice([0, 1, 1, 2, 5, 40])) for f in range(6) for lo in (rnd.randint(0, 120) for _ in range(rnd.choice([1, 10, 40])))]
+    df = spark.createDataFrame(own, "fragment_id long, lo long, hi long")
+    covered = {f: {b for g, lo, hi in own if g == f for b in range(lo, hi)} for f in range(7)}
+    want = sorted((f, b, next(e for e in range(b + 1, 300) if e not in c)) for f, c in covered.items() for b in c if b - 1 not in c)
+    assert rows(win.coalesce_intervals(df, span), "fragment_id", "lo") == want
+    wanted = spark.createDataFrame([(f, 20, 100) for f in range(7)], "fragment_id long, want_lo long, want_hi long")
+    gaps = {(f, b) for f, lo, hi in rows(win.missing_ranges(df, wanted, span)) for b in range(lo, hi)}
+    assert gaps == {(f, b) for f in range(7) for b in range(20, 100) if b not in covered[f]}
+
+
+def test_a_long_fragment_is_many_tasks(spark):
+    df = spark.range(20_000).selectExpr("1L AS fragment_id", "id * 10 AS lo", "id * 10 + CASE WHEN id % 100 < 50 THEN 10 ELSE 9 END AS hi")
+    got = win.coalesce_intervals(df, 10_000)
+    tasks = got.select(F.spark_partition_id().alias("t"), "lo").where("lo % 1000 > 500").groupBy("t").count().collect()
+    assert got.count() == 10_000 and len(tasks) > 1 and rows(got) == rows(win.coalesce_intervals(df))
+
+
+@pytest.mark.parametrize("span", [1, 4, 10**6])
+def test_progress_goes_back_across_spans(spark, span):
+    df = spark.createDataFrame([("a", k, v) for k, v in enumerate([1, 2, 3, 3, 2, 5, 1])] + [("b", k, k) for k in range(9)] + [("c", 3, 9), ("c", 4, 8)], "s string, at long, v long")
+    assert rows(win.checkpoint_monotonic(df, "s", "at", "v", span), "s") == [("a", 4, 3, 2), ("c", 4, 9, 8)]
+
+
+def test_a_factory_of_several_rows_is_not_crossed(spark):
+    logs = spark.createDataFrame([(1, 1, a, t, "0x" + f"{k:064x}", "0x") for k, (a, t) in enumerate([("x", "s"), ("x", "t"), ("y", "s"), ("y", "t")])], "chain_id long, block_number long, address string, topic0 string, topic1 string, data string")
+    f = spark.createDataFrame([("f", 1, "x", "s", None, None), ("f", 1, "y", "t", None, None), ("f", 1, "x", None, None, None)], "factory_id string, chain_id long, address string, topic0 string, from_block long, to_block long")
+    assert sorted(int(r.child, 16) for r in joins.discover_children(logs, f).collect()) == [0, 3]
+
+
+def test_ledger_repeats_removals_and_returns(spark, tmp_path):
+    path, keys = str(tmp_path / "l"), ["chain_id", "who"]
+    event, block = "chain_id long, who string, block_hash string", "chain_id long, block_hash string"
+    one = [(1, "a", "h1"), (1, "a", "h1"), (1, "b", "h2")]
+    batches = [(one, []), (one[:2] + [(1, "a", "h3")], []), ([(1, "a", "h4")], [(1, "h1"), (1, "h4")]), ([(1, "a", "h1"), (1, "a", "h1")], []), ([], [(1, "h2")])]
+    want = [{"a": 2, "b": 1}, {"a": 3, "b": 1}, {"a": 1, "b": 1}, {"a": 3, "b": 1}, {"a": 3}]
+    schema = spark.createDataFrame([], event).schema.add("delta", "long")
+
+    def post(k):
+        store.post_batch(spark.createDataFrame(batches[k][0], event), spark.createDataFrame(batches[k][1], block), path, k, keys)
+        return {r.who: r.n for r in store.ledger_totals(store.read_ledger(spark, path, schema), keys).collect()}
+
+    assert [post(k) for k in range(5)] == want
+    assert [post(k) for k in (4, 1, 3, 0)] == [want[-1]] * 4  # batches that run again, after later ones too
