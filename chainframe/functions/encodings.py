@@ -223,15 +223,15 @@ def decode_events(logs: DataFrame, signatures: DataFrame) -> DataFrame:
     kept = [c for c in logs.columns if c not in ("event_name", "args")]
     own = signatures.select(F.lower("topic0").alias("__topic0"), F.col("name").alias("event_name"), F.to_json(F.col("args").cast(ARGUMENTS)).alias("__layout"))
     # what is a column already is sent once
-    extra = {f"__topic{k}": _topic(logs, k) for k in (1, 2, 3) if f"topic{k}" not in kept} | ({} if "data" in kept else {"__data": F.lit(None).cast("string")})
-    j = logs.select(*(F.col(f"`{c}`") for c in kept), F.lower(_topic(logs, 0)).alias("__topic0"), *(c.alias(n) for n, c in extra.items()))
+    extra = {f"__topic{k}": log_topic(logs, k) for k in (1, 2, 3) if f"topic{k}" not in kept} | ({} if "data" in kept else {"__data": F.lit(None).cast("string")})
+    j = logs.select(*(F.col(f"`{c}`") for c in kept), F.lower(log_topic(logs, 0)).alias("__topic0"), *(c.alias(n) for n, c in extra.items()))
     j = j.join(own, "__topic0").select(*(F.col(f"`{c}`") for c in kept), "event_name", "__layout", *extra)
     schema = j.select(*(F.col(f"`{c}`") for c in kept), "event_name").schema.add("args", T.MapType(T.StringType(), T.StringType()))
     topics = [f"topic{k}" if f"topic{k}" in kept else f"__topic{k}" for k in (1, 2, 3)]
     return j.mapInArrow(abi.decoder([*kept, "event_name"], "__layout", topics, "data" if "data" in kept else "__data", "args"), schema)
 
 
-def _topic(logs: DataFrame, k: int) -> Column:
+def log_topic(logs: DataFrame, k: int) -> Column:
     """A log's topic: from ``topicK`` or from the list ``topics``; null beyond its end."""
     return F.col(f"topic{k}") if f"topic{k}" in logs.columns else F.get("topics", F.lit(k)) if "topics" in logs.columns else F.lit(None).cast("string")
 
@@ -240,7 +240,7 @@ def child_at(df: DataFrame, location: Column) -> Column:
     """The created contract's address at ``location``: ``topicN`` (its last 40 digits) or ``offsetN`` (byte offset of a
     word in data). Other locations are an error; what is too short has none."""
     n = F.regexp_extract(location, "([0-9]+)$", 1).try_cast("int")
-    topic = F.get(F.array(*(_topic(df, k) for k in range(4))), n)
+    topic = F.get(F.array(*(log_topic(df, k) for k in range(4))), n)
     data = F.col("data") if "data" in df.columns else F.lit(None).cast("string")
     digits = (
         F.when(location.rlike("^topic[1-3]$"), F.right(topic, F.lit(40)))

@@ -28,6 +28,10 @@ class Handlers:
         self._by_name.setdefault(name, []).append(fn)
         return fn
 
+    def names(self) -> list[str]:
+        """Events that have a handler."""
+        return list(self._by_name)
+
     def run(self, events: dict[str, DataFrame]) -> dict[str, DataFrame]:
         """The tables that the handlers make of their events; rows of one table from several handlers are united. Events
         without a handler are left alone; a handler without events is an error."""

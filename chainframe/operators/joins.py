@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chainframe.functions.encodings import child_at
+from chainframe.functions.encodings import child_at, log_topic
 from chainframe.operators.filters import child_logs, match_logs_factory, prepared
 
 BLOCK, TX = ["chain_id", "block_number"], ["chain_id", "block_number", "transaction_index"]
@@ -95,7 +95,7 @@ def discover_children(logs: DataFrame, factories: DataFrame, location: str = "to
     f = f.join(kinds.distinct(), ["filter_id", "chain_id"])
     f = f.select(*(F.col(c).alias(f"f_{c}") for c in ("factory_id", "chain_id", "address", "topic0", "from_block", "to_block", "location")))
     match = (
-        (F.col("f_chain_id") == F.col("chain_id")) & (F.col("f_topic0") == F.lower("topic0"))
+        (F.col("f_chain_id") == F.col("chain_id")) & (F.col("f_topic0") == F.lower(log_topic(logs, 0)))
         & (F.col("f_address").isNull() | F.array_contains("f_address", F.lower("address")))
         & (F.col("f_from_block").isNull() | (F.col("block_number") >= F.col("f_from_block")))
         & (F.col("f_to_block").isNull() | (F.col("block_number") <= F.col("f_to_block")))

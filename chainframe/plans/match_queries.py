@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chainframe.fixtures import Fixtures
 from chainframe.functions.encodings import decode_events
-from chainframe.operators import aggregates, filters, handlers, joins
+from chainframe.operators import aggregates, filters, handlers, joins, routing
 from chainframe.operators.windows import rank_traces
 from chainframe.plans.registry import register
 
@@ -291,6 +294,53 @@ register("on_event", handled, """
 SELECT chain_id, CASE event_code WHEN 'RO' THEN 'deposit' ELSE 'withdraw' END AS kind, count(*) AS n, count(DISTINCT topic1) AS accounts
 FROM {logs} WHERE event_code IN ('RO', 'NO') GROUP BY chain_id, event_code""")
 
+def topic(code: str) -> str:
+    """An event's topic in the test tables."""
+    return "0x" + hashlib.md5(code.encode()).hexdigest() + hashlib.md5(code[::-1].encode()).hexdigest()
+
+
+ARGS = [("arg1", "uint256", True), ("", "address", True), ("", "uint256", True), ("amount", "uint256", False), ("price", "uint256", False)]
+POOLS, WHALES = [f"0x{k:040x}" for k in (7, 9, 12)], [f"0x{k:040x}" for k in range(10, 40)]
+MADE = {"topic0": topic("RF"), "location": "topic2", "from_block": 5}
+CONFIG = {
+    "contracts": {
+        "Vault": {"chains": {k: {"factory": MADE, "from_block": 20} for k in (1, 2)}, "events": [(topic("RO"), "Deposit", ARGS), (topic("NO"), "Withdraw", ARGS)]},
+        "Pool": {"chains": {3: {"address": [x.upper().replace("0X", "0x") for x in POOLS]}}, "events": [(topic("NO"), "Withdraw", ARGS)], "functions": {"0x00000001": "swap"}},
+    },
+    "accounts": {"Whale": {"chains": {1: {"address": WHALES}, 4: {"address": WHALES, "from_block": 30}}}},
+    "blocks": {"Ticks": {"chains": {4: {"interval": 25, "offset": 3, "from_block": 50}}}},
+}
+
+
+def configured(f: Fixtures) -> DataFrame:
+    """Events by name and chain, from a configuration to handlers."""
+    h = handlers.Handlers()
+    for name in ("Vault:Deposit", "Vault:Withdraw", "Pool:Withdraw", "Pool.swap()", "Whale:transaction:from", "Whale:transaction:to", "Whale:transfer:from", "Ticks:block"):
+        amount = F.length(F.col("args")["amount"]) if name.split(":")[0] in ("Vault", "Pool") else F.lit(0)
+        h.on_event(name, lambda e, name=name, amount=amount: {"seen": e.select(F.lit(name).alias("name"), "chain_id", amount.cast("long").alias("digits"))})
+    tables = {"logs": f.logs, "transactions": f.tx, "traces": matchable(f), "blocks": f.blocks}
+    seen = routing.run_config(f.spark, CONFIG, tables, h)["seen"]
+    return seen.groupBy("name", "chain_id").agg(F.count("*").alias("n"), F.sum("digits").alias("digits"))
+
+
+def in_list(column: str, own: list[str]) -> str:
+    return f"{column} IN ({', '.join(repr(x) for x in own)})"
+
+
+WHALE = "(chain_id = 1 OR chain_id = 4 AND block_number >= 30)"
+AMOUNT = "2 + length(regexp_replace(substring(data, 3, 64), '^0+(.)', '\\1'))"
+register("on_event_config", configured, f"""
+WITH c AS (SELECT l.chain_id, '0x' || substring(topic2, 27, 40) AS child, min(block_number) AS created FROM {{logs}} l WHERE event_code = 'RF' AND block_number >= 5 AND chain_id IN (1, 2) GROUP BY 1, 2),
+e AS (
+  SELECT CASE event_code WHEN 'RO' THEN 'Vault:Deposit' ELSE 'Vault:Withdraw' END AS name, l.chain_id, {AMOUNT} AS digits FROM {{logs}} l JOIN c ON c.chain_id = l.chain_id AND c.child = l.address AND l.block_number >= c.created WHERE event_code IN ('RO', 'NO') AND block_number >= 20
+  UNION ALL SELECT 'Pool:Withdraw', chain_id, {AMOUNT} FROM {{logs}} WHERE chain_id = 3 AND event_code = 'NO' AND {in_list("address", POOLS)}
+  UNION ALL SELECT 'Pool.swap()', chain_id, 0 FROM {{calls}} WHERE chain_id = 3 AND frame_key % 4 = 1 AND {in_list("address", POOLS)}
+  UNION ALL SELECT 'Whale:transaction:from', chain_id, 0 FROM {{tx}} WHERE {WHALE} AND {in_list("from_address", WHALES)}
+  UNION ALL SELECT 'Whale:transaction:to', chain_id, 0 FROM {{tx}} WHERE {WHALE} AND {in_list("to_address", WHALES)}
+  UNION ALL SELECT 'Whale:transfer:from', chain_id, 0 FROM {{calls}} WHERE {WHALE} AND {in_list("sender", WHALES)} AND value_hex <> '0x0'
+  UNION ALL SELECT 'Ticks:block', chain_id, 0 FROM {{blocks}} WHERE chain_id = 4 AND (block_number - 3) % 25 = 0 AND block_number >= 50)
+SELECT name, chain_id, count(*) AS n, CAST(sum(digits) AS BIGINT) AS digits FROM e GROUP BY name, chain_id""")
+
 register("swap_receipts", lambda f: handlers.swap_receipts(f.logs.where("event_code = 'NF'"), f.receipts), """
 SELECT l.tx_hash || '-' || CAST(l.log_index AS STRING) AS id, l.chain_id, l.block_number, l.address, r.gas_used, r.status = 1 AS success
 FROM {logs} l JOIN {receipts} r ON r.chain_id = l.chain_id AND r.tx_hash = l.tx_hash WHERE l.event_code = 'NF'""")
@@ -320,16 +370,21 @@ FROM {tx} t WHERE t.order_key % 8 <> 0 AND EXISTS (SELECT 1 FROM a WHERE a.chain
 
 
 def lending(f: Fixtures) -> DataFrame:
-    tables = handlers.lending_tables(decoded(f))
-    return tables["deposit"].select(F.lit("deposit").alias("t"), "id", "vault", "account", "assets", "shares").unionByName(
-        tables["borrow"].select(F.lit("borrow").alias("t"), "id", "vault", "account", "assets"), allowMissingColumns=True
-    )
+    """All six tables, one below the other."""
+    parts = [t.select(F.lit(name).alias("t"), *(c for c in t.columns if c != "block_number")) for name, t in handlers.lending_tables(decoded(f)).items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+WORD = {"arg1": "topic1", "arg2": "'0x' || substring(data, 3, 64)", "arg3": "'0x' || substring(data, 67, 64)"}
+OTHERS = sorted({c for _, columns in handlers.LENDING.values() for c in columns})
+
+
+def lending_sql() -> str:
+    columns = [", ".join([f"'{table}' AS t"] + [f"{WORD[own[c]] if c in own else 'NULL'} AS {c}" for c in OTHERS]) for table, own in handlers.LENDING.values()]
+    return " UNION ALL ".join(f"SELECT {c}, tx_hash || '-' || CAST(log_index AS STRING) AS id, l.chain_id, l.address AS vault FROM {{logs}} l JOIN {{signatures}} s ON s.topic0 = l.topic0 WHERE s.name = '{event}'" for c, event in zip(columns, handlers.LENDING))
 
 
-register("lending_tables", lending, """
-SELECT CASE event_code WHEN 'RO' THEN 'deposit' ELSE 'borrow' END AS t, tx_hash || '-' || CAST(log_index AS STRING) AS id, address AS vault, topic1 AS account,
-       CASE event_code WHEN 'RO' THEN '0x' || substring(data, 3, 64) ELSE '0x' || substring(data, 67, 64) END AS assets,
-       CASE event_code WHEN 'RO' THEN '0x' || substring(data, 67, 64) END AS shares FROM {logs} WHERE event_code IN ('RO', 'NF')""")
+register("lending_tables", lending, lending_sql())
 
 
 def flagship(f: Fixtures) -> DataFrame:
