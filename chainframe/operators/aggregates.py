@@ -115,9 +115,27 @@ def app_digest(tables: dict[str, tuple[DataFrame, list[str]]], width: int = 1000
 PERCENTILES = (("p50", 0.5), ("p90", 0.9), ("p95", 0.95), ("p99", 0.99))
 
 
-def latency_percentiles(requests: DataFrame, by: list[str], approximate: bool = False) -> DataFrame:
+def nearest_ranks(values: DataFrame, by: list[str], column: str, buckets: int = 4096) -> DataFrame:
+    """Per group the PERCENTILES of ``column`` by nearest rank, without sorting a group: equal values are counted first, then
+    by bucket of the group's range; only buckets that hold a wanted place are sorted, each by itself. A window has ``buckets``
+    rows or a bucket's distinct values."""
+    own = values.where(F.col(column).isNotNull()).groupBy(*by, column).agg(F.count("*").alias("c"))
+    ends = own.groupBy(*by).agg(F.min(column).alias("__lo"), F.max(column).alias("__hi"))
+    share = (F.col(column).cast("double") - F.col("__lo")) / (F.col("__hi").cast("double") - F.col("__lo"))
+    bucket = F.when(F.col("__hi") > F.col("__lo"), F.least(F.floor(share * buckets), F.lit(buckets - 1))).otherwise(F.lit(0)).cast("int")
+    own = own.join(ends, by).select(*by, column, "c", bucket.alias("bucket"))
+    group, along = Window.partitionBy(*by), Window.partitionBy(*by).orderBy("bucket")
+    sums = own.groupBy(*by, "bucket").agg(F.sum("c").alias("n")).withColumn("before", F.sum("n").over(along) - F.col("n")).withColumn("m", F.sum("n").over(group))
+    places = F.array(*(F.struct(F.lit(name).alias("name"), F.least(F.col("m") - 1, F.floor(F.lit(q) * F.col("m"))).alias("place")) for name, q in PERCENTILES))
+    wanted = sums.select(*by, "bucket", "n", "before", F.explode(places).alias("x")).where("x.place >= before AND x.place < before + n").select(*by, "bucket", "x.name", (F.col("x.place") - F.col("before")).alias("place"))
+    few = own.join(wanted.select(*by, "bucket").distinct(), [*by, "bucket"], "left_semi")
+    few = few.withColumn("upto", F.sum("c").over(Window.partitionBy(*by, "bucket").orderBy(column)))
+    return few.join(wanted, [*by, "bucket"]).where("upto > place").groupBy(*by).agg(*(F.min(F.when(F.col("name") == n, F.col(column))).alias(n) for n, _ in PERCENTILES))
+
+
+def latency_percentiles(requests: DataFrame, by: list[str], approximate: bool = False, buckets: int = 4096) -> DataFrame:
     """Per group: requests, share and mean latency of the good ones, and percentiles of these by nearest rank, which is
-    the value at place min(n - 1, floor(p * n)). ``approximate`` reads them off a sketch instead of a sort."""
+    the value at place min(n - 1, floor(p * n)); see nearest_ranks. ``approximate`` reads them off a sketch instead."""
     total = requests.groupBy(*by).agg(
         F.count("*").alias("n"), F.round(F.avg(F.col("ok").cast("double")), 6).alias("ok_rate"),
         F.round(F.avg(F.when(F.col("ok") == 1, F.col("latency"))), 6).alias("mean_latency"), F.max(F.when(F.col("ok") == 0, F.col("at_s"))).alias("last_error_at"),
@@ -126,12 +144,7 @@ def latency_percentiles(requests: DataFrame, by: list[str], approximate: bool =
     if approximate:
         p = good.groupBy(*by).agg(*(F.percentile_approx("latency", q, 10000).alias(n) for n, q in PERCENTILES))
     else:
-        # equal latencies are counted before the sort, so that a window holds distinct values only
-        values = good.groupBy(*by, "latency").agg(F.count("*").alias("c"))
-        w = Window.partitionBy(*by).orderBy("latency")
-        ranked = values.withColumn("upto", F.sum("c").over(w)).withColumn("m", F.sum("c").over(Window.partitionBy(*by)))
-        at = {n: F.least(F.col("m") - 1, F.floor(F.lit(q) * F.col("m"))) for n, q in PERCENTILES}
-        p = ranked.groupBy(*by).agg(*(F.min(F.when(F.col("upto") > at[n], F.col("latency"))).alias(n) for n, _ in PERCENTILES))
+        p = nearest_ranks(good.select(*by, "latency"), by, "latency", buckets)
     return total.join(p, by, "left")
 
 

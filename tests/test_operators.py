@@ -432,3 +432,15 @@ def test_ledger_repeats_removals_and_returns(spark, tmp_path):
 
     assert [post(k) for k in range(5)] == want
     assert [post(k) for k in (4, 1, 3, 0)] == [want[-1]] * 4  # batches that run again, after later ones too
+
+
+@pytest.mark.parametrize("buckets", [1, 2, 7, 4096])
+def test_percentiles_by_buckets_are_exact(spark, buckets):
+    rnd = random.Random(9)
+    own = [(g, v, 1, 0) for g, n, draw in (("one", 1, lambda: 3.5), ("tied", 50, lambda: 2.0), ("few", 7, lambda: rnd.choice([1.0, 2.0])), ("wide", 300, lambda: rnd.choice([rnd.random(), 1e9, -5.0])), ("many", 999, lambda: rnd.gauss(10, 3))) for v in (draw() for _ in range(n))]
+    own += [("bad", 1.0, 0, 5)]
+    df = spark.createDataFrame(own, "g string, latency double, ok int, at_s long")
+    got = {r.g: (r.p50, r.p90, r.p95, r.p99) for r in aggregates.latency_percentiles(df, ["g"], buckets=buckets).collect()}
+    for g in {x[0] for x in own}:
+        v = sorted(x[1] for x in own if x[0] == g and x[2])
+        assert got[g] == tuple(v[min(len(v) - 1, int(q * len(v)))] if v else None for q in (0.5, 0.9, 0.95, 0.99))
