@@ -557,3 +557,13 @@ register("ledger_totals", counted, """
 WITH d AS (SELECT *, row_number() OVER (PARTITION BY hash ORDER BY seq) AS n FROM {deliveries}),
 o AS (SELECT number, hash, coalesce(min(number) OVER (ORDER BY seq ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) <= number, FALSE) AS orphaned FROM d WHERE n = 1)
 SELECT CAST(1 AS BIGINT) AS chain_id, CAST(number % 7 AS BIGINT) AS kind, count(*) AS n FROM o WHERE NOT orphaned GROUP BY number % 7""")
+
+
+def observed(f: Fixtures) -> DataFrame:
+    """Rows by chain and family, as they were counted while they were written."""
+    return store.write_observed({"logs": f.logs, "transactions": f.tx, "blocks": f.blocks}, f"{scratch(f.spark)}/{uuid.uuid4().hex}", [1, 2, 3, 4, 5, 6])
+
+
+register("write_observed", observed, """
+SELECT CAST(c.chain_id AS BIGINT) AS chain_id, (SELECT count(*) FROM {logs} l WHERE l.chain_id = c.chain_id) AS logs_rows, (SELECT count(*) FROM {tx} t WHERE t.chain_id = c.chain_id) AS transactions_rows,
+       (SELECT count(*) FROM {blocks} b WHERE b.chain_id = c.chain_id) AS blocks_rows FROM (SELECT unnest(range(1, 7)) AS chain_id) c""")

@@ -142,3 +142,13 @@ def test_a_hot_child_is_split(spark, monkeypatch, tmp_path):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_rows_are_counted_while_they_are_written(spark, tmp_path):
+    from chainframe.sources import store
+
+    got = store.write_observed({"logs": made(spark), "few": made(spark, [2], range(5))}, str(tmp_path / "w"), [1, 2, 3, 9])
+    assert rows(got, *got.columns) == [(1, 60, 0), (2, 60, 5), (3, 60, 0), (9, 0, 0)]
+    assert spark.read.parquet(str(tmp_path / "w" / "logs")).count() == 180
+    with pytest.raises(Exception, match="unknown chain 3"):
+        store.write_observed({"logs": made(spark)}, str(tmp_path / "x"), [1, 2])
