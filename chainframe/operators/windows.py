@@ -37,9 +37,17 @@ def coalesce_intervals(intervals: DataFrame, span: int = SPAN) -> DataFrame:
 
     Two levels, so that a fragment of any length is many tasks: ranges are merged by the ``span`` blocks that they begin in,
     knowing how far earlier spans reach. What of a span goes on with what was before, and the last range of each span, are
-    then merged along the fragment, two rows a span.
+    then merged along the fragment, two rows a span. Where all ranges begin in one span, which a look at their least and
+    greatest start tells, the first level is all there is.
     """
     s = intervals.where("lo < hi").select("fragment_id", "lo", "hi", F.floor(F.col("lo") / span).alias("span"))
+    ends = s.agg(F.min("span").alias("a"), F.max("span").alias("b")).first()
+    if ends["a"] == ends["b"]:
+        order = Window.partitionBy("fragment_id").orderBy("lo", "hi")
+        before = F.max("hi").over(order.rowsBetween(Window.unboundedPreceding, -1))
+        own = s.withColumn("new", F.when(before.isNull() | (F.col("lo") > before), 1).otherwise(0))
+        own = own.withColumn("island", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+        return own.groupBy("fragment_id", "island").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).drop("island")
     earlier = Window.partitionBy("fragment_id").orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
     carried = s.groupBy("fragment_id", "span").agg(F.max("hi").alias("top")).withColumn("carried", F.max("top").over(earlier)).drop("top")
     inside = Window.partitionBy("fragment_id", "span").orderBy("lo", "hi")
