@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from chainframe.functions.encodings import child_at, log_topic
 from chainframe.operators.filters import child_logs, match_logs_factory, prepared
+from chainframe.scratch import settled
 
 BLOCK, TX = ["chain_id", "block_number"], ["chain_id", "block_number", "transaction_index"]
 
@@ -50,29 +51,39 @@ def root_gas_override(frames: DataFrame, txs: DataFrame) -> DataFrame:
     return j.select(*(gas.alias("gas") if c == "gas" else F.col(c) for c in frames.columns))
 
 
-def cascade_errors(frames: DataFrame) -> DataFrame:
+def cascade_errors(frames: DataFrame, step: int = 8) -> DataFrame:
     """Frames (chain_id, block_number, transaction_index, path, error, reason) with errors inherited down the tree.
 
     A frame without an error takes its nearest ancestor's, and the reason with it, if all frames between are present; its
-    own error wins. Only transactions with an error are expanded to their frames' ancestors.
+    own error wins. Only transactions with an error are looked into. A frame is joined with its ``step`` nearest ancestors
+    at most; one that they don't settle points to the farthest of them, and pointers are doubled until none is left. So a
+    tree of any depth costs ``step`` rows a frame, and a join for each doubling of its depth beyond that.
     """
     failing = frames.where("error IS NOT NULL").select(*TX).distinct()
-    inside = frames.join(failing, TX, "left_semi").select(*frames.columns)
+    inside = settled(frames.join(failing, TX, "left_semi").select(*TX, "path", "error", "reason"))
     depth = F.size("path")
     ancestors = (
         inside.where("error IS NULL AND size(path) > 0")
-        .select(*TX, F.col("path").alias("frame"), F.explode(F.sequence(F.lit(0), depth - 1)).alias("depth"))
+        .select(*TX, F.col("path").alias("frame"), F.explode(F.sequence(F.greatest(depth - step, F.lit(0)), depth - 1)).alias("depth"))
         .withColumn("path", F.slice("frame", 1, F.col("depth")))
     )
     known = inside.select(*TX, "path", F.col("error").alias("a_error"), F.col("reason").alias("a_reason"), F.lit(True).alias("present"))
-    seen = ancestors.join(known, [*TX, "path"], "left")
-    nearest = seen.groupBy(*TX, "frame").agg(
+    nearest = ancestors.join(known, [*TX, "path"], "left").groupBy(*TX, "frame").agg(
         F.max(F.when(F.col("a_error").isNotNull(), F.struct("depth", "a_error", "a_reason"))).alias("found"),
         F.max(F.when(F.col("present").isNull(), F.col("depth"))).alias("hole"),
     )
-    inherited = nearest.where("found IS NOT NULL AND (hole IS NULL OR hole < found.depth)").select(
-        *TX, F.col("frame").alias("path"), F.col("found.a_error").alias("i_error"), F.col("found.a_reason").alias("i_reason")
+    reached = F.col("found").isNotNull() & (F.col("hole").isNull() | (F.col("hole") < F.col("found.depth")))
+    above = F.when(F.col("found").isNull() & F.col("hole").isNull() & (F.size("frame") > step), F.slice("frame", 1, F.size("frame") - step))
+    state = nearest.select(
+        *TX, "frame", F.when(reached, F.col("found.a_error")).alias("i_error"), F.when(reached, F.col("found.a_reason")).alias("i_reason"), above.alias("up")
     )
+    state = settled(state)
+    while not state.where("up IS NOT NULL").isEmpty():
+        said = state.select(*TX, F.col("frame").alias("up"), F.col("i_error").alias("u_error"), F.col("i_reason").alias("u_reason"), F.col("up").alias("u_up"))
+        moved = state.where("up IS NOT NULL").join(said, [*TX, "up"], "left")
+        moved = moved.select(*TX, "frame", F.col("u_error").alias("i_error"), F.col("u_reason").alias("i_reason"), F.col("u_up").alias("up"))
+        state = settled(state.where("up IS NULL").unionByName(moved))
+    inherited = state.where("i_error IS NOT NULL").select(*TX, F.col("frame").alias("path"), "i_error", "i_reason")
     j = frames.join(inherited, [*TX, "path"], "left")
     own = F.col("error").isNotNull()
     new = {"error": F.coalesce("error", "i_error"), "reason": F.when(own, F.col("reason")).otherwise(F.coalesce("i_reason", "reason"))}

@@ -57,6 +57,39 @@ def test_cascade_errors_equals_a_walk(spark):
     assert {tuple(r.path): r.error for r in got} == {p: walk(p) for p in kept}
 
 
+@pytest.mark.parametrize("step", [1, 3, 8])
+def test_cascade_errors_in_deep_trees(spark, step):
+    rnd = random.Random(step)
+    paths = {(): None}
+    for root in range(6):  # chains of many depths, with twigs, holes and errors
+        p = (root,)
+        for _ in range(rnd.choice([5, 9, 17, 64, 200])):
+            paths[p] = None
+            if rnd.random() < 0.2:
+                paths[(*p, 7)] = None
+            p = (*p, rnd.randrange(2))
+    kept = [p for p in paths if len(p) < 3 or rnd.random() < 0.985]
+    errors = {p: f"e{i}" for i, p in enumerate(kept) if len(p) and rnd.random() < 0.02}
+
+    def walk(p):
+        while p in kept:
+            if p in errors or not p:
+                return errors.get(p)
+            p = p[:-1]
+
+    rows = [(list(p), errors.get(p), None) for p in kept]
+    got = joins.cascade_errors(tree(spark, rows), step).collect()
+    assert {tuple(r.path): r.error for r in got} == {p: walk(p) for p in kept} and len(got) == len(kept)
+
+
+def test_an_error_at_the_top_reaches_a_depth_of_a_thousand(spark):
+    rows = [([0] * k, "top" if k == 0 else None, "why" if k == 0 else None) for k in range(1001)]
+    got = joins.cascade_errors(tree(spark, rows)).collect()
+    assert len(got) == 1001 and {(r.error, r.reason) for r in got} == {("top", "why")}
+    broken = joins.cascade_errors(tree(spark, [r for r in rows if len(r[0]) != 500])).collect()
+    assert {len(r.path) for r in broken if r.error} == set(range(500))
+
+
 def test_rank_is_preorder(spark):
     paths = [[], [0], [0, 0], [0, 1], [1], [1, 0, 0], [10], [2]]
     got = win.rank_traces(tree(spark, [(p, None, None) for p in random.Random(1).sample(paths, len(paths))])).orderBy("trace_index").collect()
