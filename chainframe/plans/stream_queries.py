@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from chainframe.fixtures import Fixtures
 from chainframe.plans.match_queries import CHILDREN, LOG, as_contract, factories
 from chainframe.plans.registry import register
-from chainframe.scratch import scratch
 from chainframe.plans.summary_queries import CANONICAL
-from chainframe.streaming import reconcile, sinks
+from chainframe.scratch import scratch
+from chainframe.sources.manifest import Store
+from chainframe.streaming import block_source, reconcile, sinks
 
 LOG_SCHEMA = "chain_id bigint, seq bigint, place int, event string, number bigint, hash string"
 
@@ -64,6 +65,23 @@ def stream_blocks(f: Fixtures) -> DataFrame:
 
 register("stream_blocks", stream_blocks, "SELECT seq, number, hash FROM {deliveries} WHERE number > 50 AND number <= 700")
 
+def resumed(f: Fixtures) -> DataFrame:
+    """Logs of a store that grows between two runs of one query, each chain resumed at its own last block; chain 1 is known
+    up to block 20."""
+    base = folder(f)
+    schema = "chain_id long, block_number long, log_index long, address string, topic0 string"
+    store = Store(f.spark, f"{base}/store", schema, LOG)
+    logs = f.logs.select(F.col("chain_id").cast("long").alias("chain_id"), *LOG[1:], "address", "topic0")
+    for name, part in (("a", logs.where("block_number <= 40 + chain_id * 10")), ("b", logs.where("block_number > 40 + chain_id * 10"))):
+        store.append(part, name)
+        stream = block_source.stream_store(f.spark, f"{base}/store", schema, after={1: 20})
+        sinks.run_available(stream, lambda df, i: sinks.write_batch(df, i, f"{base}/out"), f"{base}/checkpoint")
+    return sinks.log_of(f.spark, f"{base}/out", schema).select(*LOG, "address", "batch_id")
+
+
+register("stream_store", resumed, """
+SELECT chain_id, block_number, log_index, address, CASE WHEN block_number <= 40 + chain_id * 10 THEN 0 ELSE 1 END AS batch_id FROM {logs} WHERE chain_id <> 1 OR block_number > 20""")
+
 LIVE = f"SELECT {CHAIN.format('number')} AS chain_id, number, hash FROM ({CANONICAL}) c WHERE NOT orphaned"
 register("stream_reconcile", lambda f: sinks.live_blocks(reconciled(f, items(f))).select("chain_id", "number", "hash"), LIVE)
 
