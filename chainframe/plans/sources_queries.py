@@ -13,9 +13,10 @@ from chainframe.functions import scalars
 from chainframe.operators.windows import reorg_resolve
 from chainframe.plans.registry import register
 from chainframe.scratch import scratch
-from chainframe.sources.manifest import Store
 from chainframe.sources import blocks as src
 from chainframe.sources import store
+from chainframe.sources.backfill import Backfill
+from chainframe.sources.manifest import Store
 
 TX = ["chain_id", "block_number", "transaction_index"]
 
@@ -567,3 +568,23 @@ def observed(f: Fixtures) -> DataFrame:
 register("write_observed", observed, """
 SELECT CAST(c.chain_id AS BIGINT) AS chain_id, (SELECT count(*) FROM {logs} l WHERE l.chain_id = c.chain_id) AS logs_rows, (SELECT count(*) FROM {tx} t WHERE t.chain_id = c.chain_id) AS transactions_rows,
        (SELECT count(*) FROM {blocks} b WHERE b.chain_id = c.chain_id) AS blocks_rows FROM (SELECT unnest(range(1, 7)) AS chain_id) c""")
+
+
+def backfilled(f: Fixtures) -> DataFrame:
+    """Logs of one event from a store of all logs, in three batches of which each wants more than what is missing."""
+    base = f"{scratch(f.spark)}/{uuid.uuid4().hex}"
+    schema = "chain_id long, block_number long, log_index long, topic0 string, event_code string"
+    key = ["chain_id", "block_number", "log_index"]
+    source, into = Store(f.spark, f"{base}/all", schema, key, width=50), Store(f.spark, f"{base}/own", schema, key, width=50)
+    source.append(f.logs, "all")
+    job = Backfill(into, source, "RF", lambda rows: rows.where("event_code = 'RF'"))
+    out = []
+    for batch, (lo, hi) in enumerate(((30, 60), (10, 40), (0, 120))):
+        wanted = f.heads.select(F.col("chain_id").cast("long").alias("chain_id"), F.lit(lo).cast("long").alias("want_lo"), (F.lit(hi) + F.col("chain_id")).cast("long").alias("want_hi"))
+        out.append(job.fill(wanted, str(batch)).select(*key, F.lit(batch).alias("batch")))
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
+register("backfill", backfilled, """
+SELECT chain_id, block_number, log_index, CASE WHEN block_number >= 30 AND block_number < 60 + chain_id THEN 0 WHEN block_number >= 10 AND block_number < 40 + chain_id THEN 1 ELSE 2 END AS batch
+FROM {logs} WHERE event_code = 'RF' AND block_number < 120 + chain_id""")

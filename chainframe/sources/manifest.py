@@ -22,6 +22,12 @@ PARTITION = ["chain_id", "block_bucket"]
 MANIFEST = "chain_id bigint, block_bucket bigint, n_rows bigint"
 
 
+def batch_name(name: str) -> str:
+    if not re.fullmatch(r"[A-Za-z0-9_.-]+", name):
+        raise ValueError(f"a batch's name has letters, digits, _ . and - only: {name}")
+    return name
+
+
 class Store:
     """The table of ``schema`` (with chain_id and block_number) at ``path``; ``keys`` tell its rows apart."""
 
@@ -71,8 +77,7 @@ class Store:
     def append(self, df: DataFrame, batch: str, order: list[str] | None = None) -> DataFrame:
         """Add what the store lacks of ``df`` as ``batch``, and return those rows. A batch that is there already is left
         alone; one that failed before its manifest was written is written anew."""
-        if not re.fullmatch(r"[A-Za-z0-9_.-]+", batch):
-            raise ValueError(f"a batch's name has letters, digits, _ . and - only: {batch}")
+        batch_name(batch)
         folder, said = f"{self.path}/batch={batch}", f"{self.path}/manifest/batch={batch}"
         if batch in self.batches():
             return self._of([batch])

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from chainframe.operators import filters
 from chainframe.sources import blocks as src
+from chainframe.sources.backfill import Backfill
 from chainframe.sources.manifest import Store
 
 LOGS = "chain_id long, block_number long, log_index long, address string, topic0 string"
@@ -152,3 +153,41 @@ def test_rows_are_counted_while_they_are_written(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "w" / "logs")).count() == 180
     with pytest.raises(Exception, match="unknown chain 3"):
         store.write_observed({"logs": made(spark)}, str(tmp_path / "x"), [1, 2])
+
+
+def want(spark, *ranges):
+    return spark.createDataFrame(list(ranges), "chain_id long, want_lo long, want_hi long")
+
+
+def test_backfill_reads_what_is_missing_and_no_more(spark, tmp_path):
+    source, into = (Store(spark, str(tmp_path / n), LOGS, KEYS, width=10) for n in ("all", "own"))
+    source.append(made(spark), "all")
+    job = Backfill(into, source, "t1", lambda df: df.where("topic0 = 't1'"))
+    assert rows(job.fill(want(spark, (1, 15, 35), (2, 0, 10)), "a")) == [(1, n, 0) for n in range(16, 35, 3)] + [(2, n, 0) for n in range(1, 10, 3)]
+    assert rows(job.covered(), "chain_id", "lo", "hi") == [(1, 15, 35), (2, 0, 10)]
+    for bucket in tmp_path.glob("all/batch=all/chain_id=1/block_bucket=2/*.parquet"):  # read already, and unreadable since
+        bucket.write_bytes(b"broken")
+    got = job.fill(want(spark, (1, 10, 45), (2, 5, 8), (3, 55, 90)), "b")
+    assert rows(got) == [(1, n, 0) for n in (10, 13, 37, 40, 43)] + [(3, n, 0) for n in (55, 58)]
+    assert rows(job.covered(), "chain_id", "lo", "hi") == [(1, 10, 45), (2, 0, 10), (3, 55, 90)]
+    assert job.missing(want(spark, (1, 10, 45), (3, 55, 90))).collect() == [] and job.fill(want(spark, (1, 10, 45)), "c").collect() == []
+    other = Backfill(into, source, "all", lambda df: df)  # another spec has read nothing; rows of both count once
+    assert other.fill(want(spark, (2, 0, 10)), "a").count() == 7 and into.read().where("chain_id = 2").count() == 10
+    with pytest.raises(ValueError, match="name"):
+        job.fill(want(spark, (1, 0, 1)), "../x")
+
+
+def test_a_backfill_that_failed_runs_again_by_its_plan(spark, tmp_path):
+    source, into = (Store(spark, str(tmp_path / n), LOGS, KEYS, width=10) for n in ("all", "own"))
+    source.append(made(spark, [1]), "all")
+    broken = F.when(F.col("block_number") == 33, F.raise_error(F.lit("broken")).cast("string")).otherwise(F.col("address"))
+    with pytest.raises(Exception, match="broken"):
+        Backfill(into, source, "s", lambda df: df.withColumn("address", broken)).fill(want(spark, (1, 0, 40)), "a")
+    job = Backfill(into, source, "s", lambda df: df)
+    assert job.covered().collect() == [] and into.read().collect() == []
+    assert job.fill(want(spark, (1, 0, 20)), "a").count() == 20  # nothing of the first attempt was seen, so it is planned anew
+    assert rows(job.covered(), "lo", "hi") == [(0, 20)]
+    spark.createDataFrame([(1, 20, 30)], "chain_id long, lo long, hi long").write.parquet(f"{job.folder}/planned/batch=b")
+    into.append(source.read().where("block_number BETWEEN 20 AND 29"), "s-b")  # cut off before its coverage was written
+    assert job.fill(want(spark, (1, 0, 60)), "b").count() == 10 and rows(job.covered(), "lo", "hi") == [(0, 30)]
+    assert job.fill(want(spark, (1, 0, 60)), "c").count() == 30
