@@ -722,3 +722,39 @@ def test_exact_dedup_runs_a_batch_again(spark, monkeypatch):
     for _ in range(2):
         assert [(r[0], r[1], r[3]) for r in result(three, "three")] == want
     assert index.known().count() == index.known().select("digest").distinct().count() == 5
+
+
+def test_digest_index_has_one_sorted_file_a_bucket_and_few_since(spark):
+    index = exactdedup.new_index(spark)
+    index.buckets, index.every = 4, 3
+    index.path, index.table = index.path + "-small", index.table + "_small"
+    index._open()
+    schema, kept, first = "doc_id long, text string", set(), {}
+    for k in range(10):  # each batch has twenty texts of its own, ten of earlier batches, and one twice
+        ids = [*range(k * 100, k * 100 + 20), *(k * 100 + 20 + j for j in range(11))]
+        texts = [f"w{k}-{j}" for j in range(20)] + [f"w{max(k - 1 - j % 3, 0)}-{j}" for j in range(10)] + [f"w{k}-0 "]
+        for i, t in zip(ids, texts):
+            first.setdefault(t, i)
+        got = {r.doc_id: r for r in exactdedup.dedup(spark.createDataFrame(list(zip(ids, texts)), schema), index, f"b{k}").collect()}
+        kept |= {i for i, r in got.items() if r.kept}
+        files = [len(spark.table(t).inputFiles()) for t in (index.base, index.recent) if t]
+        assert files[-1] < 3 * 4 and files[:-1] in ([], [4])
+        if k in (2, 5):  # what was found before a new generation is found after it, whichever batch asks
+            again = exactdedup.dedup(spark.createDataFrame(list(zip(ids, texts)), schema), index, f"b{k}").collect()
+            assert {(r.doc_id, r.keep_id, r.kept) for r in again} == {(r.doc_id, r.keep_id, r.kept) for r in got.values()}
+    assert index.generation == 3 and index.known().count() == index.known().select("digest").distinct().count() == 200
+    assert len(kept) == 200 and len({i // 100 for i in kept}) == 10
+    # the base is joined as its files are; without their order it would be sorted
+    found = exactdedup.materialize(exactdedup.winners(exactdedup.materialize(exactdedup.digests(spark.createDataFrame([(1, "w3-1"), (2, "x")], schema)))))
+
+    def above_base():
+        lines = index.unseen(found, "other")._jdf.queryExecution().executedPlan().toString().splitlines()
+        at = next(i for i, line in enumerate(lines) if "FileScan" in line and index.base in line)
+        join = next(i for i in range(at, -1, -1) if "SortMergeJoin" in lines[i])
+        return " ".join(lines[join + 1 : at]).rsplit("FileScan", 1)[-1]
+
+    assert "Sort" in above_base()
+    with exactdedup.ordered_scans(spark):
+        assert "Sort" not in above_base() and "Exchange" not in above_base()
+    other = exactdedup.DigestIndex(spark, f"{index.table}_again", index.path, 4, 3)
+    assert other.generation == 3 and [r.kept for r in exactdedup.dedup(spark.createDataFrame([(5000, "w7-3")], schema), other, "z").collect()] == [False]
