@@ -45,7 +45,7 @@ def log_of(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], f"{schema}, batch_id bigint")
 
 
-#: Batches after which what a log says so far is written as one table.
+#: Batches after which what they say is written as one table; so many tables of one size are merged into the next.
 COMPACT = 20
 
 
@@ -61,17 +61,42 @@ def _batches(spark: SparkSession, path: str, schema: str, ids: range) -> DataFra
         return log_of(spark, path, schema).where(F.col("batch_id").between(ids[0], ids[-1])).drop("batch_id")
 
 
+def _span(end: int, every: int) -> int:
+    """Batches in the table that the batch before ``end`` wrote: the highest power of ``every`` that divides ``end``."""
+    span = every
+    while every > 1 and end % (span * every) == 0:
+        span *= every
+    return span
+
+
+def _said(spark: SparkSession, path: str, schema: str, start: int, end: int, every: int) -> DataFrame:
+    """Rows of the batches from ``start`` up to ``end``, from as few tables as hold them and the batches since the last."""
+    top = max(start, end // every * every)
+    out, tables, at = _batches(spark, path, schema, range(top, end)), [], top
+    while at > start:
+        tables.append(f"{path}-whole/{at - 1}")
+        at -= _span(at, every)
+    return spark.read.schema(schema).parquet(*tables).unionByName(out) if tables else out
+
+
 def state_before(spark: SparkSession, path: str, schema: str, batch_id: int, every: int = COMPACT) -> DataFrame:
-    """What the log says before a batch: the last whole table, and the batches since; at most ``every`` of these are read."""
-    last = batch_id // every * every - 1
-    since = _batches(spark, path, schema, range(last + 1, batch_id))
-    return since if last < 0 else spark.read.schema(schema).parquet(f"{path}-whole/{last}").unionByName(since)
+    """What the log says before a batch: tables of powers of ``every`` batches, and the batches since; fewer than ``every`` of
+    each size are read. A key may be in several of them."""
+    return _said(spark, path, schema, 0, batch_id, every)
 
 
-def compact(whole: DataFrame, batch_id: int, path: str, every: int = COMPACT) -> None:
-    """Write what the log says, this batch included, if it is this batch's turn. A batch that runs again writes the same."""
-    if batch_id % every == every - 1:
-        whole.write.mode("overwrite").parquet(f"{path}-whole/{batch_id}")
+def compact(spark: SparkSession, path: str, schema: str, batch_id: int, merged: Callable[[DataFrame], DataFrame], every: int = COMPACT) -> None:
+    """Write what the batches since the last table of this size say as one table, ``merged``, if it is this batch's turn. A row
+    is written again once for each power of ``every``, however long the log gets. A batch that runs again writes the same."""
+    end = batch_id + 1
+    if end % every:
+        return
+    span = _span(end, every)
+    if span == every:
+        own = _batches(spark, path, schema, range(end - span, end))
+    else:  # what is merged are tables of the next smaller size; the last of them is made of this batch, too
+        own = _said(spark, path, schema, end - span, end - every, every).unionByName(_batches(spark, path, schema, range(end - every, end)))
+    merged(own).write.mode("overwrite").parquet(f"{path}-whole/{batch_id}")
 
 
 def recorded(batch: Callable[[DataFrame, int], None], path: str) -> Callable[[DataFrame, int], None]:
@@ -106,15 +131,12 @@ def run_available(stream: DataFrame, batch: Callable[[DataFrame, int], None], ch
 
 
 def stream_rollback(path: str, every: int = COMPACT) -> Callable[[DataFrame, int], None]:
-    """Sink of reconciled events: appends and removals of blocks. Each ``every`` batches the last words so far are written as
-    one table. Read it with rolled and live_blocks."""
+    """Sink of reconciled events: appends and removals of blocks. Each ``every`` batches their last words are written as one
+    table, and ``every`` of these as a larger one. Read it with rolled and live_blocks."""
 
     def batch(df: DataFrame, batch_id: int) -> None:
         write_batch(df.where(F.col("event").isin("append", "remove")).select(*(F.col(c) for c in ROLLED_COLUMNS)), batch_id, path)
-        if batch_id % every == every - 1:
-            spark = df.sparkSession
-            mine = spark.read.schema(ROLLED).parquet(f"{path}/batch_id={batch_id}")
-            compact(last_words(state_before(spark, path, ROLLED, batch_id, every).unionByName(mine)), batch_id, path, every)
+        compact(df.sparkSession, path, ROLLED, batch_id, last_words, every)
 
     return batch
 
@@ -130,7 +152,7 @@ def last_words(log: DataFrame) -> DataFrame:
 
 
 def rolled(spark: SparkSession, path: str, every: int = COMPACT) -> DataFrame:
-    """What stream_rollback's log says so far: its last whole table, and the batches since."""
+    """What stream_rollback's log says so far: its whole tables, and the batches since."""
     newest = log_of(spark, path, ROLLED).agg(F.max("batch_id")).first()[0]
     return state_before(spark, path, ROLLED, 0 if newest is None else newest + 1, every)
 
@@ -157,14 +179,17 @@ def stream_children(factories: DataFrame, children_path: str, logs_path: str, lo
     is read from a compacted table and the batches since."""
     schema, keys = "chain_id bigint, child string, created_block bigint", ["chain_id", "child"]
 
+    def least(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*keys).agg(F.min("created_block").alias("created_block"))
+
     def batch(df: DataFrame, batch_id: int) -> None:
         df = df.persist()
-        own = discover_children(df, factories, location).groupBy(*keys).agg(F.min("created_block").alias("created_block"))
+        own = least(discover_children(df, factories, location))
         write_batch(own.select(F.col("chain_id").cast("bigint"), "child", F.col("created_block").cast("bigint")), batch_id, children_path)
         mine = df.sparkSession.read.schema(schema).parquet(f"{children_path}/batch_id={batch_id}")
-        known = state_before(df.sparkSession, children_path, schema, batch_id, every).unionByName(mine).groupBy(*keys).agg(F.min("created_block").alias("created_block"))
+        known = least(state_before(df.sparkSession, children_path, schema, batch_id, every).unionByName(mine))
         write_batch(child_logs(df, known), batch_id, logs_path)
-        compact(known, batch_id, children_path, every)
+        compact(df.sparkSession, children_path, schema, batch_id, least, every)
         df.unpersist()
 
     return batch
@@ -192,8 +217,7 @@ def stream_finalized_children(path: str, every: int = COMPACT) -> Callable[[Data
         spark = df.sparkSession
         stored = state_before(spark, path, schema, batch_id, every)
         write_batch(dedupe_children_least(df, stored), batch_id, path)
-        mine = spark.read.schema(schema).parquet(f"{path}/batch_id={batch_id}")
-        compact(stored.unionByName(mine).groupBy("factory", "chain_id", "address").agg(F.min("created_block").alias("created_block")), batch_id, path, every)
+        compact(spark, path, schema, batch_id, lambda rows: rows.groupBy("factory", "chain_id", "address").agg(F.min("created_block").alias("created_block")), every)
 
     return batch
 
