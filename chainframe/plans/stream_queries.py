@@ -43,7 +43,7 @@ def items(f: Fixtures) -> DataFrame:
 def written_items(f: Fixtures, rows: DataFrame, base: str) -> DataFrame:
     """A stream of ``rows``, which are written first."""
     reconcile.use_rocksdb(f.spark)
-    reconcile.ordered_items(rows, f"{base}/in")
+    reconcile.ordered_items(rows, f"{base}/in", together=True)
     return sinks.stream_blocks(f.spark, f"{base}/in", reconcile.ITEM, files_per_batch=reconcile.BATCH_FILES)
 
 

@@ -1,12 +1,13 @@
 """Live headers: reorganisations, finality and stalls in one stateful processor per chain.
 
-State is headers only: the unfinalised ones, by number, and a few facts, such as the anchor below them and the tip. A batch
-reads the headers that it meets and writes those that it adds; it neither loads nor rewrites the window. Rows of a
-micro-batch are sorted by delivery; a header that doesn't attach is a gap, which is an error row, never a silent reset.
+State is headers only: the unfinalised ones, by number in chunks of CHUNK, as each look into the state is a message to the
+JVM, and a few facts, such as the anchor below them and the tip. A batch reads the chunks that it meets and writes those that
+it adds to; it neither loads nor rewrites the window. Rows of a micro-batch are sorted by delivery; a header that doesn't attach is a gap, which is an error row, never a silent reset.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -25,6 +26,8 @@ OUT = ["chain_id", "seq", "place", "event", "number", "hash"]
 FAULTS = ("gap", "conflict", "expired", "overflow", "stalled")
 #: Events that are gathered before they are passed on; items in a file, and files in a micro-batch.
 OUT_ROWS, FILE_ROWS, BATCH_FILES = 10_000, 20_000, 32
+#: Numbers of headers that are stored together.
+CHUNK = 256
 FACTS = ("anchor_number", "anchor_hash", "tip_number", "tip_hash", "deferred_number", "deferred_hash", "deferred_at", "first_head", "last_head", "highest", "delivered_at")
 _FACTS = ", ".join(f"{n} {'string' if n.endswith('hash') else 'bigint'}" for n in FACTS)
 
@@ -140,11 +143,33 @@ class Reconciler(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.headers = handle.getMapState("headers", "number bigint", "hash string")
+        self.headers = handle.getMapState("chunks", "chunk bigint", "hashes string")
         self.facts = handle.getValueState("facts", _FACTS)
 
     def _state(self) -> ChainState:
-        return ChainState(self.facts.get() if self.facts.exists() else None, lambda n: self.headers.getValue((n,))[0], **self.limits)
+        self.chunks: dict[int, dict[str, str]] = {}
+        return ChainState(self.facts.get() if self.facts.exists() else None, lambda n: self._chunk(n // CHUNK)[str(n)], **self.limits)
+
+    def _chunk(self, k: int) -> dict[str, str]:
+        """A stored chunk: hashes by their numbers as text. It may hold numbers that have gone since."""
+        if k not in self.chunks:
+            self.chunks[k] = json.loads(self.headers.getValue((k,))[0])
+        return self.chunks[k]
+
+    def _store(self, state: ChainState) -> None:
+        """Write chunks that got headers, and drop those of which none is left."""
+        had = range(state.stored.start // CHUNK, (state.stored.stop - 1) // CHUNK + 1) if state.stored else range(0)
+        added: dict[int, dict[str, str]] = {}
+        for number, own in state.added():
+            added.setdefault(number // CHUNK, {})[str(number)] = own
+        for k, new in added.items():
+            old = self._chunk(k) if k in had else {}
+            both = {n: h for n, h in (old | new).items() if state.anchor_number < int(n) <= state.tip_number}
+            if k not in had or any(old.get(n) != h for n, h in new.items()):
+                self.headers.updateValue((k,), (json.dumps(both),))
+        for k in had:
+            if state.tip_number <= state.anchor_number or not (state.anchor_number + 1) // CHUNK <= k <= state.tip_number // CHUNK:
+                self.headers.removeKey((k,))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         items = pd.concat(list(rows)).sort_values("seq", kind="stable")  # a micro-batch is bounded: see ordered_items
@@ -156,10 +181,7 @@ class Reconciler(StatefulProcessor):
             if len(out) >= OUT_ROWS:
                 yield pd.DataFrame(out, columns=OUT)
                 out = []
-        for number in state.gone():
-            self.headers.removeKey((number,))
-        for number, own in state.added():
-            self.headers.updateValue((number,), (own,))
+        self._store(state)
         self.facts.update(tuple(None if v is None else v if isinstance(v, str) else int(v) for v in state.facts()))
         self._watch(state, timerValues)
         yield pd.DataFrame(out, columns=OUT)
@@ -190,11 +212,16 @@ def use_rocksdb(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
-def ordered_items(items: DataFrame, path: str, most: int = FILE_ROWS) -> None:
+def ordered_items(items: DataFrame, path: str, most: int = FILE_ROWS, together: bool = False) -> None:
     """Write ``items``, each chain on its own by seq in files of ``most`` rows. A task writes a chain's files one after another,
     as the source reads files by their time, and chains are written side by side. Read with BATCH_FILES files a batch, chains
-    of any length need the memory of that many files, and a batch's chains are groups of their own. Sorting spills."""
-    items.repartition("chain_id").sortWithinPartitions("chain_id", "seq").write.option("maxRecordsPerFile", most).partitionBy("chain_id").parquet(path)
+    of any length need the memory of that many files, and a batch's chains are groups of their own. Sorting spills.
+
+    ``together`` is for many short chains: a file holds as many of them as fit, one after another, so that files, and
+    micro-batches of them, number as the rows ask and not as the chains do. A chain still is one task's, in its order.
+    """
+    out = items.repartition("chain_id").sortWithinPartitions("chain_id", "seq").write.option("maxRecordsPerFile", most)
+    (out if together else out.partitionBy("chain_id")).parquet(path)
 
 
 def stream_reconcile(items: DataFrame, fail: bool = True, timer: bool = False, stall_blocks: int = 16, stall_seconds: int = 600, defer_seconds: int = 600, most: int = 50_000) -> DataFrame:

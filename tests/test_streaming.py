@@ -248,3 +248,85 @@ def test_rollback_logs_are_compacted(spark, tmp_path):
     assert sorted(p.name for p in (tmp_path / "log-whole").iterdir()) == ["2", "5"]
     whole = spark.read.parquet(f"{path}-whole/5")
     assert whole.count() == whole.select("number").distinct().count() <= 6
+
+
+def test_short_chains_share_files_and_batches(spark, tmp_path):
+    rows = [(c, k, "block", k, f"h{c}-{k}", f"h{c}-{k - 1}", k) for c in range(1, 61) for k in range(1, 11)]
+    reconcile.ordered_items(spark.createDataFrame(rows[::-1], reconcile.ITEM).repartition(3), str(tmp_path / "in"), most=45, together=True)
+    files = list((tmp_path / "in").glob("*.parquet"))
+    assert len(files) <= 600 / 45 + 8  # not one for each of 60 chains
+    reconcile.use_rocksdb(spark)
+    stream = reconcile.stream_reconcile(sinks.stream_blocks(spark, str(tmp_path / "in"), reconcile.ITEM, files_per_batch=4))
+    sinks.run_available(stream, lambda df, i: sinks.write_batch(df, i, str(tmp_path / "log")), str(tmp_path / "checkpoint"))
+    got = sinks.log_of(spark, str(tmp_path / "log"), sinks.ROLLED).collect()
+    assert sorted((r.chain_id, r.number, r.event) for r in got) == [(c, k, "append") for c in range(1, 61) for k in range(1, 11)]
+    assert len({r.batch_id for r in got}) > 1  # chains that are cut by a file go on in their order
+
+
+def test_a_log_is_rewritten_by_powers_and_not_as_a_whole(spark, tmp_path):
+    sink, path = sinks.stream_rollback(str(tmp_path / "log"), every=2), str(tmp_path / "log")
+    for k in range(13):
+        rows = [(1, 10 * k, 0, "append", k, f"h{k}"), *([(1, 10 * k - 1, 0, "remove", k - 3, f"h{k - 3}")] if k % 4 == 3 else [])]
+        sink(spark.createDataFrame(rows, sinks.ROLLED), k)
+        gone = {j - 3 for j in range(3, k + 1, 4)}
+        assert {r.number for r in sinks.live_blocks(sinks.rolled(spark, path, every=2)).collect()} == set(range(k + 1)) - gone
+    numbers = {int(p.name): {r.number for r in spark.read.parquet(str(p)).collect()} for p in (tmp_path / "log-whole").iterdir()}
+    assert numbers == {1: {0, 1}, 3: {0, 1, 2, 3}, 5: {4, 5}, 7: set(range(8)), 9: {8, 9}, 11: {8, 9, 10, 11}}
+
+
+def test_headers_are_stored_in_chunks_at_any_cut(monkeypatch):
+    import pandas as pd
+
+    class Kept(dict):
+        calls = 0
+
+        def getValue(self, key):
+            Kept.calls += 1
+            return self[key]
+
+        def updateValue(self, key, value):
+            Kept.calls += 1
+            self[key] = value
+
+        def removeKey(self, key):
+            Kept.calls += 1
+            del self[key]
+
+    class Facts:
+        value = None
+
+        def exists(self):
+            return self.value is not None
+
+        def get(self):
+            return self.value
+
+        def update(self, value):
+            self.value = value
+
+    rnd, chain, rows = random.Random(4), [(0, "g")], []
+    for k in range(300):
+        chain = chain[: max(1, len(chain) - rnd.choice([0] * 6 + [1, 2, 9]))] if len(chain) > 22 else chain
+        n = chain[-1][0] + 1
+        rows.append((len(rows), "block", n, f"h{k}", chain[-1][1], k))
+        chain.append((n, f"h{k}"))
+        if rnd.random() < 0.05 and len(chain) > 20:
+            rows.append((len(rows), "final", chain[-15][0], chain[-15][1], None, k))
+    items = pd.DataFrame(rows, columns=["seq", "kind", "number", "hash", "parent_hash", "at_s"])
+
+    def events(chunk, size):
+        monkeypatch.setattr(reconcile, "CHUNK", chunk)
+        r = reconcile.Reconciler({})
+        r.headers, r.facts, out = Kept(), Facts(), []
+        for k in range(0, len(items), size):
+            out += [e for part in r.handleInputRows((1,), iter([items[k : k + size]]), None) for e in part[["seq", "place", "event", "number"]].itertuples(index=False, name=None)]
+            s = r._state()
+            live = [s.load(n) for n in s.stored]
+            assert len(live) == len(s.stored) and all(live) and all(min(s.stored) // chunk <= k[0] <= max(s.stored) // chunk for k in r.headers)
+        return out
+
+    whole = events(4, len(items))
+    assert all(events(chunk, size) == whole for chunk, size in ((4, 1), (4, 7), (256, 50)))
+    Kept.calls = 0
+    events(256, len(items))
+    assert Kept.calls < 5  # a write, and what the test reads; not one for each header
