@@ -235,6 +235,15 @@ def event_of(arguments: str) -> Event:
     return Event(tuple(indexed), tuple(plain), tuple(names))
 
 
+def of_words(arguments: str) -> bool:
+    """Whether all arguments are single words; hashes of longer ones, and types that aren't one, are not."""
+    try:
+        event = event_of(arguments)
+    except ValueError:
+        return False
+    return all(t.kind in WORDS for t, _ in (*event.indexed, *event.plain))
+
+
 def _words(t: Type, words: pa.Array) -> pa.Array:
     """Words by their type, all at once; those that lack digits are null."""
     words = pc.if_else(pc.equal(pc.binary_length(words), 64), words, None)

@@ -209,6 +209,8 @@ def data_word(data: Column, word: int) -> Column:
 
 #: The types of an event's arguments: name, Solidity type and whether it is indexed.
 ARGUMENTS = "array<struct<name:string,type:string,indexed:boolean>>"
+#: Layouts of events that are read by expressions, a branch each.
+MOST_LAYOUTS = 32
 
 
 def decode_events(logs: DataFrame, signatures: DataFrame) -> DataFrame:
@@ -218,7 +220,9 @@ def decode_events(logs: DataFrame, signatures: DataFrame) -> DataFrame:
     word is 0x-hex, true or false; bytes are 0x-hex, string is text; lists of words are joined by commas, other lists and
     tuples are JSON. Indexed ones that are longer than a word are hashes and stay so. Arguments without a name are called
     topicN or wordN by their place in words; a name that is there twice gets a number. What the data doesn't hold is null; a
-    type that isn't one is an error. Logs without a signature go; columns named event_name or args are replaced.
+    type that isn't one is an error. Logs without a signature go; columns named event_name or args are replaced. Where all
+    arguments are words, as of most events, Spark's own expressions read them, so that no row goes to Python and what isn't
+    asked for is left out; else rows are decoded in Arrow batches.
     """
     kept = [c for c in logs.columns if c not in ("event_name", "args")]
     own = signatures.select(F.lower("topic0").alias("__topic0"), F.col("name").alias("event_name"), F.to_json(F.col("args").cast(ARGUMENTS)).alias("__layout"))
@@ -226,11 +230,40 @@ def decode_events(logs: DataFrame, signatures: DataFrame) -> DataFrame:
     extra = {f"__topic{k}": log_topic(logs, k) for k in (1, 2, 3) if f"topic{k}" not in kept} | ({} if "data" in kept else {"__data": F.lit(None).cast("string")})
     j = logs.select(*(F.col(f"`{c}`") for c in kept), F.lower(log_topic(logs, 0)).alias("__topic0"), *(c.alias(n) for n, c in extra.items()))
     j = j.join(own, "__topic0").select(*(F.col(f"`{c}`") for c in kept), "event_name", "__layout", *extra)
+    layouts = own.select(F.coalesce("__layout", F.lit("")).alias("text")).distinct().limit(MOST_LAYOUTS + 1).collect()  # a look at the configuration
+    if len(layouts) <= MOST_LAYOUTS and all(abi.of_words(r.text) for r in layouts):
+        args = F.coalesce(*(F.when(F.coalesce("__layout", F.lit("")) == r.text, _word_arguments(r.text, kept)) for r in layouts)) if layouts else F.lit(None)
+        return j.select(*(F.col(f"`{c}`") for c in kept), "event_name", args.cast("map<string,string>").alias("args"))
     schema = j.select(*(F.col(f"`{c}`") for c in kept), "event_name").schema.add("args", T.MapType(T.StringType(), T.StringType()))
     topics = [f"topic{k}" if f"topic{k}" in kept else f"__topic{k}" for k in (1, 2, 3)]
     return j.mapInArrow(abi.decoder([*kept, "event_name"], "__layout", topics, "data" if "data" in kept else "__data", "args"), schema)
 
 
+def _word_arguments(layout: str, kept: list[str]) -> Column:
+    """The map of an event's arguments, all of them words, as abi.arguments has it."""
+    event, values = abi.event_of(layout), []
+    digits = F.lower(F.coalesce(F.col("data" if "data" in kept else "__data"), F.lit("0x")))
+    for t, k in event.indexed:
+        topic = F.lower(F.col(f"topic{k}" if f"topic{k}" in kept else f"__topic{k}")) if k <= 3 else F.lit(None).cast("string")
+        values.append(_word_text(t, F.substring(topic, 3, 64)))
+    values += [_word_text(t, F.substring(digits, 3 + 2 * at, 64)) for t, at in event.plain]
+    return F.create_map(*(c for n, v in zip(event.names, values) for c in (F.lit(n), v))) if values else F.create_map().cast("map<string,string>")
+
+
+def _word_text(t: abi.Type, word: Column) -> Column:
+    """A word's text by its type; null if it lacks digits. See abi.word_text."""
+    number = F.ltrim(word, F.lit("0"))
+    if t.kind == abi.ADDRESS:
+        text = F.concat(F.lit("0x"), F.right(word, F.lit(40)))
+    elif t.kind == abi.FIXED:
+        text = F.concat(F.lit("0x"), F.substring(word, 1, t.digits))
+    elif t.kind == abi.FLAG:
+        text = F.when(number == "", "false").otherwise("true")
+    else:
+        text = F.concat(F.lit("0x"), F.when(number == "", "0").otherwise(number))
+    return F.when(F.length(word) == 64, text)
+
+
 def log_topic(logs: DataFrame, k: int) -> Column:
     """A log's topic: from ``topicK`` or from the list ``topics``; null beyond its end."""
     return F.col(f"topic{k}") if f"topic{k}" in logs.columns else F.get("topics", F.lit(k)) if "topics" in logs.columns else F.lit(None).cast("string")

@@ -99,3 +99,12 @@ def lending_tables(decoded: DataFrame) -> dict[str, DataFrame]:
             *(F.col("args")[arg].alias(c) for c, arg in columns.items()),
         )
     return out
+
+
+def lending_rows(decoded: DataFrame) -> DataFrame:
+    """The rows of lending_tables in one pass: ``t`` names the table, and columns that it doesn't have are null."""
+    columns = list(dict.fromkeys(c for _, own in LENDING.values() for c in own))
+    of = {c: F.coalesce(*(F.when(F.col("event_name") == event, F.col("args")[own[c]]) for event, (_, own) in LENDING.items() if c in own)) for c in columns}
+    table = F.coalesce(*(F.when(F.col("event_name") == event, table) for event, (table, _) in LENDING.items()))
+    rows = decoded.where(F.col("event_name").isin(list(LENDING)))
+    return rows.select(table.alias("t"), event_id(F.col("tx_hash"), F.col("log_index")).alias("id"), "chain_id", F.col("address").alias("vault"), "block_number", *(v.alias(c) for c, v in of.items()))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -371,8 +370,7 @@ FROM {tx} t WHERE t.order_key % 8 <> 0 AND EXISTS (SELECT 1 FROM a WHERE a.chain
 
 def lending(f: Fixtures) -> DataFrame:
     """All six tables, one below the other."""
-    parts = [t.select(F.lit(name).alias("t"), *(c for c in t.columns if c != "block_number")) for name, t in handlers.lending_tables(decoded(f)).items()]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return handlers.lending_rows(decoded(f)).drop("block_number")
 
 
 WORD = {"arg1": "topic1", "arg2": "'0x' || substring(data, 3, 64)", "arg3": "'0x' || substring(data, 67, 64)"}
