@@ -176,21 +176,22 @@ def live_children(children: DataFrame, log: DataFrame) -> DataFrame:
 
 def stream_children(factories: DataFrame, children_path: str, logs_path: str, location: str = "topic1", every: int = COMPACT) -> Callable[[DataFrame, int], None]:
     """Sink of log batches: children found in a batch match logs of the same batch; each batch is done once. What is known
-    is read from a compacted table and the batches since."""
+    is read from compacted tables and the batches since. The last batch's logs stay at ``logs_path``-batch."""
     schema, keys = "chain_id bigint, child string, created_block bigint", ["chain_id", "child"]
 
     def least(rows: DataFrame) -> DataFrame:
         return rows.groupBy(*keys).agg(F.min("created_block").alias("created_block"))
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        df = df.persist()
+        # read twice, from files: a cached partition would be one task's read, however large it is unpacked
+        df.write.mode("overwrite").parquet(f"{logs_path}-batch")
+        df = df.sparkSession.read.schema(df.schema).parquet(f"{logs_path}-batch")
         own = least(discover_children(df, factories, location))
         write_batch(own.select(F.col("chain_id").cast("bigint"), "child", F.col("created_block").cast("bigint")), batch_id, children_path)
         mine = df.sparkSession.read.schema(schema).parquet(f"{children_path}/batch_id={batch_id}")
         known = least(state_before(df.sparkSession, children_path, schema, batch_id, every).unionByName(mine))
         write_batch(child_logs(df, known), batch_id, logs_path)
         compact(df.sparkSession, children_path, schema, batch_id, least, every)
-        df.unpersist()
 
     return batch
 

@@ -330,3 +330,17 @@ def test_headers_are_stored_in_chunks_at_any_cut(monkeypatch):
     Kept.calls = 0
     events(256, len(items))
     assert Kept.calls < 5  # a write, and what the test reads; not one for each header
+
+
+def test_a_batch_of_logs_is_read_from_files_and_not_cached(spark, tmp_path, monkeypatch):
+    from pyspark.sql import DataFrame
+
+    monkeypatch.setattr(DataFrame, "persist", lambda self, *a: pytest.fail("cached"))
+    factories = spark.createDataFrame([("f", 1, None, "0xmade", None, None)], "factory_id string, chain_id long, address string, topic0 string, from_block long, to_block long")
+    sink = sinks.stream_children(factories, str(tmp_path / "children"), str(tmp_path / "logs"))
+    child = "0x" + "0" * 39 + "7"
+    for k in range(2):
+        rows = [(1, 2 * k, 0, "0xf", "0xmade", "0x" + child[2:].rjust(64, "0"), "0x"), (1, 2 * k + 1, 0, child, "0xother", None, "0x")]
+        sink(spark.createDataFrame(rows, "chain_id long, block_number long, log_index long, address string, topic0 string, topic1 string, data string"), k)
+    assert sorted(r.block_number for r in spark.read.parquet(str(tmp_path / "logs")).collect()) == [1, 3]
+    assert sorted(r.block_number for r in spark.read.parquet(str(tmp_path / "logs-batch")).collect()) == [2, 3]
