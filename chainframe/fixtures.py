@@ -161,6 +161,53 @@ FROM (SELECT 's' || CAST(shift AS STRING) AS series, run, run * 100 AS at_s, (ru
       FROM (SELECT DISTINCT CAST(floor(event_id / 100.0) AS BIGINT) AS run FROM {events}) r CROSS JOIN (SELECT 0 AS shift UNION ALL SELECT 13 UNION ALL SELECT 24 UNION ALL SELECT 37) q) z""",
 }
 
+#: Views that Spark makes by plans of its own, with the rows of VIEWS: rows are dealt once by their block, so that both
+#: windows and the join keep that partitioning, and texts are made of numbers when nothing is shuffled or sorted any more.
+PLANS: dict[str, str] = {
+    "tx_keyed": """
+SELECT o_custkey % 5 + 1 AS chain_id, CAST(floor(o_orderkey / 40.0) AS BIGINT) AS block_number, o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM {orders}""",
+    "tx_placed": "SELECT *, CAST(row_number() OVER (PARTITION BY chain_id, block_number ORDER BY o_orderkey) - 1 AS BIGINT) AS transaction_index FROM {tx_keyed}",
+    "tx": """
+SELECT chain_id, block_number, transaction_index, '0x' || md5('tx' || CAST(o_orderkey AS STRING)) AS tx_hash, o_orderkey AS order_key,
+       '0x' || lpad(lower(hex(o_custkey)), 40, '0') AS from_address,
+       CASE WHEN o_orderstatus = 'P' THEN NULL ELSE '0x' || lpad(lower(hex(o_orderkey % 97)), 40, '0') END AS to_address,
+       CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 1 ELSE 0 END AS status, CAST(o_orderkey % 5 AS INT) AS tx_type,
+       CAST(round(o_totalprice * 100) AS BIGINT) AS value_units,
+       '0x' || lower(hex(CAST(round(o_totalprice * 100) AS BIGINT))) AS value_hex
+FROM {tx_placed}""",
+    # the join's one key is the block, by which both sides are dealt; a block has 40 orders at most
+    "logs_placed": """
+SELECT *, CAST(row_number() OVER (PARTITION BY chain_id, block_number ORDER BY transaction_index, l_linenumber, l_partkey, l_suppkey, l_extendedprice) - 1 AS BIGINT) AS log_index FROM (
+  SELECT t.chain_id, t.block_number, t.transaction_index, t.o_orderkey, t.o_custkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_returnflag, l_linestatus
+  FROM {lineitem_by_block} JOIN {tx_by_block} t ON l_block = t.block_number AND l_orderkey - t.o_orderkey = 0) j""",
+    "logs": """
+SELECT chain_id, block_number, transaction_index, '0x' || md5('tx' || CAST(o_orderkey AS STRING)) AS tx_hash, log_index,
+       '0x' || lpad(lower(hex(l_suppkey)), 40, '0') AS address,
+       '0x' || md5(concat(l_returnflag, l_linestatus)) || md5(concat(l_linestatus, l_returnflag)) AS topic0,
+       '0x' || lpad(lower(hex(l_partkey)), 64, '0') AS topic1, '0x' || lpad(lower(hex(l_suppkey)), 64, '0') AS topic2,
+       CASE WHEN l_linenumber < 5 THEN '0x' || lpad(lower(hex(l_linenumber)), 64, '0') END AS topic3,
+       '0x' || lpad(lower(hex(CAST(l_quantity AS BIGINT))), 64, '0')
+            || lpad(lower(hex(CAST(round(l_extendedprice * 100) AS BIGINT))), 64, '0') AS data,
+       concat(l_returnflag, l_linestatus) AS event_code, l_suppkey AS supp_key, l_linenumber AS line_no
+FROM {logs_placed}""",
+    "frames_placed": """
+SELECT *, CAST(dense_rank() OVER (PARTITION BY chain_id, block_number, transaction_index ORDER BY l_linenumber) - 1 AS INT) AS p0,
+       CAST(row_number() OVER (PARTITION BY chain_id, block_number, transaction_index, l_linenumber ORDER BY log_index) - 2 AS INT) AS p1,
+       CASE WHEN concat(l_returnflag, l_linestatus) IN ('RF', 'RO') AND log_index % 3 = 0 THEN 'reverted' END AS own_error
+FROM {logs_placed}""",
+    "frames": """
+SELECT chain_id, block_number, transaction_index, log_index, p0, p1, own_error, '0x' || lpad(lower(hex(l_suppkey)), 40, '0') AS address FROM {frames_placed}""",
+    # a frame's sender is its transaction's, which the join of its log has met already; both parts stay dealt by block
+    "calls": """
+SELECT chain_id, block_number, transaction_index, 0 AS depth, -1 AS p0, -1 AS p1, CAST(NULL AS STRING) AS own_error, '0x' || lpad(lower(hex(o_custkey)), 40, '0') AS sender,
+       CASE WHEN o_orderstatus = 'P' THEN NULL ELSE '0x' || lpad(lower(hex(o_orderkey % 97)), 40, '0') END AS address, 1000000 - o_orderkey % 1000 AS gas,
+       '0x' || lower(hex(CAST(round(o_totalprice * 100) AS BIGINT))) AS value_hex, o_orderkey AS frame_key FROM {tx_by_block}
+UNION ALL
+SELECT chain_id, block_number, transaction_index, CASE WHEN p1 = -1 THEN 1 ELSE 2 END, p0, p1, own_error, '0x' || lpad(lower(hex(o_custkey)), 40, '0'),
+       '0x' || lpad(lower(hex(l_suppkey)), 40, '0'), 5000 + log_index, CASE WHEN log_index % 4 = 0 THEN '0x0' ELSE '0x' || lower(hex(log_index)) END, 1000000000 + log_index
+FROM {frames_placed}""",
+}
+
 
 class Fixtures:
     """The views as DataFrames: ``Fixtures(spark, sf_dir).logs``; base tables too."""
@@ -183,16 +230,23 @@ class Fixtures:
         return out
 
     def __getattr__(self, name: str) -> DataFrame:
-        if name.startswith("_") or (name not in VIEWS and name not in BASE):
+        if name.startswith("_") or (name not in VIEWS and name not in PLANS and name not in BASE):
             raise AttributeError(name)
         if name not in self._made:
             if name in BASE:
                 self._made[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
             else:
-                needs = set(re.findall(r"{(\w+)}", VIEWS[name]))
-                self._made[name] = self.spark.sql(VIEWS[name], **{n: getattr(self, n) for n in needs})
+                text = PLANS.get(name) or VIEWS[name]
+                needs = set(re.findall(r"{(\w+)}", text))
+                self._made[name] = self.spark.sql(text, **{n: self._by_block(n.removesuffix("_by_block")) if n.endswith("_by_block") else getattr(self, n) for n in needs})
         return self._made[name]
 
+    def _by_block(self, name: str) -> DataFrame:
+        """Line items, or transactions with their places, dealt by block."""
+        if name == "lineitem":
+            return self.lineitem.withColumn("l_block", F.expr("CAST(floor(l_orderkey / 40.0) AS BIGINT)")).repartition("l_block")
+        return self.spark.sql(PLANS["tx_placed"], tx_keyed=self.tx_keyed.repartition("block_number"))
+
 
 def with_views(sql: str) -> str:
     """``sql`` for the oracle engine: its ``{view}`` names become common table expressions."""
