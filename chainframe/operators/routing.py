@@ -15,6 +15,8 @@ from that. Events are called ``Vault:Deposit``, ``Vault.swap()``, ``Router:trans
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,10 +73,13 @@ def compiled(spark: SparkSession, config: dict) -> dict[str, DataFrame]:
 
 class Routes:
     """Events of a configuration over ``tables``: logs, and if sources need them transactions, traces (ranked frames with
-    selector) and blocks. Only what handlers ask for is matched."""
+    selector) and blocks. Only what handlers ask for is matched: ``names`` are the events that will be asked for, or any."""
 
-    def __init__(self, spark: SparkSession, config: dict, tables: dict[str, DataFrame]):
+    def __init__(self, spark: SparkSession, config: dict, tables: dict[str, DataFrame], names: list[str] | None = None):
         self.spark, self.config, self.tables, self.of, self._done = spark, config, tables, compiled(spark, config), {}
+        self.of["transactions"] = self.of["transactions"].where("from_address IS NOT NULL OR to_address IS NOT NULL")
+        # the filters that traces are asked by: functions' calls and accounts' transfers
+        self.kinds = [k for k, asks in (("calls", lambda n: n.endswith("()")), ("transactions", lambda n: ":transfer:" in n)) if names is None or any(map(asks, names))]
 
     def _once(self, name: str, make) -> DataFrame:
         if name not in self._done:
@@ -90,13 +95,13 @@ class Routes:
     def _logs(self) -> DataFrame:
         return self._once("logs", lambda: filters.match_logs(self.tables["logs"], self.of["logs"].drop("source"), self.children()))
 
-    def _frames(self, kind: str, table: str) -> DataFrame:
-        return self._once(f"{kind} {table}", lambda: self._matched(kind, self.tables[table], self.of[kind].drop("source")))
+    def _transactions(self) -> DataFrame:
+        return self._once("transactions", lambda: filters.match_transactions(self.tables["transactions"], self.of["transactions"].drop("source", "selector"), self.children()))
 
-    def _matched(self, kind: str, rows: DataFrame, own: DataFrame) -> DataFrame:
-        if kind == "calls":
-            return filters.match_traces(rows, own, self.children())
-        return filters.match_transactions(rows, own.drop("selector"), self.children())
+    def _traces(self) -> DataFrame:
+        """Frames that any function or account wants, in one pass over the traces: ranked frames are dear to make."""
+        own = reduce(DataFrame.unionByName, (self.of[k].drop("source") for k in self.kinds))
+        return self._once("traces", lambda: filters.match_traces(self.tables["traces"], own, self.children()))
 
     def event(self, name: str) -> DataFrame:
         """Rows of the event ``name``; one that the configuration doesn't have is an error."""
@@ -106,7 +111,7 @@ class Routes:
             selectors = [k.lower() for k, v in contracts.get(source, {}).get("functions", {}).items() if v == function]
             if selectors:
                 own = self.of["calls"].where(F.col("source") == source).drop("source").withColumn("selector", F.array(*map(F.lit, selectors)))
-                return self._matched("calls", self._frames("calls", "traces"), own)
+                return filters.match_traces(self._traces(), own, self.children())
         parts = name.split(":")
         if len(parts) == 2 and parts[1] == "block" and parts[0] in self.config.get("blocks", {}):
             return filters.match_blocks_interval(self.tables["blocks"], self.of["blocks"].where(F.col("source") == parts[0]))
@@ -117,12 +122,12 @@ class Routes:
         if len(parts) == 3 and parts[0] in accounts and parts[1] in ("transaction", "transfer") and parts[2] in ("from", "to"):
             own = self.of["transactions"].where(F.col("source") == f"{parts[0]}:{parts[2]}").drop("source", "selector")
             if parts[1] == "transaction":
-                return filters.match_transactions(self._frames("transactions", "transactions"), own)
-            return filters.match_transfers(self._frames("transactions", "traces"), own)
+                return filters.match_transactions(self._transactions(), own)
+            return filters.match_transfers(self._traces(), own)
         raise KeyError(f"the configuration has no event {name}")
 
 
 def run_config(spark: SparkSession, config: dict, tables: dict[str, DataFrame], handlers: Handlers) -> dict[str, DataFrame]:
     """The tables that ``handlers`` make of the configuration's events."""
-    routes = Routes(spark, config, tables)
+    routes = Routes(spark, config, tables, handlers.names())
     return handlers.run({name: routes.event(name) for name in handlers.names()})

@@ -56,3 +56,21 @@ def test_sources_share_one_scan(spark, logs, tmp_path):
     routes = routing.Routes(spark, config(), {"logs": spark.read.parquet(str(tmp_path / "l"))})
     plans = [routes.event(n)._jdf.queryExecution().executedPlan().toString() for n in ("Vault:Moved", "One:Moved")]
     assert not any(str(tmp_path) in p for p in plans) and len(routes._done) == 2  # children and matched logs
+
+
+def test_functions_and_accounts_share_one_pass_over_traces(spark, logs):
+    frame = "chain_id long, block_number long, transaction_index long, trace_index long, from_address string, to_address string, selector string, call_type string, value_hex string"
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    frames = [(1, 7, 0, 0, "0x1", "0x9", "0xaa", "CALL", "0x5"), (1, 7, 0, 1, "0x2", "0x3", "0xbb", "CALL", "0x0"), (1, 7, 0, 2, "0x1", "0x3", "0xbb", "CALL", "0x0"), (1, 7, 0, 3, "0x8", "0x8", "0xcc", "CALL", "0x1")]
+    traces = spark.createDataFrame(frames, frame).mapInArrow(counted, frame)
+    sources = {"contracts": {"P": {"chains": {1: {"address": "0x3"}}, "functions": {"0xBB": "swap"}}}, "accounts": {"A": {"chains": {1: {"address": "0x1"}}}}}
+    routes = routing.Routes(spark, sources, {"logs": logs, "traces": traces})
+    got = {n: sorted(r.trace_index for r in routes.event(n).collect()) for n in ("P.swap()", "A:transfer:from", "A:transfer:to")}
+    assert got == {"P.swap()": [1, 2], "A:transfer:from": [0], "A:transfer:to": []}
+    assert read.value == len(frames)
