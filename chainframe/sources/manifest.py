@@ -9,9 +9,11 @@ batches are read to find out.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -19,9 +21,41 @@ from chainframe.sources.blocks import BUCKET
 from chainframe.sources.store import write_store
 
 PARTITION = ["chain_id", "block_bucket"]
+#: Tasks that list the folders of one chain; Spark's own number is a task for each folder, up to 10,000.
+LISTERS = 32
+#: Neighbouring buckets from which on a condition names the first and the last only.
+RUN = 8
 MANIFEST = "chain_id bigint, block_bucket bigint, n_rows bigint"
 
 
+@contextmanager
+def few_listers(spark: SparkSession) -> Iterator[None]:
+    """Relations that are made within list their folders by LISTERS tasks a level, not by a task for each folder."""
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(min(LISTERS, int(old))))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
+def among(buckets: set[int]) -> Column:
+    """Whether block_bucket is one of ``buckets``; long runs of them are bounds."""
+    single, found, run = [], [], []
+    for b in [*sorted(buckets), None]:
+        if run and b != run[-1] + 1:
+            if len(run) < RUN:
+                single += run
+            else:
+                found.append(F.col("block_bucket").between(run[0], run[-1]))
+            run = []
+        run.append(b)
+    if single:
+        found.append(F.col("block_bucket").isin(single))
+    return reduce(lambda a, b: a | b, found)
+
+
 def batch_name(name: str) -> str:
     if not re.fullmatch(r"[A-Za-z0-9_.-]+", name):
         raise ValueError(f"a batch's name has letters, digits, _ . and - only: {name}")
@@ -33,6 +67,7 @@ class Store:
 
     def __init__(self, spark: SparkSession, path: str, schema, keys: list[str], width: int = BUCKET):
         self.spark, self.path, self.schema, self.keys, self.width = spark, path.rstrip("/"), spark.createDataFrame([], schema).schema, keys, width
+        self._listed: dict[tuple[str, ...], DataFrame] = {}  # a batch never changes once it is there, so its folders are listed once
 
     def manifest(self) -> DataFrame:
         """(chain_id, block_bucket, n_rows, batch) of every committed batch."""
@@ -51,7 +86,12 @@ class Store:
         stored = StructType([f for f in self.schema.fields if f.name != "block_bucket"]).add("block_bucket", "long")
         if not batches:
             return self.spark.createDataFrame([], stored)
-        return self.spark.read.schema(stored).option("basePath", self.path).parquet(*(f"{self.path}/batch={b}" for b in batches)).select(*stored.names)
+        own = tuple(batches)
+        if own not in self._listed:
+            with few_listers(self.spark):
+                found = self.spark.read.schema(stored).option("basePath", self.path).parquet(*(f"{self.path}/batch={b}" for b in own))
+            self._listed[own] = found.select(*stored.names)
+        return self._listed[own]
 
     def batches(self) -> list[str]:
         return sorted(r.batch for r in self.manifest().select("batch").distinct().collect())
@@ -71,7 +111,7 @@ class Store:
         pairs: dict[int, set[int]] = {}
         for chain, bucket, _ in own:
             pairs.setdefault(chain, set()).add(bucket)
-        here = reduce(lambda a, b: a | b, [(F.col("chain_id") == c) & F.col("block_bucket").isin(sorted(b)) for c, b in pairs.items()])
+        here = reduce(lambda a, b: a | b, [(F.col("chain_id") == c) & among(b) for c, b in pairs.items()])
         return write_store(df, self._of(sorted({b for *_, b in own})).where(here), self.keys, order)
 
     def append(self, df: DataFrame, batch: str, order: list[str] | None = None) -> DataFrame:
@@ -83,7 +123,10 @@ class Store:
             return self._of([batch])
         own = df.select(*(F.col(c) for c in self.schema.names if c != "block_bucket"), F.floor(F.col("block_number") / self.width).cast("long").alias("block_bucket"))
         new = self.lacking(own, order)
-        new.repartition(*PARTITION).sortWithinPartitions(*PARTITION, *(k for k in self.keys if k not in PARTITION)).write.mode("overwrite").partitionBy(*PARTITION).parquet(folder)
+        dealt = new.repartition(*PARTITION).sortWithinPartitions(*PARTITION, *(k for k in self.keys if k not in PARTITION))
+        # tasks move their own files into place, not the driver all of them: nobody sees these before the manifest
+        dealt.write.mode("overwrite").option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy(*PARTITION).parquet(folder)
+        self._listed.pop((batch,), None)  # of an attempt whose manifest failed
         written = self._of([batch])
         sums = written.groupBy(*PARTITION).agg(F.count("*").alias("n_rows"))
         # one task, a row for each partition; Spark's committer moves its file into place as the last step

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from chainframe.operators import filters
 from chainframe.sources import blocks as src
 from chainframe.sources.backfill import Backfill
-from chainframe.sources.manifest import Store
+from chainframe.sources.manifest import Store, among
 
 LOGS = "chain_id long, block_number long, log_index long, address string, topic0 string"
 KEYS = ["chain_id", "block_number", "log_index"]
@@ -191,3 +191,49 @@ def test_a_backfill_that_failed_runs_again_by_its_plan(spark, tmp_path):
     into.append(source.read().where("block_number BETWEEN 20 AND 29"), "s-b")  # cut off before its coverage was written
     assert job.fill(want(spark, (1, 0, 60)), "b").count() == 10 and rows(job.covered(), "lo", "hi") == [(0, 30)]
     assert job.fill(want(spark, (1, 0, 60)), "c").count() == 30
+
+
+def listing_tasks(spark, run):
+    """The tasks of the stages that ``run`` starts."""
+    sc, group = spark.sparkContext, f"listing-{id(run)}"
+    sc.setJobGroup(group, group)
+    try:
+        run()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    tracker = sc.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds]
+    return [s.numTasks for s in stages if s is not None]
+
+
+def test_a_store_is_listed_once_and_by_few_tasks(spark, tmp_path):
+    path, key = str(tmp_path / "s"), "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    store, old = Store(spark, path, LOGS, KEYS, width=1), spark.conf.get(key)
+    written = store.append(made(spark, [1]), "b1")
+    assert listing_tasks(spark, lambda: store._of(["b1"])) == [] and written.count() == 60
+    fresh = Store(spark, path, LOGS, KEYS, width=1)
+    assert 0 < sum(listing_tasks(spark, lambda: fresh._of(["b1"]))) <= 33  # of 60 partitions
+    assert spark.conf.get(key) == old and rows(fresh.read()) == rows(made(spark, [1]))
+    assert fresh.append(made(spark, [1, 2], range(50, 70)), "b2").count() == 30 and rows(fresh.read(), "chain_id").count((2,)) == 20
+    assert store.read().count() == 90  # another writer's batch is seen
+
+
+def test_long_runs_of_buckets_are_bounds(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "s"), LOGS, KEYS, width=1)
+    store.append(made(spark, [1, 2]), "b1")
+    new = made(spark, [1], [*range(5, 30), 40, 42, 70]).withColumn("block_bucket", F.col("block_number"))
+    lacking = store.lacking(new)
+    many = {*range(5, 30), 40, 42, 70}
+    met = spark.range(80).withColumnRenamed("id", "block_bucket").where(among(many))
+    assert re.search(r">= 5\).*<= 29\).* IN \(40,42,70\)", plan(met)) and {r[0] for r in met.collect()} == many
+    assert rows(lacking) == [(1, 70, 0)]
+
+
+def test_an_attempt_that_failed_before_its_manifest_is_listed_anew(spark, tmp_path, monkeypatch):
+    store = Store(spark, str(tmp_path / "s"), LOGS, KEYS, width=10)
+    with monkeypatch.context() as m:
+        m.setattr(F, "count", lambda *_: F.raise_error(F.lit("no manifest")).cast("long"))
+        with pytest.raises(Exception):
+            store.append(made(spark, [1], range(0, 20)), "b1")
+    assert store.batches() == []
+    assert store.append(made(spark, [1], range(30, 50)), "b1").count() == 20 and rows(store.read()) == [(1, n, 0) for n in range(30, 50)]
