@@ -55,7 +55,31 @@ def cascade_errors(frames: DataFrame, step: int = 8) -> DataFrame:
     """Frames (chain_id, block_number, transaction_index, path, error, reason) with errors inherited down the tree.
 
     A frame without an error takes its nearest ancestor's, and the reason with it, if all frames between are present; its
-    own error wins. Only transactions with an error are looked into. A frame is joined with its ``step`` nearest ancestors
+    own error wins. In the order of paths the last frame of a depth before a frame is its ancestor, if that is present at
+    all: so frames of depth ``step`` at most are settled by a window over their transaction, which ranked frames are dealt by
+    already, and written once. Only if some are deeper are trees joined; see _deep_errors.
+    """
+    before = Window.partitionBy(*TX).orderBy("path", "error", "reason").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    last = {f"__at_{d}": F.last(F.when(F.size("path") == d, F.struct("path", "error", "reason")), True).over(before) for d in range(step)}
+    from_above = F.lit(None).cast(frames.select(F.struct("error", "reason").alias("e")).schema["e"].dataType)
+    for d in range(step):
+        above, at = F.size("path") > d, F.col(f"__at_{d}")
+        said = F.when(above & at["error"].isNotNull(), F.struct(at["error"].alias("error"), at["reason"].alias("reason")))
+        from_above = F.when(above & ~at["path"].eqNullSafe(F.slice("path", 1, d)), None).otherwise(F.coalesce(said, from_above))
+    own = settled(frames.withColumns(last).select(*frames.columns, from_above.alias("__above")))
+    if own.where(F.size("path") > step).isEmpty():
+        j = own.withColumns({"i_error": F.col("__above.error"), "i_reason": F.col("__above.reason")})
+    else:
+        own = own.drop("__above")
+        j = own.join(_deep_errors(own, step), [*TX, "path"], "left")
+    new = {"error": F.coalesce("error", "i_error"), "reason": F.when(F.col("error").isNotNull(), F.col("reason")).otherwise(F.coalesce("i_reason", "reason"))}
+    return j.select(*(new[c].alias(c) if c in new else F.col(c) for c in frames.columns))
+
+
+def _deep_errors(frames: DataFrame, step: int) -> DataFrame:
+    """(TX, path, i_error, i_reason): what frames of trees of any depth inherit.
+
+    Only transactions with an error are looked into. A frame is joined with its ``step`` nearest ancestors
     at most; one that they don't settle points to the farthest of them, and pointers are doubled until none is left. So a
     tree of any depth costs ``step`` rows a frame, and a join for each doubling of its depth beyond that.
     """
@@ -83,11 +107,7 @@ def cascade_errors(frames: DataFrame, step: int = 8) -> DataFrame:
         moved = state.where("up IS NOT NULL").join(said, [*TX, "up"], "left")
         moved = moved.select(*TX, "frame", F.col("u_error").alias("i_error"), F.col("u_reason").alias("i_reason"), F.col("u_up").alias("up"))
         state = settled(state.where("up IS NULL").unionByName(moved))
-    inherited = state.where("i_error IS NOT NULL").select(*TX, F.col("frame").alias("path"), "i_error", "i_reason")
-    j = frames.join(inherited, [*TX, "path"], "left")
-    own = F.col("error").isNotNull()
-    new = {"error": F.coalesce("error", "i_error"), "reason": F.when(own, F.col("reason")).otherwise(F.coalesce("i_reason", "reason"))}
-    return j.select(*(new[c].alias(c) if c in new else F.col(c) for c in frames.columns))
+    return state.where("i_error IS NOT NULL").select(*TX, F.col("frame").alias("path"), "i_error", "i_reason")
 
 
 def discover_children(logs: DataFrame, factories: DataFrame, location: str = "topic1") -> DataFrame:

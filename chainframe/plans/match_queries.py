@@ -164,7 +164,7 @@ def failing_frames(f: Fixtures) -> DataFrame:
 
 register(
     "cascade_errors",
-    lambda f: joins.cascade_errors(failing_frames(f)).select(*TX, F.array_join(F.col("path").cast("array<string>"), ".").alias("path"), "error", "reason"),
+    lambda f: joins.cascade_errors(failing_frames(f).select(*TX, "path", "error", "reason")).select(*TX, F.array_join(F.col("path").cast("array<string>"), ".").alias("path"), "error", "reason"),
     """
 WITH c AS (SELECT *, CASE WHEN own_error IS NOT NULL THEN 'r' || CAST(frame_key AS STRING) END AS own_reason FROM {calls} WHERE NOT (depth = 1 AND frame_key % 7 = 0)),
 p AS (SELECT chain_id, block_number, transaction_index, p0, own_error, own_reason FROM c WHERE depth = 1),

@@ -90,6 +90,17 @@ def test_an_error_at_the_top_reaches_a_depth_of_a_thousand(spark):
     assert {len(r.path) for r in broken if r.error} == set(range(500))
 
 
+def test_shallow_trees_are_settled_without_a_join(spark):
+    """Frames of up to ``step`` levels are read once and meet their ancestors in one window."""
+    frames = [([], "top", None), ([0], None, "own"), ([0, 1], None, None), ([1, 0], None, None), ([2], "out", "r"), ([2, 0], None, None), ([2, 0, 0], None, None)]
+    got = joins.cascade_errors(tree(spark, frames))
+    assert {tuple(r.path): (r.error, r.reason) for r in got.collect()} == {
+        (): ("top", None), (0,): ("top", "own"), (0, 1): ("top", None), (1, 0): (None, None), (2,): ("out", "r"), (2, 0): ("out", "r"), (2, 0, 0): ("out", "r"),
+    }
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
+
+
 def test_rank_is_preorder(spark):
     paths = [[], [0], [0, 0], [0, 1], [1], [1, 0, 0], [10], [2]]
     got = win.rank_traces(tree(spark, [(p, None, None) for p in random.Random(1).sample(paths, len(paths))])).orderBy("trace_index").collect()
