@@ -131,6 +131,12 @@ def _matching(rows: DataFrame, f: DataFrame, children: DataFrame | None, sides:
     return spark.sql(f"SELECT r.* FROM {{own}} r WHERE r.__plain OR {by_factory}", own=own, **tables).select(*columns)
 
 
+def configured(f: DataFrame) -> DataFrame:
+    """A configuration's rows, which are read once and sent to all tasks if they are MOST_SENT at most; else as they are."""
+    got = f.limit(MOST_SENT + 1).collect()
+    return F.broadcast(f.sparkSession.createDataFrame(got, f.schema)) if len(got) <= MOST_SENT else f
+
+
 def _few(table: DataFrame) -> bool:
     """Whether a table that was just written may be sent to all tasks; its files know their rows."""
     return table.count() <= MOST_SENT

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chainframe.functions.encodings import child_at, log_topic
-from chainframe.operators.filters import child_logs, match_logs_factory, prepared
+from chainframe.operators.filters import child_logs, configured, match_logs_factory, prepared
 from chainframe.scratch import settled
 
 BLOCK, TX = ["chain_id", "block_number"], ["chain_id", "block_number", "transaction_index"]
@@ -125,6 +125,7 @@ def discover_children(logs: DataFrame, factories: DataFrame, location: str = "to
     kinds = own.select("filter_id", "chain_id", F.col("factory_id").cast("string").alias("factory_id"), F.lower("topic0").alias("topic0"), place.alias("location"))
     f = f.join(kinds.distinct(), ["filter_id", "chain_id"])
     f = f.select(*(F.col(c).alias(f"f_{c}") for c in ("factory_id", "chain_id", "address", "topic0", "from_block", "to_block", "location")))
+    f = configured(f)
     match = (
         (F.col("f_chain_id") == F.col("chain_id")) & (F.col("f_topic0") == F.lower(log_topic(logs, 0)))
         & (F.col("f_address").isNull() | F.array_contains("f_address", F.lower("address")))

@@ -107,6 +107,20 @@ def test_rank_is_preorder(spark):
     assert [list(r.path) for r in got] == [[], [0], [0, 0], [0, 1], [1], [1, 0, 0], [2], [10]]
 
 
+def test_discovery_does_not_shuffle_logs_to_their_factories(spark):
+    logs = spark.range(50).selectExpr("1 + id DIV 1000 AS chain_id", "id AS block_number", "id AS log_index", "'0xa' AS address", "CASE WHEN id < 1000 THEN '0xt' END AS topic0", "concat('0x', lpad(hex(id % 5), 64, '0')) AS topic1")
+    f = spark.sql("SELECT 'f' AS factory_id, 1L AS chain_id, '0xA' AS address, '0xT' AS topic0, min(id) + 3 AS from_block, CAST(NULL AS BIGINT) AS to_block FROM range(10)")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = joins.discover_children(logs, f)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert {(int(r.child, 16), r.created_block) for r in got.collect()} == {(0, 5), (1, 6), (2, 7), (3, 3), (4, 4)}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_factory_children(spark):
     logs = spark.createDataFrame([(1, 5, 0, "a"), (1, 9, 0, "a"), (2, 9, 0, "a"), (1, 9, 1, "b")], "chain_id long, block_number long, log_index long, address string")
     children = spark.createDataFrame([("f", 1, "a", 6)], "factory_id string, chain_id long, child string, created_block long")
