@@ -260,17 +260,24 @@ def finalized_prefix(headers: DataFrame, finalized: DataFrame) -> DataFrame:
     return j.select("chain_id", "block_number", "block_hash", part.alias("part"))
 
 
+#: A checkpoint's fields, from the first that decides.
+POSITION = ("block_ts", "chain_id", "block_number", "transaction_index", "event_type", "event_index")
+
 # --- order, cuts, samples ------------------------------------------------------------------------------------------
 
 
 def with_checkpoint(events: DataFrame, to: str = "checkpoint") -> DataFrame:
     """``events`` (block_ts, chain_id, block_number, transaction_index, event_type, event_index) with their checkpoint."""
-    return events.withColumn(to, checkpoint_encode(**{c: F.col(c) for c in ("block_ts", "chain_id", "block_number", "transaction_index", "event_type", "event_index")}))
+    return events.withColumn(to, checkpoint_encode(**{c: F.col(c) for c in POSITION}))
 
 
 def order_events(events: DataFrame) -> DataFrame:
-    """Events in emit order: a range-partitioned sort by checkpoint."""
-    return with_checkpoint(events).orderBy("checkpoint")
+    """Events in emit order: a range-partitioned sort by checkpoint. Whole numbers sort as the checkpoint's digits do, so they
+    are what is shuffled and sorted, and its long text is made afterwards; what lacks a field has none and comes first."""
+    if any(events.schema[c].dataType.simpleString() not in ("tinyint", "smallint", "int", "bigint") for c in POSITION):
+        return with_checkpoint(events).orderBy("checkpoint")
+    whole = reduce(lambda x, y: x & y, (F.col(c).isNotNull() for c in POSITION))
+    return with_checkpoint(events.orderBy(whole, *POSITION))
 
 
 def omnichain_ready(events: DataFrame, chains: DataFrame) -> DataFrame:

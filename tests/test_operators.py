@@ -121,6 +121,20 @@ def test_discovery_does_not_shuffle_logs_to_their_factories(spark):
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
 
 
+def test_events_are_shuffled_without_their_checkpoints(spark):
+    fields = "block_ts, chain_id, block_number, transaction_index, event_type, event_index"
+    own = [(1700000000 + k % 7, 1 + k % 3, k * 37 % 101, k % 2, 5, k % 11 if k % 25 else None) for k in range(200)]
+    events = spark.createDataFrame(own, ", ".join(f"{c} long" for c in fields.split(", ")))
+    got = win.order_events(events)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    dealt = [line for line in plan.splitlines() if "Exchange rangepartitioning" in line]
+    assert dealt and not any("checkpoint" in line for line in dealt)
+    texts = [r.checkpoint for r in got.collect()]
+    assert texts == sorted(texts, key=lambda t: t or "") and texts.count(None) == 8
+    wide = win.order_events(events.withColumn("event_index", F.col("event_index").cast("string")))
+    assert [r.checkpoint for r in wide.collect()] == texts and wide.columns == got.columns
+
+
 def test_factory_children(spark):
     logs = spark.createDataFrame([(1, 5, 0, "a"), (1, 9, 0, "a"), (2, 9, 0, "a"), (1, 9, 1, "b")], "chain_id long, block_number long, log_index long, address string")
     children = spark.createDataFrame([("f", 1, "a", 6)], "factory_id string, chain_id long, child string, created_block long")
