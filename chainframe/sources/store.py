@@ -142,16 +142,17 @@ def run_metrics(families: dict[str, DataFrame], ranges: DataFrame) -> DataFrame:
 
 def write_observed(families: dict[str, DataFrame], path: str, chains: list[int]) -> DataFrame:
     """Write each family to its folder at ``path``, by chain, and give back (chain_id, NAME_rows ...) as it was counted while
-    the rows went by: nothing is read again. ``chains`` are those of the configuration; rows of another chain are an error."""
+    the rows went by: nothing is read again. ``chains`` are those of the configuration; rows of another chain are an error.
+    The chain stays the column that it is, so that rows which come sorted by it aren't sorted again to be written by chain."""
     if not families:
         raise ValueError("no families")
     spark = next(iter(families.values())).sparkSession
     seen: dict[str, dict] = {}
     for name, df in families.items():
         o = Observation(name)
-        known = F.when(F.col("chain_id").isin(chains), F.col("chain_id")).otherwise(F.raise_error(F.concat(F.lit("unknown chain "), F.coalesce(F.col("chain_id").cast("string"), F.lit("null")))).cast("long"))
-        own = df.withColumn("chain_id", known.cast("long"))
-        own.observe(o, *(F.count_if(F.col("chain_id") == c).alias(f"n{c}") for c in chains)).write.partitionBy("chain_id").parquet(f"{path}/{name}")
+        known = F.when(F.col("chain_id").isin(chains), F.col("chain_id").cast("long")).otherwise(F.raise_error(F.concat(F.lit("unknown chain "), F.coalesce(F.col("chain_id").cast("string"), F.lit("null")))).cast("long"))
+        own = df if df.schema["chain_id"].dataType.simpleString() == "bigint" else df.withColumn("chain_id", F.col("chain_id").cast("long"))
+        own.observe(o, F.count(known).alias("known"), *(F.count_if(F.col("chain_id") == c).alias(f"n{c}") for c in chains)).write.partitionBy("chain_id").parquet(f"{path}/{name}")
         seen[name] = o.get
     rows = [(c, *(int(seen[name][f"n{c}"]) for name in families)) for c in chains]
     return spark.createDataFrame(rows, ", ".join(["chain_id long", *(f"{name}_rows long" for name in families)]))

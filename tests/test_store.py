@@ -155,6 +155,17 @@ def test_rows_are_counted_while_they_are_written(spark, tmp_path):
         store.write_observed({"logs": made(spark)}, str(tmp_path / "x"), [1, 2])
 
 
+def test_rows_in_order_of_chains_are_written_without_another_sort(spark, tmp_path):
+    from chainframe.sources import store
+
+    own = made(spark).repartition(2, "chain_id").sortWithinPartitions("chain_id", "block_number")
+    store.write_observed({"logs": own}, str(tmp_path / "w"), [1, 2, 3])
+    said = spark._jsparkSession.sharedState().statusStore().executionsList()
+    plans = [said.apply(k).physicalPlanDescription() for k in range(said.size())]
+    written = [p for p in plans if str(tmp_path / "w") in p][-1].split("== Initial Plan ==")[0]
+    assert len(set(re.findall(r"^\W*Sort \(\d+\)", written, re.M))) == 1
+
+
 def want(spark, *ranges):
     return spark.createDataFrame(list(ranges), "chain_id long, want_lo long, want_hi long")
 
